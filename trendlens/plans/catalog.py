@@ -202,8 +202,14 @@ REGISTRY: dict[str, QueryFn] = {
 }
 
 
+def _all() -> dict[str, QueryFn]:
+    from trendlens.plans import catalog_ingest
+
+    return {**REGISTRY, **catalog_ingest.REGISTRY}
+
+
 def queries() -> dict[str, QueryFn]:
-    return {name: (lambda fn: (lambda spark, sf: normalize(fn(spark, sf))))(fn) for name, fn in REGISTRY.items()}
+    return {name: (lambda fn: (lambda spark, sf: normalize(fn(spark, sf))))(fn) for name, fn in _all().items()}
 
 
 # ----------------------------------------------------------------- oracles --
@@ -378,4 +384,6 @@ def _oracles() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracles()
+    from trendlens.plans import catalog_ingest
+
+    return {**_oracles(), **catalog_ingest.oracle_sql()}
