@@ -26,7 +26,14 @@ def trend_history(tw: DataFrame, keyword: str, hours: int = 2, as_of=None,
     """
     check_hours(hours)
     since = as_of_col(as_of) - F.make_dt_interval(hours=F.lit(hours))
-    selected = tw.filter((F.col("keyword") == F.lit(keyword)) & (F.col("window_end") >= since))
+    cond = (F.col("keyword") == F.lit(keyword)) & (F.col("window_end") >= since)
+    if "window_date" in tw.columns:
+        # Fact table partitioned by date(window_start); windows are at most a
+        # day wide, so earlier date partitions cannot hold a match.
+        cond = cond & (F.col("window_date") >= F.to_date(since - F.expr("INTERVAL 1 DAY")))
+    selected = tw.filter(cond)
+    if "window_date" in selected.columns:
+        selected = selected.drop("window_date")
     latest = dedup_revisions(selected)
     out = latest.groupBy(time_bucket_col("window_end", bucket).alias("bucket"), "keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mention_count"),
