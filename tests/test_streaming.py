@@ -117,3 +117,31 @@ def test_archive_stream(spark, workdir):
     assert arch.count() == 10
     assert {"event_date", "source", "keywords", "sentiment"} <= set(arch.columns)
     assert os.path.isdir(os.path.join(out, "event_date=2024-01-01", "source=bluesky"))
+
+
+def test_live_leaderboard_snapshot_and_daily_job(spark, workdir):
+    """Stream -> fact table + leaderboard snapshot; then the nightly rollup
+    over the written fact table."""
+    from trendlens.operators.leaderboard import latest_trends
+    from trendlens.operators.rollup import run_daily_summary
+    from trendlens.sources.sinks import LeaderboardSnapshotSink
+    from trendlens.sources.tables import read_trend_windows
+
+    src, fact, snap = (os.path.join(workdir, n) for n in ("in", "fact", "snapshot"))
+    _write_batches(src, LATE_BATCHES)
+    raw = file_post_stream(spark, src, max_files_per_trigger=1)
+    q = run_trend_stream(spark, raw, [ParquetTrendSink(fact), LeaderboardSnapshotSink(fact, snap, limit=20)],
+                         checkpoint=os.path.join(workdir, "ckpt"), available_now=True)
+    q.awaitTermination(180)
+    snapshot = spark.read.parquet(snap)
+    assert snapshot.select("batch_id").distinct().first().batch_id == 4
+    tw = read_trend_windows(spark, fact)
+    expect = latest_trends(tw, 20).collect()
+    got = snapshot.drop("batch_id").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expect))
+    # served leaderboard sums every revision (alpha 3 + 4 + 5 = 12)
+    assert {r.keyword: r.mention_count for r in got}["alpha"] == 12
+    summary = run_daily_summary(spark, fact, os.path.join(workdir, "summary"), "2024-01-02",
+                                created_at="2024-01-02 00:15:00")
+    assert {r.keyword: r.total_mentions for r in summary.collect()} == {"alpha": 5, "crash": 1, "omega": 3,
+                                                                       "fresh": 1}

@@ -99,3 +99,19 @@ def test_no_python_in_enrich_plan(spark):
 
     plan = enrich(posts_docs(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_sql_functions(spark):
+    from trendlens.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    texts = _texts(spark)
+    spark.createDataFrame(list(enumerate(texts)), "i long, text string").createOrReplaceTempView("tl_texts")
+    rows = spark.sql("SELECT i, tl_keywords(text) AS k, tl_sentiment(tl_keywords(text)) AS s, "
+                     "tl_sentiment_label(tl_sentiment(tl_keywords(text))) AS l FROM tl_texts").collect()
+    for r in rows:
+        expect = keywords_py(texts[r.i])
+        assert list(r.k) == expect
+        assert r.s == pytest.approx(sentiment_py(expect), abs=1e-12)
+    plan = spark.sql("SELECT tl_keywords(text) FROM tl_texts")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -133,8 +134,6 @@ def sentiment_py(words: list[str], lexicon: Lexicon | None = None) -> float:
 
 def keywords_pandas_udf(lexicon: Lexicon | None = None):
     """Arrow-batched UDF running :func:`keywords_py` (bench comparison only)."""
-    import pandas as pd
-
     lex = lexicon or Lexicon.default()
 
     @F.pandas_udf("array<string>")

@@ -52,14 +52,13 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` with a side expected to be small.
 
-    The small side is materialized (cached; recomputable from lineage if an
-    executor is lost) and counted.  Only when the count is within
-    ``max_rows`` is it broadcast; otherwise the join is left to the planner
-    (sort-merge join, with AQE skew handling).  Broadcasting without this
-    check would ship an unbounded table to every executor.
+    The small side's rows are counted first (one extra job over the columns
+    it needs).  Only when the count is within ``max_rows`` is it broadcast;
+    otherwise the join is left to the planner (sort-merge join with AQE
+    skew handling).  Relying on AQE alone would first shuffle ``big`` for a
+    sort-merge join before re-planning, and an unchecked hint would ship an
+    unbounded table to every executor.
     """
-    small = small.cache()
-    n = small.count()
-    if n <= max_rows:
+    if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)

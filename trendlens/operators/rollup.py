@@ -107,3 +107,14 @@ def write_daily_summary(spark: SparkSession, new: DataFrame, path: str) -> None:
 
 def _small(df: DataFrame, max_rows: int = 100_000) -> bool:
     return df.count() <= max_rows
+
+
+def run_daily_summary(spark: SparkSession, fact_path: str, summary_path: str, run_date,
+                      created_at=None) -> DataFrame:
+    """Nightly job: summarize the day before ``run_date`` from the fact table
+    and upsert it into the summary table.  Safe to retry (idempotent)."""
+    from trendlens.sources.tables import read_trend_windows
+
+    new = summary_for_run(read_trend_windows(spark, fact_path), run_date, created_at)
+    write_daily_summary(spark, new, summary_path)
+    return spark.read.parquet(summary_path)

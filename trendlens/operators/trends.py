@@ -26,13 +26,30 @@ DEFAULT_WIDTH = "10 seconds"
 DEFAULT_WATERMARK = "1 minute"
 
 
-def enrich(posts: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give a CPU-heavy narrow stage at least ``min_partitions`` tasks
+    (default: the cluster's default parallelism).
+
+    A large table scans into thousands of splits and is left alone; only an
+    under-split batch input (one big file, one row group) is spread
+    round-robin so tokenization does not run in a single task.  Streams
+    keep their source partitioning.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+def enrich(posts: DataFrame, lexicon: Lexicon | None = None, min_partitions: int | None = None) -> DataFrame:
     """Add ``keywords`` (array<string>) and ``sentiment`` (double) from ``text``.
 
     Sentiment is computed over the keyword array itself, so the text is
     tokenized once per row.
     """
-    with_kw = posts.withColumn("keywords", keywords_col("text", lexicon))
+    with_kw = spread(posts, min_partitions).withColumn("keywords", keywords_col("text", lexicon))
     return with_kw.withColumn("sentiment", sentiment_col("keywords", lexicon))
 
 
@@ -41,9 +58,14 @@ def mentions(enriched: DataFrame, keep: tuple[str, ...] = ("id", "source", "even
 
     A keyword said twice in a post gives two rows, both carrying the post's
     sentiment (so it weighs twice in the window average).
+
+    ``explode_outer`` + a NULL filter instead of ``explode``: for a plain
+    explode Catalyst infers ``size(keywords) > 0`` and pushes it below the
+    projection, which copies the whole tokenizer into that filter and runs
+    it twice per row.
     """
-    cols = [F.col(c) for c in keep] + [F.col("sentiment"), F.explode("keywords").alias("keyword")]
-    return enriched.select(*cols)
+    cols = [F.col(c) for c in keep] + [F.col("sentiment"), F.explode_outer("keywords").alias("keyword")]
+    return enriched.select(*cols).filter(F.col("keyword").isNotNull())
 
 
 def trend_score_col(mention_count: Column | str = "mention_count",

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.schemas import TREND_WINDOWS_SCHEMA
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -60,3 +62,15 @@ def posts_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         # ts is TIMESTAMP_NTZ on disk; watermarks need a zoned timestamp.
         F.col("ts").cast("timestamp").alias("event_time"),
     )
+
+
+def read_trend_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The ``trend_windows`` fact table written by ``ParquetTrendSink``
+    (partition columns ``window_date`` and ``batch_id`` included).
+
+    Filters on ``window_date`` prune partitions; the serving operators add
+    such filters themselves where a time bound is known.
+    """
+    fields = [f for f in TREND_WINDOWS_SCHEMA.fields if f.name != "batch_id"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+    return spark.read.schema(f"{schema}, window_date date, batch_id bigint").parquet(path)
