@@ -214,8 +214,10 @@ def queries() -> dict[str, QueryFn]:
 
 # ----------------------------------------------------------------- oracles --
 
-def _latest_trends_sql(dedup: bool, limit: int = 20, horizon: str = "30 minutes") -> str:
-    base = "deduped" if dedup else "trend_windows"
+def _latest_trends_sql(dedup: bool, limit: int = 20, horizon: str = "30 minutes", base: str | None = None,
+                       rounded: bool = True) -> str:
+    base = base or ("deduped" if dedup else "trend_windows")
+    r = (lambda c: f"round({c}, 6)") if rounded else (lambda c: c)
     return f"""WITH {O.revisions_cte(O.POSTS_DOCS)}{O.dedup_cte()},
     psm AS (SELECT source, max(window_end) AS max_window_end FROM {base} GROUP BY source),
     recent AS (
@@ -231,8 +233,8 @@ def _latest_trends_sql(dedup: bool, limit: int = 20, horizon: str = "30 minutes"
         SELECT *, row_number() OVER (PARTITION BY source
                ORDER BY trend_score DESC, mention_count DESC, keyword ASC) AS srn
         FROM recent)
-    SELECT keyword, source, mention_count, round(avg_sentiment, 6) AS avg_sentiment,
-           round(trend_score, 6) AS trend_score, window_start, window_end
+    SELECT keyword, source, mention_count, {r('avg_sentiment')} AS avg_sentiment,
+           {r('trend_score')} AS trend_score, window_start, window_end
     FROM ranked WHERE srn <= {limit}"""
 
 

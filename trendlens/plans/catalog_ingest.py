@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.functions.timefns import gdelt_date_col, sanitize_ts_col
+from trendlens.plans import oracle_sql as O
 from trendlens.sources import fixtures, normalize, posts, tables
 
 AS_OF = fixtures.FIXTURE_AS_OF
@@ -111,7 +112,41 @@ def q_sanitize_ts(spark, sf):
                     gdelt_date_col("raw", AS_OF).alias("gdelt_iso"))
 
 
+def q_post_payload(spark, sf):
+    return posts.post_payload(_all_sources(spark, sf).drop("metadata"))
+
+
+def _final_revisions(spark, sf):
+    from trendlens.operators import revisions, trends
+
+    m = trends.mentions(trends.enrich(tables.posts_docs(spark, sf)))
+    return revisions.simulate_revisions(m, stage="final").withColumn("created_at", F.col("window_end"))
+
+
+def q_trend_payload(spark, sf):
+    from trendlens.sources.sinks import trend_payload
+
+    rows = _final_revisions(spark, sf)
+    # Round before serializing so engines that sum in another order agree.
+    rows = rows.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(
+        "trend_score", F.round("trend_score", 6))
+    return trend_payload(rows)
+
+
+def q_leaderboard_json(spark, sf):
+    from trendlens.operators.leaderboard import latest_trends
+    from trendlens.sources.sinks import leaderboard_json
+
+    lb = latest_trends(_final_revisions(spark, sf), limit=20)
+    lb = lb.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(
+        "trend_score", F.round("trend_score", 6))
+    return leaderboard_json(lb)
+
+
 REGISTRY = {
+    "post_payload": q_post_payload,
+    "trend_payload": q_trend_payload,
+    "leaderboard_json": q_leaderboard_json,
     "norm_bluesky": q_norm_bluesky,
     "norm_gdelt": q_norm_gdelt,
     "hn_head": q_hn_head,
@@ -240,6 +275,28 @@ def oracle_sql() -> dict[str, str]:
            regexp_replace(created_at, 'Z$', '+00:00') AS created_at_utc,
            coalesce({_parse_sql('created_at')}, TIMESTAMP '{AS_OF}') AS event_time
     FROM s"""
+    sql["post_payload"] = union + """
+    SELECT id AS key, json_object('id', id, 'source', source, 'author', author, 'text', text, 'lang', lang,
+                                  'created_at', created_at, 'url', url)::VARCHAR AS value
+    FROM all_posts"""
+    fin = f"""WITH {O.revisions_cte(O.POSTS_DOCS)},
+    fin AS (SELECT * EXCLUDE (id), window_end AS created_at FROM final_windows)"""
+    ts_ms = "strftime({0}, '%Y-%m-%dT%H:%M:%S.%gZ')"
+    sql["trend_payload"] = fin + f"""
+    SELECT keyword AS key, json_object('batch_id', batch_id, 'window_start', {ts_ms.format('window_start')},
+        'window_end', {ts_ms.format('window_end')}, 'keyword', keyword, 'source', source,
+        'mention_count', mention_count, 'avg_sentiment', round(avg_sentiment, 6),
+        'trend_score', round(trend_score, 6),
+        'created_at', {ts_ms.format('created_at')})::VARCHAR AS value
+    FROM fin"""
+    from trendlens.plans.catalog import _latest_trends_sql
+
+    iso = "strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00')"
+    sql["leaderboard_json"] = f"""WITH lb AS ({_latest_trends_sql(False, base="final_windows", rounded=False)})
+    SELECT json_object('keyword', keyword, 'source', source, 'mention_count', mention_count,
+        'avg_sentiment', round(avg_sentiment, 6), 'trend_score', round(trend_score, 6),
+        'window_start', {iso.format('window_start')}, 'window_end', {iso.format('window_end')})::VARCHAR AS json
+    FROM lb"""
     sql["sanitize_ts"] = f"""WITH s AS (
         SELECT event_id, CASE event_type
             WHEN 'click' THEN strftime(ts, '%Y%m%dT%H%M%SZ')

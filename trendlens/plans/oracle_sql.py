@@ -99,14 +99,14 @@ def revisions_cte(posts_sql: str, seconds: int = 10) -> str:
                CAST(n_early AS BIGINT) AS mention_count, s_early AS avg_sentiment,
                n_early * (1.0 + abs(s_early)) AS trend_score
         FROM grouped WHERE n_early > 0),
-    trend_windows AS (
-        SELECT * FROM early_windows
-        UNION ALL
-        SELECT (epoch_us(window_start) // {seconds * 1_000_000}) * 2 + 1,
-               (epoch_us(window_start) // {seconds * 1_000_000}) * 2 + 1,
-               window_start, window_start + to_seconds({seconds}), keyword, source,
-               CAST(n_all AS BIGINT), s_all, n_all * (1.0 + abs(s_all))
-        FROM grouped)"""
+    final_windows AS (
+        SELECT (epoch_us(window_start) // {seconds * 1_000_000}) * 2 + 1 AS id,
+               (epoch_us(window_start) // {seconds * 1_000_000}) * 2 + 1 AS batch_id,
+               window_start, window_start + to_seconds({seconds}) AS window_end, keyword, source,
+               CAST(n_all AS BIGINT) AS mention_count, s_all AS avg_sentiment,
+               n_all * (1.0 + abs(s_all)) AS trend_score
+        FROM grouped),
+    trend_windows AS (SELECT * FROM early_windows UNION ALL SELECT * FROM final_windows)"""
 
 
 def dedup_cte() -> str:

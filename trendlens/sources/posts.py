@@ -36,7 +36,9 @@ def post_payload(posts: DataFrame) -> DataFrame:
     """Posts -> (key, value) records: key = post id, value = UTF-8 JSON of the
     wire fields (non-ASCII characters kept as is)."""
     fields = [c for c in (f.name for f in POST_WIRE_SCHEMA.fields) if c in posts.columns]
-    return posts.select(F.col("id").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    # NULL fields stay in the record as JSON null (``"url": null``).
+    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    return posts.select(F.col("id").alias("key"), value.alias("value"))
 
 
 def kafka_options(bootstrap: str, topics=RAW_TOPICS, starting_offsets: str = "earliest") -> dict[str, str]:
