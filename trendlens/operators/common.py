@@ -48,6 +48,17 @@ def interval(text: str) -> Column:
     return F.expr(f"INTERVAL {text}")
 
 
+def since_filter(tw: DataFrame, since: Column, width_days: int = 1) -> DataFrame:
+    """``window_end >= since``, plus, on a fact table partitioned by
+    ``window_date`` (= date of window_start), the implied partition bound:
+    windows are at most ``width_days`` wide, so older date partitions are
+    skipped without being listed or read."""
+    cond = F.col("window_end") >= since
+    if "window_date" in tw.columns:
+        cond = cond & (F.col("window_date") >= F.to_date(since - F.expr(f"INTERVAL {width_days} DAYS")))
+    return tw.filter(cond)
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``big`` with a side expected to be small.

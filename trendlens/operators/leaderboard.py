@@ -2,8 +2,9 @@
 
 Plan shape of ``latest_trends`` (see ``explain``):
 
-    scan(source, window_end) -> partial/final max  -> [size-checked] broadcast
-    scan(...) -> BroadcastHashJoin(source) + range filter
+    job 1: scan(source, window_end) -> partial/final max -> count, min
+    job 2: scan(window_end >= bound, pushed) -> BroadcastHashJoin(per-source
+           max, size-checked) + range filter
              -> partial agg -> shuffle(keyword, source) -> final agg
              -> WindowGroupLimit(partial) -> shuffle(source)
              -> WindowGroupLimit(final) -> Window -> filter -> sort
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col, check_limit, interval, join_small
+from trendlens.operators.common import BROADCAST_MAX_ROWS, as_of_col, check_limit, interval, since_filter
 from trendlens.operators.revisions import dedup_revisions
 
 LEADERBOARD_COLUMNS = (
@@ -65,10 +66,24 @@ def latest_trends(tw: DataFrame, limit: int = 20, horizon: str = "30 minutes",
     revision (the corrected form).
     """
     check_limit(limit)
+    psm = per_source_max(tw)
+    # One small job: the number of sources (size check for the broadcast) and
+    # the oldest per-source maximum.  Every kept row ends after that bound
+    # minus the horizon, so it becomes a literal range filter that reaches
+    # the parquet scan (row-group skipping, date-partition pruning) and the
+    # query reads the recent slice, not the whole history.
+    # (Bounds travel as epoch microseconds: no driver-side time-zone
+    # conversion.)
+    n_sources, oldest = psm.agg(F.count(F.lit(1)), F.min(F.unix_micros("max_window_end"))).first()
+    if oldest is None:  # empty table
+        return tw.select(*LEADERBOARD_COLUMNS).limit(0)
+    bound = F.timestamp_micros(F.lit(oldest)) - interval(horizon)
+    recent_tw = since_filter(tw, bound)
     if dedup:
-        tw = dedup_revisions(tw)
-    tw = tw.select(*LEADERBOARD_COLUMNS)
-    joined = join_small(tw, per_source_max(tw), "source")
+        recent_tw = dedup_revisions(recent_tw.drop("window_date") if "window_date" in tw.columns else recent_tw)
+    recent_tw = recent_tw.select(*LEADERBOARD_COLUMNS)
+    side = F.broadcast(psm) if n_sources <= BROADCAST_MAX_ROWS else psm
+    joined = recent_tw.join(side, "source")
     recent = joined.filter(F.col("window_end") >= F.col("max_window_end") - interval(horizon))
     ranked = top_per_source(rollup_recent(recent.drop("max_window_end")), limit)
     return ranked.select(*LEADERBOARD_COLUMNS).orderBy(*rank_order(), F.col("source").asc())
@@ -81,11 +96,16 @@ def latest_trends_global(tw: DataFrame, limit: int = 20, horizon: str = "10 minu
     empty), top ``limit`` per source."""
     check_limit(limit)
     # max(window_end) is the same before and after dedup (dedup keeps every
-    # key), so the scalar subquery reads the table directly.
-    newest = tw.select(F.max("window_end")).scalar()
-    since = F.coalesce(newest - interval(horizon), as_of_col(as_of) - interval(horizon))
-    deduped = dedup_revisions(tw).select(*LEADERBOARD_COLUMNS)
-    recent = deduped.filter(F.col("window_end") >= since)
+    # key), so it is read from the table directly, as a single-value job,
+    # and applied as a literal: the filter then prunes partitions and row
+    # groups, which a runtime scalar subquery would not.  Filtering on a
+    # revision-key column before the dedup gives the same rows.
+    newest = tw.agg(F.max(F.unix_micros("window_end"))).first()[0]
+    base = F.timestamp_micros(F.lit(newest)) if newest is not None else as_of_col(as_of)
+    recent_tw = since_filter(tw, base - interval(horizon))
+    if "window_date" in recent_tw.columns:
+        recent_tw = recent_tw.drop("window_date")
+    recent = dedup_revisions(recent_tw).select(*LEADERBOARD_COLUMNS)
     ranked = top_per_source(rollup_recent(recent), limit)
     return ranked.select(*LEADERBOARD_COLUMNS)
 
@@ -100,7 +120,7 @@ def recent_top(tw: DataFrame, as_of=None, horizon: str = "10 minutes", limit: in
     for windows ending within ``horizon`` of ``as_of``; global top ``limit``
     by score (ties: mentions, keyword, source)."""
     check_limit(limit)
-    recent = tw.filter(F.col("window_end") >= as_of_col(as_of) - interval(horizon))
+    recent = since_filter(tw, as_of_col(as_of) - interval(horizon))
     agg = recent.groupBy("keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mentions"),
         F.sum("trend_score").alias("score"),

@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col
+from trendlens.operators.common import as_of_col, join_small
 from trendlens.operators.revisions import dedup_revisions
 from trendlens.session import scratch_path
 
@@ -89,8 +89,9 @@ def write_daily_summary(spark: SparkSession, new: DataFrame, path: str) -> None:
         existing = None
     if existing is not None:
         dates = new.select("summary_date").distinct()
-        affected = existing.join(F.broadcast(dates), "summary_date", "left_semi") \
-            if _small(dates) else existing.join(dates, "summary_date", "left_semi")
+        # semi-join on the partition column: with the dates broadcast, dynamic
+        # partition pruning reads only the affected partitions.
+        affected = join_small(existing, dates, "summary_date", "left_semi")
         merged = merge_daily_summary(affected, new)
     else:
         merged = new
@@ -105,10 +106,6 @@ def write_daily_summary(spark: SparkSession, new: DataFrame, path: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def _small(df: DataFrame, max_rows: int = 100_000) -> bool:
-    return df.count() <= max_rows
-
-
 def run_daily_summary(spark: SparkSession, fact_path: str, summary_path: str, run_date,
                       created_at=None) -> DataFrame:
     """Nightly job: summarize the day before ``run_date`` from the fact table
