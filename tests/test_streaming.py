@@ -145,3 +145,25 @@ def test_live_leaderboard_snapshot_and_daily_job(spark, workdir):
                                 created_at="2024-01-02 00:15:00")
     assert {r.keyword: r.total_mentions for r in summary.collect()} == {"alpha": 5, "crash": 1, "omega": 3,
                                                                        "fresh": 1}
+
+
+def test_compact_day(spark, workdir):
+    from trendlens.operators.compaction import compact_day
+    from trendlens.operators.history import trend_history
+    from trendlens.operators.rollup import daily_summary
+    from trendlens.sources.tables import read_trend_windows
+
+    src, fact = os.path.join(workdir, "in"), os.path.join(workdir, "fact")
+    _write_batches(src, LATE_BATCHES)
+    _run(spark, src, fact, os.path.join(workdir, "ckpt"))
+    before = read_trend_windows(spark, fact)
+    expect = sorted(map(tuple, daily_summary(before, "2024-01-01", created_at="2024-01-02 00:00:00").collect()))
+    n_before = before.count()
+    kept = compact_day(spark, fact, "2024-01-01", files=2)
+    after = read_trend_windows(spark, fact)
+    assert kept == 4 and after.count() == 4 < n_before
+    assert {r.batch_id for r in after.collect()} == {-1}
+    got = sorted(map(tuple, daily_summary(after, "2024-01-01", created_at="2024-01-02 00:00:00").collect()))
+    assert got == expect
+    hist = trend_history(after, "alpha", hours=72, as_of="2024-01-02 00:00:00").collect()
+    assert [r.mention_count for r in hist] == [5]

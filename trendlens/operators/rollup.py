@@ -76,13 +76,16 @@ def write_daily_summary(spark: SparkSession, new: DataFrame, path: str) -> None:
     """Apply ``new`` to the summary table at ``path`` (parquet, partitioned by
     ``summary_date``).
 
+    ``new`` is computed once and written to the shared checkpoint folder (it
+    is read three times below, and the written copy also cuts its lineage).
     Only the partitions of the dates present in ``new`` are read and
-    rewritten: the merged rows are staged under the shared checkpoint folder
-    first (a path being read is never overwritten), then swapped in with a
-    dynamic partition overwrite.  Re-running with the same input is
-    idempotent.
+    rewritten: the merged rows are staged next to it first (a path being
+    read is never overwritten), then swapped in with a dynamic partition
+    overwrite.  Re-running with the same input is idempotent.
     """
-    new = new.select(*SUMMARY_COLUMNS)
+    new_path = scratch_path(spark, "daily-summary-new")
+    new.select(*SUMMARY_COLUMNS).write.mode("overwrite").parquet(new_path)
+    new = spark.read.parquet(new_path)
     try:
         existing = spark.read.parquet(path)
     except Exception:  # first run: no table yet
