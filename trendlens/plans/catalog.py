@@ -208,8 +208,18 @@ def _all() -> dict[str, QueryFn]:
     return {**REGISTRY, **catalog_ingest.REGISTRY}
 
 
+def _pinned(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Windows, day boundaries and the zone-less output timestamps are
+        # defined in UTC, whatever zone the calling session was built with.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return normalize(fn(spark, sf_dir))
+
+    return run
+
+
 def queries() -> dict[str, QueryFn]:
-    return {name: (lambda fn: (lambda spark, sf: normalize(fn(spark, sf))))(fn) for name, fn in _all().items()}
+    return {name: _pinned(fn) for name, fn in _all().items()}
 
 
 # ----------------------------------------------------------------- oracles --
