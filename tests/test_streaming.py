@@ -167,3 +167,56 @@ def test_compact_day(spark, workdir):
     assert got == expect
     hist = trend_history(after, "alpha", hours=72, as_of="2024-01-02 00:00:00").collect()
     assert [r.mention_count for r in hist] == [5]
+
+
+def test_ingest_then_trend_stream_end_to_end(spark, workdir):
+    """Provider payloads -> ingest stream -> topic folders -> trend stream ->
+    fact table; the latest revisions equal the batch computation."""
+    from trendlens.sources.fixtures import FIXTURE_AS_OF, bluesky_raw
+    from trendlens.sources.normalize import normalize_bluesky
+    from trendlens.sources.posts import parse_posts
+    from trendlens.operators.trends import enrich, flatten_windows, mentions, windowed_trends
+    from trendlens.streaming.ingest import run_ingest_stream
+
+    raw_dir, posts_dir, fact = (os.path.join(workdir, n) for n in ("raw", "posts", "fact"))
+    raw = bluesky_raw(spark, SF_SMALL)
+    raw.select("value").coalesce(3).write.text(raw_dir)
+    q = run_ingest_stream(spark, spark.readStream.format("text").load(raw_dir), "bluesky", posts_dir,
+                          checkpoint=os.path.join(workdir, "ck1"), as_of=FIXTURE_AS_OF, available_now=True)
+    q.awaitTermination(180)
+    assert q.exception() is None
+    assert os.path.isdir(os.path.join(posts_dir, "topic=raw-social-posts"))
+    q2 = run_trend_stream(spark, file_post_stream(spark, posts_dir), [ParquetTrendSink(fact)],
+                          checkpoint=os.path.join(workdir, "ck2"), available_now=True,
+                          event_time_fallback=FIXTURE_AS_OF)
+    q2.awaitTermination(180)
+    assert q2.exception() is None
+    cols = ["window_start", "keyword", "source", "mention_count"]
+    streamed = dedup_revisions(spark.read.parquet(fact).drop("window_date")).select(
+        *cols, F.round("avg_sentiment", 9).alias("s"))
+    posts = parse_posts(post_payload(normalize_bluesky(raw, as_of=FIXTURE_AS_OF)),
+                        event_time_fallback=FIXTURE_AS_OF)
+    batch = flatten_windows(windowed_trends(mentions(enrich(posts)))).select(
+        *cols, F.round("avg_sentiment", 9).alias("s"))
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0
+
+
+def test_gdelt_ingest_dedups_urls_within_watermark(spark, workdir):
+    from trendlens.streaming.ingest import run_ingest_stream
+
+    raw_dir, out = os.path.join(workdir, "raw"), os.path.join(workdir, "out")
+    os.makedirs(raw_dir)
+    art = {"url": "https://a.example/x", "title": "Outage hits cloud", "domain": "a.example",
+           "language": "English", "seendate": "20240101T000000Z", "sourcecountry": "US"}
+    other = dict(art, url="https://b.example/y", title="Growth returns")
+    for i, arts in enumerate([[art, other], [art]]):  # the first URL is polled twice
+        with open(os.path.join(raw_dir, f"p{i}.json"), "w") as f:
+            f.write(json.dumps({"articles": arts}) + "\n")
+    q = run_ingest_stream(spark, spark.readStream.format("text").load(raw_dir), "gdelt", out,
+                          checkpoint=os.path.join(workdir, "ck"), as_of="2024-01-01 00:00:00",
+                          available_now=True)
+    q.awaitTermination(180)
+    got = [json.loads(r.value) for r in spark.read.text(os.path.join(out, "topic=raw-news-events")).collect()]
+    assert sorted(g["url"] for g in got) == ["https://a.example/x", "https://b.example/y"]
+    assert all(g["created_at"] == "2024-01-01T00:00:00Z" for g in got)

@@ -224,11 +224,11 @@ GDELT_SQL = f"""
         FROM arts WHERE url IS NOT NULL AND url <> '' AND title IS NOT NULL AND title <> '')"""
 
 HN_SQL = f"""
-    hn AS (SELECT 'hn_' || CAST(conv_id * 100 + turn AS VARCHAR) AS id, 'hackernews' AS source,
+    hn AS (SELECT 'hn_' || CAST(conv_id * 1000000 + turn AS VARCHAR) AS id, 'hackernews' AS source,
         coalesce(nullif(CASE WHEN turn = 0 THEN NULL ELSE role END, ''), 'hn') AS author,
         split_part(text, chr(10), 1) AS text, 'en' AS lang, '{AS_OF_ISO}' AS created_at,
         coalesce(CASE WHEN length(text) < 100 THEN NULL ELSE 'https://conv.example/' || CAST(conv_id AS VARCHAR) END,
-                 'https://news.ycombinator.com/item?id=' || CAST(conv_id * 100 + turn AS VARCHAR)) AS url,
+                 'https://news.ycombinator.com/item?id=' || CAST(conv_id * 1000000 + turn AS VARCHAR)) AS url,
         NULL::VARCHAR AS metadata_collection, NULL::VARCHAR AS metadata_domain,
         NULL::VARCHAR AS metadata_source_country, CAST(turn AS BIGINT) AS metadata_score,
         CAST(length(text) AS BIGINT) AS metadata_descendants
@@ -243,7 +243,8 @@ def oracle_sql() -> dict[str, str]:
     sql["norm_bluesky"] = f"WITH {BLUESKY_SQL} SELECT * FROM bluesky"
     sql["norm_gdelt"] = f"WITH {GDELT_SQL} SELECT * FROM gdelt"
     sql["hn_head"] = """WITH lists AS (
-        SELECT conv_id AS poll_id, list_reverse(list_sort(list(conv_id * 100 + turn))) AS ids
+        SELECT conv_id AS poll_id,
+               list_slice(list_reverse(list_sort(list(conv_id * 1000000 + turn))), 1, 500) AS ids
         FROM conversations GROUP BY conv_id),
     heads AS (SELECT poll_id, list_slice(list_slice(ids, 1, 50), 1, 20) AS h FROM lists)
     SELECT poll_id, CAST(unnest(range(len(h))) AS BIGINT) AS rank, CAST(unnest(h) AS BIGINT) AS story_id

@@ -61,7 +61,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder is always used.
     """
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or _local_dirs.get(sc.applicationId)
+    path = (sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+            or _local_dirs.get(sc.applicationId))
     if not path:
         path = tempfile.mkdtemp(prefix="trendlens-ckpt-")
         _local_dirs[sc.applicationId] = path

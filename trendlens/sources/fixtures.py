@@ -9,7 +9,7 @@ records, malformed or stale timestamps) comes from existing columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendlens.sources.tables import FIXTURE_EPOCH, read_table
@@ -83,16 +83,25 @@ def gdelt_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("poll_id", F.to_json(F.struct("articles")).alias("value"))
 
 
+HN_LIST_MAX = 500  # ids per story-list response (the provider's list size)
+STORY_ID_STRIDE = 1_000_000  # story id = conv_id * stride + turn
+
+
 def hn_story_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One story-list response per conversation: its turn ids, newest first.
+    """One story-list response per conversation: its newest turn ids first,
+    at most 500 like the provider's list.
 
-    A conversation has a handful of turns, so each list is small.
+    The 500 newest are chosen with ``row_number() <= 500``, which Spark plans
+    as a partial WindowGroupLimit before the shuffle, so even a conversation
+    holding a third of all turns ships at most 500 rows per task and the
+    collected list never exceeds 500 ids.
     """
     c = read_table(spark, sf_dir, "conversations")
-    sid = (F.col("conv_id") * 100 + F.col("turn")).cast("long")
-    lists = c.groupBy(F.col("conv_id").alias("poll_id")).agg(F.sort_array(F.collect_list(sid), asc=False)
-                                                             .alias("story_ids"))
-    return lists
+    sid = (F.col("conv_id") * STORY_ID_STRIDE + F.col("turn")).cast("long")
+    ids = c.select(F.col("conv_id").alias("poll_id"), sid.alias("sid"))
+    newest = ids.withColumn("_r", F.row_number().over(Window.partitionBy("poll_id").orderBy(F.col("sid").desc())))
+    kept = newest.filter(F.col("_r") <= HN_LIST_MAX)
+    return kept.groupBy("poll_id").agg(F.sort_array(F.collect_list("sid"), asc=False).alias("story_ids"))
 
 
 def hn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +109,7 @@ def hn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     assistant turns have no title (dropped); short turns have no URL; the
     opening turn has no author."""
     c = read_table(spark, sf_dir, "conversations")
-    sid = (F.col("conv_id") * 100 + F.col("turn")).cast("long")
+    sid = (F.col("conv_id") * STORY_ID_STRIDE + F.col("turn")).cast("long")
     title = F.when(F.col("role") == "user", F.split(F.col("text"), "\n").getItem(0)).otherwise(F.lit(""))
     url = F.when(F.length("text") < 100, F.lit(None).cast("string")) \
         .otherwise(F.concat(F.lit("https://conv.example/"), F.col("conv_id").cast("string")))

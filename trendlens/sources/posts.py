@@ -7,7 +7,7 @@ parsing path a Kafka job uses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.functions.timefns import event_time_col, zulu_to_offset_col
@@ -32,13 +32,16 @@ def parse_posts(raw: DataFrame, value_col: str = "value", event_time_fallback=No
     )
 
 
+def post_value_col(columns) -> Column:
+    """UTF-8 JSON of the wire fields present in ``columns`` (non-ASCII kept
+    as is; NULL fields kept as JSON null, e.g. ``"url": null``)."""
+    fields = [c for c in (f.name for f in POST_WIRE_SCHEMA.fields) if c in columns]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
 def post_payload(posts: DataFrame) -> DataFrame:
-    """Posts -> (key, value) records: key = post id, value = UTF-8 JSON of the
-    wire fields (non-ASCII characters kept as is)."""
-    fields = [c for c in (f.name for f in POST_WIRE_SCHEMA.fields) if c in posts.columns]
-    # NULL fields stay in the record as JSON null (``"url": null``).
-    value = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    return posts.select(F.col("id").alias("key"), value.alias("value"))
+    """Posts -> (key, value) records: key = post id, value = JSON."""
+    return posts.select(F.col("id").alias("key"), post_value_col(posts.columns).alias("value"))
 
 
 def kafka_options(bootstrap: str, topics=RAW_TOPICS, starting_offsets: str = "earliest") -> dict[str, str]:
