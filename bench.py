@@ -30,7 +30,7 @@ from trendlens.functions.text import keywords_pandas_udf  # noqa: E402
 from trendlens.operators import history, leaderboard, revisions, rollup, trends  # noqa: E402
 from trendlens.plans import catalog  # noqa: E402
 from trendlens.session import build_session, scratch_path  # noqa: E402
-from trendlens.sources.tables import posts_docs, posts_events, read_trend_windows  # noqa: E402
+from trendlens.sources.tables import posts_docs, posts_events  # noqa: E402
 
 PIPELINE = ("keywords", "trends_10s", "revisions", "norm_bluesky", "parse_posts")
 

@@ -4,7 +4,6 @@ import json
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from trendlens.functions.text import keywords_col, keywords_py, sentiment_col, sentiment_label_col, sentiment_py
