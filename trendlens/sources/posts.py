@@ -55,12 +55,21 @@ def kafka_options(bootstrap: str, topics=RAW_TOPICS, starting_offsets: str = "ea
 
 
 def kafka_post_stream(spark: SparkSession, bootstrap: str, topics=RAW_TOPICS,
-                      max_offsets_per_trigger: int | None = None) -> DataFrame:
+                      max_offsets_per_trigger: int | None = None,
+                      min_partitions: int | None = None) -> DataFrame:
     """Streaming post records from Kafka (needs the spark-sql-kafka package
-    on the classpath).  Parallelism follows the topic partitions."""
+    on the classpath).
+
+    Tokenization is CPU-heavy and a topic has few partitions, so
+    ``min_partitions`` lets the source split each topic partition's offset
+    range over several tasks (no shuffle); ``max_offsets_per_trigger`` caps
+    a micro-batch after downtime.
+    """
     reader = spark.readStream.format("kafka").options(**kafka_options(bootstrap, topics))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     return reader.load()
 
 
