@@ -130,3 +130,54 @@ def test_select_sources():
     assert select_sources("all") == ["bluesky", "gdelt", "hackernews"]
     with pytest.raises(ValueError):
         select_sources("twitter")
+
+
+def test_timestamp_strings(spark):
+    """Shapes that parse, and shapes that fall back (FIXTURES §5)."""
+    from trendlens.functions.timefns import event_time_col, parse_ts_col
+
+    good = {"2026-06-07T05:01:43.144321+00:00": dt.datetime(2026, 6, 7, 5, 1, 43, 144321),
+            "2026-06-07T05:01:43Z": dt.datetime(2026, 6, 7, 5, 1, 43),
+            "2026-06-07": dt.datetime(2026, 6, 7)}
+    bad = ["20260607T044500+00:00", "abc--T::+00:00", "garbage", ""]
+    df = spark.createDataFrame([(s,) for s in [*good, *bad]] + [(None,)], "s string")
+    got = {r.s: (r.t, r.e) for r in df.select("s", parse_ts_col("s").alias("t"),
+                                              event_time_col("s", "2030-01-01 00:00:00").alias("e")).collect()}
+    for s, expect in good.items():
+        assert got[s] == (expect, expect)
+    for s in [*bad, None]:
+        assert got[s] == (None, dt.datetime(2030, 1, 1))
+
+
+def test_sanitize_and_gdelt_date(spark):
+    from trendlens.functions.timefns import gdelt_date_col, sanitize_ts_col
+
+    as_of = "2026-06-07 06:00:00"
+    rows = [("2026-06-07T05:01:43Z",), ("20260607T044500Z",), ("2020-01-01T00:00:00Z",), ("nonsense",),
+            ("  2026-06-07T05:01:43+00:00 ",), (None,), ("",)]
+    df = spark.createDataFrame(rows, "s string").select(
+        "s", sanitize_ts_col("s", as_of).alias("z"), gdelt_date_col("s", as_of).alias("g"))
+    got = {r.s: (r.z, r.g) for r in df.collect()}
+    now = "2026-06-07T06:00:00+00:00"
+    assert got["2026-06-07T05:01:43Z"] == ("2026-06-07T05:01:43Z", "2026-06-07T05:01:43Z")
+    assert got["20260607T044500Z"] == ("20260607T044500Z", "2026-06-07T04:45:00Z")
+    assert got["2020-01-01T00:00:00Z"][0] == now           # older than a year
+    assert got["nonsense"] == (now, "nons-en-seT::Z")       # positional rebuild of garbage
+    assert got["  2026-06-07T05:01:43+00:00 "][0] == "2026-06-07T05:01:43+00:00"  # trimmed original kept
+    assert got[None] == (now, now) and got[""] == (now, now)
+
+
+def test_dedup_formulations_agree(spark):
+    from conftest import SF_SMALL
+    from trendlens.operators.revisions import dedup_revisions, simulate_revisions
+    from trendlens.operators.trends import enrich, mentions, trends_from_posts
+    from trendlens.sources.tables import posts_docs
+
+    tw = simulate_revisions(mentions(enrich(posts_docs(spark, SF_SMALL))))
+    a = dedup_revisions(tw, "aggregate")
+    b = dedup_revisions(tw, "row_number")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    # and the latest revisions are exactly the batch aggregate
+    batch = trends_from_posts(posts_docs(spark, SF_SMALL)).select("window_start", "keyword", "source",
+                                                                   "mention_count")
+    assert a.select(*batch.columns).exceptAll(batch).count() == 0 and a.count() == batch.count()

@@ -37,10 +37,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote Spark Connect session)
+        return df.repartition(min_partitions) if min_partitions else df
+    return df.repartition(target) if current < target else df
 
 
 def enrich(posts: DataFrame, lexicon: Lexicon | None = None, min_partitions: int | None = None) -> DataFrame:
