@@ -220,3 +220,17 @@ def test_gdelt_ingest_dedups_urls_within_watermark(spark, workdir):
     got = [json.loads(r.value) for r in spark.read.text(os.path.join(out, "topic=raw-news-events")).collect()]
     assert sorted(g["url"] for g in got) == ["https://a.example/x", "https://b.example/y"]
     assert all(g["created_at"] == "2024-01-01T00:00:00Z" for g in got)
+
+
+def test_cli_stream_and_daily(spark, workdir):
+    """The command-line entry runs the same jobs (available-now stream, then
+    the nightly rollup)."""
+    from trendlens.__main__ import main
+
+    src, fact, summary = (os.path.join(workdir, n) for n in ("in", "fact", "summary"))
+    _write_batches(src, LATE_BATCHES[:1])
+    main(["stream", "--input", src, "--fact", fact, "--checkpoint", os.path.join(workdir, "ck"),
+          "--available-now"])
+    main(["daily", "--fact", fact, "--summary", summary, "--run-date", "2024-01-02"])
+    got = {r.keyword: r.total_mentions for r in spark.read.parquet(summary).collect()}
+    assert got == {"alpha": 3, "crash": 1}

@@ -38,17 +38,25 @@ def post_records(posts: DataFrame) -> DataFrame:
     )
 
 
-def normalized_stream(raw: DataFrame, provider: str, as_of=None, url_dedup_delay: str | None = "1 hour"
-                      ) -> DataFrame:
-    """Normalize one provider's raw stream; GDELT URLs are deduplicated
-    within ``url_dedup_delay`` of event time (state bounded by the
-    watermark)."""
+def normalized_stream(raw: DataFrame, provider: str, as_of=None, url_dedup_delay: str | None = "1 hour",
+                      id_dedup_delay: str | None = None) -> DataFrame:
+    """Normalize one provider's raw stream.
+
+    GDELT URLs are deduplicated within ``url_dedup_delay`` of event time
+    (state bounded by the watermark).  ``id_dedup_delay`` optionally drops
+    re-polled HackerNews stories (same ``hn_<id>``) within that delay; off by
+    default, as re-polls were counted originally.
+    """
     if provider not in NORMALIZERS:
         raise ValueError(f"unknown provider {provider!r}")
     posts = NORMALIZERS[provider](raw, as_of=as_of)
     if provider == normalize.GDELT and url_dedup_delay:
         timed = posts.withColumn("event_time", event_time_col("created_at", as_of))
         posts = normalize.dedup_by_url_stream(timed, "event_time", url_dedup_delay).drop("event_time")
+    if provider == normalize.HACKERNEWS and id_dedup_delay:
+        timed = posts.withColumn("event_time", event_time_col("created_at", as_of))
+        posts = (timed.withWatermark("event_time", id_dedup_delay)
+                 .dropDuplicatesWithinWatermark(["id"]).drop("event_time"))
     return posts
 
 
