@@ -47,6 +47,19 @@ def _or_default(c: Column, default: str) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit(default))
 
 
+def parse_json_once(df: DataFrame, value_col: str, schema, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Parse a JSON column into top-level columns, exactly once per record.
+
+    A filter on fields of a plain ``from_json`` projection is pushed below
+    it with the expression substituted, so the JSON would be parsed in the
+    filter and again in the projection.  Expanding the struct through a
+    generator (``inline`` of a one-element array) keeps later filters above
+    it; a malformed record still yields one all-NULL row.
+    """
+    parsed = F.from_json(F.col(value_col).cast("string"), schema)
+    return df.select(*keep, F.inline(F.array(parsed)))
+
+
 def _metadata(**fields: Column) -> Column:
     cols = []
     for f in METADATA_SCHEMA.fields:
@@ -62,18 +75,18 @@ def normalize_bluesky(raw: DataFrame, as_of=None, value_col: str = "value") -> D
     ``app.bsky.feed.post``.  Missing nests behave as empty; a missing ``did``
     becomes ``unknown``; ``created_at`` is the sanitized record time.
     """
-    p = raw.select(F.from_json(F.col(value_col).cast("string"), BLUESKY_SCHEMA).alias("p"))
-    text = F.col("p.commit.record.text")
+    p = parse_json_once(raw, value_col, BLUESKY_SCHEMA)
+    text = F.col("commit.record.text")
     keep = (
         _nonempty(text)
-        & (F.col("p.commit.operation") == F.lit(BLUESKY_OPERATION))
-        & (F.col("p.commit.collection") == F.lit(BLUESKY_COLLECTION))
+        & (F.col("commit.operation") == F.lit(BLUESKY_OPERATION))
+        & (F.col("commit.collection") == F.lit(BLUESKY_COLLECTION))
     )
     kept = p.filter(keep).select(
-        F.coalesce(F.col("p.did"), F.lit("unknown")).alias("did"),
-        sanitize_ts_col(F.col("p.commit.record.createdAt"), as_of).alias("created_at"),
+        F.coalesce(F.col("did"), F.lit("unknown")).alias("did"),
+        sanitize_ts_col(F.col("commit.record.createdAt"), as_of).alias("created_at"),
         text.alias("text"),
-        F.col("p.commit.collection").alias("collection"),
+        F.col("commit.collection").alias("collection"),
     )
     return kept.select(
         post_id_col("did", "created_at", "text").alias("id"),
@@ -119,19 +132,18 @@ def normalize_hackernews(items: DataFrame, as_of=None, value_col: str = "value",
     Items without a title are dropped; the item page is the URL when the
     story has none; ``created_at`` is the poll time.
     """
-    p = items.select(F.col(id_col).alias("story_id"),
-                     F.from_json(F.col(value_col).cast("string"), HN_ITEM_SCHEMA).alias("p"))
-    kept = p.filter(_nonempty(F.col("p.title")))
+    p = parse_json_once(items.withColumnRenamed(id_col, "story_id"), value_col, HN_ITEM_SCHEMA, keep=("story_id",))
+    kept = p.filter(_nonempty(F.col("title")))
     sid = F.col("story_id").cast("string")
     return kept.select(
         F.concat(F.lit("hn_"), sid).alias("id"),
         F.lit(HACKERNEWS).alias("source"),
-        _or_default(F.col("p.by"), "hn").alias("author"),
-        F.col("p.title").alias("text"),
+        _or_default(F.col("by"), "hn").alias("author"),
+        F.col("title").alias("text"),
         F.lit("en").alias("lang"),
         iso_utc_col(as_of_col(as_of)).alias("created_at"),
-        F.coalesce(F.nullif(F.col("p.url"), F.lit("")), F.concat(F.lit(HN_ITEM_URL), sid)).alias("url"),
-        _metadata(score=F.col("p.score"), descendants=F.col("p.descendants")).alias("metadata"),
+        F.coalesce(F.nullif(F.col("url"), F.lit("")), F.concat(F.lit(HN_ITEM_URL), sid)).alias("url"),
+        _metadata(score=F.col("score"), descendants=F.col("descendants")).alias("metadata"),
     )
 
 
