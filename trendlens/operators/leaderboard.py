@@ -57,16 +57,20 @@ def top_per_source(df: DataFrame, limit: int) -> DataFrame:
 
 
 def latest_trends(tw: DataFrame, limit: int = 20, horizon: str = "30 minutes",
-                  dedup: bool = False) -> DataFrame:
+                  dedup: bool = False, per_source: DataFrame | None = None) -> DataFrame:
     """Top ``limit`` keywords per source over the last ``horizon`` of each
     source's own timeline, best first.
 
     ``dedup=False`` reproduces the served leaderboard, which sums every
     stored revision of a window; ``dedup=True`` first keeps only the latest
     revision (the corrected form).
+
+    ``per_source`` (source, max_window_end) may be passed when it is already
+    known (the live snapshot keeps it up to date batch by batch), which
+    spares the scan of the whole table for it.
     """
     check_limit(limit)
-    psm = per_source_max(tw)
+    psm = per_source if per_source is not None else per_source_max(tw)
     # One small job: the number of sources (size check for the broadcast) and
     # the oldest per-source maximum.  Every kept row ends after that bound
     # minus the horizon, so it becomes a literal range filter that reaches

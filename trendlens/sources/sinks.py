@@ -115,19 +115,48 @@ class KafkaTrendSink:
 
 
 class LeaderboardSnapshotSink:
-    """After the fact table is written, rewrite the served leaderboard."""
+    """After the fact table is written, rewrite the served leaderboard.
+
+    The leaderboard needs each source's latest ``window_end``.  Scanning the
+    whole fact table for it every trigger would grow with the history, so
+    the sink keeps those maxima (one row per source) and merges in each
+    micro-batch's own maxima; only the first batch after a (re)start reads
+    them from the table.  They are kept only while the source count is
+    within ``BROADCAST_MAX_ROWS``; beyond it they are recomputed per batch.
+    The leaderboard itself then reads just the recent, pruned slice.
+    """
 
     def __init__(self, fact_path: str, snapshot_path: str, limit: int = 20, dedup: bool = False):
         self.fact_path, self.snapshot_path = fact_path, snapshot_path
         self.limit, self.dedup = limit, dedup
+        self._maxima: dict[str, int] | None = None
+
+    def _per_source(self, spark, tw: DataFrame, rows: DataFrame):
+        from trendlens.operators.common import BROADCAST_MAX_ROWS
+        from trendlens.operators.leaderboard import per_source_max
+
+        fresh = per_source_max(tw if self._maxima is None else rows)
+        if fresh.count() > BROADCAST_MAX_ROWS:
+            self._maxima = None
+            return None
+        merged = dict(self._maxima or {})
+        # epoch microseconds: no driver-side time-zone conversion
+        for src, us in fresh.select("source", F.unix_micros("max_window_end")).collect():
+            if src not in merged or us > merged[src]:
+                merged[src] = us
+        self._maxima = merged
+        known = spark.createDataFrame(sorted(merged.items()), "source string, us long")
+        return known.select("source", F.timestamp_micros("us").alias("max_window_end"))
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         from trendlens.operators.leaderboard import latest_trends
         from trendlens.sources.tables import read_trend_windows
 
-        tw = read_trend_windows(rows.sparkSession, self.fact_path)
-        lb = latest_trends(tw, self.limit, dedup=self.dedup).withColumn("batch_id", F.lit(batch_id).cast("long"))
-        lb.write.mode("overwrite").parquet(self.snapshot_path)
+        spark = rows.sparkSession
+        tw = read_trend_windows(spark, self.fact_path)
+        psm = self._per_source(spark, tw, rows)
+        lb = latest_trends(tw, self.limit, dedup=self.dedup, per_source=psm)
+        lb.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(self.snapshot_path)
 
 
 class TrendBatchWriter:
