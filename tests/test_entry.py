@@ -1,0 +1,47 @@
+"""The driver contract in __spark_entry__.py."""
+
+import importlib.util
+import os
+
+import duckdb
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def _entry_module():
+    spec = importlib.util.spec_from_file_location("spark_entry", os.path.join(ROOT, "__spark_entry__.py"))
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    return mod
+
+
+def test_entry_smoke(spark):
+    df = _entry_module().entry(spark)
+    rows = df.collect()
+    assert len(rows) > 0
+    assert df.columns == ["keyword", "source", "mention_count", "avg_sentiment", "trend_score",
+                          "window_start", "window_end"]
+
+
+def test_every_query_has_an_oracle_that_parses():
+    mod = _entry_module()
+    qs, sql = mod.queries(), mod.oracle_sql()
+    assert set(qs) == set(sql) and len(qs) >= 33
+    con = duckdb.connect()
+    for t in ("documents", "events", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
+    for name, text in sql.items():
+        con.execute(f"EXPLAIN {text}")  # binds against the tables
+
+
+def test_entry_under_non_utc_session_zone(spark):
+    """The driver may build its session in another zone; registered queries
+    are defined in UTC and pin it."""
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = _entry_module().queries()["per_source_max"](spark, "/root/testdata/sf0.001")
+        got = {r.source: r.max_window_end for r in df.collect()}
+        assert min(got.values()).year == 2024 and min(got.values()).hour == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
