@@ -181,3 +181,19 @@ def test_dedup_formulations_agree(spark):
     batch = trends_from_posts(posts_docs(spark, SF_SMALL)).select("window_start", "keyword", "source",
                                                                    "mention_count")
     assert a.select(*batch.columns).exceptAll(batch).count() == 0 and a.count() == batch.count()
+
+
+def test_serving_over_jdbc_table(spark, workdir):
+    """Write revisions through the JDBC sink, read them back in parallel
+    ranges, and serve the leaderboard from the database table."""
+    from trendlens.operators.leaderboard import latest_trends
+    from trendlens.sources.tables import read_trend_windows_jdbc
+
+    url = f"jdbc:derby:{os.path.join(workdir, 'db2')};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = trend_rows(_batch(spark), 3, created_at="2024-01-01 00:00:12").withColumn("id", F.lit(1).cast("long"))
+    JdbcTrendSink(url, "TW", props)(rows, 3)
+    tw = read_trend_windows_jdbc(spark, url, "TW", props, num_partitions=2, id_bounds=(0, 10))
+    tw = tw.toDF(*[c.lower() for c in tw.columns])
+    lb = latest_trends(tw, 20).collect()
+    assert [(r.keyword, r.mention_count) for r in lb] == [("alpha", 3)]

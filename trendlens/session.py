@@ -65,6 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = (sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
             or _local_dirs.get(sc.applicationId))
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/object store) "
+                               "that every executor can reach")
         path = tempfile.mkdtemp(prefix="trendlens-ckpt-")
         _local_dirs[sc.applicationId] = path
     if not sc.getCheckpointDir():

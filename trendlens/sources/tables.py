@@ -74,3 +74,20 @@ def read_trend_windows(spark: SparkSession, path: str) -> DataFrame:
     fields = [f for f in TREND_WINDOWS_SCHEMA.fields if f.name != "batch_id"]
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
     return spark.read.schema(f"{schema}, window_date date, batch_id bigint").parquet(path)
+
+
+def read_trend_windows_jdbc(spark: SparkSession, url: str, table: str = "trend_windows",
+                            properties: dict[str, str] | None = None, num_partitions: int | None = None,
+                            id_bounds: tuple[int, int] | None = None) -> DataFrame:
+    """The fact table from a database (the original deployment's store).
+
+    With ``num_partitions`` and ``id_bounds`` the read is split into range
+    queries on the numeric ``id`` column, one per task; filters of the
+    serving queries (time bounds, keyword) are pushed into those queries.
+    """
+    props = dict(properties or {})
+    if num_partitions and id_bounds:
+        lo, hi = id_bounds
+        return spark.read.jdbc(url, table, column="id", lowerBound=lo, upperBound=hi,
+                               numPartitions=num_partitions, properties=props)
+    return spark.read.jdbc(url, table, properties=props)
