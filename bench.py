@@ -5,7 +5,9 @@
 Two groups, as the system runs them:
 
 * pipeline: raw tables -> keywords / windowed trends / revisions /
-  normalized posts (what the stream computes per micro-batch, here in batch);
+  normalized posts (what the stream computes per micro-batch, here in batch),
+  plus the trend stream itself draining the documents as landed JSON records
+  in four micro-batches (``stream_trends``);
 * serving: leaderboard, dedup, history and rollup queries over the stored
   ``trend_windows`` fact table (parquet partitioned by window date, written
   once by the bench the way the stream's sink writes it).
@@ -30,7 +32,10 @@ from trendlens.functions.text import keywords_pandas_udf  # noqa: E402
 from trendlens.operators import history, leaderboard, revisions, rollup, trends  # noqa: E402
 from trendlens.plans import catalog  # noqa: E402
 from trendlens.session import build_session, scratch_path  # noqa: E402
+from trendlens.sources.posts import file_post_stream, post_payload  # noqa: E402
+from trendlens.sources.sinks import ParquetTrendSink  # noqa: E402
 from trendlens.sources.tables import posts_docs, posts_events  # noqa: E402
+from trendlens.streaming.job import run_trend_stream  # noqa: E402
 
 PIPELINE = ("keywords", "trends_10s", "revisions", "norm_bluesky", "parse_posts")
 
@@ -60,6 +65,23 @@ def _write_fact_table(spark, posts, path) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def _stream_trends(spark, sf_dir: str, cpus: int) -> float:
+    """Trend stream over the documents as landed JSON records: 4 micro-batches
+    (``maxFilesPerTrigger``), parse -> keywords -> stateful windows ->
+    foreachBatch -> parquet fact table.  Landing the files is not timed."""
+    land = scratch_path(spark, "bench-landing")
+    wire = posts_docs(spark, sf_dir).withColumn(
+        "created_at", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    post_payload(wire).select("value").repartition(cpus).write.text(land)
+    t0 = time.perf_counter()
+    q = run_trend_stream(spark, file_post_stream(spark, land, max_files_per_trigger=max(1, cpus // 4)),
+                         [ParquetTrendSink(scratch_path(spark, "bench-stream-fact"))],
+                         checkpoint=scratch_path(spark, "bench-stream-ckpt"), available_now=True,
+                         parallelism=cpus)
+    q.awaitTermination()
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -73,6 +95,9 @@ def main() -> None:
     for name in PIPELINE:
         times[name] = _best(lambda: qs[name](spark, sf_dir), repeat)
 
+    _stream_trends(spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001"), cpus)  # warm-up
+    times["stream_trends"] = _stream_trends(spark, sf_dir, cpus)
+
     # The trend_windows fact tables the serving queries read.
     docs_path, events_path = scratch_path(spark, "bench-tw-docs"), scratch_path(spark, "bench-tw-events")
     times["write_trend_windows"] = _write_fact_table(spark, posts_docs(spark, sf_dir), docs_path)
@@ -93,7 +118,7 @@ def main() -> None:
     for name, make in serving.items():
         times[name] = _best(make, repeat)
 
-    headline = [*PIPELINE, *serving]
+    headline = [*PIPELINE, "stream_trends", *serving]
     total = round(sum(times[n] for n in headline), 3)
 
     # What native expressions save: the same keyword query through an

@@ -46,11 +46,20 @@ def run_trend_stream(
     watermark: str = DEFAULT_WATERMARK,
     query_name: str | None = None,
     event_time_fallback=None,
+    parallelism: int | None = None,
 ) -> StreamingQuery:
     """Start the trend stream in update mode with a micro-batch fan-out to
     ``sinks``.  ``checkpoint`` defaults to a folder under the shared
     ``spark.checkpoint.dir``; restarting with the same folder resumes from
-    the committed offsets and state."""
+    the committed offsets and state.
+
+    ``parallelism`` spreads each micro-batch's raw records round-robin over
+    that many tasks before tokenization, for sources that arrive in fewer
+    partitions than the cluster has cores (small landed files).  For Kafka
+    prefer the source's ``minPartitions``, which needs no shuffle.
+    """
+    if parallelism:
+        raw = raw.repartition(parallelism)
     trends = trend_stream(raw, width, watermark, event_time_fallback=event_time_fallback)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/trend-stream"
     writer = (trends.writeStream.outputMode("update")
