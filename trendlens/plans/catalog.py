@@ -226,55 +226,53 @@ def queries() -> dict[str, QueryFn]:
 
 def _latest_trends_sql(dedup: bool, limit: int = 20, horizon: str = "30 minutes", base: str | None = None,
                        rounded: bool = True) -> str:
+    """Oracle of ``latest_trends``: the per-source newest window as a window
+    aggregate (the Spark side joins a size-checked aggregate), top-N with
+    QUALIFY."""
     base = base or ("deduped" if dedup else "trend_windows")
     r = (lambda c: f"round({c}, 6)") if rounded else (lambda c: c)
     return f"""WITH {O.revisions_cte(O.POSTS_DOCS)}{O.dedup_cte()},
-    psm AS (SELECT source, max(window_end) AS max_window_end FROM {base} GROUP BY source),
-    recent AS (
-        SELECT tw.keyword, tw.source,
-               CAST(sum(tw.mention_count) AS BIGINT) AS mention_count,
-               avg(tw.avg_sentiment) AS avg_sentiment,
-               sum(tw.trend_score) AS trend_score,
-               min(tw.window_start) AS window_start, max(tw.window_end) AS window_end
-        FROM {base} tw JOIN psm ON tw.source = psm.source
-        WHERE tw.window_end >= psm.max_window_end - INTERVAL '{horizon}'
-        GROUP BY tw.keyword, tw.source),
-    ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY source
-               ORDER BY trend_score DESC, mention_count DESC, keyword ASC) AS srn
-        FROM recent)
+    marked AS (
+        SELECT *, max(window_end) OVER (PARTITION BY source) AS newest_in_source FROM {base}),
+    per_keyword AS (
+        SELECT keyword, source,
+               CAST(sum(mention_count) AS BIGINT) AS mention_count,
+               avg(avg_sentiment) AS avg_sentiment,
+               sum(trend_score) AS trend_score,
+               min(window_start) AS window_start, max(window_end) AS window_end
+        FROM marked
+        WHERE window_end >= newest_in_source - INTERVAL '{horizon}'
+        GROUP BY ALL)
     SELECT keyword, source, mention_count, {r('avg_sentiment')} AS avg_sentiment,
            {r('trend_score')} AS trend_score, window_start, window_end
-    FROM ranked WHERE srn <= {limit}"""
+    FROM per_keyword
+    QUALIFY row_number() OVER (PARTITION BY source
+                               ORDER BY trend_score DESC, mention_count DESC, keyword) <= {limit}"""
 
 
 def _global_cte(limit: int = 20) -> str:
+    """Oracle of ``latest_trends_global`` (rows in ``top``)."""
     return f"""WITH {O.revisions_cte(O.POSTS_DOCS)}{O.dedup_cte()},
-    latest_window AS (SELECT max(window_end) AS max_window_end FROM deduped),
-    ranked AS (
+    per_keyword AS (
         SELECT keyword, source,
                CAST(sum(mention_count) AS BIGINT) AS mention_count,
                avg(avg_sentiment) AS avg_sentiment,
                sum(trend_score) AS trend_score,
                min(window_start) AS window_start, max(window_end) AS window_end
         FROM deduped
-        WHERE window_end >= coalesce((SELECT max_window_end FROM latest_window) - INTERVAL '10 minutes',
-                                     now()::TIMESTAMP - INTERVAL '10 minutes')
-        GROUP BY keyword, source),
-    source_ranked AS (
-        SELECT *, row_number() OVER (PARTITION BY source
-               ORDER BY trend_score DESC, mention_count DESC, keyword ASC) AS srn
-        FROM ranked)"""
+        WHERE window_end >= coalesce((SELECT max(window_end) FROM deduped), now()::TIMESTAMP)
+                            - INTERVAL '10 minutes'
+        GROUP BY ALL),
+    top AS (
+        SELECT * FROM per_keyword
+        QUALIFY row_number() OVER (PARTITION BY source
+                                   ORDER BY trend_score DESC, mention_count DESC, keyword) <= {limit})"""
 
 
 def _daily_sql(where: str, summary_date: str) -> str:
     return f"""WITH {O.revisions_cte(O.POSTS_EVENTS)},
     selected AS (SELECT * FROM trend_windows WHERE {where}),
-    deduped AS (
-        SELECT * EXCLUDE (rn) FROM (
-            SELECT s.*, row_number() OVER (PARTITION BY window_start, window_end, keyword, source
-                                           ORDER BY batch_id DESC, id DESC) AS rn
-            FROM selected s) x WHERE rn = 1)
+    deduped AS {O.latest_revisions_sql('selected')}
     SELECT {summary_date} AS summary_date, keyword, source,
            CAST(sum(mention_count) AS BIGINT) AS total_mentions,
            round(avg(avg_sentiment), 6) AS avg_sentiment,
@@ -293,10 +291,7 @@ def _summary_select(src: str, created_at: str) -> str:
 
 
 def _dedup_of(src: str) -> str:
-    return f"""(SELECT * EXCLUDE (rn) FROM (
-            SELECT s.*, row_number() OVER (PARTITION BY window_start, window_end, keyword, source
-                                           ORDER BY batch_id DESC, id DESC) AS rn
-            FROM {src} s) x WHERE rn = 1)"""
+    return O.latest_revisions_sql(src)
 
 
 def _oracles() -> dict[str, str]:
@@ -335,9 +330,9 @@ def _oracles() -> dict[str, str]:
     sql["latest_trends_global"] = _global_cte() + """
     SELECT keyword, source, mention_count, round(avg_sentiment, 6) AS avg_sentiment,
            round(trend_score, 6) AS trend_score, window_start, window_end
-    FROM source_ranked WHERE srn <= 20"""
+    FROM top"""
     sql["top20_count"] = _global_cte() + """
-    SELECT source, count(*) AS n FROM source_ranked WHERE srn <= 20 GROUP BY source"""
+    SELECT source, count(*) AS n FROM top GROUP BY source"""
     sql["recent_top"] = revisions_docs + f"""
     SELECT keyword, source, CAST(sum(mention_count) AS BIGINT) AS mentions,
            round(sum(trend_score), 6) AS score

@@ -109,12 +109,13 @@ def revisions_cte(posts_sql: str, seconds: int = 10) -> str:
     trend_windows AS (SELECT * FROM early_windows UNION ALL SELECT * FROM final_windows)"""
 
 
+def latest_revisions_sql(src: str) -> str:
+    """Latest revision per window group of the relation ``src``."""
+    return f"""(SELECT * FROM {src}
+        QUALIFY row_number() OVER (PARTITION BY window_start, window_end, keyword, source
+                                   ORDER BY batch_id DESC, id DESC) = 1)"""
+
+
 def dedup_cte() -> str:
-    return """,
-    deduped AS (
-        SELECT * EXCLUDE (rn) FROM (
-            SELECT tw.*, row_number() OVER (
-                PARTITION BY window_start, window_end, keyword, source
-                ORDER BY batch_id DESC, id DESC) AS rn
-            FROM trend_windows tw) x
-        WHERE rn = 1)"""
+    return f""",
+    deduped AS {latest_revisions_sql('trend_windows')}"""
