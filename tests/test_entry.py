@@ -26,7 +26,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_that_parses():
     mod = _entry_module()
     qs, sql = mod.queries(), mod.oracle_sql()
-    assert set(qs) == set(sql) and len(qs) >= 33
+    assert set(qs) == set(sql) and len(qs) >= 34
     con = duckdb.connect()
     for t in ("documents", "events", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")

@@ -64,3 +64,25 @@ def test_daily_summary_prunes_partitions(spark, workdir):
     plan = _plan(daily_summary(tw, "2024-01-01", created_at="2024-01-02 00:00:00"))
     assert "PartitionFilters: [isnotnull(window_date" in plan
     assert "GreaterThanOrEqual(window_end," in plan and "LessThan(window_end," in plan
+
+
+def test_hot_source_is_cut_before_the_shuffle(spark):
+    """A third of all posts on one source: the per-source ranking still
+    ships at most ``limit`` rows per task for it (partial WindowGroupLimit)
+    and the rollups aggregate map-side."""
+    from trendlens.operators.leaderboard import top_per_source
+
+    posts = posts_docs(spark, SF_SMALL).withColumn(
+        "source", F.when(F.col("id").cast("long") % 3 == 0, F.lit("hot")).otherwise(F.col("source")))
+    tw = simulate_revisions(mentions(enrich(posts)))
+    df = latest_trends(tw, limit=5)
+    rows = df.collect()
+    assert sum(1 for r in rows if r.source == "hot") == 5
+    plan = _plan(df)
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "Final" in plan
+    assert "partial_sum(mention_count" in plan
+    # the same ranking without the early limit agrees
+    naive = top_per_source(tw.groupBy("keyword", "source").agg(
+        F.sum("mention_count").cast("long").alias("mention_count"),
+        F.sum("trend_score").alias("trend_score")), 5).filter(F.col("source") == "hot")
+    assert sorted(r.keyword for r in naive.collect()) == sorted(r.keyword for r in rows if r.source == "hot")

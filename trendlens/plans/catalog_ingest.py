@@ -143,7 +143,21 @@ def q_leaderboard_json(spark, sf):
     return leaderboard_json(lb)
 
 
+def q_history_json(spark, sf):
+    from trendlens.operators import history, revisions, trends
+    from trendlens.plans.catalog import HISTORY_AS_OF, HISTORY_HOURS, HISTORY_KEYWORD
+    from trendlens.sources.sinks import history_json
+
+    m = trends.mentions(trends.enrich(tables.posts_events(spark, sf)))
+    hist = history.trend_history(revisions.simulate_revisions(m), HISTORY_KEYWORD, hours=HISTORY_HOURS,
+                                 as_of=HISTORY_AS_OF)
+    hist = hist.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(
+        "trend_score", F.round("trend_score", 6))
+    return history_json(hist)
+
+
 REGISTRY = {
+    "history_json": q_history_json,
     "post_payload": q_post_payload,
     "trend_payload": q_trend_payload,
     "leaderboard_json": q_leaderboard_json,
@@ -293,6 +307,20 @@ def oracle_sql() -> dict[str, str]:
     from trendlens.plans.catalog import _latest_trends_sql
 
     iso = "strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00')"
+    from trendlens.plans.catalog import HISTORY_AS_OF, HISTORY_HOURS, HISTORY_KEYWORD
+
+    sql["history_json"] = f"""WITH {O.revisions_cte(O.POSTS_EVENTS)},
+    sel AS (SELECT * FROM trend_windows WHERE keyword = '{HISTORY_KEYWORD}'
+              AND window_end >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL '{HISTORY_HOURS} hours'),
+    latest AS {O.latest_revisions_sql('sel')},
+    hist AS (SELECT {O.bucket_sql('window_end', 10)} AS bucket, keyword, source,
+                    CAST(sum(mention_count) AS BIGINT) AS mention_count,
+                    round(avg(avg_sentiment), 6) AS avg_sentiment, round(sum(trend_score), 6) AS trend_score
+             FROM latest GROUP BY ALL)
+    SELECT json_object('bucket', {iso.format('bucket')}, 'keyword', keyword, 'source', source,
+                       'mention_count', mention_count, 'avg_sentiment', avg_sentiment,
+                       'trend_score', trend_score)::VARCHAR AS json
+    FROM hist"""
     sql["leaderboard_json"] = f"""WITH lb AS ({_latest_trends_sql(False, base="final_windows", rounded=False)})
     SELECT json_object('keyword', keyword, 'source', source, 'mention_count', mention_count,
         'avg_sentiment', round(avg_sentiment, 6), 'trend_score', round(trend_score, 6),
