@@ -86,3 +86,15 @@ def test_hot_source_is_cut_before_the_shuffle(spark):
         F.sum("mention_count").cast("long").alias("mention_count"),
         F.sum("trend_score").alias("trend_score")), 5).filter(F.col("source") == "hot")
     assert sorted(r.keyword for r in naive.collect()) == sorted(r.keyword for r in rows if r.source == "hot")
+
+
+def test_spread_only_under_split_scans(spark):
+    from trendlens.operators.trends import spread
+
+    docs = posts_docs(spark, SF_SMALL)  # one row group -> one split
+    assert docs.rdd.getNumPartitions() == 1
+    assert spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    shuffled = docs.groupBy("source").count()
+    jobs_before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    assert spread(shuffled) is shuffled  # left alone, and no job was run to decide
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == jobs_before

@@ -49,7 +49,7 @@ def _ingest(args, spark):
 def _daily(args, spark):
     from trendlens.operators.rollup import run_daily_summary
 
-    run_date = args.run_date or dt.date.today().isoformat()
+    run_date = args.run_date or dt.datetime.now(dt.timezone.utc).date().isoformat()
     run_daily_summary(spark, args.fact, args.summary, run_date)
 
 

@@ -38,9 +38,14 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df
     try:
+        # An input that already went through a shuffle is spread over the
+        # shuffle partitions; asking it for its partition count would make
+        # AQE run those stages now, so it is left as is.
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote Spark Connect session)
+    except Exception:  # no JVM plan / RDD view (e.g. a remote Spark Connect session)
         return df.repartition(min_partitions) if min_partitions else df
     return df.repartition(target) if current < target else df
 
