@@ -77,7 +77,7 @@ def _stream_trends(spark, sf_dir: str, cpus: int) -> float:
     q = run_trend_stream(spark, file_post_stream(spark, land, max_files_per_trigger=max(1, cpus // 4)),
                          [ParquetTrendSink(scratch_path(spark, "bench-stream-fact"))],
                          checkpoint=scratch_path(spark, "bench-stream-ckpt"), available_now=True,
-                         parallelism=cpus)
+                         parallelism=cpus, state_partitions=cpus)
     q.awaitTermination()
     return round(time.perf_counter() - t0, 3)
 
@@ -86,8 +86,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
-    spark = build_session(f"local[{cpus}]", app_name="trendlens-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "8g"})
+    extra = {"spark.driver.memory": "8g"}
+    if os.environ.get("BENCH_EVENTLOG_DIR"):  # stage/task times for tools/stage_times.py
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENTLOG_DIR"]})
+    spark = build_session(f"local[{cpus}]", app_name="trendlens-bench", shuffle_partitions=cpus * 2, extra=extra)
     qs = catalog.queries()
     _run(qs["per_source_max"](spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")))
 

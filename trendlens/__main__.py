@@ -33,7 +33,8 @@ def _stream(args, spark):
     if args.snapshot:
         sinks.append(LeaderboardSnapshotSink(args.fact, args.snapshot))
     q = run_trend_stream(spark, raw, sinks, checkpoint=args.checkpoint, trigger=args.trigger,
-                         available_now=args.available_now, parallelism=args.parallelism)
+                         available_now=args.available_now, parallelism=args.parallelism,
+                         state_partitions=args.state_partitions)
     q.awaitTermination()
 
 
@@ -75,6 +76,7 @@ def main(argv=None) -> None:
     s.add_argument("--trigger", default="2 seconds")
     s.add_argument("--min-partitions", type=int)
     s.add_argument("--parallelism", type=int)
+    s.add_argument("--state-partitions", type=int)
     s.add_argument("--files-per-batch", type=int)
     s.add_argument("--available-now", action="store_true")
     i = sub.add_parser("ingest")

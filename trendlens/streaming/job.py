@@ -47,6 +47,7 @@ def run_trend_stream(
     query_name: str | None = None,
     event_time_fallback=None,
     parallelism: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start the trend stream in update mode with a micro-batch fan-out to
     ``sinks``.  ``checkpoint`` defaults to a folder under the shared
@@ -57,6 +58,12 @@ def run_trend_stream(
     that many tasks before tokenization, for sources that arrive in fewer
     partitions than the cluster has cores (small landed files).  For Kafka
     prefer the source's ``minPartitions``, which needs no shuffle.
+
+    ``state_partitions`` is the number of state-store partitions of the
+    windowed aggregation.  Every partition costs a fixed state-store commit
+    per trigger, so it should follow the group volume per trigger (one task
+    wave for a small stream, thousands for a large one).  It is frozen into
+    the checkpoint at the first start; later values are ignored by Spark.
     """
     if parallelism:
         raw = raw.repartition(parallelism)
@@ -71,7 +78,15 @@ def run_trend_stream(
         writer = writer.trigger(availableNow=True)
     elif trigger:
         writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    prev = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))  # read once, when the query starts
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, prev)
 
 
 def run_archive_stream(
