@@ -23,6 +23,9 @@ ADVERSARIAL = [
     " ".join(["repeat"] * 25),
     "see https://a.b/c?d#e now",
     "##double #tag win wins bugs issue great gains secure",
+    # characters whose regex class differs between Java and Python
+    "İ.orghttp://", "cafe\u0301.com x", "http://a\x1fb c", "x\u203fy.z", "\u00b2abc.def",
+    "e\u0301tude.fr good", "a\u200db.info growth", "\u24b6bc.de crash",
 ]
 
 

@@ -15,7 +15,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from trendlens.functions.text import CLEANING_PATTERNS, MAX_KEYWORDS, MIN_KEYWORD_LENGTH, _TOKEN_BODY
+from trendlens.functions.text import (
+    _JAVA_ONLY_WORD,
+    _NONWORD_STANDIN,
+    _PY_ONLY_SPACE,
+    _PY_ONLY_WORD,
+    _TOKEN_BODY,
+    _WORD_STANDIN,
+    CLEANING_PATTERNS,
+    MAX_KEYWORDS,
+    MIN_KEYWORD_LENGTH,
+)
 from trendlens.functions.wordlists import Lexicon
 
 
@@ -26,6 +36,11 @@ def _array(words) -> str:
 def keywords_sql_body(arg: str = "text", lexicon: Lexicon | None = None) -> str:
     lex = lexicon or Lexicon.default()
     expr = f"lower({arg})"
+    # same class mapping as text.python_classes_col
+    expr = f"regexp_replace({expr}, r'{_JAVA_ONLY_WORD}', '{_NONWORD_STANDIN}')"
+    expr = f"regexp_replace({expr}, r'{_PY_ONLY_WORD}', '{_WORD_STANDIN}')"
+    seps = "".join(f"\\u{ord(c):04x}" for c in _PY_ONLY_SPACE)
+    expr = f"translate({expr}, '{seps}', '{' ' * len(_PY_ONLY_SPACE)}')"
     for pattern in CLEANING_PATTERNS:
         expr = f"regexp_replace({expr}, r'(?U){pattern}', ' ')"
     tokens = f"regexp_extract_all({expr}, r'{_TOKEN_BODY}', 1)"

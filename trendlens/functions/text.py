@@ -14,8 +14,10 @@
 higher-order functions), so no row ever crosses into a Python worker.
 
 All patterns carry ``(?U)`` so ``\\w``, ``\\b`` and ``\\S`` are Unicode-aware, as
-they are in Python's ``re`` for ``str`` patterns; without it Java treats
-accented letters as non-word characters.
+they are in Python's ``re`` for ``str`` patterns (without it Java treats
+accented letters as non-word characters); the few characters on which the
+two engines' Unicode classes still differ are mapped first
+(:func:`python_classes_col`).
 """
 
 from __future__ import annotations
@@ -54,9 +56,40 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Java's Unicode classes ((?U)) and Python's ``re`` classes for ``str``
+# patterns disagree on a few kinds of characters.  Right after lower-casing,
+# each such character is replaced by a stand-in that belongs to the same
+# Python class, so every cleaning pattern matches exactly the spans Python
+# matches.  Tokens are ASCII, so a stand-in never reaches the output.
+#   word in Java only: combining marks (e.g. the dot of a lower-cased
+#     Turkish capital I), connector punctuation, joiners  -> U+00A6 (symbol)
+#   word in Python only: numbers such as superscripts    -> U+00AA (letter)
+#   space in Python only: the separators \x1c-\x1f         -> space
+_JAVA_ONLY_WORD = r"(?U)[\w&&[^\p{L}\p{N}_]]"
+_PY_ONLY_WORD = r"(?U)[\p{N}&&[^\w]]"
+_NONWORD_STANDIN, _WORD_STANDIN = "\u00a6", "\u00aa"
+_PY_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
+
+
+def python_classes_col(text: Column) -> Column:
+    """Lower-case ``text`` and map the characters on which Java and Python
+    regex classes disagree to stand-ins of their Python class (see above).
+
+    Pure-ASCII texts (character count == byte count, a cheap test on the
+    input column) skip the two class scans; only the separator
+    translation applies to them.
+    """
+    lowered = F.lower(text)
+    mapped = F.regexp_replace(F.regexp_replace(lowered, _JAVA_ONLY_WORD, _NONWORD_STANDIN),
+                              _PY_ONLY_WORD, _WORD_STANDIN)
+    ascii_only = F.length(text) == F.octet_length(text)
+    out = F.when(ascii_only, lowered).otherwise(mapped)
+    return F.translate(out, _PY_ONLY_SPACE, " " * len(_PY_ONLY_SPACE))
+
+
 def cleaned_text_col(text: Column | str) -> Column:
     """Lower-cased text with URLs, domains, e-mails and bare TLDs blanked."""
-    out = F.lower(_col(text))
+    out = python_classes_col(_col(text))
     for pattern in CLEANING_PATTERNS:
         out = F.regexp_replace(out, "(?U)" + pattern, " ")
     return out
