@@ -87,11 +87,23 @@ def python_classes_col(text: Column) -> Column:
     return F.translate(out, _PY_ONLY_SPACE, " " * len(_PY_ONLY_SPACE))
 
 
+# A pass whose every match needs a literal is skipped for rows without it
+# (tested on the input column; only ASCII letters lower-case to h, t, p).
+_PASS_NEEDS = {URL_PATTERN: "(?i)http", EMAIL_PATTERN: "@"}
+
+
 def cleaned_text_col(text: Column | str) -> Column:
     """Lower-cased text with URLs, domains, e-mails and bare TLDs blanked."""
-    out = python_classes_col(_col(text))
+    raw = _col(text)
+    out = python_classes_col(raw)
     for pattern in CLEANING_PATTERNS:
-        out = F.regexp_replace(out, "(?U)" + pattern, " ")
+        replaced = F.regexp_replace(out, "(?U)" + pattern, " ")
+        need = _PASS_NEEDS.get(pattern)
+        if need is None:
+            out = replaced
+        else:
+            present = raw.rlike(need) if need.startswith("(?i)") else raw.contains(need)
+            out = F.when(present, replaced).otherwise(out)
     return out
 
 
