@@ -117,3 +117,13 @@ def test_sql_functions(spark):
         assert r.s == pytest.approx(sentiment_py(expect), abs=1e-12)
     plan = spark.sql("SELECT tl_keywords(text) FROM tl_texts")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_arrow_engine_matches_native(spark):
+    from trendlens.operators.trends import enrich
+    from trendlens.sources.tables import posts_docs
+
+    posts = posts_docs(spark, SF_SMALL)
+    a = enrich(posts).select("id", "keywords", "sentiment")
+    b = enrich(posts, engine="arrow").select("id", "keywords", "sentiment")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
