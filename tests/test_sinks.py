@@ -197,3 +197,15 @@ def test_serving_over_jdbc_table(spark, workdir):
     tw = tw.toDF(*[c.lower() for c in tw.columns])
     lb = latest_trends(tw, 20).collect()
     assert [(r.keyword, r.mention_count) for r in lb] == [("alpha", 3)]
+
+
+def test_interval_validation(spark):
+    from trendlens.operators.common import interval
+
+    assert spark.range(1).select((F.lit("2024-01-01 00:30:00").cast("timestamp") - interval("30 minutes"))
+                                 .alias("t")).first().t == dt.datetime(2024, 1, 1)
+    for bad in ("30 minutes) OR (1=1", "thirty minutes", "5 weeks"):
+        with pytest.raises(ValueError):
+            interval(bad)
+    with pytest.raises(ValueError):
+        check_limit(True)

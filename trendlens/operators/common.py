@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,14 @@ BROADCAST_MAX_ROWS = 200_000
 
 def check_limit(limit: int) -> int:
     lo, hi = LIMIT_RANGE
-    if not isinstance(limit, int) or not lo <= limit <= hi:
+    if isinstance(limit, bool) or not isinstance(limit, int) or not lo <= limit <= hi:
         raise ValueError(f"limit must be an integer in [{lo}, {hi}], got {limit!r}")
     return limit
 
 
 def check_hours(hours: int) -> int:
     lo, hi = HOURS_RANGE
-    if not isinstance(hours, int) or not lo <= hours <= hi:
+    if isinstance(hours, bool) or not isinstance(hours, int) or not lo <= hours <= hi:
         raise ValueError(f"hours must be an integer in [{lo}, {hi}], got {hours!r}")
     return hours
 
@@ -43,9 +44,16 @@ def as_of_col(as_of: Column | str | _dt.datetime | None) -> Column:
     return F.to_timestamp(F.lit(as_of))
 
 
+_INTERVAL = re.compile(r"^\s*(\d+)\s+(second|minute|hour|day)s?\s*$", re.IGNORECASE)
+
+
 def interval(text: str) -> Column:
-    """A day-time interval literal such as ``"30 minutes"``."""
-    return F.expr(f"INTERVAL {text}")
+    """A day-time interval literal such as ``"30 minutes"`` (validated: a
+    count and a unit, nothing else reaches the SQL parser)."""
+    m = _INTERVAL.match(text)
+    if not m:
+        raise ValueError(f"interval must look like '30 minutes', got {text!r}")
+    return F.expr(f"INTERVAL {int(m.group(1))} {m.group(2).upper()}S")
 
 
 def since_filter(tw: DataFrame, since: Column, width_days: int = 1) -> DataFrame:
@@ -55,7 +63,7 @@ def since_filter(tw: DataFrame, since: Column, width_days: int = 1) -> DataFrame
     skipped without being listed or read."""
     cond = F.col("window_end") >= since
     if "window_date" in tw.columns:
-        cond = cond & (F.col("window_date") >= F.to_date(since - F.expr(f"INTERVAL {width_days} DAYS")))
+        cond = cond & (F.col("window_date") >= F.to_date(since - F.expr(f"INTERVAL {int(width_days)} DAYS")))
     return tw.filter(cond)
 
 

@@ -91,7 +91,7 @@ def simulate_revisions(mention_rows: DataFrame, width_seconds: int = 10,
         F.col("batch_id").alias("id"),
         "batch_id",
         "window_start",
-        (F.col("window_start") + F.expr(f"INTERVAL {width_seconds} SECONDS")).alias("window_end"),
+        (F.col("window_start") + F.expr(f"INTERVAL {int(width_seconds)} SECONDS")).alias("window_end"),
         "keyword", "source", "mention_count", "avg_sentiment",
         trend_score_col().alias("trend_score"),
     )
