@@ -160,17 +160,24 @@ class LeaderboardSnapshotSink:
 
 
 class TrendBatchWriter:
-    """``foreachBatch`` body: flatten once, persist, skip an empty batch, fan
-    out to the sinks in order, release."""
+    """``foreachBatch`` body: flatten once; with several sinks persist, skip
+    an empty batch, fan out to the sinks in order, release."""
 
     def __init__(self, sinks: Sequence, created_at=None):
         self.sinks = list(sinks)
         self.created_at = created_at
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        # Materialize the batch once (the count fills the cache); every sink
-        # then reads the cached rows instead of re-running the stateful plan.
-        rows = trend_rows(batch_df, batch_id, self.created_at).persist()
+        rows = trend_rows(batch_df, batch_id, self.created_at)
+        if len(self.sinks) == 1:
+            # One sink: its own write is the only pass over the batch (an
+            # empty batch writes nothing).
+            self.sinks[0](rows, batch_id)
+            return
+        # Several sinks: materialize the batch once (the count fills the
+        # cache); each sink then reads the cached rows instead of re-running
+        # the stateful plan.
+        rows = rows.persist()
         try:
             if rows.count() == 0:
                 return
