@@ -124,7 +124,7 @@ def test_live_leaderboard_snapshot_and_daily_job(spark, workdir):
     over the written fact table."""
     from trendlens.operators.leaderboard import latest_trends
     from trendlens.operators.rollup import run_daily_summary
-    from trendlens.sources.sinks import LeaderboardSnapshotSink
+    from trendlens.sources.sinks import LeaderboardSnapshotSink, read_leaderboard_snapshot
     from trendlens.sources.tables import read_trend_windows
 
     src, fact, snap = (os.path.join(workdir, n) for n in ("in", "fact", "snapshot"))
@@ -133,8 +133,9 @@ def test_live_leaderboard_snapshot_and_daily_job(spark, workdir):
     q = run_trend_stream(spark, raw, [ParquetTrendSink(fact), LeaderboardSnapshotSink(fact, snap, limit=20)],
                          checkpoint=os.path.join(workdir, "ckpt"), available_now=True)
     q.awaitTermination(180)
-    snapshot = spark.read.parquet(snap)
+    snapshot = read_leaderboard_snapshot(spark, snap)
     assert snapshot.select("batch_id").distinct().first().batch_id == 4
+    assert sorted(os.listdir(snap)) == ["batch_id=2", "batch_id=3", "batch_id=4"]  # older versions dropped
     tw = read_trend_windows(spark, fact)
     expect = latest_trends(tw, 20).collect()
     got = snapshot.drop("batch_id").collect()

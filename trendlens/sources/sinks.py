@@ -126,9 +126,11 @@ class LeaderboardSnapshotSink:
     The leaderboard itself then reads just the recent, pruned slice.
     """
 
-    def __init__(self, fact_path: str, snapshot_path: str, limit: int = 20, dedup: bool = False):
+    def __init__(self, fact_path: str, snapshot_path: str, limit: int = 20, dedup: bool = False,
+                 keep_versions: int = 3):
         self.fact_path, self.snapshot_path = fact_path, snapshot_path
         self.limit, self.dedup = limit, dedup
+        self.keep_versions = keep_versions
         self._maxima: dict[str, int] | None = None
 
     def _per_source(self, spark, tw: DataFrame, rows: DataFrame):
@@ -156,7 +158,46 @@ class LeaderboardSnapshotSink:
         tw = read_trend_windows(spark, self.fact_path)
         psm = self._per_source(spark, tw, rows)
         lb = latest_trends(tw, self.limit, dedup=self.dedup, per_source=psm)
-        lb.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(self.snapshot_path)
+        # Each trigger writes a new version folder (a replay rewrites its
+        # own); readers take the newest committed one, so they never see a
+        # half-written leaderboard.
+        lb.write.mode("overwrite").parquet(f"{self.snapshot_path.rstrip('/')}/batch_id={batch_id}")
+        _drop_old_versions(spark, self.snapshot_path, self.keep_versions)
+
+
+def _versions(spark, path: str) -> list[tuple[int, str]]:
+    """Committed ``batch_id=N`` version folders under ``path`` (those with a
+    ``_SUCCESS`` marker), oldest first, via the Hadoop file-system API."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append((int(name.split("=", 1)[1]), st.getPath().toString()))
+    return sorted(out)
+
+
+def _drop_old_versions(spark, path: str, keep: int) -> None:
+    versions = _versions(spark, path)
+    jvm = spark.sparkContext._jvm
+    for _, p in versions[:-keep] if keep > 0 else []:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+
+
+def read_leaderboard_snapshot(spark, path: str) -> DataFrame:
+    """The newest committed leaderboard written by ``LeaderboardSnapshotSink``
+    (with its ``batch_id``)."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no committed leaderboard snapshot under {path}")
+    batch_id, folder = versions[-1]
+    return spark.read.parquet(folder).withColumn("batch_id", F.lit(batch_id).cast("long"))
 
 
 class TrendBatchWriter:
