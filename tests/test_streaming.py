@@ -235,3 +235,22 @@ def test_cli_stream_and_daily(spark, workdir):
     main(["daily", "--fact", fact, "--summary", summary, "--run-date", "2024-01-02"])
     got = {r.keyword: r.total_mentions for r in spark.read.parquet(summary).collect()}
     assert got == {"alpha": 3, "crash": 1}
+
+
+def test_cli_ingest_and_compact(spark, workdir):
+    from trendlens.__main__ import main
+
+    raw_dir, posts_dir, fact = (os.path.join(workdir, n) for n in ("raw", "posts", "fact"))
+    os.makedirs(raw_dir)
+    with open(os.path.join(raw_dir, "p.json"), "w") as f:
+        f.write(json.dumps({"articles": [{"url": "https://a.example/x", "title": "Outage at cloud provider",
+                                          "seendate": "20240101T000005Z"}]}) + "\n")
+    main(["ingest", "--provider", "gdelt", "--input", raw_dir, "--output", posts_dir,
+          "--checkpoint", os.path.join(workdir, "ck1"), "--available-now"])
+    main(["stream", "--input", posts_dir, "--fact", fact, "--checkpoint", os.path.join(workdir, "ck2"),
+          "--available-now", "--state-partitions", "2"])
+    before = spark.read.parquet(fact).collect()
+    assert {r.keyword for r in before} == {"outage", "cloud", "provider"}
+    main(["compact", "--fact", fact, "--day", "2024-01-01", "--files", "1"])
+    after = spark.read.parquet(fact).collect()
+    assert len(after) == len(before) and {r.batch_id for r in after} == {-1}

@@ -13,6 +13,10 @@ leaderboard and the simple recent query sum all revisions but only look at
 the last minutes, so compact only days outside their horizon.  A revision
 that still arrives later carries a real (larger) batch id and wins over
 the compacted row.
+
+The day's files are replaced: a DataFrame that listed the day before the
+compaction must be read again (run it when the day is closed, e.g. after
+the nightly rollup).
 """
 
 from __future__ import annotations
