@@ -29,10 +29,10 @@ DEFAULT_TRIGGER = "2 seconds"
 
 
 def trend_stream(raw: DataFrame, width: str = DEFAULT_WIDTH, watermark: str = DEFAULT_WATERMARK,
-                 lexicon: Lexicon | None = None, event_time_fallback=None) -> DataFrame:
+                 lexicon: Lexicon | None = None, event_time_fallback=None, engine: str = "native") -> DataFrame:
     """Streaming (or batch) windowed trends from raw post records."""
     posts = parse_posts(raw, event_time_fallback=event_time_fallback)
-    return windowed_trends(mentions(enrich(posts, lexicon)), width=width, watermark=watermark)
+    return windowed_trends(mentions(enrich(posts, lexicon, engine=engine)), width=width, watermark=watermark)
 
 
 def run_trend_stream(
@@ -48,6 +48,7 @@ def run_trend_stream(
     event_time_fallback=None,
     parallelism: int | None = None,
     state_partitions: int | None = None,
+    engine: str = "native",
 ) -> StreamingQuery:
     """Start the trend stream in update mode with a micro-batch fan-out to
     ``sinks``.  ``checkpoint`` defaults to a folder under the shared
@@ -67,7 +68,7 @@ def run_trend_stream(
     """
     if parallelism:
         raw = raw.repartition(parallelism)
-    trends = trend_stream(raw, width, watermark, event_time_fallback=event_time_fallback)
+    trends = trend_stream(raw, width, watermark, event_time_fallback=event_time_fallback, engine=engine)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/trend-stream"
     writer = (trends.writeStream.outputMode("update")
               .option("checkpointLocation", ckpt)
