@@ -265,9 +265,8 @@ def oracle_sql() -> dict[str, str]:
     FROM heads"""
     sql["norm_hackernews"] = f"WITH {HN_SQL} SELECT * FROM hn"
     sql["dedup_url"] = f"""WITH {GDELT_SQL}
-    SELECT {POST_COLS} FROM (
-        SELECT *, row_number() OVER (PARTITION BY url ORDER BY created_at, id) AS rn FROM gdelt) x
-    WHERE rn = 1"""
+    SELECT {POST_COLS} FROM gdelt
+    QUALIFY row_number() OVER (PARTITION BY url ORDER BY created_at, id) = 1"""
     union = f"WITH {BLUESKY_SQL}, {GDELT_SQL}, {HN_SQL}, " \
             "all_posts AS (SELECT * FROM bluesky UNION ALL SELECT * FROM gdelt UNION ALL SELECT * FROM hn)"
     sql["union_sources"] = union + """
