@@ -20,45 +20,51 @@ from trendlens.functions.text import (
     _NONWORD_STANDIN,
     _PY_ONLY_SPACE,
     _PY_ONLY_WORD,
-    _TOKEN_BODY,
     _WORD_STANDIN,
     CLEANING_PATTERNS,
-    MAX_KEYWORDS,
-    MIN_KEYWORD_LENGTH,
+    TOKEN_BODY,
 )
 from trendlens.functions.wordlists import Lexicon
 
 
-def _array(words) -> str:
-    return "array(" + ", ".join("'" + w.replace("'", "\\'") + "'" for w in sorted(words)) + ")"
+def _among(arg: str, words) -> str:
+    """``arg IN (...)``, which becomes a hash-set lookup; false for no words."""
+    listed = ", ".join("'" + w.replace("'", "\\'") + "'" for w in sorted(words))
+    return f"{arg} IN ({listed})" if listed else "false"
 
 
-def keywords_sql_body(arg: str = "text", lexicon: Lexicon | None = None) -> str:
+def keywords_sql_body(arg: str = "text", lexicon: Lexicon | None = None, max_keywords: int | None = None) -> str:
     lex = lexicon or Lexicon.default()
-    expr = f"lower({arg})"
-    # same class mapping as text.python_classes_col
-    expr = f"regexp_replace({expr}, r'{_JAVA_ONLY_WORD}', '{_NONWORD_STANDIN}')"
-    expr = f"regexp_replace({expr}, r'{_PY_ONLY_WORD}', '{_WORD_STANDIN}')"
     seps = "".join(f"\\u{ord(c):04x}" for c in _PY_ONLY_SPACE)
-    expr = f"translate({expr}, '{seps}', '{' ' * len(_PY_ONLY_SPACE)}')"
-    for pattern in CLEANING_PATTERNS:
-        expr = f"regexp_replace({expr}, r'(?U){pattern}', ' ')"
-    tokens = f"regexp_extract_all({expr}, r'{_TOKEN_BODY}', 1)"
-    kept = (f"filter({tokens}, t -> NOT array_contains({_array(lex.stop_words)}, t) "
-            f"AND length(t) >= {MIN_KEYWORD_LENGTH})")
-    return f"coalesce(slice({kept}, 1, {MAX_KEYWORDS}), CAST(array() AS ARRAY<STRING>))"
+
+    def cleaned(expr: str, flag: str) -> str:
+        expr = f"translate({expr}, '{seps}', '{' ' * len(_PY_ONLY_SPACE)}')"
+        for pattern in CLEANING_PATTERNS:
+            expr = f"regexp_replace({expr}, r'{flag}{pattern}', ' ')"
+        return expr
+
+    # same class mapping and ASCII branch as text.cleaned_text_col
+    wide = f"regexp_replace(lower({arg}), r'{_JAVA_ONLY_WORD}', '{_NONWORD_STANDIN}')"
+    wide = f"regexp_replace({wide}, r'{_PY_ONLY_WORD}', '{_WORD_STANDIN}')"
+    expr = (f"CASE WHEN length({arg}) = octet_length({arg}) THEN {cleaned(f'lower({arg})', '')} "
+            f"ELSE {cleaned(wide, '(?U)')} END")
+    kept = f"filter(regexp_extract_all({expr}, r'{TOKEN_BODY}', 1), t -> NOT {_among('t', lex.stop_words)})"
+    if max_keywords is not None:
+        kept = f"slice({kept}, 1, {int(max_keywords)})"
+    return f"coalesce({kept}, CAST(array() AS ARRAY<STRING>))"
 
 
 def sentiment_sql_body(arg: str = "keywords", lexicon: Lexicon | None = None) -> str:
     lex = lexicon or Lexicon.default()
-    step = (f"(acc, t) -> acc + CASE WHEN array_contains({_array(lex.positive)}, t) THEN 1 "
-            f"WHEN array_contains({_array(lex.negative)}, t) THEN -1 ELSE 0 END")
+    step = (f"(acc, t) -> acc + CASE WHEN {_among('t', lex.positive)} THEN 1 ELSE 0 END "
+            f"- CASE WHEN {_among('t', lex.negative)} THEN 1 ELSE 0 END")
     return f"CAST(aggregate({arg}, 0, {step}) AS DOUBLE) / greatest(size({arg}), 1)"
 
 
-def register_sql_functions(spark: SparkSession, lexicon: Lexicon | None = None) -> list[str]:
+def register_sql_functions(spark: SparkSession, lexicon: Lexicon | None = None,
+                           max_keywords: int | None = None) -> list[str]:
     stmts = {
-        "tl_keywords": ("text STRING", "ARRAY<STRING>", keywords_sql_body("text", lexicon)),
+        "tl_keywords": ("text STRING", "ARRAY<STRING>", keywords_sql_body("text", lexicon, max_keywords)),
         "tl_sentiment": ("keywords ARRAY<STRING>", "DOUBLE", sentiment_sql_body("keywords", lexicon)),
         "tl_sentiment_label": (
             "score DOUBLE", "STRING",

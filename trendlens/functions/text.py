@@ -7,17 +7,20 @@
    fragments and bare top-level-domain words;
 3. pull every run ``#?[a-z][a-z0-9_]{3,}`` (the match is not anchored to a word
    start, so ``1abcde`` yields ``abcde``) and drop the leading ``#``;
-4. drop stop words, keep the first 20 survivors, duplicates included.
+4. drop stop words; duplicates stay.  ``max_keywords`` keeps only the first
+   so many survivors (``FIRST_KEYWORDS`` is the original pipeline's cut);
+   by default the whole text counts.
 
 ``sentiment_col`` scores the *same* array: (positive - negative) / length,
 0.0 for an empty array.  Both stay inside the JVM (regex + array
 higher-order functions), so no row ever crosses into a Python worker.
 
-All patterns carry ``(?U)`` so ``\\w``, ``\\b`` and ``\\S`` are Unicode-aware, as
+Patterns carry ``(?U)`` so ``\\w``, ``\\b`` and ``\\S`` are Unicode-aware, as
 they are in Python's ``re`` for ``str`` patterns (without it Java treats
 accented letters as non-word characters); the few characters on which the
 two engines' Unicode classes still differ are mapped first
-(:func:`python_classes_col`).
+(:func:`python_classes_col`).  Pure-ASCII texts, on which the flag changes
+nothing, take the same patterns without it, which Java matches faster.
 """
 
 from __future__ import annotations
@@ -38,19 +41,15 @@ URL_PATTERN = r"https?://\S+"
 DOMAIN_PATTERN = r"\b[\w-]+\.[\w.-]+\b"
 EMAIL_PATTERN = r"\b[\w.-]+@[\w.-]+\b"
 TLD_PATTERN = r"\b(?:com|org|net|edu|gov|io|co|uk|us|au|ca|de|fr|info|biz|me|tv)\b"
-TOKEN_PATTERN = r"#?[a-z][a-z0-9_]{3,}"
-MAX_KEYWORDS = 20
-MIN_KEYWORD_LENGTH = 4
+# The token's body is captured, so the optional leading '#' is dropped by the
+# extraction itself.
+TOKEN_BODY = r"#?([a-z][a-z0-9_]{3,})"
+FIRST_KEYWORDS = 20
 # ---------------------------------------------------------------------------
 
 # Applied in this order; each match becomes a single space.
 CLEANING_PATTERNS: tuple[str, ...] = (URL_PATTERN, DOMAIN_PATTERN, EMAIL_PATTERN, TLD_PATTERN)
 
-# Same token pattern with the body captured, so the optional leading '#' is
-# dropped by the extraction itself instead of a per-element transform.
-_TOKEN_BODY = r"#?([a-z][a-z0-9_]{3,})"
-
-
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -73,18 +72,14 @@ _PY_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
 
 def python_classes_col(text: Column) -> Column:
     """Lower-case ``text`` and map the characters on which Java and Python
-    regex classes disagree to stand-ins of their Python class (see above).
-
-    Pure-ASCII texts (character count == byte count, a cheap test on the
-    input column) skip the two class scans; only the separator
-    translation applies to them.
-    """
-    lowered = F.lower(text)
-    mapped = F.regexp_replace(F.regexp_replace(lowered, _JAVA_ONLY_WORD, _NONWORD_STANDIN),
+    regex classes disagree to stand-ins of their Python class (see above)."""
+    mapped = F.regexp_replace(F.regexp_replace(F.lower(text), _JAVA_ONLY_WORD, _NONWORD_STANDIN),
                               _PY_ONLY_WORD, _WORD_STANDIN)
-    ascii_only = F.length(text) == F.octet_length(text)
-    out = F.when(ascii_only, lowered).otherwise(mapped)
-    return F.translate(out, _PY_ONLY_SPACE, " " * len(_PY_ONLY_SPACE))
+    return _plain_spaces(mapped)
+
+
+def _plain_spaces(text: Column) -> Column:
+    return F.translate(text, _PY_ONLY_SPACE, " " * len(_PY_ONLY_SPACE))
 
 
 # A pass whose every match needs a literal is skipped for rows without it
@@ -93,43 +88,54 @@ _PASS_NEEDS = {URL_PATTERN: "(?i)http", EMAIL_PATTERN: "@"}
 
 
 def cleaned_text_col(text: Column | str) -> Column:
-    """Lower-cased text with URLs, domains, e-mails and bare TLDs blanked."""
+    """Lower-cased text with URLs, domains, e-mails and bare TLDs blanked.
+
+    Pure-ASCII texts (character count == byte count, a cheap test on the
+    input column) take the patterns without ``(?U)`` and skip the class
+    mapping, of which only the separator translation applies to them.
+    """
     raw = _col(text)
-    out = python_classes_col(raw)
-    for pattern in CLEANING_PATTERNS:
-        replaced = F.regexp_replace(out, "(?U)" + pattern, " ")
-        need = _PASS_NEEDS.get(pattern)
-        if need is None:
-            out = replaced
-        else:
-            present = raw.rlike(need) if need.startswith("(?i)") else raw.contains(need)
-            out = F.when(present, replaced).otherwise(out)
-    return out
-
-
-def keywords_col(text: Column | str, lexicon: Lexicon | None = None) -> Column:
-    """``array<string>`` of at most 20 keywords; NULL or empty text gives []."""
+
+    def blanked(out: Column, flag: str) -> Column:
+        for pattern in CLEANING_PATTERNS:
+            replaced = F.regexp_replace(out, flag + pattern, " ")
+            need = _PASS_NEEDS.get(pattern)
+            if need is None:
+                out = replaced
+            else:
+                present = raw.rlike(need) if need.startswith("(?i)") else raw.contains(need)
+                out = F.when(present, replaced).otherwise(out)
+        return out
+
+    ascii_only = F.length(raw) == F.octet_length(raw)
+    return F.when(ascii_only, blanked(_plain_spaces(F.lower(raw)), "")).otherwise(
+        blanked(python_classes_col(raw), "(?U)"))
+
+
+def keywords_col(text: Column | str, lexicon: Lexicon | None = None, max_keywords: int | None = None) -> Column:
+    """``array<string>`` of all keywords, or of the first ``max_keywords``;
+    NULL or empty text gives []."""
     lex = lexicon or Lexicon.default()
     stop = sorted(lex.stop_words)
-    tokens = F.regexp_extract_all(cleaned_text_col(text), F.lit(_TOKEN_BODY), 1)
-    kept = F.filter(tokens, lambda t: ~t.isin(*stop) & (F.length(t) >= MIN_KEYWORD_LENGTH))
-    return F.coalesce(F.slice(kept, 1, MAX_KEYWORDS), F.array().cast("array<string>"))
+    kept = F.regexp_extract_all(cleaned_text_col(text), F.lit(TOKEN_BODY), 1)
+    if stop:
+        kept = F.filter(kept, lambda t: ~t.isin(*stop))
+    if max_keywords is not None:
+        kept = F.slice(kept, 1, max_keywords)
+    return F.coalesce(kept, F.array().cast("array<string>"))
 
 
 def sentiment_col(keywords: Column | str, lexicon: Lexicon | None = None) -> Column:
     """Lexicon score of a keyword array: (#positive - #negative) / max(len, 1).
 
-    One ``aggregate`` pass over the array; the positive and negative lists
-    are disjoint, so each keyword adds +1, -1 or 0.
+    One ``aggregate`` pass over the array; a word on both lists adds 0.
     """
     lex = lexicon or Lexicon.default()
     pos, neg = sorted(lex.positive), sorted(lex.negative)
     kw = _col(keywords)
-    net = F.aggregate(
-        kw,
-        F.lit(0),
-        lambda acc, t: acc + F.when(t.isin(*pos), 1).when(t.isin(*neg), -1).otherwise(0),
-    )
+    step = lambda words, sign: lambda t: F.when(t.isin(*words), sign).otherwise(0) if words else F.lit(0)
+    up, down = step(pos, 1), step(neg, -1)
+    net = F.aggregate(kw, F.lit(0), lambda acc, t: acc + up(t) + down(t))
     return (net / F.greatest(F.size(kw), F.lit(1))).cast("double")
 
 
@@ -149,24 +155,17 @@ def sentiment_label_col(score: Column | str, threshold: float = 0.04) -> Column:
 # Arrow-batched UDF the bench uses to measure what native expressions save.
 # ---------------------------------------------------------------------------
 _PY_CLEANERS = [re.compile(p) for p in CLEANING_PATTERNS]
-_PY_TOKEN = re.compile(_TOKEN_BODY)
+_PY_TOKEN = re.compile(TOKEN_BODY)
 
 
-def keywords_py(text: str | None, lexicon: Lexicon | None = None) -> list[str]:
+def keywords_py(text: str | None, lexicon: Lexicon | None = None, max_keywords: int | None = None) -> list[str]:
     if not text:
         return []
     lex = lexicon or Lexicon.default()
     s = text.lower()
     for rx in _PY_CLEANERS:
         s = rx.sub(" ", s)
-    out: list[str] = []
-    for body in _PY_TOKEN.findall(s):
-        if body in lex.stop_words or len(body) < MIN_KEYWORD_LENGTH:
-            continue
-        out.append(body)
-        if len(out) == MAX_KEYWORDS:
-            break
-    return out
+    return [w for w in _PY_TOKEN.findall(s) if w not in lex.stop_words][:max_keywords]
 
 
 def sentiment_py(words: list[str], lexicon: Lexicon | None = None) -> float:
@@ -177,12 +176,12 @@ def sentiment_py(words: list[str], lexicon: Lexicon | None = None) -> float:
     return net / max(len(words), 1)
 
 
-def keywords_pandas_udf(lexicon: Lexicon | None = None):
+def keywords_pandas_udf(lexicon: Lexicon | None = None, max_keywords: int | None = None):
     """Arrow-batched UDF running :func:`keywords_py` (bench comparison only)."""
     lex = lexicon or Lexicon.default()
 
     @F.pandas_udf("array<string>")
     def _kw(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: keywords_py(t, lex))
+        return texts.map(lambda t: keywords_py(t, lex, max_keywords))
 
     return _kw

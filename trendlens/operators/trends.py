@@ -26,49 +26,28 @@ DEFAULT_WIDTH = "10 seconds"
 DEFAULT_WATERMARK = "1 minute"
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give a CPU-heavy narrow stage at least ``min_partitions`` tasks
-    (default: the cluster's default parallelism).
-
-    A large table scans into thousands of splits and is left alone; only an
-    under-split batch input (one big file, one row group) is spread
-    round-robin so tokenization does not run in a single task.  Streams
-    keep their source partitioning.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        # An input that already went through a shuffle is spread over the
-        # shuffle partitions; asking it for its partition count would make
-        # AQE run those stages now, so it is left as is.
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no JVM plan / RDD view (e.g. a remote Spark Connect session)
-        return df.repartition(min_partitions) if min_partitions else df
-    return df.repartition(target) if current < target else df
-
-
-def enrich(posts: DataFrame, lexicon: Lexicon | None = None, min_partitions: int | None = None,
-           engine: str = "native") -> DataFrame:
+def enrich(posts: DataFrame, lexicon: Lexicon | None = None, partitions: int | None = None,
+           engine: str = "native", max_keywords: int | None = None) -> DataFrame:
     """Add ``keywords`` (array<string>) and ``sentiment`` (double) from ``text``.
 
     Sentiment is computed over the keyword array itself, so the text is
     tokenized once per row.  ``engine="native"`` (default) tokenizes with
     built-in regex expressions inside the JVM; ``engine="arrow"`` runs the
-    same rules in Python's ``re`` through an Arrow-batched pandas UDF, which
-    measured faster per core on one machine but needs Python workers and
-    ships every text to them and back.
+    same rules in Python's ``re`` through an Arrow-batched pandas UDF.
+    ``max_keywords`` counts only the first so many keywords of a post.
+
+    ``partitions`` deals the posts round-robin over that many tasks first,
+    for an input in fewer splits than the cluster has cores; by default the
+    scan's own splits are used and nothing is shuffled.
     """
     if engine == "native":
-        kw = keywords_col("text", lexicon)
+        kw = keywords_col("text", lexicon, max_keywords)
     elif engine == "arrow":
-        kw = keywords_pandas_udf(lexicon)(F.col("text"))
+        kw = keywords_pandas_udf(lexicon, max_keywords)(F.col("text"))
     else:
         raise ValueError(f"unknown engine {engine!r}")
-    with_kw = spread(posts, min_partitions).withColumn("keywords", kw)
-    return with_kw.withColumn("sentiment", sentiment_col("keywords", lexicon))
+    dealt = posts.repartition(partitions) if partitions else posts
+    return dealt.withColumn("keywords", kw).withColumn("sentiment", sentiment_col("keywords", lexicon))
 
 
 def mentions(enriched: DataFrame, keep: tuple[str, ...] = ("id", "source", "event_time")) -> DataFrame:
@@ -123,7 +102,7 @@ def flatten_windows(trends: DataFrame) -> DataFrame:
     ).filter(F.col("keyword").isNotNull())
 
 
-def trends_from_posts(posts: DataFrame, width: str = DEFAULT_WIDTH,
-                      lexicon: Lexicon | None = None) -> DataFrame:
+def trends_from_posts(posts: DataFrame, width: str = DEFAULT_WIDTH, lexicon: Lexicon | None = None,
+                      max_keywords: int | None = None) -> DataFrame:
     """posts -> enrich -> mentions -> windowed trends, flattened."""
-    return flatten_windows(windowed_trends(mentions(enrich(posts, lexicon)), width))
+    return flatten_windows(windowed_trends(mentions(enrich(posts, lexicon, max_keywords=max_keywords)), width))
