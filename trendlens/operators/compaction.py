@@ -7,16 +7,17 @@ keeps all of its revisions.  Once a day can no longer receive revisions
 revision of each window, in a few files sorted by keyword (tight min/max
 statistics for keyword lookups), under ``batch_id = -1``.
 
-Results are unchanged for everything that reads latest revisions
-(history, daily rollup, the test-query leaderboard).  The served
-leaderboard and the simple recent query sum all revisions but only look at
-the last minutes, so compact only days outside their horizon.  A revision
-that still arrives later carries a real (larger) batch id and wins over
-the compacted row.
-
-The day's files are replaced: a DataFrame that listed the day before the
-compaction must be read again (run it when the day is closed, e.g. after
-the nightly rollup).
+Results are unchanged for everything that reads the table.  Queries that
+read latest revisions are indifferent to compaction; the served leaderboard
+sums all revisions of the last minutes of each source, so revisions within
+that horizon of their source's newest window keep their rows.  A revision
+that still arrives later carries a real (larger) batch id and wins over the
+compacted row.
+
+The day's folder is replaced by renames, so its rows are never gone: the
+compacted rows are complete before the old ones move aside, and a run that
+was cut off in between is put right by the next.  A DataFrame that listed
+the day before the compaction must be read again.
 """
 
 from __future__ import annotations
@@ -26,28 +27,40 @@ import datetime as _dt
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.operators.common import interval
+from trendlens.operators.leaderboard import per_source_max
 from trendlens.operators.revisions import dedup_revisions
-from trendlens.session import scratch_path
+from trendlens.session import delete_path, path_exists, rename_path
 
 COMPACTED_BATCH = -1
 
 
-def compact_day(spark: SparkSession, path: str, day, files: int | None = None) -> int:
+def compact_day(spark: SparkSession, path: str, day, files: int | None = None, horizon: str = "30 minutes") -> int:
     """Rewrite ``window_date = day`` of the fact table at ``path``; returns
-    the number of rows kept."""
+    the number of rows kept.  ``horizon`` is the longest that a query which
+    sums all revisions looks back."""
     if isinstance(day, _dt.date):
         day = day.isoformat()
-    part = f"{path.rstrip('/')}/window_date={day}"
-    tw = spark.read.option("basePath", path).parquet(part).drop("window_date")
-    latest = dedup_revisions(tw)
-    staging = scratch_path(spark, f"compact-{day}")
-    out = latest.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long"))
+    root = path.rstrip("/")
+    part, ready, old = f"{root}/window_date={day}", f"{root}/_ready-{day}", f"{root}/_old-{day}"
+    if path_exists(spark, old):  # an earlier run was cut off between its renames
+        if not path_exists(spark, part):
+            rename_path(spark, old, part)
+        delete_path(spark, old)
+    whole = spark.read.option("basePath", path).parquet(part)
+    columns = [c for c in whole.columns if c != "window_date"]
+    newest = per_source_max(spark.read.parquet(path)).select(
+        "source", (F.col("max_window_end") - interval(horizon)).alias("_since"))
+    marked = whole.select(*columns).join(newest, "source")
+    closed = dedup_revisions(marked.filter("window_end < _since").select(*columns))
+    kept = closed.withColumn("batch_id", F.lit(COMPACTED_BATCH).cast("long")).unionByName(
+        marked.filter("window_end >= _since").select(*columns))
     if files:
-        out = out.repartitionByRange(files, "keyword")
-    out.sortWithinPartitions("keyword", "window_start").write.mode("overwrite").parquet(staging)
-    staged = spark.read.parquet(staging)
-    n = staged.count()
-    # Replace the whole day folder (all batch partitions) by the compacted
-    # rows; the source of the write is the staged copy, not the day itself.
-    staged.write.mode("overwrite").partitionBy("batch_id").parquet(part)
+        kept = kept.repartitionByRange(files, "keyword")
+    (kept.sortWithinPartitions("batch_id", "keyword", "window_start").write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(ready))
+    n = spark.read.parquet(ready).count()
+    rename_path(spark, part, old)
+    rename_path(spark, ready, part)
+    delete_path(spark, old)
     return n

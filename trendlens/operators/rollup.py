@@ -14,9 +14,10 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col, join_small
+from trendlens.operators.common import as_of_col
 from trendlens.operators.revisions import dedup_revisions
-from trendlens.session import scratch_path
+from trendlens.schemas import DAILY_SUMMARY_SCHEMA
+from trendlens.session import delete_path, path_exists, scratch_path
 
 SUMMARY_KEY = ("summary_date", "keyword", "source")
 SUMMARY_COLUMNS = (
@@ -81,32 +82,29 @@ def write_daily_summary(spark: SparkSession, new: DataFrame, path: str) -> None:
     Only the partitions of the dates present in ``new`` are read and
     rewritten: the merged rows are staged next to it first (a path being
     read is never overwritten), then swapped in with a dynamic partition
-    overwrite.  Re-running with the same input is idempotent.
+    overwrite.  Re-running with the same input is idempotent.  The table
+    counts as new only if its path does not exist; any error in reading it
+    is raised.  The staged copies are removed at the end.
     """
-    new_path = scratch_path(spark, "daily-summary-new")
-    new.select(*SUMMARY_COLUMNS).write.mode("overwrite").parquet(new_path)
-    new = spark.read.parquet(new_path)
+    new_path, staging = scratch_path(spark, "daily-summary-new"), scratch_path(spark, "daily-summary-staging")
     try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first run: no table yet
-        existing = None
-    if existing is not None:
-        dates = new.select("summary_date").distinct()
-        # semi-join on the partition column: with the dates broadcast, dynamic
-        # partition pruning reads only the affected partitions.
-        affected = join_small(existing, dates, "summary_date", "left_semi")
-        merged = merge_daily_summary(affected, new)
-    else:
+        new.select(*SUMMARY_COLUMNS).write.mode("overwrite").parquet(new_path)
+        new = spark.read.schema(DAILY_SUMMARY_SCHEMA).parquet(new_path)
         merged = new
-    staging = scratch_path(spark, "daily-summary-staging")
-    merged.write.mode("overwrite").partitionBy("summary_date").parquet(staging)
-    staged = spark.read.parquet(staging)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.select(*SUMMARY_COLUMNS).write.mode("overwrite").partitionBy("summary_date").parquet(path)
+        if path_exists(spark, path):
+            existing = spark.read.schema(DAILY_SUMMARY_SCHEMA).parquet(path)
+            # Semi-join on the partition column: the written dates are small
+            # enough to be broadcast, and partition pruning then reads only the
+            # affected partitions.
+            dates = new.select("summary_date").distinct()
+            merged = merge_daily_summary(existing.join(dates, "summary_date", "left_semi"), new)
+        merged.write.mode("overwrite").partitionBy("summary_date").parquet(staging)
+        staged = spark.read.schema(DAILY_SUMMARY_SCHEMA).parquet(staging)
+        (staged.select(*SUMMARY_COLUMNS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("summary_date").parquet(path))
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        delete_path(spark, staging)
+        delete_path(spark, new_path)
 
 
 def run_daily_summary(spark: SparkSession, fact_path: str, summary_path: str, run_date,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 
@@ -85,6 +86,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
 
 
+def default_checkpoint(spark: SparkSession, name: str, *targets: str) -> str:
+    """Stream checkpoint folder under ``spark.checkpoint.dir``, one per job
+    name and set of targets, so that two streams never share one."""
+    key = hashlib.sha256("\n".join(targets).encode()).hexdigest()[:12]
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{key}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or URI exists; any other failure is raised."""
+    hadoop, fs = _hadoop_path(spark, path)
+    return fs.exists(hadoop)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, if it exists."""
+    hadoop, fs = _hadoop_path(spark, path)
+    fs.delete(hadoop, True)
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a path to one that does not exist yet."""
+    hadoop, fs = _hadoop_path(spark, source)
+    if path_exists(spark, target) or not fs.rename(hadoop, _hadoop_path(spark, target)[0]):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def _count():
     n = 0
     while True:
