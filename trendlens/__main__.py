@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
+from trendlens.functions.wordlists import Lexicon
 from trendlens.session import build_session
 
 
@@ -23,8 +24,9 @@ def _stream(args, spark):
     from trendlens.sources.sinks import JdbcTrendSink, KafkaTrendSink, LeaderboardSnapshotSink, ParquetTrendSink
     from trendlens.streaming.job import run_trend_stream
 
-    raw = (kafka_post_stream(spark, args.kafka, min_partitions=args.min_partitions) if args.kafka
-           else file_post_stream(spark, args.input))
+    raw = (kafka_post_stream(spark, args.kafka, max_offsets_per_trigger=args.max_offsets,
+                             min_partitions=args.min_partitions) if args.kafka
+           else file_post_stream(spark, args.input, max_files_per_trigger=args.max_files))
     sinks = [ParquetTrendSink(args.fact, files_per_batch=args.files_per_batch)]
     if args.jdbc_url:
         sinks.append(JdbcTrendSink(args.jdbc_url, args.jdbc_table))
@@ -34,7 +36,8 @@ def _stream(args, spark):
         sinks.append(LeaderboardSnapshotSink(args.fact, args.snapshot))
     q = run_trend_stream(spark, raw, sinks, checkpoint=args.checkpoint, trigger=args.trigger,
                          available_now=args.available_now, parallelism=args.parallelism,
-                         state_partitions=args.state_partitions)
+                         state_partitions=args.state_partitions, lexicon=Lexicon.load(args.wordlist),
+                         max_keywords=args.max_keywords)
     q.awaitTermination()
 
 
@@ -79,6 +82,10 @@ def main(argv=None) -> None:
     s.add_argument("--state-partitions", type=int)
     s.add_argument("--files-per-batch", type=int)
     s.add_argument("--available-now", action="store_true")
+    s.add_argument("--max-offsets", type=int, help="Kafka offsets per micro-batch, the first one included")
+    s.add_argument("--max-files", type=int, help="files per micro-batch, the first one included")
+    s.add_argument("--wordlist", help="JSON word lists; default $TRENDLENS_WORDLIST, else the built-in ones")
+    s.add_argument("--max-keywords", type=int, help="count only the first so many keywords of a post")
     i = sub.add_parser("ingest")
     i.add_argument("--provider", required=True, choices=["bluesky", "gdelt", "hackernews"])
     i.add_argument("--input", required=True)

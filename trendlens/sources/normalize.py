@@ -151,24 +151,29 @@ def dedup_by_url(posts: DataFrame, order: tuple[str, ...] = ("created_at", "id")
     """First post per URL (smallest ``order``); posts without a URL pass.
 
     Batch form: ``min`` of a struct led by the order columns, grouped by
-    URL.  It aggregates map-side first, so a URL repeated across a third of
-    the input collapses before the shuffle.  For a stream use
-    :func:`dedup_by_url_stream`, which bounds its state by the watermark
-    instead of by a fixed-size seen-set.
+    URL (a post without one is a group of its own).  It aggregates map-side
+    first, so a URL repeated across a third of the input collapses before
+    the shuffle.  For a stream use :func:`dedup_by_url_stream`, which bounds
+    its state by arrival time instead of by a fixed-size seen-set.
     """
     cols = [c for c in posts.columns if c != "url"]
     first = F.min(F.struct(*[F.col(c) for c in order], *[F.col(c).alias(f"_v_{c}") for c in cols]))
-    with_url = posts.filter(F.col("url").isNotNull())
-    deduped = with_url.groupBy("url").agg(first.alias("_f")).select(
-        "url", *[F.col(f"_f._v_{c}").alias(c) for c in cols]
-    )
-    return deduped.select(*posts.columns).unionByName(posts.filter(F.col("url").isNull()))
+    alone = F.when(F.col("url").isNull(), F.monotonically_increasing_id())
+    deduped = posts.groupBy("url", alone.alias("_alone")).agg(first.alias("_f"))
+    return deduped.select("url", *[F.col(f"_f._v_{c}").alias(c) for c in cols]).select(*posts.columns)
+
 
+def dedup_by_url_stream(posts: DataFrame, remember: str = "1 hour") -> DataFrame:
+    """Streaming URL dedup: a URL seen within the last ``remember`` of
+    arrival time is dropped, every other post passes.
 
-def dedup_by_url_stream(posts: DataFrame, watermark_col: str = "event_time",
-                        delay: str = "1 hour") -> DataFrame:
-    """Streaming URL dedup with state bounded by the event-time watermark."""
-    return posts.withWatermark(watermark_col, delay).dropDuplicatesWithinWatermark(["url"])
+    The watermark runs on the arrival time of the micro-batch, not on the
+    article's date, so an old article that arrives for the first time is
+    never late.  A post without URL is told apart by its id.
+    """
+    keyed = posts.withColumn("_arrived", F.current_timestamp()).withColumn("_key", F.coalesce("url", "id"))
+    return (keyed.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["_key"])
+            .drop("_arrived", "_key"))
 
 
 def route_topic_col(source: Column | str = "source") -> Column:

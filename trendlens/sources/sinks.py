@@ -15,32 +15,31 @@ and handed to each configured sink in order (``TrendBatchWriter``).  Sinks:
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.functions.timefns import iso_utc_col
-from trendlens.operators.common import as_of_col
+from trendlens.operators.common import as_of_col, interval_seconds
+from trendlens.operators.trends import flatten_windows
+from trendlens.schemas import TREND_WINDOWS_SCHEMA
+from trendlens.session import delete_path, path_exists
 
 TREND_TOPIC = "trend-windows-1m"
 
-TREND_ROW_FIELDS = (
-    "batch_id", "window_start", "window_end", "keyword", "source",
-    "mention_count", "avg_sentiment", "trend_score", "created_at",
-)
+# Bits of ``batch_id`` below the run's epoch.
+EPOCH_BITS = 32
+TREND_ROW_FIELDS = tuple(f.name for f in TREND_WINDOWS_SCHEMA.fields if f.name != "id")
 
 
 def trend_rows(batch_df: DataFrame, batch_id: int, created_at=None) -> DataFrame:
     """Windowed-trend batch -> fact-table rows: window bounds as columns,
     the micro-batch id, a write time; rows without keyword dropped."""
-    return batch_df.select(
-        F.lit(batch_id).cast("long").alias("batch_id"),
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "keyword", "source", "mention_count", "avg_sentiment", "trend_score",
-        as_of_col(created_at).alias("created_at"),
-    ).filter(F.col("keyword").isNotNull())
+    flat = flatten_windows(batch_df).withColumns(
+        {"batch_id": F.lit(batch_id).cast("long"), "created_at": as_of_col(created_at)})
+    return flat.select(*TREND_ROW_FIELDS)
 
 
 def _json(*cols: Column | str) -> Column:
@@ -77,29 +76,44 @@ class ParquetTrendSink:
     """Fact table as parquet under ``path``, partitioned by the UTC date of
     ``window_start`` and by ``batch_id``.
 
-    A micro-batch's rows come out of the stateful aggregation in
-    ``spark.sql.shuffle.partitions`` pieces; ``files_per_batch`` merges them
-    into that many files per date (a narrow ``coalesce``), which keeps the
-    file count of a 2-second trigger reasonable.  Closed days are compacted
-    later (``operators.compaction``).
+    ``files_per_batch`` deals a micro-batch's rows over that many tasks, and
+    so files per date, by date and keyword; the stateful stage before it
+    keeps all of its own tasks.  Closed days are compacted later
+    (``operators.compaction``).
     """
 
     def __init__(self, path: str, files_per_batch: int | None = None):
         self.path = path
         self.files_per_batch = files_per_batch
+        self.target = path
+
+    def next_epoch(self, spark) -> int:
+        """Epoch of a run that starts over: one more than the table holds."""
+        if not path_exists(spark, self.path):
+            return 0
+        last = spark.read.parquet(self.path).agg(F.max("batch_id")).first()[0]
+        return 0 if last is None or last < 0 else (last >> EPOCH_BITS) + 1
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        out = rows.withColumn("window_date", F.to_date("window_start"))
         if self.files_per_batch:
-            rows = rows.coalesce(self.files_per_batch)
-        out = rows.withColumn("id", F.monotonically_increasing_id()) \
-            .withColumn("window_date", F.to_date("window_start"))
+            n = self.files_per_batch
+            out = out.repartition(n, "window_date", F.pmod(F.hash("keyword"), F.lit(n)))
+        out = out.withColumn("id", F.monotonically_increasing_id())
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("window_date", "batch_id").parquet(self.path))
 
 
 class JdbcTrendSink:
-    def __init__(self, url: str, table: str = "trend_windows", properties: dict[str, str] | None = None):
+    """Append to a database table, ``batch_rows`` rows per statement over at
+    most ``connections`` connections."""
+
+    def __init__(self, url: str, table: str = "trend_windows", properties: dict[str, str] | None = None,
+                 batch_rows: int = 5000, connections: int = 8):
         self.url, self.table, self.properties = url, table, dict(properties or {})
+        self.properties.setdefault("batchsize", str(batch_rows))
+        self.properties.setdefault("numPartitions", str(connections))
+        self.target = f"{url} {table}"
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.jdbc(self.url, self.table, mode="append", properties=self.properties)
@@ -108,6 +122,7 @@ class JdbcTrendSink:
 class KafkaTrendSink:
     def __init__(self, bootstrap: str, topic: str = TREND_TOPIC):
         self.bootstrap, self.topic = bootstrap, topic
+        self.target = f"{bootstrap} {topic}"
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         (trend_payload(rows).write.format("kafka")
@@ -117,38 +132,35 @@ class KafkaTrendSink:
 class LeaderboardSnapshotSink:
     """After the fact table is written, rewrite the served leaderboard.
 
-    The leaderboard needs each source's latest ``window_end``.  Scanning the
-    whole fact table for it every trigger would grow with the history, so
-    the sink keeps those maxima (one row per source) and merges in each
-    micro-batch's own maxima; only the first batch after a (re)start reads
-    them from the table.  They are kept only while the source count is
-    within ``BROADCAST_MAX_ROWS``; beyond it they are recomputed per batch.
-    The leaderboard itself then reads just the recent, pruned slice.
+    The leaderboard needs each source's latest ``window_end``.  They live in a
+    small table next to the leaderboard (``maxima/batch_id=N``): every
+    micro-batch merges its own maxima into the newest committed version; only
+    the first batch ever reads them from the fact table.  Nothing passes
+    through the driver, and the leaderboard reads just the recent dates.
+
+    A version stays readable for ``keep_for`` after a newer one is committed.
     """
 
     def __init__(self, fact_path: str, snapshot_path: str, limit: int = 20, dedup: bool = False,
-                 keep_versions: int = 3):
+                 keep_for: str = "1 hour"):
         self.fact_path, self.snapshot_path = fact_path, snapshot_path
         self.limit, self.dedup = limit, dedup
-        self.keep_versions = keep_versions
-        self._maxima: dict[str, int] | None = None
+        self.keep_seconds = interval_seconds(keep_for)
+        self.target = snapshot_path
 
-    def _per_source(self, spark, tw: DataFrame, rows: DataFrame):
-        from trendlens.operators.common import BROADCAST_MAX_ROWS
+    def _maxima(self, spark, tw: DataFrame, rows: DataFrame, batch_id: int) -> DataFrame:
         from trendlens.operators.leaderboard import per_source_max
 
-        fresh = per_source_max(tw if self._maxima is None else rows)
-        if fresh.count() > BROADCAST_MAX_ROWS:
-            self._maxima = None
-            return None
-        merged = dict(self._maxima or {})
-        # epoch microseconds: no driver-side time-zone conversion
-        for src, us in fresh.select("source", F.unix_micros("max_window_end")).collect():
-            if src not in merged or us > merged[src]:
-                merged[src] = us
-        self._maxima = merged
-        known = spark.createDataFrame(sorted(merged.items()), "source string, us long")
-        return known.select("source", F.timestamp_micros("us").alias("max_window_end"))
+        folder = f"{self.snapshot_path.rstrip('/')}/maxima"
+        before = [p for n, p in _versions(spark, folder) if n < batch_id]
+        if before:
+            known = spark.read.schema(MAXIMA_SCHEMA).parquet(before[-1]).unionByName(per_source_max(rows))
+            newest = known.groupBy("source").agg(F.max("max_window_end").alias("max_window_end"))
+        else:
+            newest = per_source_max(tw)
+        path = f"{folder}/batch_id={batch_id}"
+        newest.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return spark.read.schema(MAXIMA_SCHEMA).parquet(path)
 
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         from trendlens.operators.leaderboard import latest_trends
@@ -156,13 +168,18 @@ class LeaderboardSnapshotSink:
 
         spark = rows.sparkSession
         tw = read_trend_windows(spark, self.fact_path)
-        psm = self._per_source(spark, tw, rows)
-        lb = latest_trends(tw, self.limit, dedup=self.dedup, per_source=psm)
+        maxima = self._maxima(spark, tw, rows, batch_id)
+        lb = latest_trends(tw, self.limit, dedup=self.dedup, per_source=maxima)
         # Each trigger writes a new version folder (a replay rewrites its
         # own); readers take the newest committed one, so they never see a
         # half-written leaderboard.
-        lb.write.mode("overwrite").parquet(f"{self.snapshot_path.rstrip('/')}/batch_id={batch_id}")
-        _drop_old_versions(spark, self.snapshot_path, self.keep_versions)
+        path = self.snapshot_path.rstrip("/")
+        lb.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch_id={batch_id}")
+        for folder in (path, f"{path}/maxima"):
+            _drop_old_versions(spark, folder, self.keep_seconds)
+
+
+MAXIMA_SCHEMA = "source string, max_window_end timestamp"
 
 
 def _versions(spark, path: str) -> list[tuple[int, str]]:
@@ -182,12 +199,16 @@ def _versions(spark, path: str) -> list[tuple[int, str]]:
     return sorted(out)
 
 
-def _drop_old_versions(spark, path: str, keep: int) -> None:
-    versions = _versions(spark, path)
+def _drop_old_versions(spark, path: str, keep_seconds: int) -> None:
+    """Delete the versions that a newer one replaced ``keep_seconds`` ago."""
     jvm = spark.sparkContext._jvm
-    for _, p in versions[:-keep] if keep > 0 else []:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    versions = _versions(spark, path)
+    for (_, old), (_, newer) in zip(versions, versions[1:]):
+        mark = jvm.org.apache.hadoop.fs.Path(f"{newer}/_SUCCESS")
+        done = mark.getFileSystem(conf).getFileStatus(mark).getModificationTime() / 1000
+        if time.time() - done > keep_seconds:
+            delete_path(spark, old)
 
 
 def read_leaderboard_snapshot(spark, path: str) -> DataFrame:
@@ -202,13 +223,20 @@ def read_leaderboard_snapshot(spark, path: str) -> DataFrame:
 
 class TrendBatchWriter:
     """``foreachBatch`` body: flatten once; with several sinks persist, skip
-    an empty batch, fan out to the sinks in order, release."""
+    an empty batch, fan out to the sinks in order, release.
+
+    Spark counts batches from 0 again after a checkpoint was removed, so the
+    stored ``batch_id`` is led by the run's ``epoch``: later runs have larger
+    ids, never overwrite earlier ones' partitions and win as revisions.
+    """
 
-    def __init__(self, sinks: Sequence, created_at=None):
+    def __init__(self, sinks: Sequence, created_at=None, epoch: int = 0):
         self.sinks = list(sinks)
         self.created_at = created_at
+        self.epoch = epoch
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        batch_id += self.epoch << EPOCH_BITS
         rows = trend_rows(batch_df, batch_id, self.created_at)
         if len(self.sinks) == 1:
             # One sink: its own write is the only pass over the batch (an

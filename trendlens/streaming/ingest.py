@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from trendlens.functions.timefns import event_time_col
-from trendlens.session import checkpoint_dir
+from trendlens.session import default_checkpoint
 from trendlens.sources import normalize
 from trendlens.sources.posts import post_value_col
 
@@ -42,21 +41,19 @@ def normalized_stream(raw: DataFrame, provider: str, as_of=None, url_dedup_delay
                       id_dedup_delay: str | None = None) -> DataFrame:
     """Normalize one provider's raw stream.
 
-    GDELT URLs are deduplicated within ``url_dedup_delay`` of event time
-    (state bounded by the watermark).  ``id_dedup_delay`` optionally drops
-    re-polled HackerNews stories (same ``hn_<id>``) within that delay; off by
-    default, as re-polls were counted originally.
+    GDELT URLs are deduplicated within ``url_dedup_delay`` of arrival time
+    (state bounded by the watermark on it).  ``id_dedup_delay`` optionally
+    drops re-polled HackerNews stories (same ``hn_<id>``) within that delay;
+    off by default, as re-polls were counted originally.
     """
     if provider not in NORMALIZERS:
         raise ValueError(f"unknown provider {provider!r}")
     posts = NORMALIZERS[provider](raw, as_of=as_of)
     if provider == normalize.GDELT and url_dedup_delay:
-        timed = posts.withColumn("event_time", event_time_col("created_at", as_of))
-        posts = normalize.dedup_by_url_stream(timed, "event_time", url_dedup_delay).drop("event_time")
+        posts = normalize.dedup_by_url_stream(posts, url_dedup_delay)
     if provider == normalize.HACKERNEWS and id_dedup_delay:
-        timed = posts.withColumn("event_time", event_time_col("created_at", as_of))
-        posts = (timed.withWatermark("event_time", id_dedup_delay)
-                 .dropDuplicatesWithinWatermark(["id"]).drop("event_time"))
+        timed = posts.withColumn("_arrived", F.current_timestamp())
+        posts = timed.withWatermark("_arrived", id_dedup_delay).dropDuplicatesWithinWatermark(["id"]).drop("_arrived")
     return posts
 
 
@@ -76,7 +73,7 @@ def run_ingest_stream(
     ``output`` is a folder, one sub-folder per topic, one JSON record per
     line (readable by ``file_post_stream``)."""
     records = post_records(normalized_stream(raw, provider, as_of))
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/ingest-{provider}"
+    ckpt = checkpoint or default_checkpoint(spark, f"ingest-{provider}", fmt, output)
     if fmt == "kafka":
         writer = (records.writeStream.format("kafka").option("kafka.bootstrap.servers", output))
     elif fmt == "files":

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trendlens.functions.wordlists import Lexicon
 from trendlens.operators.trends import DEFAULT_WATERMARK, DEFAULT_WIDTH, enrich, mentions, windowed_trends
-from trendlens.session import checkpoint_dir
+from trendlens.session import default_checkpoint, path_exists
 from trendlens.sources.posts import parse_posts
 from trendlens.sources.sinks import TrendBatchWriter
 
@@ -29,10 +29,29 @@ DEFAULT_TRIGGER = "2 seconds"
 
 
 def trend_stream(raw: DataFrame, width: str = DEFAULT_WIDTH, watermark: str = DEFAULT_WATERMARK,
-                 lexicon: Lexicon | None = None, event_time_fallback=None, engine: str = "native") -> DataFrame:
+                 lexicon: Lexicon | None = None, event_time_fallback=None, engine: str = "native",
+                 max_keywords: int | None = None) -> DataFrame:
     """Streaming (or batch) windowed trends from raw post records."""
     posts = parse_posts(raw, event_time_fallback=event_time_fallback)
-    return windowed_trends(mentions(enrich(posts, lexicon, engine=engine)), width=width, watermark=watermark)
+    return windowed_trends(mentions(enrich(posts, lexicon, engine=engine, max_keywords=max_keywords)),
+                           width=width, watermark=watermark)
+
+
+def run_epoch(spark: SparkSession, checkpoint: str, sinks) -> int:
+    """Epoch of the run that ``checkpoint`` belongs to.
+
+    It is kept in the checkpoint folder.  A checkpoint that starts over gets
+    the next epoch after those its sinks hold already; one that was begun
+    without an epoch has 0.
+    """
+    path = f"{checkpoint.rstrip('/')}/run-epoch"
+    if path_exists(spark, path):
+        return int(spark.read.text(path).first()[0])
+    epoch = 0
+    if not path_exists(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        epoch = max((s.next_epoch(spark) for s in sinks if hasattr(s, "next_epoch")), default=0)
+    spark.createDataFrame([(str(epoch),)], "epoch string").coalesce(1).write.mode("overwrite").text(path)
+    return epoch
 
 
 def run_trend_stream(
@@ -49,6 +68,8 @@ def run_trend_stream(
     parallelism: int | None = None,
     state_partitions: int | None = None,
     engine: str = "native",
+    lexicon: Lexicon | None = None,
+    max_keywords: int | None = None,
 ) -> StreamingQuery:
     """Start the trend stream in update mode with a micro-batch fan-out to
     ``sinks``.  ``checkpoint`` defaults to a folder under the shared
@@ -65,14 +86,22 @@ def run_trend_stream(
     per trigger, so it should follow the group volume per trigger (one task
     wave for a small stream, thousands for a large one).  It is frozen into
     the checkpoint at the first start; later values are ignored by Spark.
+
+    ``lexicon`` defaults to :meth:`Lexicon.load` (the file that
+    ``$TRENDLENS_WORDLIST`` names, else the built-in lists).  After a
+    checkpoint was removed, the run gets a new epoch (:func:`run_epoch`), so
+    its revisions win over those of earlier runs.
     """
+    sinks = list(sinks)
     if parallelism:
         raw = raw.repartition(parallelism)
-    trends = trend_stream(raw, width, watermark, event_time_fallback=event_time_fallback, engine=engine)
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/trend-stream"
+    trends = trend_stream(raw, width, watermark, lexicon or Lexicon.load(), event_time_fallback=event_time_fallback,
+                          engine=engine, max_keywords=max_keywords)
+    targets = [getattr(s, "target", type(s).__name__) for s in sinks]
+    ckpt = checkpoint or default_checkpoint(spark, "trend-stream", query_name or "", *targets)
     writer = (trends.writeStream.outputMode("update")
               .option("checkpointLocation", ckpt)
-              .foreachBatch(TrendBatchWriter(sinks)))
+              .foreachBatch(TrendBatchWriter(sinks, epoch=run_epoch(spark, ckpt, sinks))))
     if query_name:
         writer = writer.queryName(query_name)
     if available_now:
@@ -98,6 +127,7 @@ def run_archive_stream(
     available_now: bool = False,
     trigger: str | None = DEFAULT_TRIGGER,
     event_time_fallback=None,
+    lexicon: Lexicon | None = None,
 ) -> StreamingQuery:
     """Archive of processed posts: every parsed post with its keywords and
     sentiment, appended as parquet partitioned by event date and source.
@@ -105,9 +135,9 @@ def run_archive_stream(
     Documented for the reference pipeline but never implemented there; a
     stateless projection, so append mode needs no watermark.
     """
-    posts = enrich(parse_posts(raw, event_time_fallback=event_time_fallback))
+    posts = enrich(parse_posts(raw, event_time_fallback=event_time_fallback), lexicon or Lexicon.load())
     out = posts.withColumn("event_date", F.to_date("event_time"))
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/archive-stream"
+    ckpt = checkpoint or default_checkpoint(spark, "archive-stream", path)
     writer = (out.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", ckpt).option("path", path)
               .partitionBy("event_date", "source"))
