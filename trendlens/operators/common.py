@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 LIMIT_RANGE = (1, 100)
 HOURS_RANGE = (1, 72)
 
-# Rows above which the "small" side of a join is not broadcast.  A side is
-# only ever broadcast after its row count has been measured against this.
-BROADCAST_MAX_ROWS = 200_000
-
-
 def check_limit(limit: int) -> int:
     lo, hi = LIMIT_RANGE
     if isinstance(limit, bool) or not isinstance(limit, int) or not lo <= limit <= hi:
@@ -56,28 +51,26 @@ def interval(text: str) -> Column:
     return F.expr(f"INTERVAL {int(m.group(1))} {m.group(2).upper()}S")
 
 
-def since_filter(tw: DataFrame, since: Column, width_days: int = 1) -> DataFrame:
-    """``window_end >= since``, plus, on a fact table partitioned by
-    ``window_date`` (= date of window_start), the implied partition bound:
-    windows are at most ``width_days`` wide, so older date partitions are
-    skipped without being listed or read."""
+def interval_seconds(text: str) -> int:
+    """Seconds of an interval text such as ``"1 hour"``."""
+    m = _INTERVAL.match(text)
+    if not m:
+        raise ValueError(f"interval must look like '30 minutes', got {text!r}")
+    return int(m.group(1)) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[m.group(2).lower()]
+
+
+def since_filter(tw: DataFrame, since: Column, until: Column | None = None, width_days: int = 1) -> DataFrame:
+    """``since <= window_end <= until``, plus, on a fact table partitioned by
+    ``window_date`` (= date of window_start), the implied partition bounds:
+    windows are at most ``width_days`` wide, so other date partitions are
+    skipped without being listed or read.  ``until=None`` has no upper bound
+    (a live table holds nothing later than now)."""
     cond = F.col("window_end") >= since
-    if "window_date" in tw.columns:
+    dated = "window_date" in tw.columns
+    if dated:
         cond = cond & (F.col("window_date") >= F.to_date(since - F.expr(f"INTERVAL {int(width_days)} DAYS")))
+    if until is not None:
+        cond = cond & (F.col("window_end") <= until)
+        if dated:
+            cond = cond & (F.col("window_date") <= F.to_date(until))
     return tw.filter(cond)
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join ``big`` with a side expected to be small.
-
-    The small side's rows are counted first (one extra job over the columns
-    it needs).  Only when the count is within ``max_rows`` is it broadcast;
-    otherwise the join is left to the planner (sort-merge join with AQE
-    skew handling).  Relying on AQE alone would first shuffle ``big`` for a
-    sort-merge join before re-planning, and an unchecked hint would ship an
-    unbounded table to every executor.
-    """
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)

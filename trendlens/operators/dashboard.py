@@ -14,7 +14,6 @@ from trendlens.functions.text import sentiment_label_col
 
 TABLE_ROWS = 20
 CHART_ROWS = 15
-SOURCES = ("all", "bluesky", "gdelt", "hackernews")
 
 
 def _display_order():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col, check_hours
+from trendlens.operators.common import as_of_col, check_hours, since_filter
 from trendlens.operators.revisions import dedup_revisions
 
 
@@ -17,7 +17,7 @@ def time_bucket_col(ts: str, width: str = "10 seconds"):
 def trend_history(tw: DataFrame, keyword: str, hours: int = 2, as_of=None,
                   bucket: str = "10 seconds") -> DataFrame:
     """Latest revisions of ``keyword`` whose window ended within ``hours`` of
-    ``as_of``, summed per (bucket of window_end, keyword, source), oldest
+    ``as_of`` (and, when it is given, not after it), summed per (bucket of window_end, keyword, source), oldest
     bucket first.
 
     Both predicates are on revision-key columns, so applying them before the
@@ -25,13 +25,9 @@ def trend_history(tw: DataFrame, keyword: str, hours: int = 2, as_of=None,
     and dedup only sees the one keyword.
     """
     check_hours(hours)
-    since = as_of_col(as_of) - F.make_dt_interval(hours=F.lit(hours))
-    cond = (F.col("keyword") == F.lit(keyword)) & (F.col("window_end") >= since)
-    if "window_date" in tw.columns:
-        # Fact table partitioned by date(window_start); windows are at most a
-        # day wide, so earlier date partitions cannot hold a match.
-        cond = cond & (F.col("window_date") >= F.to_date(since - F.expr("INTERVAL 1 DAY")))
-    selected = tw.filter(cond)
+    now = as_of_col(as_of)
+    recent = since_filter(tw, now - F.make_dt_interval(hours=F.lit(hours)), None if as_of is None else now)
+    selected = recent.filter(F.col("keyword") == F.lit(keyword))
     if "window_date" in selected.columns:
         selected = selected.drop("window_date")
     latest = dedup_revisions(selected)

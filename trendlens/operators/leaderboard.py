@@ -2,12 +2,17 @@
 
 Plan shape of ``latest_trends`` (see ``explain``):
 
-    job 1: scan(source, window_end) -> partial/final max -> count, min
-    job 2: scan(window_end >= bound, pushed) -> BroadcastHashJoin(per-source
-           max, size-checked) + range filter
-             -> partial agg -> shuffle(keyword, source) -> final agg
-             -> WindowGroupLimit(partial) -> shuffle(source)
-             -> WindowGroupLimit(final) -> Window -> filter -> sort
+    per-source maxima (a small table the sink keeps, or an aggregate)
+      -> one row per source and date within its horizon
+      -> broadcast by size; prunes the fact table's dates (dynamic partition
+         pruning), so a source that fell silent months ago adds its own last
+         dates and not everything since
+    scan(dates) -> join on (source, window_date) + range filter
+      -> partial agg -> shuffle(keyword, source) -> final agg
+      -> WindowGroupLimit(partial) -> shuffle(source)
+      -> WindowGroupLimit(final) -> Window -> filter -> sort
+
+No job runs while the plan is built.
 
 Ranking is per source, and a source can hold a third of all groups.  The
 partial WindowGroupLimit keeps at most ``limit`` rows per source in every map
@@ -20,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import BROADCAST_MAX_ROWS, as_of_col, check_limit, interval, since_filter
+from trendlens.operators.common import as_of_col, check_limit, interval, since_filter
 from trendlens.operators.revisions import dedup_revisions
 
 LEADERBOARD_COLUMNS = (
@@ -65,52 +70,47 @@ def latest_trends(tw: DataFrame, limit: int = 20, horizon: str = "30 minutes",
     stored revision of a window; ``dedup=True`` first keeps only the latest
     revision (the corrected form).
 
-    ``per_source`` (source, max_window_end) may be passed when it is already
-    known (the live snapshot keeps it up to date batch by batch), which
-    spares the scan of the whole table for it.
+    ``per_source`` (source, max_window_end) is the table of maxima that
+    ``LeaderboardSnapshotSink`` keeps; without it the maxima are an aggregate
+    over ``tw`` inside the same plan.  Whether it is broadcast is left to the
+    planner, which knows the table's size in bytes.
     """
     check_limit(limit)
-    psm = per_source if per_source is not None else per_source_max(tw)
-    # One small job: the number of sources (size check for the broadcast) and
-    # the oldest per-source maximum.  Every kept row ends after that bound
-    # minus the horizon, so it becomes a literal range filter that reaches
-    # the parquet scan (row-group skipping, date-partition pruning) and the
-    # query reads the recent slice, not the whole history.
-    # (Bounds travel as epoch microseconds: no driver-side time-zone
-    # conversion.)
-    n_sources, oldest = psm.agg(F.count(F.lit(1)), F.min(F.unix_micros("max_window_end"))).first()
-    if oldest is None:  # empty table
-        return tw.select(*LEADERBOARD_COLUMNS).limit(0)
-    bound = F.timestamp_micros(F.lit(oldest)) - interval(horizon)
-    recent_tw = since_filter(tw, bound)
+    newest = per_source if per_source is not None else per_source_max(tw)
+    # Always true; Spark prunes partitions by a join only if the other side is
+    # filtered by a comparison.
+    newest = newest.filter(F.col("max_window_end") >= F.timestamp_seconds(F.lit(0)))
+    bounds = newest.select("source", (F.col("max_window_end") - interval(horizon)).alias("_since"),
+                           F.col("max_window_end").alias("_until"))
+    if "window_date" in tw.columns:
+        # Dates on which a window that ends within the horizon can start
+        # (windows are at most a day wide).
+        dates = F.sequence(F.to_date(F.col("_since") - F.expr("INTERVAL 1 DAY")), F.to_date("_until"))
+        bounds = bounds.select("source", "_since", F.explode(dates).alias("window_date"))
+        joined = tw.join(bounds, ["source", "window_date"]).drop("window_date")
+    else:
+        joined = tw.join(bounds.drop("_until"), "source")
+    recent = joined.filter(F.col("window_end") >= F.col("_since")).drop("_since")
     if dedup:
-        recent_tw = dedup_revisions(recent_tw.drop("window_date") if "window_date" in tw.columns else recent_tw)
-    recent_tw = recent_tw.select(*LEADERBOARD_COLUMNS)
-    side = F.broadcast(psm) if n_sources <= BROADCAST_MAX_ROWS else psm
-    joined = recent_tw.join(side, "source")
-    recent = joined.filter(F.col("window_end") >= F.col("max_window_end") - interval(horizon))
-    ranked = top_per_source(rollup_recent(recent.drop("max_window_end")), limit)
+        recent = dedup_revisions(recent)
+    ranked = top_per_source(rollup_recent(recent.select(*LEADERBOARD_COLUMNS)), limit)
     return ranked.select(*LEADERBOARD_COLUMNS).orderBy(*rank_order(), F.col("source").asc())
 
 
 def latest_trends_global(tw: DataFrame, limit: int = 20, horizon: str = "10 minutes",
-                         as_of=None) -> DataFrame:
+                         as_of=None, per_source: DataFrame | None = None) -> DataFrame:
     """Manual test-query form: latest revisions only, horizon measured from
     the newest window of the whole table (from ``as_of`` when the table is
-    empty), top ``limit`` per source."""
+    empty), top ``limit`` per source.
+
+    The newest window is a scalar subquery over ``per_source`` (else over
+    ``tw``); it is evaluated before files are listed, so it prunes dates.
+    """
     check_limit(limit)
-    # max(window_end) is the same before and after dedup (dedup keeps every
-    # key), so it is read from the table directly, as a single-value job,
-    # and applied as a literal: the filter then prunes partitions and row
-    # groups, which a runtime scalar subquery would not.  Filtering on a
-    # revision-key column before the dedup gives the same rows.
-    newest = tw.agg(F.max(F.unix_micros("window_end"))).first()[0]
-    base = F.timestamp_micros(F.lit(newest)) if newest is not None else as_of_col(as_of)
-    recent_tw = since_filter(tw, base - interval(horizon))
-    if "window_date" in recent_tw.columns:
-        recent_tw = recent_tw.drop("window_date")
-    recent = dedup_revisions(recent_tw).select(*LEADERBOARD_COLUMNS)
-    ranked = top_per_source(rollup_recent(recent), limit)
+    maxima = per_source if per_source is not None else per_source_max(tw)
+    newest = maxima.agg(F.max("max_window_end")).scalar()
+    recent = since_filter(tw, F.coalesce(newest, as_of_col(as_of)) - interval(horizon)).drop("window_date")
+    ranked = top_per_source(rollup_recent(dedup_revisions(recent).select(*LEADERBOARD_COLUMNS)), limit)
     return ranked.select(*LEADERBOARD_COLUMNS)
 
 
@@ -121,10 +121,12 @@ def top_count_per_source(leaderboard: DataFrame) -> DataFrame:
 
 def recent_top(tw: DataFrame, as_of=None, horizon: str = "10 minutes", limit: int = 20) -> DataFrame:
     """Simple leaderboard: summed mentions and score per (keyword, source)
-    for windows ending within ``horizon`` of ``as_of``; global top ``limit``
-    by score (ties: mentions, keyword, source)."""
+    for windows ending within ``horizon`` of ``as_of`` (and, when it is given,
+    not after it); global top ``limit`` by score (ties: mentions, keyword,
+    source)."""
     check_limit(limit)
-    recent = since_filter(tw, as_of_col(as_of) - interval(horizon))
+    now = as_of_col(as_of)
+    recent = since_filter(tw, now - interval(horizon), None if as_of is None else now)
     agg = recent.groupBy("keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mentions"),
         F.sum("trend_score").alias("score"),

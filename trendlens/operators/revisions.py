@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.operators.trends import trend_score_col
-
 REVISION_KEY = ("window_start", "window_end", "keyword", "source")
 _ORDER = ("batch_id", "id")
 
@@ -39,59 +37,3 @@ def dedup_revisions(tw: DataFrame, method: str = "aggregate") -> DataFrame:
     return out.select(*REVISION_KEY, *[F.col(f"_latest.{c}").alias(c) for c in (*_ORDER, *payload)]).select(
         *tw.columns
     )
-
-
-def simulate_revisions(mention_rows: DataFrame, width_seconds: int = 10,
-                       time_col: str = "event_time", stage: str = "all") -> DataFrame:
-    """Build a ``trend_windows`` table as an update-mode stream with a trigger
-    every half window would have appended it.
-
-    Trigger ``2k`` fires halfway through window ``k`` and emits the window's
-    counts so far (only groups that already had mentions); trigger ``2k + 1``
-    fires at its end and emits the final counts.  ``batch_id`` is the trigger
-    number and ``id`` repeats it (arrival order inside one trigger does not
-    matter for a single row per group).  Deduplication must return exactly
-    the final revisions, i.e. the batch aggregate.
-
-    ``stage="early"`` returns only the mid-window revisions (the table as it
-    stood before any window closed), ``"final"`` only the closing ones.
-
-    One aggregation computes both revisions; ``inline`` then emits up to two
-    rows per group, so there is a single shuffle.
-    """
-    if stage not in ("all", "early", "final"):
-        raise ValueError(f"unknown stage {stage!r}")
-    width_us = width_seconds * 1_000_000
-    start = F.window(time_col, f"{width_seconds} seconds").start
-    early = (F.unix_micros(F.col(time_col)) - F.unix_micros(start)) < F.lit(width_us // 2)
-    grouped = mention_rows.groupBy(start.alias("window_start"), "keyword", "source").agg(
-        F.count(F.lit(1)).alias("n_all"),
-        F.avg("sentiment").alias("s_all"),
-        F.count(F.when(early, F.lit(1))).alias("n_early"),
-        F.avg(F.when(early, F.col("sentiment"))).alias("s_early"),
-    )
-    k = F.floor(F.unix_micros("window_start") / F.lit(width_us)).cast("long")
-
-    def revision(batch, n, s):
-        return F.struct(
-            batch.alias("batch_id"),
-            n.alias("mention_count"),
-            s.alias("avg_sentiment"),
-        )
-
-    emitted = []
-    if stage in ("all", "early"):
-        emitted.append(revision(k * 2, F.col("n_early"), F.col("s_early")))
-    if stage in ("all", "final"):
-        emitted.append(revision(k * 2 + 1, F.col("n_all"), F.col("s_all")))
-    both = grouped.select(
-        "window_start", "keyword", "source", F.inline(F.array(*emitted)),
-    ).filter(F.col("mention_count") > 0)
-    return both.select(
-        F.col("batch_id").alias("id"),
-        "batch_id",
-        "window_start",
-        (F.col("window_start") + F.expr(f"INTERVAL {int(width_seconds)} SECONDS")).alias("window_end"),
-        "keyword", "source", "mention_count", "avg_sentiment",
-        trend_score_col().alias("trend_score"),
-    )

@@ -9,9 +9,11 @@ records, malformed or stale timestamps) comes from existing columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.operators.trends import trend_score_col
+from trendlens.session import scratch_path
 from trendlens.sources.tables import FIXTURE_EPOCH, read_table
 
 # Poll time the fixtures are normalized at.
@@ -73,47 +75,127 @@ def gdelt_article_cols(pages: DataFrame) -> DataFrame:
 def gdelt_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article-list responses of up to 50 pages each (consecutive page ids).
 
-    The group size is fixed, so ``collect_list`` never holds more than 50
-    small structs whatever the table size.
+    French pages come without title and every eleventh page with an empty
+    URL (both dropped).  Each third page is listed again by the next poll, a
+    day later, as polls overlap.  The group size is fixed, so
+    ``collect_list`` never holds more than 100 small structs whatever the
+    table size.
     """
-    arts = gdelt_article_cols(read_table(spark, sf_dir, "pages"))
-    poll = F.floor(F.col("page_id") / GDELT_POLL_SIZE).alias("poll_id")
+    first = gdelt_article_cols(read_table(spark, sf_dir, "pages"))
+    first = first.withColumn("title", F.when(F.col("language") != "fr", F.col("title"))) \
+        .withColumn("url", F.when(F.col("page_id") % 11 == 0, F.lit("")).otherwise(F.col("url")))
+    later = F.date_format(_ts(F.col("page_id") * 60 + 86400), "yyyyMMdd'T'HHmmss'Z'")
+    again = F.when(F.col("page_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    arts = first.withColumn("again", F.explode(again)) \
+        .withColumn("seendate", F.when(F.col("again") == 1, later).otherwise(F.col("seendate")))
+    poll = (F.floor(F.col("page_id") / GDELT_POLL_SIZE) + F.col("again")).alias("poll_id")
     fields = ["url", "title", "domain", "language", "seendate", "sourcecountry"]
     grouped = arts.groupBy(poll).agg(F.collect_list(F.struct(*fields)).alias("articles"))
     return grouped.select("poll_id", F.to_json(F.struct("articles")).alias("value"))
 
 
-HN_LIST_MAX = 500  # ids per story-list response (the provider's list size)
+# A story list holds the turns of so many conversations and so many turn
+# numbers, so its length has a bound whatever the tables hold.
+LIST_CONVERSATIONS, LIST_TURNS = 20, 50
 STORY_ID_STRIDE = 1_000_000  # story id = conv_id * stride + turn
 
 
-def hn_story_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One story-list response per conversation: its newest turn ids first,
-    at most 500 like the provider's list.
+def _story_id():
+    return (F.col("conv_id") * STORY_ID_STRIDE + F.col("turn")).cast("long")
 
-    The 500 newest are chosen with ``row_number() <= 500``, which Spark plans
-    as a partial WindowGroupLimit before the shuffle, so even a conversation
-    holding a third of all turns ships at most 500 rows per task and the
-    collected list never exceeds 500 ids.
-    """
+
+def hn_story_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Story-list responses, newest (largest) ids first: one per block of 20
+    conversations and 50 turn numbers.  At sf0.01 most hold about 100 ids."""
     c = read_table(spark, sf_dir, "conversations")
-    sid = (F.col("conv_id") * STORY_ID_STRIDE + F.col("turn")).cast("long")
-    ids = c.select(F.col("conv_id").alias("poll_id"), sid.alias("sid"))
-    newest = ids.withColumn("_r", F.row_number().over(Window.partitionBy("poll_id").orderBy(F.col("sid").desc())))
-    kept = newest.filter(F.col("_r") <= HN_LIST_MAX)
-    return kept.groupBy("poll_id").agg(F.sort_array(F.collect_list("sid"), asc=False).alias("story_ids"))
+    poll = F.floor(F.col("conv_id") / LIST_CONVERSATIONS) * 1000 + F.floor(F.col("turn") / LIST_TURNS)
+    ids = c.select(poll.cast("long").alias("poll_id"), _story_id().alias("sid"))
+    return ids.groupBy("poll_id").agg(F.sort_array(F.collect_list("sid"), asc=False).alias("story_ids"))
 
 
 def hn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item responses: user turns are stories titled by their first line,
-    assistant turns have no title (dropped); short turns have no URL; the
-    opening turn has no author."""
+    """Item responses, one per turn: user turns are stories titled by their
+    whole text, assistant turns have an empty and system turns no title (both
+    dropped); short turns have no URL; the opening turn has no author."""
     c = read_table(spark, sf_dir, "conversations")
-    sid = (F.col("conv_id") * STORY_ID_STRIDE + F.col("turn")).cast("long")
-    title = F.when(F.col("role") == "user", F.split(F.col("text"), "\n").getItem(0)).otherwise(F.lit(""))
+    title = F.when(F.col("role") == "user", F.col("text")).when(F.col("role") == "assistant", F.lit(""))
     url = F.when(F.length("text") < 100, F.lit(None).cast("string")) \
         .otherwise(F.concat(F.lit("https://conv.example/"), F.col("conv_id").cast("string")))
     by = F.when(F.col("turn") == 0, F.lit(None).cast("string")).otherwise(F.col("role"))
     item = F.struct(title.alias("title"), url.alias("url"), by.alias("by"),
                     F.col("turn").alias("score"), F.length("text").cast("long").alias("descendants"))
-    return c.select(sid.alias("story_id"), F.to_json(item).alias("value"))
+    return c.select(_story_id().alias("story_id"), F.to_json(item).alias("value"))
+
+
+def simulate_revisions(mention_rows: DataFrame, width_seconds: int = 10,
+                       time_col: str = "event_time", stage: str = "all") -> DataFrame:
+    """Build a ``trend_windows`` table as an update-mode stream with a trigger
+    every half window would have appended it.
+
+    Trigger ``2k`` fires halfway through window ``k`` and emits the window's
+    counts so far (only groups that already had mentions); trigger ``2k + 1``
+    fires at its end and emits the final counts.  ``batch_id`` is the trigger
+    number and ``id`` repeats it (arrival order inside one trigger does not
+    matter for a single row per group).  Deduplication must return exactly
+    the final revisions, i.e. the batch aggregate.
+
+    ``stage="early"`` returns only the mid-window revisions (the table as it
+    stood before any window closed), ``"final"`` only the closing ones.
+
+    One aggregation computes both revisions; ``inline`` then emits up to two
+    rows per group, so there is a single shuffle.
+    """
+    if stage not in ("all", "early", "final"):
+        raise ValueError(f"unknown stage {stage!r}")
+    width_us = width_seconds * 1_000_000
+    start = F.window(time_col, f"{width_seconds} seconds").start
+    early = (F.unix_micros(F.col(time_col)) - F.unix_micros(start)) < F.lit(width_us // 2)
+    grouped = mention_rows.groupBy(start.alias("window_start"), "keyword", "source").agg(
+        F.count(F.lit(1)).alias("n_all"),
+        F.avg("sentiment").alias("s_all"),
+        F.count(F.when(early, F.lit(1))).alias("n_early"),
+        F.avg(F.when(early, F.col("sentiment"))).alias("s_early"),
+    )
+    k = F.floor(F.unix_micros("window_start") / F.lit(width_us)).cast("long")
+
+    def revision(batch, n, s):
+        return F.struct(
+            batch.alias("batch_id"),
+            n.alias("mention_count"),
+            s.alias("avg_sentiment"),
+        )
+
+    emitted = []
+    if stage in ("all", "early"):
+        emitted.append(revision(k * 2, F.col("n_early"), F.col("s_early")))
+    if stage in ("all", "final"):
+        emitted.append(revision(k * 2 + 1, F.col("n_all"), F.col("s_all")))
+    both = grouped.select(
+        "window_start", "keyword", "source", F.inline(F.array(*emitted)),
+    ).filter(F.col("mention_count") > 0)
+    return both.select(
+        F.col("batch_id").alias("id"),
+        "batch_id",
+        "window_start",
+        (F.col("window_start") + F.expr(f"INTERVAL {int(width_seconds)} SECONDS")).alias("window_end"),
+        "keyword", "source", "mention_count", "avg_sentiment",
+        trend_score_col().alias("trend_score"),
+    )
+
+
+def stored_revisions(mention_rows: DataFrame, width_seconds: int = 10) -> tuple[DataFrame, DataFrame]:
+    """A fact table as the stream's sinks leave it, in the scratch folder:
+    the revisions partitioned by ``window_date``, and the per-source maxima.
+
+    The mentions are tokenized once, for the write; serving queries then read
+    the stored table.
+    """
+    from trendlens.operators.leaderboard import per_source_max
+
+    spark = mention_rows.sparkSession
+    path = scratch_path(spark, "trend-windows")
+    rows = simulate_revisions(mention_rows, width_seconds).withColumn("window_date", F.to_date("window_start"))
+    rows.write.partitionBy("window_date").parquet(f"{path}/facts")
+    facts = spark.read.schema(rows.schema).parquet(f"{path}/facts")
+    per_source_max(facts).write.parquet(f"{path}/maxima")
+    return facts, spark.read.schema("source string, max_window_end timestamp").parquet(f"{path}/maxima")

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlens.functions.timefns import event_time_col, zulu_to_offset_col
 from trendlens.schemas import POST_SCHEMA, POST_WIRE_SCHEMA
 from trendlens.sources.normalize import NEWS_TOPIC, SOCIAL_TOPIC
 
+ERROR_TOPIC = "pipeline-errors"
 RAW_TOPICS = (SOCIAL_TOPIC, NEWS_TOPIC)
 
 
@@ -32,6 +34,26 @@ def parse_posts(raw: DataFrame, value_col: str = "value", event_time_fallback=No
     )
 
 
+def post_errors(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Records that give no usable post, as ``(topic, value, reason)`` for the
+    ``pipeline-errors`` topic.
+
+    Reasons: ``empty`` (NULL or blank record), ``malformed`` (no JSON object),
+    ``no id`` and ``no text`` (absent or empty field).  Every other record is
+    a post (:func:`parse_posts`).
+    """
+    text = F.col(value_col).cast("string")
+    schema = T.StructType([*POST_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = raw.select(text.alias("value"), F.inline(F.array(
+        F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"}))))
+    reason = (F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty")
+              .when(F.col("_corrupt").isNotNull(), "malformed")
+              .when(F.coalesce("id", F.lit("")) == "", "no id")
+              .when(F.coalesce("text", F.lit("")) == "", "no text"))
+    return (parsed.select(F.lit(ERROR_TOPIC).alias("topic"), "value", reason.alias("reason"))
+            .filter(F.col("reason").isNotNull()))
+
+
 def post_value_col(columns) -> Column:
     """UTF-8 JSON of the wire fields present in ``columns`` (non-ASCII kept
     as is; NULL fields kept as JSON null, e.g. ``"url": null``)."""
