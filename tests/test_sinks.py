@@ -115,6 +115,66 @@ def test_write_daily_summary_idempotent(spark, workdir):
     assert got == {(d1, "a"): 7, (d1, "z"): 1, (d2, "b"): 4}
 
 
+def test_summary_upsert_raises_read_errors(spark, workdir):
+    """An unreadable file is no missing table: the upsert fails and the rows
+    that were there stay."""
+    path = os.path.join(workdir, "summary")
+    d1, t = dt.date(2024, 1, 1), dt.datetime(2024, 1, 3)
+    write_daily_summary(spark, _summary(spark, [(d1, "a", "s", 1, 0.0, 1.0, t), (d1, "keep", "s", 2, 0.0, 1.0, t)]),
+                        path)
+    before = {r.keyword for r in spark.read.parquet(path).collect()}
+    bad = os.path.join(path, "summary_date=2024-01-01", "part-bad.snappy.parquet")
+    with open(bad, "wb") as f:
+        f.write(b"not a parquet file")
+    with pytest.raises(Exception):
+        write_daily_summary(spark, _summary(spark, [(d1, "a", "s", 9, 0.0, 9.0, t)]), path)
+    os.remove(bad)
+    assert {r.keyword for r in spark.read.parquet(path).collect()} == before == {"a", "keep"}
+
+
+def test_summary_upsert_leaves_no_scratch_and_no_setting(spark, workdir):
+    from trendlens.session import checkpoint_dir
+
+    d1, t = dt.date(2024, 1, 1), dt.datetime(2024, 1, 3)
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    write_daily_summary(spark, _summary(spark, [(d1, "a", "s", 1, 0.0, 1.0, t)]), os.path.join(workdir, "summary"))
+    assert not [f for f in os.listdir(checkpoint_dir(spark)) if f.startswith("daily-summary")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def test_post_errors(spark):
+    from trendlens.sources.posts import post_errors
+
+    rows = ['{"id":"1","text":"fine"}', '{"id":"2","te', "", None, '{"text":"no id"}', '{"id":"3","text":""}', "[1]"]
+    got = {r.value: r.reason for r in post_errors(spark.createDataFrame([(v,) for v in rows], "value string")).collect()}
+    assert got == {rows[1]: "malformed", "": "empty", None: "empty", rows[4]: "no id", rows[5]: "no text",
+                   "[1]": "malformed"}
+
+
+def test_hackernews_reads_every_item(spark):
+    """More items than the list heads of the adapters hold: none is cut."""
+    from trendlens.sources.normalize import normalize_hackernews
+
+    items = spark.createDataFrame([(i, json.dumps({"title": f"title {i}"})) for i in range(30)],
+                                  "story_id long, value string")
+    assert normalize_hackernews(items, as_of="2024-01-01 00:00:00").count() == 30
+
+
+def test_story_head_cuts_long_lists(spark):
+    from trendlens.sources.normalize import story_head
+
+    lists = spark.createDataFrame([(1, list(range(100, 0, -1)))], "poll_id long, story_ids array<long>")
+    assert [r.story_id for r in story_head(lists).orderBy("rank").collect()] == list(range(100, 80, -1))
+
+
+def test_url_dedup_passes_posts_without_url(spark):
+    from trendlens.sources.normalize import dedup_by_url
+
+    posts = spark.createDataFrame([("1", "u", "2024-01-02"), ("2", "u", "2024-01-01"), ("3", None, "2024-01-01"),
+                                   ("3", None, "2024-01-01")], "id string, url string, created_at string")
+    assert sorted((r.id, r.url) for r in dedup_by_url(posts).collect()) == [("2", "u"), ("3", None), ("3", None)]
+
+
 def test_parameter_bounds():
     assert check_limit(1) == 1 and check_limit(100) == 100
     for bad in (0, 101, "20", 2.5):
@@ -169,8 +229,9 @@ def test_sanitize_and_gdelt_date(spark):
 
 def test_dedup_formulations_agree(spark):
     from conftest import SF_SMALL
-    from trendlens.operators.revisions import dedup_revisions, simulate_revisions
+    from trendlens.operators.revisions import dedup_revisions
     from trendlens.operators.trends import enrich, mentions, trends_from_posts
+    from trendlens.sources.fixtures import simulate_revisions
     from trendlens.sources.tables import posts_docs
 
     tw = simulate_revisions(mentions(enrich(posts_docs(spark, SF_SMALL))))

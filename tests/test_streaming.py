@@ -75,6 +75,60 @@ def test_restart_resumes_without_duplicates(spark, workdir):
     assert {r.keyword: r.mention_count for r in latest.collect()}["omega"] == 2
 
 
+def test_checkpoint_reset_starts_a_new_epoch(spark, workdir):
+    """After the checkpoint is removed batches count from 0 again; the new
+    run's revisions win and replace none of the old ones."""
+    src, fact = os.path.join(workdir, "in"), os.path.join(workdir, "fact")
+    _write_batches(src, [[(1, "alpha alpha")], [(2, "alpha")], [(3, "alpha alpha")]])
+    _run(spark, src, fact, os.path.join(workdir, "ckpt"))
+    n_before = spark.read.parquet(fact).count()
+    _run(spark, src, fact, os.path.join(workdir, "ckpt2"), files_per_trigger=10)  # one batch, id 0
+    rows = spark.read.parquet(fact)
+    assert rows.count() == n_before + 1
+    latest = dedup_revisions(rows.drop("window_date")).collect()
+    assert [(r.keyword, r.mention_count, r.batch_id) for r in latest] == [("alpha", 5, 1 << 32)]
+
+
+def test_unique_old_urls_pass_the_stream_dedup(spark, workdir):
+    """URLs never seen before pass whatever their article date is."""
+    from trendlens.streaming.ingest import run_ingest_stream
+
+    raw_dir, out = os.path.join(workdir, "raw"), os.path.join(workdir, "out")
+    os.makedirs(raw_dir)
+    dates = ["20240105T000000Z", "20240101T000000Z", "20240104T000000Z", "20240102T000000Z", "20231201T000000Z"]
+    for i, d in enumerate(dates):
+        p = os.path.join(raw_dir, f"p{i}.json")
+        with open(p, "w") as f:
+            f.write(json.dumps({"articles": [{"url": f"https://a.example/{i}", "title": "t", "seendate": d}]}) + "\n")
+        os.utime(p, (1000 + i, 1000 + i))
+    raw = spark.readStream.format("text").option("maxFilesPerTrigger", "1").load(raw_dir)
+    q = run_ingest_stream(spark, raw, "gdelt", out, checkpoint=os.path.join(workdir, "ck"),
+                          as_of="2024-01-05 00:00:00", available_now=True)
+    q.awaitTermination(180)
+    got = [json.loads(r.value)["url"] for r in spark.read.text(os.path.join(out, "topic=raw-news-events")).collect()]
+    assert sorted(got) == [f"https://a.example/{i}" for i in range(5)]
+
+
+def test_word_list_override_reaches_the_stream(spark, workdir, monkeypatch):
+    src = os.path.join(workdir, "in")
+    _write_batches(src, [[(1, "alpha beta gamma"), (2, "alpha")]])
+    words = os.path.join(workdir, "words.json")
+    with open(words, "w") as f:
+        json.dump({"stop_words": ["beta"], "positive": ["alpha"], "negative": []}, f)
+    monkeypatch.setenv("TRENDLENS_WORDLIST", words)
+    fact = os.path.join(workdir, "fact")
+    _run(spark, src, fact, os.path.join(workdir, "ck"))
+    got = {r.keyword: round(r.avg_sentiment, 6) for r in spark.read.parquet(fact).collect()}
+    assert got == {"alpha": 0.75, "gamma": 0.5}
+
+
+def test_default_checkpoints_differ(spark):
+    from trendlens.session import default_checkpoint
+
+    a, b = default_checkpoint(spark, "ingest-gdelt", "files", "/a"), default_checkpoint(spark, "ingest-gdelt", "files", "/b")
+    assert a != b and a == default_checkpoint(spark, "ingest-gdelt", "files", "/a")
+
+
 def test_replayed_batch_is_idempotent(spark, workdir):
     fact = os.path.join(workdir, "fact")
     df = spark.createDataFrame(
@@ -135,7 +189,9 @@ def test_live_leaderboard_snapshot_and_daily_job(spark, workdir):
     q.awaitTermination(180)
     snapshot = read_leaderboard_snapshot(spark, snap)
     assert snapshot.select("batch_id").distinct().first().batch_id == 4
-    assert sorted(os.listdir(snap)) == ["batch_id=2", "batch_id=3", "batch_id=4"]  # older versions dropped
+    # versions are kept by age: none is old enough to go
+    assert sorted(os.listdir(snap)) == [f"batch_id={n}" for n in range(5)] + ["maxima"]
+    assert sorted(os.listdir(os.path.join(snap, "maxima"))) == [f"batch_id={n}" for n in range(5)]
     tw = read_trend_windows(spark, fact)
     expect = latest_trends(tw, 20).collect()
     got = snapshot.drop("batch_id").collect()
@@ -160,10 +216,24 @@ def test_compact_day(spark, workdir):
     before = read_trend_windows(spark, fact)
     expect = sorted(map(tuple, daily_summary(before, "2024-01-01", created_at="2024-01-02 00:00:00").collect()))
     n_before = before.count()
-    kept = compact_day(spark, fact, "2024-01-01", files=2)
+    from trendlens.operators.leaderboard import latest_trends
+
+    served = latest_trends(before, 20, horizon="30 seconds").collect()
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        kept = compact_day(spark, fact, "2024-01-01", files=2, horizon="30 seconds")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     after = read_trend_windows(spark, fact)
-    assert kept == 4 and after.count() == 4 < n_before
-    assert {r.batch_id for r in after.collect()} == {-1}
+    assert kept == after.count() < n_before
+    by_keyword = {}
+    for r in after.collect():
+        by_keyword.setdefault(r.keyword, []).append(r.batch_id)
+    # closed windows keep one row; those the served leaderboard still sums keep all
+    assert by_keyword["alpha"] == [-1] and by_keyword["fresh"] == [-1] and -1 not in by_keyword["omega"]
+    assert latest_trends(after, 20, horizon="30 seconds").collect() == served
+    assert sorted(f for f in os.listdir(fact) if not f.startswith((".", "_SUCCESS"))) == ["window_date=2024-01-01"]
     got = sorted(map(tuple, daily_summary(after, "2024-01-01", created_at="2024-01-02 00:00:00").collect()))
     assert got == expect
     hist = trend_history(after, "alpha", hours=72, as_of="2024-01-02 00:00:00").collect()
@@ -253,4 +323,4 @@ def test_cli_ingest_and_compact(spark, workdir):
     assert {r.keyword for r in before} == {"outage", "cloud", "provider"}
     main(["compact", "--fact", fact, "--day", "2024-01-01", "--files", "1"])
     after = spark.read.parquet(fact).collect()
-    assert len(after) == len(before) and {r.batch_id for r in after} == {-1}
+    assert len(after) == len(before)  # all within the horizon of the served leaderboard

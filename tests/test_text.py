@@ -41,8 +41,9 @@ def test_adversarial_expectations():
     assert keywords_py(ADVERSARIAL[1]) == ["founder", "hashtag", "abcde", "abcd"]
     assert keywords_py(ADVERSARIAL[2]) == ["crash", "growth"]
     assert keywords_py("") == [] and keywords_py(None) == []
-    assert len(keywords_py(ADVERSARIAL[6])) == 20
-    assert keywords_py(ADVERSARIAL[7]) == ["repeat"] * 20
+    assert len(keywords_py(ADVERSARIAL[6])) == 25 and len(keywords_py(ADVERSARIAL[6], max_keywords=20)) == 20
+    assert keywords_py(ADVERSARIAL[7]) == ["repeat"] * 25
+    assert keywords_py(ADVERSARIAL[7], max_keywords=20) == ["repeat"] * 20
     assert keywords_py(ADVERSARIAL[8]) == []
     assert sentiment_py([]) == 0.0
     assert sentiment_py(keywords_py(ADVERSARIAL[2])) == 0.0  # crash (-1) + growth (+1)

@@ -9,8 +9,9 @@ doubles rounded to 6 places (summation order differs between engines).
 Fixtures (see trendlens.sources.tables and FIXTURES.md):
 * ``posts_docs``   one post per document, ten posts per 10-second window
 * ``posts_events`` one single-word post per event, 30 days, three sources
-* ``trend_windows`` revision tables built from either by
-  ``simulate_revisions`` (early + final revision of every window)
+* ``trend_windows`` a stored fact table with the per-source maxima, built
+  from either by ``fixtures.stored_revisions`` (early + final revision of
+  every window, as the stream appends them)
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlens.operators import dashboard, history, leaderboard, revisions, rollup, trends
+from trendlens.functions.text import FIRST_KEYWORDS
+from trendlens.operators import alerts, dashboard, history, leaderboard, revisions, rollup, trends
 from trendlens.plans import oracle_sql as O
-from trendlens.sources import tables
+from trendlens.sources import fixtures, tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -31,11 +33,14 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # scale factor gives a non-trivial answer).
 AS_OF_DOCS = "2024-01-01 00:15:00"       # posts_docs: 1000 s at sf0.01, 10000 s at sf0.1
 HISTORY_KEYWORD = "error"                # a keyword of posts_events (and the negative lexicon)
-HISTORY_AS_OF = "2024-01-04 00:00:00"
-HISTORY_HOURS = 72
+HISTORY_AS_OF = "2024-01-10 00:00:00"    # the events run from 2024-01-01 to 2024-01-30
+HISTORY_HOURS = 48
+HORIZON = "2 minutes"                    # of the leaderboard: the documents span 200 s at the smallest scale
+ALERT_THRESHOLD, ALERT_MENTIONS = 0.5, 2
 SUMMARY_DAY = "2024-01-15"
 SUMMARY_CREATED_AT = "2024-02-01 00:15:00"
 UPSERT_FROM, UPSERT_TO = "2024-01-10", "2024-01-20"
+UPSERT_ABSENT = ("click", "gdelt")       # a key that the new rows of the rewritten days lack
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -62,13 +67,23 @@ def _mentions_docs(spark, sf):
     return trends.mentions(_enriched_docs(spark, sf))
 
 
-def _revisions_docs(spark, sf):
-    return revisions.simulate_revisions(_mentions_docs(spark, sf))
+def _facts_docs(spark, sf):
+    return fixtures.stored_revisions(_mentions_docs(spark, sf))
 
 
-def _revisions_events(spark, sf, stage="all"):
+def _revisions_events(spark, sf):
     m = trends.mentions(trends.enrich(tables.posts_events(spark, sf)))
-    return revisions.simulate_revisions(m, stage=stage)
+    return fixtures.stored_revisions(m)[0]
+
+
+def _leaderboard(spark, sf, dedup=False):
+    facts, maxima = _facts_docs(spark, sf)
+    return leaderboard.latest_trends(facts, limit=20, horizon=HORIZON, dedup=dedup, per_source=maxima)
+
+
+def _global(spark, sf):
+    facts, maxima = _facts_docs(spark, sf)
+    return leaderboard.latest_trends_global(facts, limit=20, per_source=maxima)
 
 
 # ----------------------------------------------------------------- queries --
@@ -82,6 +97,13 @@ def q_keywords(spark, sf):
     )
 
 
+def q_keywords_first20(spark, sf):
+    """The original pipeline's cut: the first 20 keywords of a post, and the
+    sentiment over those."""
+    e = trends.enrich(tables.posts_docs(spark, sf), max_keywords=FIRST_KEYWORDS)
+    return e.select("id", F.array_join("keywords", " ").alias("keywords"), "sentiment")
+
+
 def q_sentiment(spark, sf):
     return _enriched_docs(spark, sf).select("id", "sentiment")
 
@@ -100,36 +122,41 @@ def q_trends_events_1h(spark, sf):
     return trends.trends_from_posts(tables.posts_events(spark, sf), width="1 hour")
 
 
-def q_revisions(spark, sf):
-    return _revisions_docs(spark, sf)
+def q_trends_5m(spark, sf):
+    return trends.trends_from_posts(tables.posts_docs(spark, sf), width="5 minutes")
+
+
+def q_sentiment_alerts(spark, sf):
+    hourly = trends.trends_from_posts(tables.posts_events(spark, sf), width="1 hour")
+    return alerts.sentiment_alerts(hourly, ALERT_THRESHOLD, ALERT_MENTIONS)
 
 
 def q_dedup_revisions(spark, sf):
-    return revisions.dedup_revisions(_revisions_docs(spark, sf))
+    return revisions.dedup_revisions(_facts_docs(spark, sf)[0].drop("window_date"))
 
 
 def q_per_source_max(spark, sf):
-    return leaderboard.per_source_max(_revisions_docs(spark, sf))
+    return leaderboard.per_source_max(_facts_docs(spark, sf)[0])
 
 
 def q_latest_trends(spark, sf):
-    return leaderboard.latest_trends(_revisions_docs(spark, sf), limit=20)
+    return _leaderboard(spark, sf)
 
 
 def q_latest_trends_dedup(spark, sf):
-    return leaderboard.latest_trends(_revisions_docs(spark, sf), limit=20, dedup=True)
+    return _leaderboard(spark, sf, dedup=True)
 
 
 def q_latest_trends_global(spark, sf):
-    return leaderboard.latest_trends_global(_revisions_docs(spark, sf), limit=20)
+    return _global(spark, sf)
 
 
 def q_top20_count(spark, sf):
-    return leaderboard.top_count_per_source(leaderboard.latest_trends_global(_revisions_docs(spark, sf), 20))
+    return leaderboard.top_count_per_source(_global(spark, sf))
 
 
 def q_recent_top(spark, sf):
-    return leaderboard.recent_top(_revisions_docs(spark, sf), as_of=AS_OF_DOCS)
+    return leaderboard.recent_top(_facts_docs(spark, sf)[0], as_of=AS_OF_DOCS)
 
 
 def q_trend_history(spark, sf):
@@ -147,43 +174,43 @@ def q_daily_backfill(spark, sf):
 
 def q_daily_upsert(spark, sf):
     """Existing table: a backfill computed while only the early revisions had
-    arrived.  New rows: the full summary of ten days.  The upsert replaces
-    those ten days' keys and keeps everything else."""
-    stale = _revisions_events(spark, sf, stage="early")
-    existing = rollup.daily_summary(stale, None, created_at="2024-01-31 00:15:00")
-    full = rollup.daily_summary(_revisions_events(spark, sf), None, created_at=SUMMARY_CREATED_AT)
+    arrived (those are the even batch ids).  New rows: the full summary of ten
+    days but for one keyword of one source, whose old rows must stay.  The
+    upsert replaces the new rows' keys and keeps everything else."""
+    facts = _revisions_events(spark, sf)
+    existing = rollup.daily_summary(facts.filter(F.col("batch_id") % 2 == 0), None, created_at="2024-01-31 00:15:00")
+    full = rollup.daily_summary(facts, None, created_at=SUMMARY_CREATED_AT)
     new = full.filter(F.col("summary_date").between(F.lit(UPSERT_FROM).cast("date"),
-                                                    F.date_sub(F.lit(UPSERT_TO).cast("date"), 1)))
+                                                    F.date_sub(F.lit(UPSERT_TO).cast("date"), 1))
+                      & ~((F.col("keyword") == UPSERT_ABSENT[0]) & (F.col("source") == UPSERT_ABSENT[1])))
     return rollup.merge_daily_summary(existing, new)
 
 
 def q_sentiment_label(spark, sf):
-    lb = leaderboard.latest_trends(_revisions_docs(spark, sf), limit=20)
-    return dashboard.with_sentiment_label(lb)
+    return dashboard.with_sentiment_label(_leaderboard(spark, sf))
 
 
 def q_leaderboard_by_source(spark, sf):
-    lb = leaderboard.latest_trends(_revisions_docs(spark, sf), limit=20)
-    return dashboard.leaderboard_view(lb, source="src3")
+    return dashboard.leaderboard_view(_leaderboard(spark, sf), source="src3")
 
 
 def q_chart_top15(spark, sf):
-    lb = leaderboard.latest_trends(_revisions_docs(spark, sf), limit=20)
-    return dashboard.chart_top(lb, source="all")
+    return dashboard.chart_top(_leaderboard(spark, sf), source="all")
 
 
 def q_kpis(spark, sf):
-    lb = leaderboard.latest_trends(_revisions_docs(spark, sf), limit=20)
-    return dashboard.kpis(lb, source="all")
+    return dashboard.kpis(_leaderboard(spark, sf), source="all")
 
 
 REGISTRY: dict[str, QueryFn] = {
     "keywords": q_keywords,
+    "keywords_first20": q_keywords_first20,
+    "trends_5m": q_trends_5m,
+    "sentiment_alerts": q_sentiment_alerts,
     "sentiment": q_sentiment,
     "mentions": q_mentions,
     "trends_10s": q_trends_10s,
     "trends_events_1h": q_trends_events_1h,
-    "revisions": q_revisions,
     "dedup_revisions": q_dedup_revisions,
     "per_source_max": q_per_source_max,
     "latest_trends": q_latest_trends,
@@ -224,10 +251,10 @@ def queries() -> dict[str, QueryFn]:
 
 # ----------------------------------------------------------------- oracles --
 
-def _latest_trends_sql(dedup: bool, limit: int = 20, horizon: str = "30 minutes", base: str | None = None,
+def _latest_trends_sql(dedup: bool, limit: int = 20, horizon: str = HORIZON, base: str | None = None,
                        rounded: bool = True) -> str:
     """Oracle of ``latest_trends``: the per-source newest window as a window
-    aggregate (the Spark side joins a size-checked aggregate), top-N with
+    aggregate (the Spark side joins a table of maxima), top-N with
     QUALIFY."""
     base = base or ("deduped" if dedup else "trend_windows")
     r = (lambda c: f"round({c}, 6)") if rounded else (lambda c: c)
@@ -300,6 +327,17 @@ def _oracles() -> dict[str, str]:
     sql["keywords"] = f"""WITH {O.enriched_cte(O.POSTS_DOCS)}
     SELECT id, array_to_string(keywords, ' ') AS keywords, CAST(len(keywords) AS BIGINT) AS n_keywords
     FROM enriched"""
+    sql["keywords_first20"] = f"""WITH {O.enriched_cte(O.POSTS_DOCS, 20)}
+    SELECT id, array_to_string(keywords, ' ') AS keywords, round(sentiment, 6) AS sentiment FROM enriched"""
+    sql["trends_5m"] = f"WITH {O.trends_cte(O.POSTS_DOCS, 300)}" + """
+    SELECT window_start, window_end, keyword, source, mention_count,
+           round(avg_sentiment, 6) AS avg_sentiment, round(trend_score, 6) AS trend_score
+    FROM trends"""
+    sql["sentiment_alerts"] = f"WITH {O.trends_cte(O.POSTS_EVENTS, 3600)}" + """
+    SELECT window_start, window_end, keyword, source, mention_count,
+           round(avg_sentiment, 6) AS avg_sentiment, round(trend_score, 6) AS trend_score,
+           CASE WHEN avg_sentiment > 0 THEN 'positive' ELSE 'negative' END AS level
+    FROM trends WHERE abs(avg_sentiment) >= 0.5 AND mention_count >= 2"""
     sql["sentiment"] = f"""WITH {O.enriched_cte(O.POSTS_DOCS)}
     SELECT id, round(sentiment, 6) AS sentiment FROM enriched"""
     sql["mentions"] = f"""WITH {O.enriched_cte(O.POSTS_DOCS)}
@@ -315,10 +353,6 @@ def _oracles() -> dict[str, str]:
            round(avg_sentiment, 6) AS avg_sentiment, round(trend_score, 6) AS trend_score
     FROM trends"""
     revisions_docs = f"WITH {O.revisions_cte(O.POSTS_DOCS)}"
-    sql["revisions"] = revisions_docs + """
-    SELECT id, batch_id, window_start, window_end, keyword, source, mention_count,
-           round(avg_sentiment, 6) AS avg_sentiment, round(trend_score, 6) AS trend_score
-    FROM trend_windows"""
     sql["dedup_revisions"] = revisions_docs + O.dedup_cte() + """
     SELECT id, batch_id, window_start, window_end, keyword, source, mention_count,
            round(avg_sentiment, 6) AS avg_sentiment, round(trend_score, 6) AS trend_score
@@ -337,13 +371,14 @@ def _oracles() -> dict[str, str]:
     SELECT keyword, source, CAST(sum(mention_count) AS BIGINT) AS mentions,
            round(sum(trend_score), 6) AS score
     FROM trend_windows
-    WHERE window_end >= TIMESTAMP '{AS_OF_DOCS}' - INTERVAL '10 minutes'
+    WHERE window_end BETWEEN TIMESTAMP '{AS_OF_DOCS}' - INTERVAL '10 minutes' AND TIMESTAMP '{AS_OF_DOCS}'
     GROUP BY keyword, source
     ORDER BY sum(trend_score) DESC, mentions DESC, keyword, source
     LIMIT 20"""
     sql["trend_history"] = f"""WITH {O.revisions_cte(O.POSTS_EVENTS)},
     deduped AS {_dedup_of(f"(SELECT * FROM trend_windows WHERE keyword = '{HISTORY_KEYWORD}' "
-                          f"AND window_end >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL '{HISTORY_HOURS} hours')")}
+                          f"AND window_end BETWEEN TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL '{HISTORY_HOURS} hours' "
+                          f"AND TIMESTAMP '{HISTORY_AS_OF}')")}
     SELECT {O.bucket_sql('window_end', 10)} AS bucket, keyword, source,
            CAST(sum(mention_count) AS BIGINT) AS mention_count,
            round(avg(avg_sentiment), 6) AS avg_sentiment,
@@ -360,7 +395,8 @@ def _oracles() -> dict[str, str]:
     existing AS ({_summary_select(_dedup_of('early_windows'), '2024-01-31 00:15:00')}),
     full_summary AS ({_summary_select(_dedup_of('trend_windows'), SUMMARY_CREATED_AT)}),
     new AS (SELECT * FROM full_summary
-            WHERE summary_date >= DATE '{UPSERT_FROM}' AND summary_date < DATE '{UPSERT_TO}'),
+            WHERE summary_date >= DATE '{UPSERT_FROM}' AND summary_date < DATE '{UPSERT_TO}'
+              AND NOT (keyword = 'click' AND source = 'gdelt')),
     merged AS (
         SELECT * FROM existing e WHERE NOT EXISTS (
             SELECT 1 FROM new n WHERE n.summary_date = e.summary_date

@@ -34,9 +34,7 @@ def _gdelt(spark, sf):
 
 
 def _hackernews(spark, sf):
-    head = normalize.story_head(fixtures.hn_story_lists(spark, sf))
-    fetched = head.join(fixtures.hn_items(spark, sf), "story_id")
-    return normalize.normalize_hackernews(fetched, as_of=AS_OF)
+    return normalize.normalize_hackernews(fixtures.hn_items(spark, sf), as_of=AS_OF)
 
 
 def _all_sources(spark, sf):
@@ -65,8 +63,7 @@ def q_dedup_url(spark, sf):
 
 
 def q_union_sources(spark, sf):
-    return flat_posts(normalize.with_topic(_all_sources(spark, sf))).withColumn(
-        "topic", normalize.route_topic_col())
+    return normalize.with_topic(flat_posts(_all_sources(spark, sf)))
 
 
 def q_parse_posts(spark, sf):
@@ -116,11 +113,22 @@ def q_post_payload(spark, sf):
     return posts.post_payload(_all_sources(spark, sf).drop("metadata"))
 
 
+def q_pipeline_errors(spark, sf):
+    """Post records of which some are cut off, blank or without id or text."""
+    d = tables.read_table(spark, sf, "documents")
+    n = F.col("doc_id")
+    record = F.struct(F.when(n % 5 != 0, n.cast("string")).alias("id"), F.col("source"),
+                      F.when(n % 11 != 0, F.col("text")).otherwise(F.lit("")).alias("text"))
+    whole = F.to_json(record, {"ignoreNullFields": "false"})
+    value = F.when(n % 7 == 0, F.substring(whole, 1, 14)).when(n % 13 == 0, F.lit("  ")).otherwise(whole)
+    return posts.post_errors(d.select(value.alias("value")))
+
+
 def _final_revisions(spark, sf):
-    from trendlens.operators import revisions, trends
+    from trendlens.operators import trends
 
     m = trends.mentions(trends.enrich(tables.posts_docs(spark, sf)))
-    return revisions.simulate_revisions(m, stage="final").withColumn("created_at", F.col("window_end"))
+    return fixtures.simulate_revisions(m, stage="final").withColumn("created_at", F.col("window_end"))
 
 
 def q_trend_payload(spark, sf):
@@ -128,28 +136,32 @@ def q_trend_payload(spark, sf):
 
     rows = _final_revisions(spark, sf)
     # Round before serializing so engines that sum in another order agree.
-    rows = rows.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(
-        "trend_score", F.round("trend_score", 6))
+    # Three places: engines write smaller doubles in different notations.
+    rows = rows.withColumn("avg_sentiment", F.round("avg_sentiment", 3)).withColumn(
+        "trend_score", F.round("trend_score", 3))
     return trend_payload(rows)
 
 
 def q_leaderboard_json(spark, sf):
     from trendlens.operators.leaderboard import latest_trends
+    from trendlens.operators.trends import enrich, mentions
+    from trendlens.plans.catalog import HORIZON
     from trendlens.sources.sinks import leaderboard_json
 
-    lb = latest_trends(_final_revisions(spark, sf), limit=20)
-    lb = lb.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(
-        "trend_score", F.round("trend_score", 6))
+    facts, maxima = fixtures.stored_revisions(mentions(enrich(tables.posts_docs(spark, sf))))
+    lb = latest_trends(facts, limit=20, horizon=HORIZON, dedup=True, per_source=maxima)
+    lb = lb.withColumn("avg_sentiment", F.round("avg_sentiment", 3)).withColumn(
+        "trend_score", F.round("trend_score", 3))
     return leaderboard_json(lb)
 
 
 def q_history_json(spark, sf):
-    from trendlens.operators import history, revisions, trends
+    from trendlens.operators import history, trends
     from trendlens.plans.catalog import HISTORY_AS_OF, HISTORY_HOURS, HISTORY_KEYWORD
     from trendlens.sources.sinks import history_json
 
     m = trends.mentions(trends.enrich(tables.posts_events(spark, sf)))
-    hist = history.trend_history(revisions.simulate_revisions(m), HISTORY_KEYWORD, hours=HISTORY_HOURS,
+    hist = history.trend_history(fixtures.stored_revisions(m)[0], HISTORY_KEYWORD, hours=HISTORY_HOURS,
                                  as_of=HISTORY_AS_OF)
     hist = hist.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(
         "trend_score", F.round("trend_score", 6))
@@ -158,6 +170,7 @@ def q_history_json(spark, sf):
 
 REGISTRY = {
     "history_json": q_history_json,
+    "pipeline_errors": q_pipeline_errors,
     "post_payload": q_post_payload,
     "trend_payload": q_trend_payload,
     "leaderboard_json": q_leaderboard_json,
@@ -222,13 +235,15 @@ BLUESKY_SQL = f"""
         FROM bkept)"""
 
 GDELT_SQL = f"""
-    arts AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS url,
-        regexp_extract(html, '<title>(.*?)</title>', 1) AS title,
+    arts AS (SELECT CASE WHEN page_id % 11 = 0 THEN '' ELSE regexp_replace(url, '[?#].*$', '') END AS url,
+        CASE WHEN regexp_extract(html, '<html lang="([a-z]*)"', 1) <> 'fr'
+             THEN regexp_extract(html, '<title>(.*?)</title>', 1) END AS title,
         regexp_extract(url, '^https?://([^/?#]+)', 1) AS domain,
         regexp_extract(html, '<html lang="([a-z]*)"', 1) AS language,
-        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 60), '%Y%m%dT%H%M%SZ') AS seendate,
+        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 60 + again * 86400),
+                 '%Y%m%dT%H%M%SZ') AS seendate,
         upper(regexp_extract(url, '/([a-z]{{2}})/', 1)) AS sourcecountry
-        FROM pages),
+        FROM pages JOIN (SELECT unnest([0, 1]) AS again) ON again = 0 OR page_id % 3 = 0),
     gdelt AS (SELECT substr(sha256(url), 1, 24) AS id, 'gdelt' AS source,
         coalesce(nullif(domain, ''), 'gdelt') AS author, title AS text,
         coalesce(nullif(language, ''), 'unknown') AS lang, {_gdelt_date_sql('seendate')} AS created_at, url,
@@ -240,13 +255,13 @@ GDELT_SQL = f"""
 HN_SQL = f"""
     hn AS (SELECT 'hn_' || CAST(conv_id * 1000000 + turn AS VARCHAR) AS id, 'hackernews' AS source,
         coalesce(nullif(CASE WHEN turn = 0 THEN NULL ELSE role END, ''), 'hn') AS author,
-        split_part(text, chr(10), 1) AS text, 'en' AS lang, '{AS_OF_ISO}' AS created_at,
+        text, 'en' AS lang, '{AS_OF_ISO}' AS created_at,
         coalesce(CASE WHEN length(text) < 100 THEN NULL ELSE 'https://conv.example/' || CAST(conv_id AS VARCHAR) END,
                  'https://news.ycombinator.com/item?id=' || CAST(conv_id * 1000000 + turn AS VARCHAR)) AS url,
         NULL::VARCHAR AS metadata_collection, NULL::VARCHAR AS metadata_domain,
         NULL::VARCHAR AS metadata_source_country, CAST(turn AS BIGINT) AS metadata_score,
         CAST(length(text) AS BIGINT) AS metadata_descendants
-        FROM conversations WHERE role = 'user' AND split_part(text, chr(10), 1) <> '')"""
+        FROM conversations WHERE role = 'user' AND text <> '')"""
 
 POST_COLS = ("id, source, author, text, lang, created_at, url, metadata_collection, metadata_domain, "
              "metadata_source_country, metadata_score, metadata_descendants")
@@ -257,9 +272,9 @@ def oracle_sql() -> dict[str, str]:
     sql["norm_bluesky"] = f"WITH {BLUESKY_SQL} SELECT * FROM bluesky"
     sql["norm_gdelt"] = f"WITH {GDELT_SQL} SELECT * FROM gdelt"
     sql["hn_head"] = """WITH lists AS (
-        SELECT conv_id AS poll_id,
-               list_slice(list_reverse(list_sort(list(conv_id * 1000000 + turn))), 1, 500) AS ids
-        FROM conversations GROUP BY conv_id),
+        SELECT CAST(conv_id // 20 * 1000 + turn // 50 AS BIGINT) AS poll_id,
+               list_reverse(list_sort(list(conv_id * 1000000 + turn))) AS ids
+        FROM conversations GROUP BY ALL),
     heads AS (SELECT poll_id, list_slice(list_slice(ids, 1, 50), 1, 20) AS h FROM lists)
     SELECT poll_id, CAST(unnest(range(len(h))) AS BIGINT) AS rank, CAST(unnest(h) AS BIGINT) AS story_id
     FROM heads"""
@@ -299,10 +314,18 @@ def oracle_sql() -> dict[str, str]:
     sql["trend_payload"] = fin + f"""
     SELECT keyword AS key, json_object('batch_id', batch_id, 'window_start', {ts_ms.format('window_start')},
         'window_end', {ts_ms.format('window_end')}, 'keyword', keyword, 'source', source,
-        'mention_count', mention_count, 'avg_sentiment', round(avg_sentiment, 6),
-        'trend_score', round(trend_score, 6),
+        'mention_count', mention_count, 'avg_sentiment', round(avg_sentiment, 3),
+        'trend_score', round(trend_score, 3),
         'created_at', {ts_ms.format('created_at')})::VARCHAR AS value
     FROM fin"""
+    sql["pipeline_errors"] = """WITH r AS (
+        SELECT doc_id AS n, json_object('id', CASE WHEN doc_id % 5 <> 0 THEN CAST(doc_id AS VARCHAR) END,
+                   'source', source, 'text', CASE WHEN doc_id % 11 <> 0 THEN text ELSE '' END)::VARCHAR AS whole
+        FROM documents),
+    v AS (SELECT n, CASE WHEN n % 7 = 0 THEN substr(whole, 1, 14) WHEN n % 13 = 0 THEN '  ' ELSE whole END AS value,
+                 CASE WHEN n % 7 = 0 THEN 'malformed' WHEN n % 13 = 0 THEN 'empty' WHEN n % 5 = 0 THEN 'no id'
+                      WHEN n % 11 = 0 THEN 'no text' END AS reason FROM r)
+    SELECT 'pipeline-errors' AS topic, value, reason FROM v WHERE reason IS NOT NULL"""
     from trendlens.plans.catalog import _latest_trends_sql
 
     iso = "strftime({0}, '%Y-%m-%dT%H:%M:%S+00:00')"
@@ -310,7 +333,8 @@ def oracle_sql() -> dict[str, str]:
 
     sql["history_json"] = f"""WITH {O.revisions_cte(O.POSTS_EVENTS)},
     sel AS (SELECT * FROM trend_windows WHERE keyword = '{HISTORY_KEYWORD}'
-              AND window_end >= TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL '{HISTORY_HOURS} hours'),
+              AND window_end BETWEEN TIMESTAMP '{HISTORY_AS_OF}' - INTERVAL '{HISTORY_HOURS} hours'
+                             AND TIMESTAMP '{HISTORY_AS_OF}'),
     latest AS {O.latest_revisions_sql('sel')},
     hist AS (SELECT {O.bucket_sql('window_end', 10)} AS bucket, keyword, source,
                     CAST(sum(mention_count) AS BIGINT) AS mention_count,
@@ -322,7 +346,7 @@ def oracle_sql() -> dict[str, str]:
     FROM hist"""
     sql["leaderboard_json"] = f"""WITH lb AS ({_latest_trends_sql(False, base="final_windows", rounded=False)})
     SELECT json_object('keyword', keyword, 'source', source, 'mention_count', mention_count,
-        'avg_sentiment', round(avg_sentiment, 6), 'trend_score', round(trend_score, 6),
+        'avg_sentiment', round(avg_sentiment, 3), 'trend_score', round(trend_score, 3),
         'window_start', {iso.format('window_start')}, 'window_end', {iso.format('window_end')})::VARCHAR AS json
     FROM lb"""
     sql["sanitize_ts"] = f"""WITH s AS (

@@ -9,27 +9,47 @@ the Unicode-aware Spark expression on every test text checked
 
 from __future__ import annotations
 
-from trendlens.functions.text import CLEANING_PATTERNS, MAX_KEYWORDS, _TOKEN_BODY
-from trendlens.functions.wordlists import NEGATIVE, POSITIVE, STOP_WORDS
+# Fixed values of the oracles, stated here on their own so that a wrong
+# pattern or word in the package does not pass on both sides.
+CLEANING = (
+    r"https?://\S+",
+    r"\b[\w-]+\.[\w.-]+\b",
+    r"\b[\w.-]+@[\w.-]+\b",
+    r"\b(?:com|org|net|edu|gov|io|co|uk|us|au|ca|de|fr|info|biz|me|tv)\b",
+)
+TOKEN = "#?([a-z][a-z0-9_]{3,})"
+STOP = """
+    a about after all also an and are as at be because but by can for from has have i if in into is it its new no not
+    of on only or our over than that the their there this to today was we what when which with you your will
+    http https rt get got just like make know think see one good great well more much even now some still time day way
+    people would could should want need take give back come done real post social media really actually going been
+    being they them these those
+    com org net edu gov mil io co uk us au ca de fr www html htm php asp json xml pdf png jpg jpeg gif css js svg amp
+    via says said according
+""".split()
+UP = """good great growth gain gains improve improved strong win wins launch fast success positive best safe secure
+    stable""".split()
+DOWN = """bad bug bugs crash down fail failed issue issues loss risk slow negative worse worst attack outage
+    error""".split()
 
 
 def _sql_list(words) -> str:
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in sorted(set(words))) + "]"
 
 
-def keywords_sql(text: str) -> str:
+def keywords_sql(text: str, first: int | None = None) -> str:
     expr = f"lower({text})"
-    for pattern in CLEANING_PATTERNS:
+    for pattern in CLEANING:
         expr = f"regexp_replace({expr}, '{pattern}', ' ', 'g')"
-    tokens = f"regexp_extract_all({expr}, '{_TOKEN_BODY}', 1)"
-    kept = f"list_filter({tokens}, lambda t: NOT list_contains({_sql_list(STOP_WORDS)}, t) AND length(t) >= 4)"
-    return f"coalesce(list_slice({kept}, 1, {MAX_KEYWORDS}), []::VARCHAR[])"
+    kept = (f"list_filter(regexp_extract_all({expr}, '{TOKEN}', 1), "
+            f"lambda t: NOT list_contains({_sql_list(STOP)}, t))")
+    return f"coalesce({kept if first is None else f'list_slice({kept}, 1, {first})'}, []::VARCHAR[])"
 
 
 def sentiment_sql(keywords: str) -> str:
-    pos = f"len(list_filter({keywords}, lambda t: list_contains({_sql_list(POSITIVE)}, t)))"
-    neg = f"len(list_filter({keywords}, lambda t: list_contains({_sql_list(NEGATIVE)}, t)))"
-    return f"CAST(({pos} - {neg}) AS DOUBLE) / greatest(len({keywords}), 1)"
+    up = f"len(list_filter({keywords}, lambda t: list_contains({_sql_list(UP)}, t)))"
+    down = f"len(list_filter({keywords}, lambda t: list_contains({_sql_list(DOWN)}, t)))"
+    return f"CAST(({up} - {down}) AS DOUBLE) / greatest(len({keywords}), 1)"
 
 
 # Post fixtures (see trendlens.sources.tables).
@@ -54,10 +74,10 @@ def bucket_sql(ts: str, seconds: int) -> str:
             f"to_microseconds(CAST(floor(epoch_us({ts}) / {seconds * 1_000_000}) AS BIGINT) * {seconds * 1_000_000}))")
 
 
-def enriched_cte(posts_sql: str) -> str:
+def enriched_cte(posts_sql: str, first: int | None = None) -> str:
     return f"""
     posts AS ({posts_sql}),
-    kw AS (SELECT *, {keywords_sql('text')} AS keywords FROM posts),
+    kw AS (SELECT *, {keywords_sql('text', first)} AS keywords FROM posts),
     enriched AS (SELECT *, {sentiment_sql('keywords')} AS sentiment FROM kw)"""
 
 
@@ -79,7 +99,7 @@ def trends_cte(posts_sql: str, seconds: int = 10) -> str:
 
 
 def revisions_cte(posts_sql: str, seconds: int = 10) -> str:
-    """Two-trigger revision table: see trendlens.operators.revisions.simulate_revisions."""
+    """Two-trigger revision table: see trendlens.sources.fixtures.simulate_revisions."""
     half = seconds * 1_000_000 // 2
     return mentions_cte(posts_sql) + f""",
     tagged AS (
