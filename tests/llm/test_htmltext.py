@@ -1,0 +1,94 @@
+"""HTML extraction: planted boilerplate, malformed markup, site templates."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from trendlens.llm import htmltext as H
+
+CASES = [
+    ("<article><h1>T</h1><p>One  \n two.</p><p>Three&amp;&lt;four&#233;</p></article>", "T\n\nOne two.\n\nThree&<fouré"),
+    ("<nav>menu</nav><article><p><b>open<br>bold<p>next</p></article><footer>f</footer>", "open bold\n\nnext"),
+    ("<body><header>site</header><main><p>a</p></main><aside>s</aside></body>", "a"),
+    ("<article><header><h1>Head</h1></header><p>x</p><footer>by me</footer></article>", "Head\n\nx"),
+    ('<div class="content"><p>a</p><div class="ad">buy</div><div id="cookie-notice">c</div></div>', "a"),
+    ('<article><p>a</p><section class="comments"><p>reader</p></section></article>', "a"),
+    ('<article><p>a <script>x("</p>")</script>b<style>p{}</style> c</p></article>', "a b c"),
+    ("<article><p>a<!-- c > --> b</p><form>f<input value='>'></form></article>", "a b"),
+    ("<article><ul><li>one<li>two</ul><table><tr><td>x<td>y</table></article>", "one\n\ntwo\n\nx\n\ny"),
+    ("<article>loose <em>text</em><p>para</p>tail</article>", "loose text\n\npara\n\ntail"),
+    ('<article><p title="a > b">x</p><p>1 < 2 &amp 3 &nbsp; 4</p></article>', "x\n\n1 < 2 & 3 4"),
+    ("<ARTICLE><P CLASS=Sidebar>s</P><P>kept</P></ARTICLE>", "kept"),
+    ("<p>no article</p><p>but text", "no article\n\nbut text"),
+    ("<article><p>never closed <div>inner", "never closed\n\ninner"),
+    ("plain text", "plain text"), ("", ""), (None, ""), ("<", "<"), ("<p", ""), ("</p></div>", ""),
+    ("<script>never closed", ""), ("<!-- never closed", ""), ('<p class="x>lost quote</p>', "lost quote"),
+    ("<article><pre>a\n  b</pre>\u00a0</article>", "a b"), ("<article>\x00a&#0;b&bogus;</article>", "\x00a\ufffdb&bogus;"),
+    ("<article><noscript>n</noscript><p hidden>h</p><p data-hidden-x=1>ok</p></article>", "ok"),
+]
+
+
+@pytest.mark.parametrize("html, text", CASES)
+def test_cases(html, text):
+    assert H.extract_text(html) == text
+
+
+def test_long_pages_are_whole():
+    html = "<article>" + "".join(f"<p>paragraph {i}</p>" for i in range(20_000)) + "</article>"
+    assert H.extract_text(html).count("\n\n") == 19_999
+    deep = "<div>" * 2000 + "deep" + "</div>" * 2000
+    assert H.extract_text(deep) == "deep"
+
+
+def site(n=20):
+    menu = "<div class='x1'><span>Home</span> <span>News</span></div>"
+    share = "<div class='x2'>Send this to a friend</div>"
+    return [(i, f"https://Site.example/{i}", f"<body>{menu}<div><p>Story {i} here</p><p>All rights reserved.</p></div>"
+             f"{share}</body>") for i in range(n)]
+
+
+def extract(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
+        "host", F.lit("clash")).withColumn("text", F.lit("keep")).withColumn("templates", F.lit(1))
+    out = H.extract_pages(pages)
+    assert out.columns == [*pages.columns, "main_text"]
+    return sorted(((r.page_id, r.main_text) for r in out.collect()), key=lambda r: (r[0] is None, r[0] or 0))
+
+
+def test_templates_of_a_site_go(spark):
+    other = [(100, "https://other.example/1", site()[0][2])]
+    got = dict(extract(spark, site() + other))
+    assert all(got[i] == f"Story {i} here\n\nAll rights reserved." for i in range(20))
+    # one page of another host shows no recurrence
+    assert got[100] == "Home News\n\nStory 0 here\n\nAll rights reserved.\n\nSend this to a friend"
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    copies = [(i, "http://c.example/", "<body><div><div>The same story everywhere.</div></div></body>")
+              for i in range(50)]
+    rows = copies + [(60 + i, "http://c.example/", f"<body><div><div>Story {i}.</div></div></body>") for i in range(9)]
+    got = dict(extract(spark, rows))
+    assert all(got[i] == "The same story everywhere." for i in range(50))
+    assert all(got[60 + i] == f"Story {i}." for i in range(9))
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    rows = [(1, None, "<p>a</p>"), (None, "x", None), (2, "http://h/", ""), (2, "http://h/", ""), (3, "", "<p>b")]
+    assert extract(spark, rows) == [(1, "a"), (2, ""), (2, ""), (3, "b"), (None, "")]
+    assert extract(spark, rows[:0] or [(9, "u", "<p>x")])[:0] == []
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert H.extract_pages(empty).collect() == []
+
+
+def test_pages_of_the_corpus(spark):
+    """The article of the corpus's pages, cut out with string functions."""
+    import re
+    from html import unescape
+
+    from conftest import SF_SMALL
+    from trendlens.llm import queries
+
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()}
+    for r in queries.queries()["op9_html"](spark, SF_SMALL).collect():
+        article = html[r.page_id].split("<article>")[1].split("</article>")[0]
+        blocks = [" ".join(unescape(re.sub("<[^>]+>", " ", b)).split()) for b in re.split("<(?:/?p|/?h1)>", article)]
+        assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)

@@ -114,10 +114,10 @@ class Page:
             while len(stack) > upto:
                 k = stack[-1]
                 elements[k][2] = end
-                if elements[k][0] in BLOCK or elements[k][4]:
+                if elements[k][0] in BLOCK:
                     flush()
                 stack.pop()
-                if elements[k][0] in BLOCK or elements[k][4]:
+                if elements[k][0] in BLOCK:
                     flush()
 
         def imply_end(names: set, at: int) -> None:
@@ -152,7 +152,7 @@ class Page:
                         break
                 continue
             if tag in VOID:
-                if tag in ("hr",):
+                if tag == "hr":
                     flush()
                 elif tag == "br":
                     runs.append(" ")
@@ -167,17 +167,16 @@ class Page:
                        or tag not in ("html", "body", "article", "main")
                        and _named(html[m.end():at], within))
             inside = within or tag in ("article", "main")
-            if tag in BLOCK or skipped:
+            if tag in BLOCK:
                 flush()
             elements.append([tag, start, len(html), parent, skipped, inside])
             if tag in RAW and not html[at - 2:at] == "/>":
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(html, at)
                 at = _tag_end(html, end.end()) if end else len(html)
                 elements[-1][2] = at
-                flush()
                 continue
             stack.append(len(elements) - 1)
-            if tag in BLOCK or skipped:
+            if tag in BLOCK:
                 flush()
         text(html[at:])
         close(0, len(html))
