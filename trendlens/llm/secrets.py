@@ -202,9 +202,8 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     clean = F.aggregate(
         spans, F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at")), cut,
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1)))
-    joined = suspects.join(found, key, "left")
     changed = F.col(spans).isNotNull()
-    columns = [F.when(changed, clean).otherwise(text).alias("text") if c == "text"
-               else F.when(changed, F.length(clean)).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
+    joined = suspects.join(found, key, "left").withColumn("text", F.when(changed, clean).otherwise(text))
+    columns = [F.when(changed, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else F.col(c) for c in docs.columns]
     return docs.filter(~has).unionAll(joined.select(*columns))
