@@ -60,7 +60,7 @@ def _daily(args, spark):
 def _compact(args, spark):
     from trendlens.operators.compaction import compact_day
 
-    print(compact_day(spark, args.fact, args.day, files=args.files))
+    print(compact_day(spark, args.fact, args.day, files=args.files, horizon=args.horizon))
 
 
 def main(argv=None) -> None:
@@ -101,6 +101,7 @@ def main(argv=None) -> None:
     c.add_argument("--fact", required=True)
     c.add_argument("--day", required=True)
     c.add_argument("--files", type=int)
+    c.add_argument("--horizon", default="30 minutes", help="how far back a leaderboard sums all revisions")
     args = ap.parse_args(argv)
     spark = build_session()
     {"stream": _stream, "ingest": _ingest, "daily": _daily, "compact": _compact}[args.cmd](args, spark)
