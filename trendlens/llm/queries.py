@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm import (chat, decontaminate, htmltext, packing, quality, rollups, secrets, simhash, urlrank,
-                           warc)
+from trendlens.llm import (chat, decontaminate, htmltext, oracles, packing, quality, rollups, secrets, simhash,
+                           urlrank, warc)
 from trendlens.llm.common import written
 from trendlens.session import scratch_path
 from trendlens.sources.tables import read_table
@@ -76,7 +76,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(read_table(spark, sf_dir, "documents"),
-                                              read_table(spark, sf_dir, "benchmark"))
+                                              read_table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +101,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
