@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +61,21 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def bounded_sample(df: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """``df`` if it has at most ``most`` rows, else ``most`` of them (about so
+    many if rows repeat), those with small hashes of ``keys``.
+
+    Rows are first thinned by their hashes to little more than ``most``, so
+    that the final sort gets as many whatever the size of ``df``.
+    """
+    n = df.count()
+    if n <= most:
+        return df
+    order = F.xxhash64(*keys)
+    share = int(1.25 * most / n * (1 << 30)) + 1
+    return df.filter(F.pmod(order, F.lit(1 << 30)) < share).orderBy(F.pmod(order, F.lit(1 << 30)), *keys).limit(most)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet, made from ``name``."""
     taken = {c.lower() for c in df.columns}
@@ -68,6 +84,23 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(docs: DataFrame, name: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with columns that tell its rows apart, repeated ones too, and
+    the names of those columns.
+
+    A table read straight from Parquet files (filtered or projected, but not
+    multiplied) is told apart by file and place in it, without a copy; any
+    other table is numbered in a written copy.  Either way a recomputed task
+    gives a row the same key.
+    """
+    file, place = fresh(docs, "row_file"), fresh(docs, "row_place")
+    try:
+        return docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place)), [
+            file, place]
+    except AnalysisException:  # no file behind a row
+        return written(docs.withColumn(place, F.monotonically_increasing_id()), name), [place]
+
+
 def words_col(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; none for NULL.
 

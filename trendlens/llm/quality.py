@@ -4,7 +4,9 @@ Words and word pairs of every document fall into ``buckets`` hash buckets.
 Two multinomials over the buckets are counted: one over the whole corpus, one
 over trusted documents.  A document's score is its log-likelihood under the
 trusted one minus that under the corpus one, divided by its number of
-n-grams; documents that score far below the trusted ones are rejected.
+n-grams.  One half of the trusted documents is counted; the other half, which
+the counts have not seen, says how good documents score, and documents far
+below that are rejected.
 
 Built from DataFrame functions alone.  Texts are never shuffled: counts are
 summed per task and bucket before the exchange, weights (one per bucket, a
@@ -17,17 +19,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import fresh, words_col, written
+from trendlens.llm.common import bounded_sample, numbered, words_col, written
 
 BUCKETS = 1 << 16
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 REPEAT_WINDOW = 3
-# Labelled rows that the trusted multinomial is fitted on, at most: those
-# with the smallest hashes of their ids.
+# Labelled rows that the trusted multinomial and the threshold are fitted on,
+# at most: those with the smallest hashes of their ids.
 MAX_TRUSTED = 50_000
-# Standard deviations below the trusted documents' mean score at which a
-# document is rejected.
+# Standard deviations below the held-out trusted documents' mean score at
+# which a document is rejected.
 MARGIN = 6.0
 SYMBOLS = r"[#*$%&|<>]"
 _SCALE = 1 << 20  # weights are fixed-point, so that sums don't depend on the order
@@ -94,11 +96,13 @@ def gram_buckets(words: str, buckets: int = BUCKETS) -> Column:
 
 
 def trusted_ids(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
-    """Ids labelled good and never toxic, ``most`` of them at most."""
+    """``(doc_id, held)``: ids labelled good and never toxic, ``most`` of them
+    at most, every other one (by hash) held out from the counts."""
     good = (labels.filter("doc_id IS NOT NULL").groupBy("doc_id")
             .agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
             .filter("q = 1 AND coalesce(t, 0) = 0").select("doc_id"))
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    chosen = bounded_sample(written(good, "quality-good"), ["doc_id"], most)
+    return chosen.select("doc_id", (F.pmod(F.xxhash64(F.lit("held"), "doc_id"), F.lit(2)) == 1).alias("held"))
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str,
@@ -106,7 +110,7 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: s
     """``(bucket, weight)``: fixed-point log ratio of the trusted to the
     corpus multinomial, add-one smoothed, for every bucket the corpus fills."""
     marked = docs.select(F.col(id_col).alias("doc_id"), words_col(F.col(text_col)).alias("__words")).join(
-        F.broadcast(trusted.select("doc_id", F.lit(1).alias("__good"))), "doc_id", "left")
+        F.broadcast(trusted.filter("NOT held").select("doc_id", F.lit(1).alias("__good"))), "doc_id", "left")
     grams = marked.select("__good", F.explode(gram_buckets("__words", buckets)).alias("bucket"))
     counts = written(grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.count("__good").alias("good")),
                      "quality-counts")
@@ -120,21 +124,22 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: s
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED,
-                    margin: float = MARGIN, row_col: str | None = None) -> DataFrame:
-    """``(id, [row], n_words, word_chars, n_symbols, n_dup_lines,
+                    margin: float = MARGIN, row_cols: list[str] | None = None) -> DataFrame:
+    """``(id, [rows], n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, score, base_failed, kept)``, one row per row of ``docs``.
 
     A NULL or empty text has no words and fails the base rules; NULL and
     repeated ids and repeated rows are judged row by row; extra columns are
-    ignored; an empty table gives no rows.  Without any trusted document all
-    scores are 0 and the base rules decide alone.  The base rules' documents
-    are scored as well, but only trusted documents that pass them set the
-    threshold.
+    ignored; an empty table gives no rows.  ``row_cols`` names columns that
+    tell the rows apart; they are returned.  Without trusted documents in
+    either half the base rules decide alone (without counted ones all scores
+    are 0).  Documents that fail the base rules are scored as well, but only
+    held-out documents that pass them set the threshold.
     """
     trusted = written(trusted_ids(labels, max_trusted), "quality-trusted")
     weights = bucket_weights(docs, trusted, id_col, text_col, buckets)
-    keep = [F.col(id_col).alias("__id"),
-            (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("__row")]
+    row = F.struct(*row_cols) if row_cols else F.monotonically_increasing_id()
+    keep = [F.col(id_col).alias("__id"), row.alias("__row")]
     ruled = base_rules(docs.select(*keep, F.col(text_col).alias("__t")), "__t", ["__id", "__row"])
     grams = ruled.select("__id", "__row", *RULE_COLUMNS,
                          F.explode_outer(gram_buckets("__words", buckets)).alias("bucket"))
@@ -146,19 +151,18 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         "__id", "__row", *RULE_COLUMNS, score.alias("score"),
         base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed")), "quality-scores")
     level = (scored.filter(~F.col("base_failed"))
-             .join(F.broadcast(trusted), F.col("__id") == trusted["doc_id"], "left_semi")
+             .join(F.broadcast(trusted.filter("held")), F.col("__id") == trusted["doc_id"], "left_semi")
              .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).first())
     least = float("-inf") if level["mean"] is None else level["mean"] - margin * level["spread"]
     return scored.select(
-        F.col("__id").alias(id_col), *([F.col("__row").alias(row_col)] if row_col else []), *RULE_COLUMNS, "score",
+        F.col("__id").alias(id_col), *(["__row.*"] if row_cols else []), *RULE_COLUMNS, "score",
         "base_failed", (~F.col("base_failed") & (F.col("score") >= F.lit(least))).alias("kept"))
 
 
 def keep_good_documents(docs: DataFrame, labels: DataFrame, margin: float = MARGIN) -> DataFrame:
     """The documents that :func:`score_documents` keeps, every column as it
-    came; rows are numbered in a written copy so that repeated ids differ."""
-    row = fresh(docs, "row")
-    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "quality-docs")
-    verdicts = score_documents(numbered, labels, margin=margin, row_col=row)
-    gone = written(verdicts.filter(~F.col("kept")).select(row), "quality-gone")
-    return numbered.join(gone, row, "left_anti").select(*docs.columns)
+    came; verdicts are joined by row keys (see :func:`numbered`)."""
+    keyed, keys = numbered(docs, "quality-docs")
+    verdicts = score_documents(keyed, labels, margin=margin, row_cols=keys)
+    gone = written(verdicts.filter(~F.col("kept")).select(*keys), "quality-gone")
+    return keyed.join(gone, keys, "left_anti").select(*docs.columns)

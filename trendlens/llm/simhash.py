@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import python_workers, fresh, written
+from trendlens.llm.common import numbered, python_workers, written
 from trendlens.llm.graph import connected_components
 
 SHINGLE_WORDS = 3
@@ -177,19 +177,17 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, distance
     """``docs`` with one row of each group of near duplicates: the one with
     the smallest ``doc_id`` (NULL ids last; of repeated ids any one row).
 
-    Rows are numbered in a written copy, so that repeated rows differ and a
-    recomputed task cannot renumber them.  Every column is returned as it
-    came.
+    Only fingerprints, ids and row keys are grouped and joined, never texts
+    (see :func:`numbered`).  Every column is returned as it came.
     """
     python_workers(docs.sparkSession)
-    fp, row = fresh(docs, "fp"), fresh(docs, "row")
-    numbered = written(docs.withColumn(fp, fingerprint_col(F.col("text"), shingle))
-                       .withColumn(row, F.monotonically_increasing_id()), "simhash-docs")
-    rows = numbered.select(F.col("doc_id").alias("id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
+    keyed, keys = numbered(docs, "simhash-docs")
+    row = F.struct(*keys).alias("row")
+    rows = written(keyed.select(F.col("doc_id").alias("id"), fingerprint_col(F.col("text"), shingle).alias("fp"), row),
+                   "simhash")
     members = written(rows.join(fingerprint_groups(rows, distance), "fp").select("id", "root", "row"),
                       "simhash-members")
     rank = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("row"))
-    first = members.groupBy("root").agg(F.min(rank)["row"].alias("row"))
-    gone = written(members.join(first.select("row"), "row", "left_anti").select(F.col("row").alias(row)),
-                   "simhash-gone")
-    return numbered.join(gone, row, "left_anti").select(*docs.columns)
+    first = written(members.groupBy("root").agg(F.min(rank)["row"].alias("first")), "simhash-first")
+    gone = members.join(first.withColumnRenamed("root", "r"), F.col("root") == F.col("r")).filter("row <> first")
+    return keyed.join(written(gone.select("row.*"), "simhash-gone"), keys, "left_anti").select(*docs.columns)
