@@ -58,7 +58,8 @@ def test_capacity_tree():
 
 TEXTS = ["", None, "A plain text, with Punctuation!!", "tabs\tand\nlines\r\n and  blanks", "Ünïcode straße İstanbul ΑΣ",
          "don't we'll they've", "combining é a ́b", "nbsp and em　wide", "\x1cx\x1f y\x00z",
-         "emoji \U0001F600\U0001F468‍\U0001F469", "中文字符 テスト", "12345 3.14 x9", "x" * 3000, "word " * 3000]
+         "emoji \U0001F600\U0001F468‍\U0001F469", "中文字符 テスト", "12345 3.14 x9", "(word) ##Word!! 'tis o'clock it's, 'word' wor'd. --É--", "<|endoftext|> a<|startoftext|>b <|x|>",
+         "x\u0301y. (e\u0301) ºª ¼ ʰ _a_ a_b", "x" * 3000, "word " * 3000]
 
 
 def test_ids_equal_the_tokenizer_on_whole_texts():
@@ -69,7 +70,7 @@ def test_ids_equal_the_tokenizer_on_whole_texts():
     for text in TEXTS * 2:
         expect = tok.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(enc.encode(text), "<u4").tolist() == expect
-        assert len(enc.cache) <= 50 + len(set((text or "").split()))
+        assert len(enc.words) <= 50 + len(set((text or "").split()))
 
 
 def test_packed_rows(spark):

@@ -13,6 +13,8 @@ capacity, not by the corpus; every task then looks up its own documents.
 from __future__ import annotations
 
 import os
+import string
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -26,7 +28,14 @@ from trendlens.llm.common import python_workers, written
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 300_000  # words whose ids a Python worker keeps
+# Words, and parts of words, whose ids a Python worker keeps at least, and
+# twice at most.
+CACHE_WORDS = 250_000
+# ASCII punctuation but for the apostrophe, which the tokenizer joins to letters.
+PUNCTUATION = string.punctuation.replace("'", "")
+# Up to here letters are single code points in normal form C and lower-case one
+# by one; words with others are left to the tokenizer's own normalizer.
+LAST_PLAIN = "\u024f"
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, task long, place long")
 
@@ -37,13 +46,29 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    visible Latin-1 characters for themselves, the other bytes, in order, for
+    the characters from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(others)) for b in range(256)]
+
+
 class WordEncoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer never joins what ASCII white space separates (its
     normalizer and its pre-tokenizer treat white space as a boundary and drop
     it), so the ids of a text are the ids of its white-space-separated words
-    in order; ids of words seen before come from a cache of bounded size.
+    in order.  Nor does it join letters with the punctuation around them, so a
+    word of letters between ASCII punctuation has the ids of its parts, and
+    such a part (lowered, its bytes written as letters) goes straight to the
+    tokenizer's merges.  Any other word is encoded as it is.
+
+    Words and parts seen before are looked up.  Each table has two
+    generations of at most ``cache_words`` entries; when the younger one is
+    full it becomes the older one, so what is met often stays.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -51,20 +76,61 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
+        self.merge = self.tokenizer.model.tokenize
         self.most = cache_words
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        self.letters = byte_letters()
 
     def encode(self, text: str | None) -> bytes:
         words = (text or "").encode().split()
-        cache = self.cache
-        missing = [w for w in set(words) if w not in cache]
-        if missing:
-            if len(cache) + len(missing) > self.most:
-                cache.clear()
-                missing = list(set(words))
-            encoded = self.tokenizer.encode_batch([w.decode() for w in missing], add_special_tokens=False)
-            cache.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(missing, encoded))
-        return b"".join(map(cache.__getitem__, words))
+        found = list(map(self.words.get, words))
+        if None in found:
+            learned = self._learn({w for w, ids in zip(words, found) if ids is None})
+            found = [learned[w] if ids is None else ids for w, ids in zip(words, found)]
+        return b"".join(found)
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        if len(self.words) > self.most:
+            self.words, self.older_words = {}, self.words
+        if len(self.parts) > self.most:
+            self.parts, self.older_parts = {}, self.parts
+        older, out = self.older_words, {}
+        for word in words:
+            out[word] = older.get(word) or self._word(word)
+        self.words.update(out)
+        return out
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        core = text.strip(PUNCTUATION)
+        if not core.isalpha() or max(core) > LAST_PLAIN or "\u0130" in core or "<|" in text:
+            return self._whole(text)
+        if len(core) == len(text):
+            return self._part(core)
+        at = text.index(core)
+        return self._part(text[:at]) + self._part(core) + self._part(text[at + len(core):])
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.older_parts.get(part)
+            if ids is None:
+                if part.isascii():
+                    plain = part.lower()
+                else:
+                    letters = self.letters
+                    plain = "".join([letters[b] for b in "".join([c.lower() for c in part]).encode()])
+                tokens = self.merge(plain) if plain else ()
+                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            self.parts[part] = ids
+        return ids
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _encoders: dict[str, WordEncoder] = {}
