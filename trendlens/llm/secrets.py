@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import fresh, words_col, written
+from trendlens.llm.common import bounded_sample, fresh, words_col, written
 
 NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|credential"
 ASSIGN = rf"(?i:\b(?:{NAMES})\b[\"']?\s{{0,4}}[:=]\s{{0,4}}[\"']?)"
@@ -132,9 +132,8 @@ def label_findings(found: DataFrame) -> DataFrame:
 def train_forest(labelled: DataFrame, most: int = MAX_TRAINING) -> RandomForestClassificationModel | None:
     """Forest fitted on featured findings with a ``label``; of each class the
     ``most`` findings with the smallest hashes.  None if a class is absent."""
-    order = (F.xxhash64("value", "before"), "value", "before")
-    parts = [labelled.filter(F.col("label") == y).select("label", "value", "before", *FEATURES)
-             .orderBy(*order).limit(most) for y in (0.0, 1.0)]
+    parts = [bounded_sample(labelled.filter(F.col("label") == y).select("label", "value", "before", *FEATURES),
+                            ["value", "before"], most) for y in (0.0, 1.0)]
     rows = written(reduce(DataFrame.unionAll, parts).select("label", *FEATURES), "secret-training")
     if rows.select("label").distinct().count() < 2:
         return None
