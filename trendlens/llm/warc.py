@@ -23,14 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import python_workers, written
+from trendlens.llm.common import bounded_sample, python_workers, written
 
 VERSION = b"WARC/1.1"
 SKIPPABLE = 0x184D2A5D  # magic number of the frame that holds the dictionary
 LEVEL = 3
 ARCHIVE_BYTES = 16 << 20  # an archive is closed once it holds so many bytes
-# The dictionary is trained on the payloads with the smallest hashes: so many
-# of them, of each so many leading bytes.
+# The dictionary is trained on the payloads of so many pages, those with small
+# hashes of page_id and url, of each so many leading characters.
 DICTIONARY_SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 8 << 10, 32 << 10
 MIN_REVISIT_BYTES = 100
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -185,9 +185,9 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     """
     spark = pages.sparkSession
     python_workers(spark)
-    sample = (pages.filter("html IS NOT NULL").select(F.substring("html", 1, SAMPLE_BYTES).alias("s"))
-              .orderBy(F.xxhash64("s"), "s").limit(DICTIONARY_SAMPLES))
-    dictionary = train_dictionary([r["s"].encode() for r in sample.collect()])
+    named = pages.filter("html IS NOT NULL").select("page_id", "url", F.substring("html", 1, SAMPLE_BYTES).alias("s"))
+    sample = bounded_sample(named, ["page_id", "url"], DICTIONARY_SAMPLES)
+    dictionary = train_dictionary([r["s"].encode() for r in sample.select("s").collect()])
     head, base = archive_head(dictionary), folder.rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
