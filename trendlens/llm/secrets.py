@@ -1,7 +1,9 @@
 """Secret scans: pattern candidates, judged by a random forest.
 
-Candidates are values assigned to a credential name, private-key blocks and
-long runs of key characters; most long runs are words, hashes or ids.  A
+Candidates are values assigned to a name that holds a credential word,
+passwords of ``user:password@host``, private-key blocks and
+long runs of key characters, alone or joined by dots; most long runs are
+words, hashes or ids.  A
 forest over length, character transitions, dictionary coverage, path marks
 and neighbouring words removes such false positives.  It is trained on
 labelled findings; without labels of one's own, :func:`label_findings` marks
@@ -23,13 +25,32 @@ from pyspark.sql import functions as F
 from trendlens.llm.common import bounded_sample, fresh, words_col, written
 
 NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|credential"
-ASSIGN = rf"(?i:\b(?:{NAMES})\b[\"']?\s{{0,4}}[:=]\s{{0,4}}[\"']?)"
-VALUE = r"[^\s\"'<>,;]{6,}"
+# A credential name as a whole word, or joined to others by _ - . digits or camel case.
+PART = rf"(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z]))(?i:(?:{NAMES})s?)(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z]))"
+ASSIGN = (r"(?<![\w.-])(?=[\w.-]++[\"']?\s{0,4}[:=])" rf"(?=[\w.-]*?{PART})"
+          r"[\w.-]++[\"']?\s{0,4}[:=]\s{0,4}[\"']?")
+# A value runs to its closing quote; without one to a space, a quote, an angle
+# bracket or a comma or semicolon that ends it or precedes the next assignment.
+VALUE = (r"(?:(?<=\")(?:[^\"\\\r\n]|\\.){6,}+(?=\")|(?<=')(?:[^'\\\r\n]|\\.){6,}+(?=')"
+         r"|(?!-----BEGIN)(?:[^\s\"'<>,;]|[,;](?=[^\s\"'<>,;])(?![\w.-]++[\"']?[:=])){6,}+)")
+# user:password@host, after :// or alone; words that stand before mail addresses are no users.
+USER = (r"(?:://[^\s/:@\"'<>]*+:|(?<![\w.:/@-])(?!(?i:mailto|e-?mail|mail|to|from|cc|bcc|contact|sips?|xmpp|acct):)"
+        r"[A-Za-z][\w.-]*+:)")
+LOGIN = USER + r"(?=[^\s/\"'<>]{3})[^\s/\"'<>@]++(?:@[^\s/\"'<>@]++(?=@))*+(?=@[\w\[])"
 BLOCK = r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----[\s\S]*?-----END [A-Z ]{0,32}PRIVATE KEY-----"
-RUN = r"(?<![\w+/.@-])(?:(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]{20,}+)={0,2}(?![\w@])"
-CANDIDATE = f"{BLOCK}|{ASSIGN}{VALUE}|{RUN}"
-# Values with a vendor's fixed prefix (fixed values: AWS, GitHub, Slack, Google).
-VENDOR = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35})$"
+_LONG = "(?:(?=[A-Za-z{0}_-]*+[0-9])[A-Za-z0-9{0}_-]{{16,}}+|[A-Za-z0-9{0}_-]{{20,}}+)"
+# Key segments joined by dots, one of them long.
+DOTTED = (r"(?<![\w+/.@-])(?=[A-Za-z0-9_-]{2,}+\.[A-Za-z0-9_-]{2})"
+          rf"(?=[A-Za-z0-9_.-]*?(?<![A-Za-z0-9_-]){_LONG.format('')})"
+          r"[A-Za-z0-9_-]{2,}+(?:\.[A-Za-z0-9_-]{2,}+)++(?![\w+/@])")
+RUN = rf"(?<![\w+/.@-]){_LONG.format('+/')}={{0,2}}(?![\w@])"
+NAMED = f"{ASSIGN}{VALUE}|{LOGIN}"
+CANDIDATE = f"{BLOCK}|{NAMED}|{DOTTED}|{RUN}"
+# Values with a vendor's fixed prefix (fixed values: AWS, GitHub, Slack, Google, SendGrid, JSON web tokens).
+VENDOR = (r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}"
+          r"|SG\.[\w-]{16,}\.[\w-]{32,}|eyJ[\w-]+\.[\w-]+\.[\w-]{16,})$")
+# Base64 has slashes too, but far apart.
+BASE64 = r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/]{24,}={0,2}$"
 PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_-]|xxxx|dummy|\*\*\*"
 NEIGHBOURS = 64  # characters of context on either side
 
@@ -46,7 +67,8 @@ FEATURES = ("f_length", "f_digits", "f_upper", "f_symbols", "f_transitions", "f_
 def candidates(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """One row per candidate: ``keys``, ``row`` (of ``docs``), ``idx`` in the
     text, ``start`` and ``length`` of the value in characters, ``value``,
-    ``name`` (the assigned name, else empty), ``before`` and ``after``.
+    ``name`` (the assigned name or login, with its marks, else empty),
+    ``before`` (the text before, and the name) and ``after``.
 
     NULL and empty texts have none.
     """
@@ -63,12 +85,17 @@ def candidates(docs: DataFrame, keys: list[str], text_col: str = "text") -> Data
     # Text up to a candidate: all gaps so far and all candidates before it.
     upto = Window.partitionBy("row").orderBy("idx")
     ends = F.sum(F.col("c.gap.n") + F.length("c.found")).over(upto)
-    name = F.regexp_extract("c.found", f"^({ASSIGN})", 1)
+    name = F.regexp_extract("c.found", f"^({ASSIGN}|{USER})", 1)
     value = F.substr("c.found", F.length(name) + 1)
-    return (each.withColumn("end", ends.cast("long"))
+    # The text before, across earlier candidates: a candidate has 6 characters
+    # or more but for a login's 3 after a mark, so NEIGHBOURS / 4 of them reach.
+    earlier = F.array_join(F.collect_list(F.concat("c.gap.tail", F.right("c.found", F.lit(NEIGHBOURS)))).over(
+        Window.partitionBy("row").orderBy("idx").rowsBetween(-NEIGHBOURS // 4, -1)), "")
+    before = F.right(F.concat(earlier, F.col("c.gap.tail")), F.lit(NEIGHBOURS))
+    return (each.withColumn("end", ends.cast("long")).withColumn("text_before", before)
             .select(*keys, "row", "idx", (F.col("end") - F.length(value)).alias("start"),
                     F.length(value).cast("long").alias("length"), value.alias("value"), name.alias("name"),
-                    F.concat(F.col("c.gap.tail"), name).alias("before"), F.col("c.next.head").alias("after")))
+                    F.concat("text_before", name).alias("before"), F.col("c.next.head").alias("after")))
 
 
 def dictionary_grams(docs: DataFrame, text_col: str = "text", least: int = DICTIONARY_COUNT) -> DataFrame:
@@ -97,6 +124,11 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
     cover = (own.join(grams.withColumn("known", F.lit(1)), "gram", "left").groupBy("row", "idx")
              .agg((F.count("known") + (GRAM - 1)).alias("covered")))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
+    # The name of another value says nothing about this one.
+    context = F.regexp_replace("before", NAMED, " ")
+    slashes = F.regexp_count(v, F.lit("/"))
+    coverage = F.least(F.lit(1.0), F.coalesce(F.col("covered") / n, F.lit(0.0)))
+    base64 = F.coalesce(v.rlike(BASE64), F.lit(False)) & (n >= (slashes + 1) * 8) & (coverage < 0.5)
     out = found.join(cover, ["row", "idx"], "left").select(
         *found.columns,
         n.cast("double").alias("f_length"), share("[0-9]").alias("f_digits"), share("[A-Z]").alias("f_upper"),
@@ -104,10 +136,11 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
         (changes / F.greatest(n - 1, F.lit(1))).alias("f_transitions"),
         (F.size(F.array_distinct(F.split(v, "", -1))) / F.least(n, F.lit(32))).alias("f_distinct"),
         flag(v.rlike("^([0-9a-f]+|[0-9A-F]+)$")).alias("f_hex"),
-        F.least(F.lit(1.0), F.coalesce(F.col("covered") / n, F.lit(0.0))).alias("f_coverage"),
-        F.greatest(flag(F.col("before").rlike(r"(?i)(https?:|www\.|/)\S*$")),
-                   F.least(F.regexp_count(v, F.lit("/")) / 4.0, F.lit(1.0))).alias("f_path"),
-        flag(F.col("before").rlike(f"(?i)({NAMES})")).alias("f_named"),
+        coverage.alias("f_coverage"),
+        F.when(F.col("name").startswith("://"), 0.0).otherwise(F.greatest(
+            flag(context.rlike(r"(?i)(https?:|www\.|/)\S*$")),
+            F.when(base64, 0.0).otherwise(F.least(slashes / 4.0, F.lit(1.0))))).alias("f_path"),
+        flag((F.col("name") != "") | context.rlike(f"(?i)({NAMES})")).alias("f_named"),
         flag(F.col("before").rlike(r"(?i)(sha-?\d*|md5|commit|checksum|digest|uuid|hash|etag)\W*$"))
         .alias("f_hash_word"),
         flag(F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).alias("f_quoted"),
