@@ -27,6 +27,29 @@ CASES = [
 ]
 
 
+CONTENT = [  # text of articles that names like those of site parts must not hide
+    ("<article><section id='hidden-markov-models'><p>a</p></section><h2 id='search-algorithms'>b</h2>"
+     "<p class='social-policy'>c</p><div id='related-work'>d</div><div class='alert'>e</div></article>",
+     "a\n\nb\n\nc\n\nd\n\ne"),
+    ("<article><div data-id='menu-3'>a</div><p title='my id=menu class=ad'>b</p><h2 id=comments>c</h2></article>",
+     "a\n\nb\n\nc"),
+    ("<div id='notice-of-appeal'><h2 id='search'>b</h2></div>", "b"),
+    ("<main><p>The long text of the page.</p></main><article class='card'>teaser</article>", "The long text of the page."),
+    ("<main><p>The long text of the page.</p><article class='card'>teaser</article></main>",
+     "The long text of the page.\n\nteaser"),
+    ("<p>The long text of a page without main.</p><article>teaser</article>",
+     "The long text of a page without main.\n\nteaser"),
+    # whole tokens and compounds of such words still go
+    ("<article><p>a</p><div class='x share-bar'>s</div><div class='adSlot-2'>t</div><ul id='related_posts'><li>r</ul>"
+     "<p class=hidden>h</p></article>", "a"),
+    ("<div class='site-header'>h</div><div class='post-header'>Title</div><p>a</p><div id=top-nav>n</div>", "Title\n\na")]
+
+
+@pytest.mark.parametrize("html, text", CONTENT)
+def test_content_is_kept(html, text):
+    assert H.extract_text(html) == text
+
+
 @pytest.mark.parametrize("html, text", CASES)
 def test_cases(html, text):
     assert H.extract_text(html) == text

@@ -45,18 +45,31 @@ ENDS_P = BLOCK - {"tr", "td", "th", "tbody", "thead", "tfoot", "caption", "body"
 # Paragraph-level elements hold the words of the article and are no templates.
 PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption caption table tbody thead tfoot "
                   "article main body html".split())
-# Words in class, id or role that name something other than the article.
+# Words that, as a whole token of class, id or role, name something other than
+# the article; and those that may name a part of it inside article or main.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar "
     "navigation menu breadcrumb breadcrumbs footer cookie cookies consent gdpr notice notices popup modal overlay "
     "newsletter subscribe signup share sharing social related recommended comment comments disqus replies reply "
     "respond widget toolbar pagination pager complementary contentinfo search dialog alert login hidden".split())
+AMBIGUOUS = frozenset("alert notice notices search dialog social promotion navigation".split())
+CLEAR = BOILERPLATE - AMBIGUOUS
 SITE_HEADER = frozenset("header masthead topbar".split())
+# Compounds count if all their parts are words of the lists above and of this one.
+JOINED = frozenset(
+    "site page global top bottom left right main primary secondary mobile desktop bar box block container wrapper wrap "
+    "inner outer list links link button buttons icon icons section area slot unit group item items tools post posts "
+    "article articles stories content form title message".split())
+JOINED_HEADER = frozenset("site page global top main bar container wrapper wrap inner".split())
+# Slugs of headings name what the article is about, not what the element is.
+NO_IDS = frozenset("p h1 h2 h3 h4 h5 h6".split())
+# Articles, or main, are the page's text if they hold this share of it.
+ROOT_SHARE = 0.5
 
 _OPEN = re.compile(r"<(?:(!--)|(/?)([A-Za-z][^\s/>]*)|([!?/]))")
-_ATTRS = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_WORD = re.compile(r"[a-z0-9]+")
-_HIDDEN = re.compile(r"\shidden(?=[\s=/>]|$)", re.I)
+_ATTRS = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+_NAMING = re.compile("class|id|role|hidden", re.I)
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+(?:x[0-9]+)?|[^\W\dA-Za-z_]+")
 _TAG_END = re.compile(r"""[>"']""")
 
 
@@ -73,15 +86,34 @@ def _tag_end(html: str, at: int) -> int:
     return len(html)
 
 
-def _named(attrs: str, inside: bool) -> bool:
-    """Whether class, id or role name an element as something but content."""
-    if len(attrs) < 3:
+def _token_names(token: str, words: frozenset, joined: frozenset) -> bool:
+    """Whether a token is one of ``words``, or a compound of them and of
+    ``joined`` words and numbers (``share-bar``, ``adSlot-2``)."""
+    if token.lower() in words:
+        return True
+    parts = [p.lower() for p in _PARTS.findall(token)]
+    return any(p in words for p in parts) and all(p in words or p in joined or p[0].isdigit() for p in parts)
+
+
+def _named(tag: str, attrs: str, inside: bool) -> bool:
+    """Whether class, id or role name an element as something but content.
+
+    ``inside`` article or main words that may be content don't count, nor do
+    ids of sections; ids of headings and paragraphs count nowhere.
+    """
+    if len(attrs) < 3 or not _NAMING.search(attrs):
         return False
-    for _, a, b, c in _ATTRS.findall(attrs):
-        words = set(_WORD.findall((a or b or c).lower()))
-        if words & BOILERPLATE or not inside and words & SITE_HEADER:
+    words = CLEAR if inside else BOILERPLATE
+    for name, a, b, c in _ATTRS.findall(attrs):
+        name = name.lower()
+        if name == "hidden":
             return True
-    return "hidden" in attrs.lower() and _HIDDEN.search(attrs) is not None
+        if name not in ("class", "id", "role") or name == "id" and (tag in NO_IDS or inside and tag == "section"):
+            continue
+        for token in (a or b or c).split():
+            if _token_names(token, words, JOINED) or not inside and _token_names(token, SITE_HEADER, JOINED_HEADER):
+                return True
+    return False
 
 
 class Page:
@@ -165,7 +197,7 @@ class Page:
             within = parent >= 0 and elements[parent][5]
             skipped = (parent >= 0 and elements[parent][4] or tag in SKIP or tag == "header" and not within
                        or tag not in ("html", "body", "article", "main")
-                       and _named(html[m.end():at], within))
+                       and _named(tag, html[m.end():at], within))
             inside = within or tag in ("article", "main")
             if tag in BLOCK:
                 flush()
@@ -183,13 +215,14 @@ class Page:
         flush()
 
     def content(self) -> list[tuple[int, str]]:
-        """Blocks of the article: those in ``article`` elements, else in
-        ``main``, else all; without those in skipped elements."""
+        """Blocks of the article, without those in skipped elements: those in
+        ``main`` if they hold ``ROOT_SHARE`` of the text, else all; of these
+        the ones in ``article`` elements if they again hold that share."""
         kept = [(k, t) for k, t in self.blocks if k < 0 or not self.elements[k][4]]
-        for root in ("article", "main"):
+        for root in ("main", "article"):
             inside = [b for b in kept if self._within(b[0], root)]
-            if inside:
-                return inside
+            if inside and sum(len(t) for _, t in inside) >= ROOT_SHARE * sum(len(t) for _, t in kept):
+                kept = inside
         return kept
 
     def _within(self, k: int, tag: str) -> bool:
