@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+from conftest import SF_MID
 from pyspark.sql import functions as F
 
 from trendlens.llm import quality as Q
@@ -123,6 +125,36 @@ def test_without_labels_the_base_rules_decide(spark):
     assert Q.keep_good_documents(docs.limit(0), marks).collect() == []
 
 
+@pytest.mark.parametrize("folder", [SF_MID, SF_MID.replace("sf0.01", "sf0.1")])
+def test_labelled_low_documents_go_and_trusted_stay(spark, folder):
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    held = Q.trusted_ids(labels)
+    low = labels.filter("quality = 0").select("doc_id", F.lit(True).alias("low")).distinct()
+    got = (Q.score_documents(docs, labels).filter("NOT base_failed").join(low, "doc_id", "left").join(held, "doc_id", "left")
+           .agg(F.count_if("low").alias("low"), F.count_if(F.col("low") & ~F.col("kept")).alias("caught"),
+                F.count_if(F.col("held").isNotNull()).alias("good"),
+                F.count_if(F.col("held").isNotNull() & ~F.col("kept")).alias("lost")).first())
+    print(folder, got)
+    assert got.caught >= 0.9 * got.low > 0 and got.lost <= Q.MAX_LOST * got.good
+
+
+def test_least_score(spark):
+    def least(good, low):
+        rows = [(i, x) for i, x in enumerate([*good, *low])]
+        scored = spark.createDataFrame([*rows, (None, -9.0), (10**6, -8.0)], "__id long, score double")
+        rest = spark.createDataFrame([(i, i < len(good)) for i, _ in rows], "doc_id long, good boolean")
+        return Q.least_score(scored, rest)
+
+    good = [i / 1000 for i in range(1000)]
+    wide = [*good, *(x - 5 for x in good)]  # trusted documents of two kinds
+    assert abs(least(wide, [-5.5] * 5) - -5.25) < 0.01         # six deviations would be below -17
+    assert abs(least(good, [0.004] * 50 + [-1.0] * 50) - 0.005) < 0.002  # few good ones lost, many low ones caught
+    assert abs(least(good, [0.9] * 50) - 0) < 0.002            # not at any price
+    assert abs(least(good, []) - 0.02) < 0.002                 # the quantile
+    assert abs(least([0.0, 0.2], []) - (0.1 - 0.1 * Q.MARGIN)) < 1e-9
+    assert least([], [0.1]) == float("-inf")
+
+
 def test_plan_is_native(spark):
     rows, labels = corpus()
     docs, marks = tables(spark, rows, labels)

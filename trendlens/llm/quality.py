@@ -4,9 +4,9 @@ Words and word pairs of every document fall into ``buckets`` hash buckets.
 Two multinomials over the buckets are counted: one over the whole corpus, one
 over trusted documents.  A document's score is its log-likelihood under the
 trusted one minus that under the corpus one, divided by its number of
-n-grams.  One half of the trusted documents is counted; the other half, which
-the counts have not seen, says how good documents score, and documents far
-below that are rejected.
+n-grams.  One half of the trusted documents is counted; the other labelled
+documents, which the counts have not seen, set the least score: the point that
+best tells the trusted ones from those labelled low in quality.
 
 Built from DataFrame functions alone.  Texts are never shuffled: counts are
 summed per task and bucket before the exchange, weights (one per bucket, a
@@ -16,6 +16,8 @@ that reads it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +27,17 @@ BUCKETS = 1 << 16
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 REPEAT_WINDOW = 3
-# Labelled rows that the trusted multinomial and the threshold are fitted on,
-# at most: those with the smallest hashes of their ids.
+# Trusted documents of which the multinomial counts one half, at most: those
+# with the smallest hashes of their ids.
 MAX_TRUSTED = 50_000
-# Standard deviations below the held-out trusted documents' mean score at
-# which a document is rejected.
+# Share of the held-out trusted documents that the least score may reject.
+# Without documents labelled low it rejects that share.
+MAX_LOST = 0.02
+# Standard deviations below the held-out trusted documents' mean score that
+# are the least score without low labels and with too few trusted documents
+# for a share of MAX_LOST.
 MARGIN = 6.0
+_BINS = 1000  # of scores, per unit
 SYMBOLS = r"[#*$%&|<>]"
 _SCALE = 1 << 20  # weights are fixed-point, so that sums don't depend on the order
 
@@ -122,6 +129,48 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: s
     return counts.select("bucket", F.round(ratio * _SCALE).cast("long").alias("weight"))
 
 
+def labelled_rest(labels: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``(doc_id, good)`` of all labelled ids that the counts have not seen:
+    those good and never toxic, and those ever labelled low."""
+    each = (labels.filter("doc_id IS NOT NULL").groupBy("doc_id")
+            .agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
+            .filter("q < 1 OR q = 1 AND coalesce(t, 0) = 0").select("doc_id", (F.col("q") == 1).alias("good")))
+    return each.join(trusted.filter("NOT held"), "doc_id", "left_anti").select("doc_id", "good")
+
+
+def least_score(scored: DataFrame, rest: DataFrame, margin: float = MARGIN) -> float:
+    """Least score of a kept document, from the rows of ``scored(__id, score)``
+    that ``rest(doc_id, good)`` labels.
+
+    Of the points that reject ``MAX_LOST`` of the good rows at most, the one
+    with the smallest sum of good rows' share rejected and low rows' share
+    kept, midway between the rows on either side.  Without low rows it is the
+    ``MAX_LOST`` quantile of the good, or ``margin`` deviations below their
+    mean if they are too few for one.  Rows are counted per bin of scores, so
+    the driver gets a table bounded by the range of scores.
+    """
+    rows = scored.join(rest, F.col("__id") == F.col("doc_id")).groupBy(F.floor(F.col("score") * _BINS).alias("bin")).agg(
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("low"),
+        F.sum(F.when(F.col("good"), F.col("score"))).alias("s"),
+        F.sum(F.when(F.col("good"), F.col("score") * F.col("score"))).alias("s2"))
+    bins = sorted(rows.collect(), key=lambda r: r["bin"])
+    good, low = sum(r["good"] for r in bins), sum(r["low"] for r in bins)
+    if not good:
+        return float("-inf")
+    if not low and good * MAX_LOST < 1:
+        mean = math.fsum(r["s"] or 0.0 for r in bins) / good
+        return mean - margin * math.sqrt(max(math.fsum(r["s2"] or 0.0 for r in bins) / good - mean * mean, 0.0))
+    best, least, lost, caught, end = None, float("-inf"), 0, 0, None
+    for r in bins:  # points between the bin before, if any, and this one
+        if lost > good * MAX_LOST:
+            break
+        loss = lost / good + (low - caught) / low if low else -lost
+        if best is None or loss < best:
+            best, least = loss, (r["bin"] + (r["bin"] if end is None else end)) / 2 / _BINS
+        lost, caught, end = lost + r["good"], caught + r["low"], r["bin"] + 1
+    return least
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED,
                     margin: float = MARGIN, row_cols: list[str] | None = None) -> DataFrame:
@@ -134,7 +183,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     tell the rows apart; they are returned.  Without trusted documents in
     either half the base rules decide alone (without counted ones all scores
     are 0).  Documents that fail the base rules are scored as well, but only
-    held-out documents that pass them set the threshold.
+    labelled documents that pass them set the threshold (:func:`least_score`).
     """
     trusted = written(trusted_ids(labels, max_trusted), "quality-trusted")
     weights = bucket_weights(docs, trusted, id_col, text_col, buckets)
@@ -150,10 +199,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     scored = written(summed.select(
         "__id", "__row", *RULE_COLUMNS, score.alias("score"),
         base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed")), "quality-scores")
-    level = (scored.filter(~F.col("base_failed"))
-             .join(F.broadcast(trusted.filter("held")), F.col("__id") == trusted["doc_id"], "left_semi")
-             .agg(F.avg("score").alias("mean"), F.stddev_pop("score").alias("spread")).first())
-    least = float("-inf") if level["mean"] is None else level["mean"] - margin * level["spread"]
+    rest = written(labelled_rest(labels, trusted), "quality-rest")
+    least = least_score(scored.filter(~F.col("base_failed")).select("__id", "score"), rest, margin)
     return scored.select(
         F.col("__id").alias(id_col), *(["__row.*"] if row_cols else []), *RULE_COLUMNS, "score",
         "base_failed", (~F.col("base_failed") & (F.col("score") >= F.lit(least))).alias("kept"))
