@@ -85,6 +85,21 @@ def test_templates_of_a_site_go(spark):
     assert got[100] == "Home News\n\nStory 0 here\n\nAll rights reserved.\n\nSend this to a friend"
 
 
+def test_templates_of_a_part_of_a_large_site(spark):
+    """60 of 150 pages carry a notice, terms and a table; cells, headings and
+    links in running text that recur as often are the articles' own."""
+    extra = ("<div class='x3'>Notice of the section</div><p>Read our terms</p><p><span>Send this</span></p>"
+             "<table><tr><td>shop</td><td>hours</td></tr></table>")
+    menu = "<div><a href=/h>Home</a> <b>Story menu</b> {}</div>"
+    rows = [(i, f"http://big.example/{i}", "<body>" + menu.format(f"<i>{i}</i>") + "<div><h2>References</h2>"
+             f"<p>Story {i} of <a href=/x>France</a></p><table><tr><td>yes</td><td>{i}</td></tr></table></div>"
+             .replace("References", "References" if i < 60 else f"Part {i}").replace("yes", "yes" if i < 60 else f"no {i}")
+             + (extra if i < 60 else "") + "</body>") for i in range(150)]
+    got = dict(extract(spark, rows))
+    assert all(got[i] == f"{i}\n\nReferences\n\nStory {i} of France\n\nyes\n\n{i}" for i in range(60))
+    assert all(got[i] == f"{i}\n\nPart {i}\n\nStory {i} of France\n\nno {i}\n\n{i}" for i in range(60, 150))
+
+
 def test_copies_of_an_article_are_no_template(spark):
     copies = [(i, "http://c.example/", "<body><div><div>The same story everywhere.</div></div></body>")
               for i in range(50)]

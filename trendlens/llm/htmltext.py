@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 from trendlens.llm.common import fresh, python_workers, written
 
 # A subtree is a template if it is on at least so many different pages of its
-# host and on at least this share of them.
+# host and on at least this share of them,
 MIN_PAGES = 5
 MIN_SHARE = 0.5
+# or on so many pages and this small share.
+MANY_PAGES = 50
+SMALL_SHARE = 0.01
 
 # Fixed values of HTML: elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,9 +45,15 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPE = frozenset("table td th ul ol dl article section div main body html blockquote aside nav header footer "
                   "form".split())
 ENDS_P = BLOCK - {"tr", "td", "th", "tbody", "thead", "tfoot", "caption", "body", "html"}
-# Paragraph-level elements hold the words of the article and are no templates.
-PLAIN = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dt dd td th tr figcaption caption table tbody thead tfoot "
-                  "article main body html".split())
+# The page itself is no template.
+ROOTS = frozenset("article main body html".split())
+# Paragraph-level elements hold the words of the article: MANY_PAGES and
+# SMALL_SHARE alone make them templates.  Headings, cells, terms and inline
+# elements recur in articles of their own accord ("References", "yes"): alone
+# they go only from MANY_PAGES and MIN_SHARE on.
+PLAIN = frozenset("p blockquote pre li dd tr figcaption caption table tbody thead tfoot".split())
+SMALL = frozenset("h1 h2 h3 h4 h5 h6 td th dt".split())
+
 # Words that, as a whole token of class, id or role, name something other than
 # the article; and those that may name a part of it inside article or main.
 BOILERPLATE = frozenset(
@@ -116,17 +125,22 @@ def _named(tag: str, attrs: str, inside: bool) -> bool:
     return False
 
 
+def _joined(pieces: list[tuple[int, str]]) -> str:
+    return " ".join("".join([t for _, t in pieces]).split())
+
+
 class Page:
     """Blocks of text of a page, each with the elements it stands in.
 
     ``elements`` holds ``[tag, start, end, parent, skipped]`` in page order
-    and ``blocks`` ``(element, text)``.
+    and ``blocks`` ``(element, text, pieces)``, a piece being the innermost
+    element of a part of the text and that part.
     """
 
     def __init__(self, html: str):
         self.html = html
         self.elements: list[list] = []
-        self.blocks: list[tuple[int, str]] = []
+        self.blocks: list[tuple[int, str, list[tuple[int, str]]]] = []
         self._read()
 
     def _read(self) -> None:
@@ -136,9 +150,9 @@ class Page:
         def flush() -> None:
             nonlocal holder
             if runs:
-                text = " ".join("".join(runs).split())
+                text = _joined(runs)
                 if text:
-                    self.blocks.append((holder, text))
+                    self.blocks.append((holder, text, runs[:]))
                 runs.clear()
             holder = stack[-1] if stack else -1
 
@@ -163,7 +177,7 @@ class Page:
 
         def text(piece: str) -> None:
             if piece and not (stack and elements[stack[-1]][4]):
-                runs.append(unescape(piece) if "&" in piece else piece)
+                runs.append((stack[-1] if stack else -1, unescape(piece) if "&" in piece else piece))
 
         at = 0
         while m := _OPEN.search(html, at):
@@ -187,7 +201,7 @@ class Page:
                 if tag == "hr":
                     flush()
                 elif tag == "br":
-                    runs.append(" ")
+                    runs.append((stack[-1] if stack else -1, " "))
                 continue
             if tag in CLOSES:
                 imply_end(CLOSES[tag], start)
@@ -214,14 +228,14 @@ class Page:
         close(0, len(html))
         flush()
 
-    def content(self) -> list[tuple[int, str]]:
+    def content(self) -> list[tuple[int, str, list[tuple[int, str]]]]:
         """Blocks of the article, without those in skipped elements: those in
         ``main`` if they hold ``ROOT_SHARE`` of the text, else all; of these
         the ones in ``article`` elements if they again hold that share."""
-        kept = [(k, t) for k, t in self.blocks if k < 0 or not self.elements[k][4]]
+        kept = [b for b in self.blocks if b[0] < 0 or not self.elements[b[0]][4]]
         for root in ("main", "article"):
             inside = [b for b in kept if self._within(b[0], root)]
-            if inside and sum(len(t) for _, t in inside) >= ROOT_SHARE * sum(len(t) for _, t in kept):
+            if inside and sum(len(b[1]) for b in inside) >= ROOT_SHARE * sum(len(b[1]) for b in kept):
                 kept = inside
         return kept
 
@@ -237,18 +251,46 @@ class Page:
         return xxhash.xxh64_intdigest(self.html[start:end].encode("utf-8", "surrogatepass")) - (1 << 63)
 
     def candidates(self) -> dict[int, int]:
-        """``{element: hash}`` of the subtrees around content that may be
-        templates: all but paragraph-level ones and the page itself."""
+        """``{element: hash}`` of the subtrees with content that may be
+        templates: all but the page itself and inline elements that stand in
+        running text, beside loose words of an element around them."""
         out: dict[int, int] = {}
-        for k, _ in self.content():
+        for holder, _, pieces in self.content():
+            loose = {k for k, t in pieces if t and not t.isspace()}
+            inline: set[int] = set()
+            for k in loose:
+                path = []
+                while k >= 0 and k != holder:
+                    path.append(k)
+                    k = self.elements[k][3]
+                if k != holder or holder in loose:
+                    continue
+                for e in reversed(path):  # from the outside in
+                    inline.add(e)
+                    if e in loose:
+                        break
+            for e in inline:
+                if e not in out:
+                    out[e] = self.subtree_hash(e)
+            k = holder
             while k >= 0 and k not in out:
-                if self.elements[k][0] not in PLAIN:
+                if self.elements[k][0] not in ROOTS:
                     out[k] = self.subtree_hash(k)
                 k = self.elements[k][3]
         return out
 
+    def kinds(self) -> set[tuple[int, int]]:
+        """``(hash, kind)`` of the candidates: 0 for elements around content,
+        1 for paragraph-level ones, 2 for headings, cells and inline ones."""
+        tag = [e[0] for e in self.elements]
+        return {(h, 1 if tag[k] in PLAIN else 2 if tag[k] in SMALL or tag[k] not in BLOCK else 0)
+                for k, h in self.candidates().items()}
+
     def text(self, templates: frozenset[int] | set[int] = frozenset()) -> str:
+        content = self.content()
         gone = {k for k, h in self.candidates().items() if h in templates} if templates else set()
+        if not gone:
+            return "\n\n".join(t for _, t, _ in content)
 
         def kept(k: int) -> bool:
             while k >= 0:
@@ -257,7 +299,8 @@ class Page:
                 k = self.elements[k][3]
             return True
 
-        return "\n\n".join(t for k, t in self.content() if kept(k))
+        texts = [_joined([p for p in pieces if kept(p[0])]) for k, _, pieces in content if kept(k)]
+        return "\n\n".join(t for t in texts if t)
 
 
 def extract_text(html: str | None, templates: set[int] | frozenset[int] = frozenset()) -> str:
@@ -274,9 +317,13 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
     """``(host, templates)``: hashes of the subtrees that recur on many
     different pages of a host.
 
-    Pages of one host with the same content count once, so copies of an
-    article never make it a template.  Counts are summed per task first; as a
-    template is on half of its host's pages, a host has at most twice as many
+    A subtree around content is a template from ``min_pages`` pages and
+    ``min_share`` of them on, or from ``MANY_PAGES`` and ``SMALL_SHARE`` on;
+    the latter alone hold for paragraph-level elements, ``MANY_PAGES`` and
+    ``min_share`` for headings, cells and inline elements.  Pages of one host
+    with the same content count once, so copies of an article never make it a
+    template.  Counts are summed per task first; as a template is on a
+    hundredth of its host's pages, a host has at most a hundred times as many
     as a page has elements, whatever its size.
     """
     python_workers(pages.sparkSession)
@@ -286,23 +333,27 @@ def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: floa
             rows = []
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page = Page(html or "")
-                content = "\n\n".join(t for _, t in page.content()).encode("utf-8", "surrogatepass")
-                rows.append((host, xxhash.xxh64_intdigest(content) - (1 << 63),
-                             sorted(set(page.candidates().values()))))
-            cols = list(zip(*rows)) or [()] * 3
+                content = "\n\n".join(t for _, t, _ in page.content()).encode("utf-8", "surrogatepass")
+                pairs = sorted(page.kinds())
+                # The entry without a hash counts the different pages of the host.
+                rows.append((host, xxhash.xxh64_intdigest(content) - (1 << 63), [*(h for h, _ in pairs), None],
+                             [*(k for _, k in pairs), None]))
+            cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))],
-                ["host", "content", "hashes"])
+                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64())),
+                 pa.array(cols[3], pa.list_(pa.int32()))], ["host", "content", "hash", "kind"])
 
     own = pages.select(host_col(F.col("url")).alias("host"), "html").mapInArrow(
-        hashes, "host string, content long, hashes array<long>")
-    seen = written(own.select("host", "content", F.explode(F.array_append("hashes", F.lit(None).cast("long")))
-                              .alias("hash")).distinct(), "html-subtrees")
-    counts = written(seen.groupBy("host", "hash").agg(F.count("*").alias("n")), "html-counts")
-    # The row without a hash counts the different pages of the host.
+        hashes, "host string, content long, hash array<long>, kind array<int>")
+    seen = written(own.select("host", "content", F.explode(F.arrays_zip("hash", "kind")).alias("e"))
+                   .select("host", "content", "e.*").distinct(), "html-subtrees")
+    counts = written(seen.groupBy("host", "hash", "kind").agg(F.count("*").alias("n")), "html-counts")
     hosts = counts.filter("hash IS NULL").select("host", F.col("n").alias("pages"))
-    many = counts.filter(f"hash IS NOT NULL AND n >= {int(min_pages)}").join(hosts, "host").filter(
-        F.col("n") >= F.col("pages") * min_share)
+    n, pages_n, kind = F.col("n"), F.col("pages"), F.col("kind")
+    often = (n >= MANY_PAGES) & (n >= pages_n * SMALL_SHARE)
+    half = n >= pages_n * min_share
+    many = (counts.filter(f"hash IS NOT NULL AND n >= {int(min(min_pages, MANY_PAGES))}").join(hosts, "host")
+            .filter(((kind == 0) & (half & (n >= min_pages) | often)) | ((kind == 1) & often) | (often & half)))
     return many.groupBy("host").agg(F.sort_array(F.collect_list("hash")).alias("templates"))
 
 
