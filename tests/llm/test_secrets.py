@@ -137,6 +137,23 @@ def test_base64_is_no_path_and_names_hold_for_their_value_only(spark):
     assert got[4, 0].f_named == 1 and got[4, 0].f_path == 0
 
 
+def test_copies_do_not_make_a_dictionary(spark):
+    """Copies of a document, and values beside names, leave the dictionary as it is."""
+    rows = [(i, t) for i, t, _ in corpus(7, 80)] + [(500, "here is qwzxkvbnplkj and password: vjxqzzkwpgh1")]
+    spread = [(600 + i, f"text {i} password: zvqjxkwvbn") for i in range(9)]  # in many texts, but a value
+    rare = [(700 + i, f"text {i} gjvkqx") for i in range(6)]                  # in 6 texts of 97
+
+    def grams(rows, **how):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        return {r.gram for r in S.dictionary_grams(docs, **how).collect()}
+
+    rows += spread + rare
+    once = grams(rows)
+    assert once == grams(rows + [(900 + i, rows[80][1]) for i in range(50)] + rows[:40] * 3)
+    assert not once & {"qwzx", "vjxq", "zvqj"} and {"gjvk", "text"} <= once
+    assert "gjvk" not in grams(rows, share=0.1) and "text" in grams(rows, share=0.1)
+
+
 def test_empty_table_and_no_training_class(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert S.scan_secrets(empty, ["doc_id"]).collect() == []

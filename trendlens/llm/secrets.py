@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import bounded_sample, fresh, words_col, written
+from trendlens.llm.common import bounded_sample, fresh, numbered, words_col, written
 
 NAMES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|credential"
 # A credential name as a whole word, or joined to others by _ - . digits or camel case.
@@ -54,7 +54,9 @@ BASE64 = r"^(?=.*[a-z])(?=.*[A-Z])(?=.*[0-9])[A-Za-z0-9+/]{24,}={0,2}$"
 PLACEHOLDER = r"(?i)example|changeme|placeholder|your[_-]|xxxx|dummy|\*\*\*"
 NEIGHBOURS = 64  # characters of context on either side
 
-DICTIONARY_COUNT = 5  # occurrences that make a word a dictionary word
+# Different texts, and share of all different texts, that make a word a dictionary word.
+DICTIONARY_COUNT = 5
+DICTIONARY_SHARE = 0.001
 GRAM = 4
 MAX_TRAINING = 20_000  # labelled findings of each class the forest is fitted on, at most
 TREES, DEPTH, SEED = 20, 5, 7
@@ -98,11 +100,35 @@ def candidates(docs: DataFrame, keys: list[str], text_col: str = "text") -> Data
                     F.concat("text_before", name).alias("before"), F.col("c.next.head").alias("after")))
 
 
-def dictionary_grams(docs: DataFrame, text_col: str = "text", least: int = DICTIONARY_COUNT) -> DataFrame:
+def different_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(text)`` of one row of each different text.
+
+    Rows are grouped by the hashes of their texts alone; the rows to leave
+    out, copies beyond the first, are joined by row keys.
+    """
+    keyed, keys = numbered(docs.select(F.col(text_col).alias("text")).filter("text IS NOT NULL"), "secret-texts")
+    light = written(keyed.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"),
+                                 F.struct(*keys).alias("key")), "secret-hashes")
+    firsts = written(light.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("key").alias("first"))
+                     .filter("n > 1").select("h1", "h2", "first"), "secret-repeated")
+    copies = written(light.join(firsts, ["h1", "h2"]).filter("key <> first").select("key.*"), "secret-copies")
+    return keyed.join(copies, keys, "left_anti").select("text")
+
+
+def dictionary_grams(docs: DataFrame, text_col: str = "text", least: int = DICTIONARY_COUNT,
+                     share: float = DICTIONARY_SHARE) -> DataFrame:
     """Letter groups of length ``GRAM`` in the words (a-z after lowering) that
-    the corpus holds ``least`` times or more; 26^4 rows at most."""
-    words = docs.select(F.explode(words_col(F.lower(F.col(text_col)))).alias("w"))
-    known = (words.filter(F.length("w") >= GRAM).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+    ``least`` different texts or more, and ``share`` of them, hold; 26^4 rows
+    at most.  Copies of a text count once, values next to credential names
+    not at all."""
+    texts = different_texts(docs, text_col)
+    own = F.array_distinct(words_col(F.lower(F.regexp_replace("text", NAMED, " "))))
+    # The row without a word counts the texts.
+    words = texts.select(F.explode(F.array_append(own, F.lit(None).cast("string"))).alias("w"))
+    counts = written(words.filter("w IS NULL OR length(w) >= " + str(GRAM)).groupBy("w").agg(F.count("*").alias("n")),
+                     "secret-words")
+    total = counts.filter("w IS NULL").agg(F.max("n").alias("n")).first()["n"] or 0
+    known = (counts.filter(F.col("w").isNotNull() & (F.col("n") >= max(least, share * total)))
              .filter(F.col("w").rlike(r"^[a-z]+[.,!?]*$")).select(F.regexp_extract("w", "^[a-z]+", 0).alias("w")))
     return (known.filter(F.length("w") >= GRAM)
             .select(F.explode(_grams(F.col("w"))).alias("gram")).distinct())
