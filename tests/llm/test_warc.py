@@ -79,6 +79,13 @@ def test_orphans_of_failed_attempts_are_not_read(spark, workdir):
     assert warc.read_records(spark, workdir).count() == len(pages())
 
 
+def test_a_listed_archive_that_is_gone_raises(spark, workdir):
+    warc.write_archives(frame(spark, pages()), workdir, 2000)
+    os.remove(sorted(glob.glob(os.path.join(workdir, "*.warc.zst")))[0])
+    with pytest.raises(Exception, match="listed in the manifest, but not in the folder"):
+        warc.read_records(spark, workdir).collect()
+
+
 def archive(*records, dictionary=b""):
     press = zstandard.ZstdCompressor(write_checksum=True)
     return warc.archive_head(dictionary) + b"".join(map(press.compress, records))

@@ -236,13 +236,18 @@ def read_records(spark: SparkSession, folder: str, with_payload: bool = True) ->
     base = folder.rstrip("/")
     name = F.substring_index("path", "/", -1).alias("name")
     listed = spark.read.schema(MANIFEST).parquet(f"{base}/manifest").select(name, "records")
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(base)
-             .select(name, "content").join(listed, "name").select("name", "content", "records"))
+    stored = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(base)
+    # Listed archives that the folder lacks come without content and raise; names are met without contents.
+    lost = listed.join(stored.select(name), "name", "left_anti").select(
+        "name", F.lit(None).cast("binary").alias("content"), "records")
+    files = stored.select(name, "content").join(listed, "name").select("name", "content", "records").unionAll(lost)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content, expected in zip(*batch.columns):
                 rows, held, n = [], 0, 0
+                if not content.is_valid:
+                    raise WarcError(f"{path}: listed in the manifest, but not in the folder")
                 for data in read_archive(content.as_py()):
                     fields, payload = parse_record(data)
                     n += 1
