@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendlens.session import scratch_path
@@ -118,3 +118,27 @@ def let(value: Column, body) -> Column:
     computed once per element; as a lambda's own variable it is not.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """A written copy of ``df`` with ``place``, a row's rank from 0 among the
+    rows of its ``keys`` (no NULLs in them) by ``order``, and ``size``, their
+    number.  Rows that tie are numbered in any order.
+
+    Rows are sorted into range partitions; a row's rank is its place in its
+    partition plus the counts of the partitions before, so no task holds all
+    rows of a key.  The counts are one row per key and partition.
+    """
+    at, part = fresh(df, "row_at"), fresh(df, "row_part")
+    tie = F.monotonically_increasing_id()  # spreads equal rows over partitions
+    dealt = df.withColumn(at, tie).repartitionByRange(*keys, *order, at).sortWithinPartitions(*keys, *order, at)
+    # The id of a sorted row is its partition (upper bits) and its place there.
+    kept = written(dealt.withColumn(at, F.monotonically_increasing_id()), name)
+    runs = kept.groupBy(*keys, F.shiftright(at, 33).alias(part)).agg(
+        F.count("*").alias("run_rows"), F.min(at).alias("run_first"))
+    whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    before = whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("run_rows").over(before), F.lit(0)) - F.col("run_first")
+    runs = runs.select(*keys, part, base.alias("run_base"), F.sum("run_rows").over(whole).alias("size"))
+    joined = kept.withColumn(part, F.shiftright(at, 33)).join(runs, [*keys, part])
+    return joined.withColumn("place", F.col(at) + F.col("run_base")).select(*df.columns, "place", "size")

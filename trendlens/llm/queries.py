@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm import (chat, decontaminate, htmltext, oracles, packing, quality, rollups, secrets, simhash,
-                           urlrank, warc)
+from trendlens.llm import (chat, collocations, decontaminate, htmltext, merkle, multiindex, oracles, packing, quality,
+                           rollups, secrets, simhash, urlrank, warc)
 from trendlens.llm.common import written
 from trendlens.session import scratch_path
 from trendlens.sources.tables import read_table
@@ -89,6 +89,31 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, checked against rows of which a third by the CRC-32 of
+    the id have their texts lower-cased (A-Z)."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = read_table(spark, sf_dir, "documents")
+    lowered = F.translate("text", collocations.UPPER, collocations.LOWER)
+    tampered = merkle.leaf_col([lowered if c == "text" else F.col(c) for c in columns])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    found = merkle.merkle_manifest(docs, columns, "lang", "doc_id", F.when(chosen, tampered))
+    return found.select(F.col("id").cast("long").alias("doc_id"), "leaf", "subroot", "root",
+                        F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+                        (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(read_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("grp", "lang")
+
+
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multiindex.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,7 +122,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_chat, op2_simhash, op3_quality, op4_urls, op5_secrets, op6_rollups, op7_warc,
-                                    op8_decontaminate, op9_html, op10_packing, pipeline)}
+                                    op8_decontaminate, op9_html, op10_packing, op11_merkle, op12_collocations, op13_embeddings,
+                                    pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
