@@ -12,18 +12,23 @@ Set-oriented mining over relations, one length after another:
   ``Rk`` with them, persisted bucketed again, is what the next length extends.
 
 Only phrases whose parts are all frequent can be frequent, so pruning loses
-nothing.  Words travel as numbers of the dictionary of frequent words.
+nothing.  Texts are cut into words on their Arrow buffers; from there on words
+travel as numbers of the dictionary of frequent words.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import forget, ranked, written
+from trendlens.llm.common import forget, python_workers, ranked, written
 from trendlens.session import scratch_path
 
 # Characters that end a piece, and those that only part words (fixed values).
@@ -37,6 +42,7 @@ BROADCAST_ROWS = 500_000
 # Documents of one part, and words that a bucket should hold.
 PART_BITS = 14
 BUCKET_WORDS = 1 << 20
+SEND_WORDS = 1 << 17  # of one Arrow batch
 MOST_BUCKETS = 100_000  # Spark's own limit
 
 SCORE_UNIT = 1_000_000
@@ -44,18 +50,99 @@ SCORE_UNIT = 1_000_000
 _names = count(1)
 
 
+def _byte_table() -> np.ndarray:
+    table = np.arange(256, dtype="uint8")
+    table[[ord(c) for c in UPPER]] = [ord(c) for c in LOWER]
+    table[[ord(c) for c in PIECE_ENDS]] = ord("\n")
+    table[[ord(c) for c in BLANKS]] = ord(" ")
+    return table
+
+
+_BYTES = _byte_table()
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All words of some texts, the text each is of, and its place there.
+
+    Works on the UTF-8 bytes at once: what parts words and pieces is ASCII.
+    The next word of the same piece has the next place; a piece's end leaves
+    a gap.
+    """
+    texts = texts.cast(pa.large_string()).fill_null("")
+    offsets = np.frombuffer(texts.buffers()[1], "int64")[texts.offset:texts.offset + len(texts) + 1]
+    if texts.buffers()[2] is None:
+        return pa.array([], pa.string()), np.zeros(0, "int64"), np.zeros(0, "int64")
+    plain = _BYTES[np.frombuffer(texts.buffers()[2], "uint8")[offsets[0]:offsets[-1]]]
+    offsets = offsets - offsets[0]
+    ends = plain == 10
+    inside = ~(ends | (plain == 32))
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    rows = offsets[:-1][np.diff(offsets) > 0]
+    first[rows] = inside[rows]  # a text's first byte begins a word even after another text's last
+    starts = np.flatnonzero(first)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    n = np.arange(len(starts)) + np.cumsum(ends, dtype="int64")[starts]  # words and piece ends before
+    base = np.zeros(len(texts), "int64")
+    begins = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, "int64")
+    base[row[begins]] = n[begins]
+    sizes = np.add.reduceat(inside, starts, dtype="int64") if len(starts) else np.zeros(0, "int64")
+    bounds = np.r_[0, np.cumsum(sizes)]
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(plain[inside].tobytes()))
+    return words, row, n - base[row]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words, row, _ = words_of(batch["plain"])
+        if not len(words):
+            continue
+        found = pa.table({"grp": batch["grp"].take(pa.array(row)), "word": words})
+        counts = found.group_by(["grp", "word"]).aggregate([([], "count_all")])
+        yield pa.RecordBatch.from_arrays([counts["grp"].combine_chunks(),
+                                          counts["word"].combine_chunks().cast(pa.string()),
+                                          counts["count_all"].combine_chunks()], names=["grp", "word", "n"])
+
+
+def _place_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words, row, at = words_of(batch["plain"])
+        for k in range(0, len(words), SEND_WORDS):
+            some = pa.array(row[k:k + SEND_WORDS])
+            yield pa.RecordBatch.from_arrays(
+                [batch["grp"].take(some), batch["doc"].take(some), pa.array(at[k:k + SEND_WORDS]),
+                 words[k:k + SEND_WORDS].cast(pa.string())], names=["grp", "doc", "at", "word"])
+
+
+def _texts(docs: DataFrame, text: str, group: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"),
+                       F.monotonically_increasing_id().alias("doc"), F.col(text).alias("plain"))
+
+
+def word_counts(docs: DataFrame, text: str, group: str) -> DataFrame:
+    """``(grp, word, f)``, counted per batch before they are shuffled."""
+    counted = _texts(docs, text, group).select("grp", "plain").mapInArrow(
+        _count_words, "grp string, word string, n long")
+    return counted.groupBy("grp", "word").agg(F.sum("n").alias("f"))
+
+
 def word_places(docs: DataFrame, text: str, group: str) -> DataFrame:
-    """``(grp, part, doc, at, word)``: every word of every piece in order."""
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
-    plain = F.translate(lowered, PIECE_ENDS + BLANKS[1:], "\n" * len(PIECE_ENDS) + " ")
-    doc = F.monotonically_increasing_id()
-    pieces = (docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"), doc.alias("doc"),
-                          plain.alias("plain"))
-              .select("grp", "doc", F.posexplode(F.split("plain", "\n", -1)).alias("piece", "words")))
-    words = pieces.select("grp", "doc", "piece",
-                          F.posexplode(F.array_remove(F.split("words", " ", -1), "")).alias("pos", "word"))
-    at = F.shiftleft(F.col("piece").cast("long"), 32) + F.col("pos")
-    return words.select("grp", F.shiftright("doc", PART_BITS).alias("part"), "doc", at.alias("at"), "word")
+    """``(grp, part, doc, at, word)``: every word of every text in order."""
+    placed = _texts(docs, text, group).mapInArrow(_place_words, "grp string, doc long, at long, word string")
+    return placed.select("grp", F.shiftright("doc", PART_BITS).alias("part"), "doc", "at", "word")
+
+
+@contextmanager
+def _joins_by_bucket(spark: SparkSession):
+    """Let a join whose keys hold the bucket column use the buckets as they
+    are (by default Spark shuffles unless all join keys are bucket columns)."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 class _Relations:
@@ -114,25 +201,26 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", max_w
     whole; other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    places = word_places(docs, text, group)
-    counts = written(places.groupBy("grp", "word").agg(F.count("*").alias("f")), "phrase-words")
+    python_workers(spark)
+    counts = written(word_counts(docs, text, group), "phrase-words")
     totals = counts.groupBy("grp").agg(F.sum("f").alias("n"))
     n_words = counts.agg(F.sum("f")).first()[0] or 0
     words = written(ranked(counts.filter(F.col("f") >= least), [], ["grp", "word"], "phrase-dictionary")
                     .select("grp", "word", "f", F.col("place").alias("w1")), "phrase-dictionary")
     relations = _Relations(spark, min(MOST_BUCKETS, 8 + 2 * (n_words // BUCKET_WORDS)))
-    known, shuffled = _semi_join(places, words.select("grp", "word", "w1"), ["grp", "word"], "inner")
-    occurs = relations.persist(known.select("part", "doc", "at", "w1"), shuffled)
-
     frequent = {1: words.select("w1", "f")}
-    for k in range(2, max_words + 1):
-        follow = occurs.select("doc", "part", (F.col("at") - 1).alias("at"), F.col(f"w{k - 1}").alias(f"w{k}"))
-        longer = occurs.join(follow.hint("merge"), ["doc", "part", "at"]).select("part", "doc", "at", *_ids(k))
-        frequent[k] = written(longer.groupBy(*_ids(k)).agg(F.count("*").alias("f")).filter(F.col("f") >= least),
-                              f"phrases-{k}")
-        if k < max_words:
-            kept, shuffled = _semi_join(longer, frequent[k].select(_ids(k)), _ids(k), "left_semi")
-            occurs = relations.persist(kept, shuffled)
+    with _joins_by_bucket(spark):
+        known, shuffled = _semi_join(word_places(docs, text, group), words.select("grp", "word", "w1"), ["grp", "word"],
+                                     "inner")
+        occurs = relations.persist(known.select("part", "doc", "at", "w1"), shuffled)
+        for k in range(2, max_words + 1):
+            follow = occurs.select("doc", "part", (F.col("at") - 1).alias("at"), F.col(f"w{k - 1}").alias(f"w{k}"))
+            longer = occurs.join(follow.hint("merge"), ["doc", "part", "at"]).select("part", "doc", "at", *_ids(k))
+            frequent[k] = written(longer.groupBy(*_ids(k)).agg(F.count("*").alias("f")).filter(F.col("f") >= least),
+                                  f"phrases-{k}")
+            if k < max_words:
+                kept, shuffled = _semi_join(longer, frequent[k].select(_ids(k)), _ids(k), "left_semi")
+                occurs = relations.persist(kept, shuffled)
 
     found = None
     for k in range(2, max_words + 1):
