@@ -1,0 +1,102 @@
+"""Merkle manifest against a plain recursive version."""
+
+import hashlib
+import zlib
+
+import pytest
+
+from trendlens.llm import merkle, queries
+
+SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
+COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row):
+    return H(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+
+def tree(nodes):
+    """Root and, per node, (proof, run positions) by plain recursion."""
+    if len(nodes) == 1:
+        return nodes[0], [([], [])]
+    runs = [nodes[i:i + 8] for i in range(0, len(nodes), 8)]
+    root, above = tree([H(*run) for run in runs])
+    return root, [([s for k, s in enumerate(runs[i // 8]) if k != i % 8] + above[i // 8][0],
+                   [(i % 8, len(runs[i // 8]) - 1)] + above[i // 8][1]) for i in range(len(nodes))]
+
+
+def manifest(rows):
+    groups = {}
+    if not rows:
+        return []
+    for r in rows:
+        groups.setdefault(r[2], []).append(r)
+    langs = sorted(groups, key=lambda v: (v is not None, (v or "").encode()))
+    out, roots = [], []
+    for lang in langs:
+        own = sorted(groups[lang], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        sub, paths = tree([leaf(r) for r in own])
+        roots.append((own, sub, paths))
+    root, tops = tree([s for _, s, _ in roots])
+    for (own, sub, paths), (top, top_at) in zip(roots, tops):
+        for r, (proof, at) in zip(own, paths):
+            now = r
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[4] is not None:
+                now = (*r[:4], "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in r[4]))
+            node, rest = leaf(now), proof + top
+            for k, n in at + top_at:
+                node, rest = H(*rest[:k], node, *rest[k:n]), rest[n:]
+            out.append((r[0], leaf(r), sub, root, H(*proof, *top), node, node == root))
+    return out
+
+
+def rows(n, seed=0):
+    import random
+
+    rnd = random.Random(seed)
+    out = [(i, rnd.choice(["s", None]), rnd.choice(["en", "en", "en", "de", None, "", "Ä"]), rnd.choice([None, i]),
+            rnd.choice([None, "", "Some TEXT é " + "x" * rnd.randint(0, 50)])) for i in range(n)]
+    # Repeated rows and ids, NULL ids, a very long text, text that looks like a digest line.
+    return out + [out[3], out[3], (5, "other", "en", 1, "B"), (None, None, None, None, None), (None, "s", "en", 2, "Q"),
+                  (10 ** 17 + 1, "s", "en", 3, "LONG " * 50_000), (10 ** 17 + 2, "1:s", "zz", -4, "-")]
+
+
+@pytest.mark.parametrize("n, block", [(0, None), (1, None), (70, None), (700, 64)])
+def test_equals_plain_recursion(spark, workdir, monkeypatch, n, block):
+    data = rows(n) if n else []
+    if block:  # superblocks of two levels: rounds up and down within one table
+        monkeypatch.setattr(merkle, "HEIGHT", 2)
+        monkeypatch.setattr(merkle, "BLOCK", block)
+    if n == 1:
+        data = data[:1]
+    spark.createDataFrame(data, SCHEMA).repartition(3).write.parquet(f"{workdir}/documents.parquet")
+    got = queries.op11_merkle(spark, workdir)
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    key = lambda r: (str(r[0]), *map(str, r[1:]))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(manifest(data), key=key)
+
+
+def test_proofs_and_clashing_columns(spark):
+    """A proof leads from the leaf to the root; extra columns do not count."""
+    data = rows(40)
+    plain = spark.createDataFrame(data, SCHEMA)
+    extra = plain.selectExpr("*", "'x' AS tree", "1 AS place", "2 AS size", "'y' AS hash", "3 AS row_at", "4 AS block")
+    found = merkle.merkle_manifest(extra).collect()
+    assert {r.root for r in found} == {r.root for r in merkle.merkle_manifest(plain).collect()} and len(found) == len(data)
+    for r in found:
+        shape = ((r.place, r["size"]), (r.tree_place, r.trees))
+        assert merkle.fold_proof(r.leaf, r.proof, shape) == r.root == r.folded_root
+        assert merkle.fold_proof(H("no"), r.proof, shape) != r.root
+    with pytest.raises(ValueError):
+        merkle.fold_proof(found[0].leaf, found[0].proof + "0", shape)
+
+
+def test_all_rows_equal(spark):
+    data = [(1, "s", "en", 1, "same")] * 300
+    found = merkle.merkle_manifest(spark.createDataFrame(data, SCHEMA).repartition(4)).collect()
+    assert sorted(r.place for r in found) == list(range(300)) and len({r.leaf for r in found}) == 1
+    assert all(r.folded_root == r.root for r in found)

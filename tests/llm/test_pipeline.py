@@ -57,7 +57,7 @@ def test_run_applies_the_stages_to_the_table(spark):
 def test_registered_once():
     names = list(queries.queries())
     assert [n for n in names if n == "pipeline"] == ["pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None
 
 
