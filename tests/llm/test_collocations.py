@@ -4,11 +4,12 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from trendlens.llm import collocations
-from trendlens.llm.collocations import words_of
+from trendlens.llm.collocations import pack, unpack, words_of
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -63,27 +64,22 @@ def test_equals_a_plain_count(spark, kw):
     found = collocations.collocations(df, **kw)
     args = {"percent" if k == "inside_percent" else k: v for k, v in kw.items()}
     assert sorted(map(tuple, found.collect())) == brute(rows, **args)
-    assert not [t for t in spark.catalog.listTables() if t.name.startswith("trendlens_places")]
 
 
-def test_without_broadcast(spark, monkeypatch):
-    """Beyond the size of a broadcast the same joins shuffle."""
-    monkeypatch.setattr(collocations, "BROADCAST_ROWS", 0)
-    rows = corpus(2, 40)
-    found = collocations.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3))
-    assert sorted(map(tuple, found.collect())) == brute(rows)
+def test_many_passes_blocks_and_ranges(spark, monkeypatch):
+    """What is beyond the size of one pass is met in several; blocks, counts
+    of a task and ranges of the reduction may be small."""
+    for name, value in (("WORDS_PER_PASS", 3), ("PHRASES_PER_PASS", 5), ("BLOCK_BYTES", 200), ("OPEN_BYTES", 300),
+                        ("HELD_WORDS", 20), ("HELD_PAIRS", 50), ("RANGE_PAIRS", 40), ("RANK_PARTS", 3)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = corpus(2, 60)
+    found = collocations.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), max_words=4)
+    assert sorted(map(tuple, found.collect())) == brute(rows, max_words=4)
 
 
-def test_joins_of_persisted_relations_do_not_shuffle(spark):
-    places = collocations.word_places(spark.createDataFrame(corpus(3), SCHEMA), "text", "lang")
-    relations = collocations._Relations(spark, 8)
-    with collocations._joins_by_bucket(spark):
-        one = relations.persist(places.select("part", "doc", "at", "word"), False)
-        two = one.join(one.selectExpr("doc", "part", "at - 1 AS at", "word AS next").hint("merge"), ["doc", "part", "at"])
-        plan = two._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-        assert two.count() == sum(max(0, len(p) - 1) for _, t, _ in corpus(3) for p in pieces_of(t))
-    relations.drop()
+def test_packing_round_trip():
+    for values in ([], [5], [0, 1, 2, 5, 4, 1 << 60, 0], list(range(1000))):
+        assert unpack(pack(np.array(values, "int64"))).tolist() == values
 
 
 def test_scores_pass_64_bits(spark):
@@ -104,7 +100,9 @@ def test_empty_and_clashing_columns(spark):
 
 def test_words_of_sliced_arrays():
     texts = ["skip me", "A b.c", None, "", "d\te,", "f"]
-    words, row, at = words_of(pa.array(texts).slice(1))
-    assert words.to_pylist() == ["a", "b", "c", "d", "e", "f"] and row.tolist() == [0, 0, 0, 3, 3, 4]
-    assert at.tolist() == [0, 1, 3, 0, 1, 0]
+    words, place = words_of(pa.array(texts).slice(1))
+    assert words.to_pylist() == ["a", "b", "c", "d", "e", "f"]
+    steps = np.diff(place).tolist()
+    assert steps[0] == 1 and steps[3] == 1 and all(s > 1 for s in (steps[1], steps[2], steps[4]))
     assert words_of(pa.array([None, ""], pa.string()))[0].to_pylist() == []
+    assert words_of(pa.array([" .", "\n"]))[0].to_pylist() == []

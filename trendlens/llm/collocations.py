@@ -2,53 +2,57 @@
 
 Set-oriented mining over relations, one length after another:
 
-* the occurrence relation ``R1(part, doc, at, w1)`` holds every occurrence of
-  a frequent word; ``at`` numbers the words of a text, with a gap between
-  pieces, so ``at + 1`` is the next word of the same piece.  It is persisted
-  bucketed by ``part`` (a block of consecutive documents) and sorted by place;
-* ``Rk`` merge-joins two relations of length ``k - 1`` by document and
-  adjacent place.  Both sides are bucketed alike, so no join shuffles;
-* a group count over ``Rk`` keeps the frequent phrases, and a semi-join of
-  ``Rk`` with them, persisted bucketed again, is what the next length extends.
+* the occurrence relation ``R1(place, word)`` holds every occurrence of a
+  frequent word; places number the words of a text with a gap between pieces
+  and texts, so ``place + 1`` is the next word of the same piece.  It is
+  persisted sorted by place, in blocks of whole texts of one group;
+* ``Rk`` merge-joins ``R(k-1)`` with itself on the adjacent place: both sides
+  are sorted, so the partner, if there is one, is the next row.  A row of
+  ``Rk`` stands for a phrase of ``k`` words, by its first and its last
+  ``k - 1`` words;
+* a group count over all of ``Rk`` keeps the frequent phrases, and a
+  semi-join of ``Rk`` with them, persisted again, is what the next length
+  extends.
 
 Only phrases whose parts are all frequent can be frequent, so pruning loses
-nothing.  Texts are cut into words on their Arrow buffers; from there on words
-travel as numbers of the dictionary of frequent words.
+nothing.  Blocks are worked on as arrays in Arrow batches; what is shuffled are
+counts, summed per task first and sent as one packed row per task and range of
+the reduction.  Words and phrases travel as numbers.
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterator
-from contextlib import contextmanager
-from itertools import count
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.llm.common import forget, python_workers, ranked, written
-from trendlens.session import scratch_path
 
 # Characters that end a piece, and those that only part words (fixed values).
 PIECE_ENDS = ".,;:!?\n\v\f\r"
 BLANKS = " \t"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Dictionary words or frequent phrases (of up to 100 bytes each) that are sent
-# to every executor; more are met by a shuffled join.
-BROADCAST_ROWS = 500_000
-# Documents of one part, and words that a bucket should hold.
-PART_BITS = 14
-BUCKET_WORDS = 1 << 20
-SEND_WORDS = 1 << 17  # of one Arrow batch
-MOST_BUCKETS = 100_000  # Spark's own limit
+# Bytes of text of a block (a longer text is a block of its own), and of all
+# blocks that a task has open.
+BLOCK_BYTES, OPEN_BYTES = 4 << 20, 16 << 20
+# Frequent words, and frequent phrases, that every executor is sent at once
+# (about 40 MB); more are met in as many passes as it takes.
+WORDS_PER_PASS, PHRASES_PER_PASS = 1_000_000, 4_000_000
+# Rows that a task sums before it sends them: words of blocks, and pairs; and
+# pairs of one range of the reduction, repeats counted.
+HELD_WORDS, HELD_PAIRS, RANGE_PAIRS = 500_000, 1_500_000, 1_000_000
+# Parts in which the best phrases of a group are sought first.
+RANK_PARTS = 32
 
 SCORE_UNIT = 1_000_000
 
-_names = count(1)
-
 
 def _byte_table() -> np.ndarray:
     table = np.arange(256, dtype="uint8")
@@ -61,118 +65,241 @@ def _byte_table() -> np.ndarray:
 _BYTES = _byte_table()
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """All words of some texts, the text each is of, and its place there.
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of some texts, in order, and their places.
 
     Works on the UTF-8 bytes at once: what parts words and pieces is ASCII.
-    The next word of the same piece has the next place; a piece's end leaves
-    a gap.
+    The next word of the same piece has the next place; the end of a piece or
+    of a text leaves a gap.
     """
     texts = texts.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(texts.buffers()[1], "int64")[texts.offset:texts.offset + len(texts) + 1]
-    if texts.buffers()[2] is None:
-        return pa.array([], pa.string()), np.zeros(0, "int64"), np.zeros(0, "int64")
+    if texts.buffers()[2] is None or offsets[0] == offsets[-1]:
+        return pa.array([], pa.large_string()), np.zeros(0, "int64")
     plain = _BYTES[np.frombuffer(texts.buffers()[2], "uint8")[offsets[0]:offsets[-1]]]
     offsets = offsets - offsets[0]
     ends = plain == 10
     inside = ~(ends | (plain == 32))
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    rows = offsets[:-1][np.diff(offsets) > 0]
-    first[rows] = inside[rows]  # a text's first byte begins a word even after another text's last
+    heads = offsets[:-1][np.diff(offsets) > 0]  # first bytes of texts
+    first[heads] = inside[heads]  # begin a word even after another text's last one
     starts = np.flatnonzero(first)
-    row = np.searchsorted(offsets, starts, "right") - 1
-    n = np.arange(len(starts)) + np.cumsum(ends, dtype="int64")[starts]  # words and piece ends before
-    base = np.zeros(len(texts), "int64")
-    begins = np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, "int64")
-    base[row[begins]] = n[begins]
-    sizes = np.add.reduceat(inside, starts, dtype="int64") if len(starts) else np.zeros(0, "int64")
-    bounds = np.r_[0, np.cumsum(sizes)]
+    if not len(starts):
+        return pa.array([], pa.large_string()), np.zeros(0, "int64")
+    place = (np.arange(len(starts)) + np.searchsorted(np.flatnonzero(ends), starts)
+             + np.searchsorted(heads, starts, "right"))
+    bounds = np.r_[0, np.cumsum(np.add.reduceat(inside, starts, dtype="int64"))]
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(plain[inside].tobytes()))
-    return words, row, n - base[row]
-
-
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words, row, _ = words_of(batch["plain"])
-        if not len(words):
-            continue
-        found = pa.table({"grp": batch["grp"].take(pa.array(row)), "word": words})
-        counts = found.group_by(["grp", "word"]).aggregate([([], "count_all")])
-        yield pa.RecordBatch.from_arrays([counts["grp"].combine_chunks(),
-                                          counts["word"].combine_chunks().cast(pa.string()),
-                                          counts["count_all"].combine_chunks()], names=["grp", "word", "n"])
-
-
-def _place_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words, row, at = words_of(batch["plain"])
-        for k in range(0, len(words), SEND_WORDS):
-            some = pa.array(row[k:k + SEND_WORDS])
-            yield pa.RecordBatch.from_arrays(
-                [batch["grp"].take(some), batch["doc"].take(some), pa.array(at[k:k + SEND_WORDS]),
-                 words[k:k + SEND_WORDS].cast(pa.string())], names=["grp", "doc", "at", "word"])
-
+    return words, place
 
-def _texts(docs: DataFrame, text: str, group: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"),
-                       F.monotonically_increasing_id().alias("doc"), F.col(text).alias("plain"))
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers as bytes: differences, byte planes, Zstandard."""
+    steps = np.diff(values.astype("int64"), prepend=np.int64(0))
+    return zstandard.compress(np.ascontiguousarray(steps.view("uint8").reshape(-1, 8).T).tobytes(), 1)
 
-def word_counts(docs: DataFrame, text: str, group: str) -> DataFrame:
-    """``(grp, word, f)``, counted per batch before they are shuffled."""
-    counted = _texts(docs, text, group).select("grp", "plain").mapInArrow(
-        _count_words, "grp string, word string, n long")
-    return counted.groupBy("grp", "word").agg(F.sum("n").alias("f"))
 
+def unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), "uint8").reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("int64").ravel())
 
-def word_places(docs: DataFrame, text: str, group: str) -> DataFrame:
-    """``(grp, part, doc, at, word)``: every word of every text in order."""
-    placed = _texts(docs, text, group).mapInArrow(_place_words, "grp string, doc long, at long, word string")
-    return placed.select("grp", F.shiftright("doc", PART_BITS).alias("part"), "doc", "at", "word")
 
+TEXT_BLOCK = "grp string, places binary, codes binary, words array<string>"
 
-@contextmanager
-def _joins_by_bucket(spark: SparkSession):
-    """Let a join whose keys hold the bucket column use the buckets as they
-    are (by default Spark shuffles unless all join keys are bucket columns)."""
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
 
+def _tokenise(block_bytes: int, open_bytes: int) -> Callable:
+    """Blocks of one group's texts: places, and words as codes into the
+    block's own list."""
 
-class _Relations:
-    """Occurrence relations, bucketed tables under the shared folder."""
+    def block(grp: str, held: dict, sizes: dict) -> pa.RecordBatch:
+        words, place = words_of(pa.concat_arrays(held.pop(grp)))
+        sizes.pop(grp)
+        coded = words.dictionary_encode()
+        own = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()),
+                                       coded.dictionary.cast(pa.string()))
+        return pa.RecordBatch.from_arrays([
+            pa.array([grp], pa.string()), pa.array([pack(place)], pa.binary()),
+            pa.array([pack(coded.indices.to_numpy())], pa.binary()), own], names=["grp", "places", "codes", "words"])
 
-    def __init__(self, spark, buckets: int):
-        self.spark, self.buckets, self.names = spark, buckets, []
-
-    def persist(self, rows: DataFrame, dealt: bool) -> DataFrame:
-        """``rows`` as a table bucketed by part and sorted by place; ``dealt``
-        if parts are spread over the tasks of ``rows``."""
-        name = f"trendlens_places_{os.getpid()}_{next(_names)}"
-        if dealt:
-            rows = rows.repartition(self.buckets, "part")
-        (rows.write.format("parquet").mode("overwrite").option("path", scratch_path(self.spark, "llm-places"))
-         .bucketBy(self.buckets, "part").sortBy("doc", "at").saveAsTable(name))
-        self.names.append(name)
-        return self.spark.table(name)
-
-    def drop(self) -> None:
-        for name in self.names:
-            table = self.spark.table(name)
-            self.spark.sql(f"DROP TABLE {name}")
-            forget(table)
-
-
-def _semi_join(rows: DataFrame, keys: DataFrame, on: list[str], how: str) -> tuple[DataFrame, bool]:
-    """``rows`` met with ``keys``, and whether that shuffled them."""
-    small = keys.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(keys) if small else keys, on, how), not small
+    def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, sizes = defaultdict(list), defaultdict(int)
+        for batch in batches:
+            for grp in pc.unique(batch["grp"]).to_pylist():
+                texts = batch["text"].filter(pc.equal(batch["grp"], grp)).cast(pa.large_string())
+                held[grp].append(texts)
+                sizes[grp] += texts.nbytes
+                if sizes[grp] >= block_bytes:
+                    yield block(grp, held, sizes)
+            while sum(sizes.values()) >= open_bytes:
+                yield block(max(sizes, key=sizes.get), held, sizes)
+        for grp in list(held):
+            yield block(grp, held, sizes)
+
+    return tokenise
+
+
+def _count_words(held_rows: int) -> Callable:
+    """Word counts, summed over the blocks of a task until ``held_rows``."""
+
+    def summed(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        total = pa.concat_tables(held).group_by(["grp", "word"]).aggregate([("n", "sum")])
+        yield from total.select(["grp", "word", "n_sum"]).rename_columns(["grp", "word", "n"]).to_batches(100_000)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            for grp, codes, words in zip(batch["grp"], batch["codes"], batch["words"]):
+                n = np.bincount(unpack(codes.as_py()), minlength=len(words.values))
+                held.append(pa.table({"grp": pa.repeat(grp, len(n)), "word": words.values, "n": n}))
+                rows += len(n)
+                if rows >= held_rows:
+                    yield from summed(held)
+                    held, rows = [], 0
+        if rows:
+            yield from summed(held)
+
+    return count
+
+
+OCCURRENCES = "block long, places binary, ids binary"
+
+
+def _occurrences(block: int, place: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([pack(place)], pa.binary()),
+                                       pa.array([pack(ids)], pa.binary())], names=["block", "places", "ids"])
+
+
+def _known_words(shared) -> Callable:
+    """R1 of the words of one pass: a table (grp, word, id)."""
+
+    def known(batches):
+        groups: dict[str, tuple] = {}
+        for batch in batches:
+            for row in range(len(batch)):
+                grp = batch["grp"][row].as_py()
+                if grp not in groups:
+                    own = shared.value.filter(pc.equal(shared.value["grp"], grp))
+                    groups[grp] = own["word"].combine_chunks(), own["id"].to_numpy()
+                listed, ids = groups[grp]
+                found = pc.index_in(batch["words"][row].values, value_set=listed)
+                number = np.append(ids, -1)[found.fill_null(-1).to_numpy()] if len(ids) else np.full(len(found), -1)
+                codes = number[unpack(batch["codes"][row].as_py())]
+                have = codes >= 0
+                yield _occurrences(batch["block"][row].as_py(), unpack(batch["places"][row].as_py())[have], codes[have])
+
+    return known
+
+
+def _adjacent(places: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Merge join of a sorted relation with itself on the next place: places
+    of the first rows, and both rows' numbers as one."""
+    place, own = unpack(places), unpack(ids)
+    at = np.flatnonzero(np.diff(place) == 1)
+    return place[at], (own[at] << 32) | own[at + 1]
+
+
+def _range_of(pairs: np.ndarray, ranges: int) -> np.ndarray:
+    mixed = pairs.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(ranges)).astype("int64")
+
+
+def _count_pairs(ranges: int, held_pairs: int) -> Callable:
+    """Counts of adjacent pairs per task, packed by range of the reduction."""
+
+    def summed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        pairs, n = np.unique(np.concatenate(held), return_counts=True)
+        part = _range_of(pairs, ranges)
+        order = np.argsort(part, kind="stable")
+        pairs, n = pairs[order], n[order]
+        which, starts = np.unique(part[order], return_index=True)
+        ends = np.r_[starts[1:], len(pairs)]
+        for low in range(0, len(which), 1024):
+            spans = list(zip(starts[low:low + 1024], ends[low:low + 1024]))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(which[low:low + 1024], pa.int64()), pa.array([pack(pairs[a:b]) for a, b in spans], pa.binary()),
+                pa.array([pack(n[a:b]) for a, b in spans], pa.binary())], names=["part", "pairs", "counts"])
+
+    def count(batches):
+        held, size = [], 0
+        for batch in batches:
+            for places, ids in zip(batch["places"], batch["ids"]):
+                held.append(_adjacent(places.as_py(), ids.as_py())[1])
+                size += len(held[-1])
+                if size >= held_pairs:
+                    yield from summed(held)
+                    held, size = [], 0
+        if size:
+            yield from summed(held)
+
+    return count
+
+
+def _frequent_pairs(least: int) -> Callable:
+    def total(table: pa.Table) -> pa.Table:
+        pairs = np.concatenate([unpack(v.as_py()) for v in table["pairs"]])
+        n = np.concatenate([unpack(v.as_py()) for v in table["counts"]])
+        order = np.argsort(pairs, kind="stable")
+        pairs, n = pairs[order], n[order]
+        starts = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+        sums = np.add.reduceat(n, starts)
+        keep = sums >= least
+        return pa.table({"pair": pairs[starts][keep], "f": sums[keep]})
+
+    return total
+
+
+def _frequent_rows(shared) -> Callable:
+    """Semi-join of the next relation with the frequent pairs of one pass (a
+    sorted array and the number of its first); a phrase is numbered by its
+    rank among all of them."""
+
+    def frequent(batches):
+        listed, first = shared.value
+        for batch in batches:
+            for block, places, ids in zip(batch["block"], batch["places"], batch["ids"]):
+                place, pairs = _adjacent(places.as_py(), ids.as_py())
+                at = np.minimum(np.searchsorted(listed, pairs), len(listed) - 1)
+                have = listed[at] == pairs
+                yield _occurrences(block.as_py(), place[have], at[have] + first)
+
+    return frequent
+
+
+def _merge_passes(table: pa.Table) -> pa.Table:
+    place = np.concatenate([unpack(v.as_py()) for v in table["places"]])
+    ids = np.concatenate([unpack(v.as_py()) for v in table["ids"]])
+    order = np.argsort(place, kind="stable")
+    return pa.Table.from_batches([_occurrences(table["block"][0].as_py(), place[order], ids[order])])
+
+
+def _passes(blocks: DataFrame, keys: DataFrame, n: int, most: int, held: Callable, step: Callable, name: str) -> DataFrame:
+    """The relation of the rows of ``blocks`` that meet ``keys`` (numbered by
+    ``id`` in order, ``n`` of them), ``most`` of them sent and met at a time."""
+    parts = []
+    for low in range(0, max(n, 1), most):
+        some = keys.filter((F.col("id") >= low) & (F.col("id") < low + most)).orderBy("id").toArrow()
+        shared = blocks.sparkSession.sparkContext.broadcast(held(some))
+        parts.append(written(blocks.mapInArrow(step(shared), OCCURRENCES), name))
+        shared.destroy()
+    if len(parts) == 1:
+        return parts[0]
+    together = parts[0]
+    for part in parts[1:]:
+        together = together.unionAll(part)
+    merged = written(together.groupBy("block").applyInArrow(_merge_passes, OCCURRENCES), name)
+    for part in parts:
+        forget(part)
+    return merged
+
+
+def _numbered(rows: DataFrame, order: list[str], name: str) -> tuple[DataFrame, int]:
+    """A written copy of ``rows`` with ``id``, their rank, and their number."""
+    out = written(ranked(rows, [], order, f"{name}-order").withColumnRenamed("place", "id").drop("size"), name)
+    n = out.count()
+    if n >= 1 << 31:  # two numbers make one of 64 bits
+        raise OverflowError(f"{n} frequent rows of one length; numbers end at 2^31")
+    return out, n
 
 
 def _ids(n: int, start: int = 1) -> list[str]:
@@ -200,38 +327,54 @@ def collocations(docs: DataFrame, text: str = "text", group: str = "lang", max_w
     ``und``; repeated rows count as often as they are there; texts count
     whole; other columns are not read; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    python_workers(spark)
-    counts = written(word_counts(docs, text, group), "phrase-words")
+    python_workers(docs.sparkSession)
+    texts = docs.select(F.coalesce(F.col(group).cast("string"), F.lit("und")).alias("grp"), F.col(text).alias("text"))
+    blocks = written(texts.mapInArrow(_tokenise(BLOCK_BYTES, OPEN_BYTES), TEXT_BLOCK).withColumn("block", F.monotonically_increasing_id()),
+                     "phrase-texts")
+    counts = written(blocks.mapInArrow(_count_words(HELD_WORDS), "grp string, word string, n long")
+                     .groupBy("grp", "word").agg(F.sum("n").alias("f")), "phrase-words")
     totals = counts.groupBy("grp").agg(F.sum("f").alias("n"))
-    n_words = counts.agg(F.sum("f")).first()[0] or 0
-    words = written(ranked(counts.filter(F.col("f") >= least), [], ["grp", "word"], "phrase-dictionary")
-                    .select("grp", "word", "f", F.col("place").alias("w1")), "phrase-dictionary")
-    relations = _Relations(spark, min(MOST_BUCKETS, 8 + 2 * (n_words // BUCKET_WORDS)))
-    frequent = {1: words.select("w1", "f")}
-    with _joins_by_bucket(spark):
-        known, shuffled = _semi_join(word_places(docs, text, group), words.select("grp", "word", "w1"), ["grp", "word"],
-                                     "inner")
-        occurs = relations.persist(known.select("part", "doc", "at", "w1"), shuffled)
-        for k in range(2, max_words + 1):
-            follow = occurs.select("doc", "part", (F.col("at") - 1).alias("at"), F.col(f"w{k - 1}").alias(f"w{k}"))
-            longer = occurs.join(follow.hint("merge"), ["doc", "part", "at"]).select("part", "doc", "at", *_ids(k))
-            frequent[k] = written(longer.groupBy(*_ids(k)).agg(F.count("*").alias("f")).filter(F.col("f") >= least),
-                                  f"phrases-{k}")
-            if k < max_words:
-                kept, shuffled = _semi_join(longer, frequent[k].select(_ids(k)), _ids(k), "left_semi")
-                occurs = relations.persist(kept, shuffled)
+    total = counts.agg(F.sum("f")).first()[0] or 0
+    words, n = _numbered(counts.filter(F.col("f") >= least), ["grp", "word"], "phrase-dictionary")
+    occurs = _passes(blocks, words.select("grp", "word", "id"), n, WORDS_PER_PASS, lambda t: t, _known_words,
+                     "phrase-occurs-1")
+    forget(blocks)
+    frequent = {1: words.select(F.col("id").alias("w1"), "f")}
+    previous = words.select("id", F.col("id").alias("w1"))
+    used = [counts, words]
+    ranges = max(1, -(-total // RANGE_PAIRS))
+    for k in range(2, max_words + 1):
+        counted = occurs.mapInArrow(_count_pairs(ranges, HELD_PAIRS), "part long, pairs binary, counts binary")
+        found, n = _numbered(counted.groupBy("part").applyInArrow(_frequent_pairs(least), "pair long, f long"), ["pair"],
+                             f"phrases-{k}")
+        first, last = previous.alias("first"), previous.alias("last")
+        named = found.join(first, F.shiftright("pair", 32) == F.col("first.id")).join(
+            last, F.col("pair").bitwiseAND((1 << 32) - 1) == F.col("last.id"))
+        named = written(named.select(found["id"], *[F.col(f"first.{w}") for w in _ids(k - 1)],
+                                     F.col(f"last.w{k - 1}").alias(f"w{k}"), "f"), f"phrases-{k}")
+        frequent[k], previous = named.select(*_ids(k), "f"), named.select("id", *_ids(k))
+        used += [found, named]
+        if k < max_words:
+            longer = _passes(occurs, found.select("id", "pair"), n, PHRASES_PER_PASS,
+                             lambda t: (t["pair"].to_numpy(), t["id"][0].as_py()) if len(t) else (np.full(1, -1), 0),
+                             _frequent_rows, f"phrase-occurs-{k}")
+            forget(occurs)
+            occurs = longer
+    forget(occurs)
 
     found = None
     for k in range(2, max_words + 1):
         best = _named(_outside(_scored(frequent, k), frequent, k, max_words, inside_percent), words, k)
         found = best if found is None else found.unionByName(best)
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    ranks = found.withColumn("rank", F.row_number().over(Window.partitionBy("grp").orderBy(*order)))
+    # First within parts of a group, so that at most RANK_PARTS * top rows of one meet.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    first = found.withColumn("rank", F.row_number().over(Window.partitionBy("grp", part).orderBy(*order)))
+    ranks = first.filter(F.col("rank") <= top).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("grp").orderBy(*order)))
     result = written(ranks.filter(F.col("rank") <= top).join(totals, "grp").select(
         "grp", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"), "phrases")
-    relations.drop()
-    for table in (counts, words, *(frequent[k] for k in range(2, max_words + 1))):
+    for table in used:
         forget(table)
     return result
 
@@ -269,7 +412,7 @@ def _outside(phrases: DataFrame, frequent: dict[int, DataFrame], k: int, max_wor
 def _named(phrases: DataFrame, words: DataFrame, k: int) -> DataFrame:
     """Phrases with their group and words in place of the numbers."""
     for j in range(1, k + 1):
-        word = words.select(F.col("w1").alias(f"w{j}"), F.col("word").alias(f"word{j}"),
+        word = words.select(F.col("id").alias(f"w{j}"), F.col("word").alias(f"word{j}"),
                             *([F.col("grp")] if j == 1 else []))
         phrases = phrases.join(word, f"w{j}")
     return phrases.select("grp", F.concat_ws(" ", *[f"word{j}" for j in range(1, k + 1)]).alias("phrase"),
