@@ -58,6 +58,7 @@ def rows(n, seed=0):
     import random
 
     rnd = random.Random(seed)
+    n = max(n, 4)
     out = [(i, rnd.choice(["s", None]), rnd.choice(["en", "en", "en", "de", None, "", "Ä"]), rnd.choice([None, i]),
             rnd.choice([None, "", "Some TEXT é " + "x" * rnd.randint(0, 50)])) for i in range(n)]
     # Repeated rows and ids, NULL ids, a very long text, text that looks like a digest line.
@@ -65,14 +66,9 @@ def rows(n, seed=0):
                   (10 ** 17 + 1, "s", "en", 3, "LONG " * 50_000), (10 ** 17 + 2, "1:s", "zz", -4, "-")]
 
 
-@pytest.mark.parametrize("n, block", [(0, None), (1, None), (70, None), (700, 64)])
-def test_equals_plain_recursion(spark, workdir, monkeypatch, n, block):
-    data = rows(n) if n else []
-    if block:  # superblocks of two levels: rounds up and down within one table
-        monkeypatch.setattr(merkle, "HEIGHT", 2)
-        monkeypatch.setattr(merkle, "BLOCK", block)
-    if n == 1:
-        data = data[:1]
+@pytest.mark.parametrize("n", [0, 1, 70, 700])
+def test_equals_plain_recursion(spark, workdir, n):
+    data = rows(n)[:1] if n == 1 else rows(n) if n else []
     spark.createDataFrame(data, SCHEMA).repartition(3).write.parquet(f"{workdir}/documents.parquet")
     got = queries.op11_merkle(spark, workdir)
     assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
@@ -80,6 +76,18 @@ def test_equals_plain_recursion(spark, workdir, monkeypatch, n, block):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(manifest(data), key=key)
 
 
+@pytest.mark.parametrize("height", [1, 2])
+def test_rounds_up_and_down(spark, height):
+    """Small superblocks: many rounds within one table, the same manifest."""
+    data = rows(700)
+    found = merkle.merkle_manifest(spark.createDataFrame(data, SCHEMA).repartition(3), height=height).collect()
+    want = manifest(data)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.id and int(r.id), r.leaf, r.subroot, r.root, H(r.proof)) for r in found), key=key) == sorted(
+        (r[:5] for r in want), key=key)
+    assert all(r.folded_root == r.root for r in found)
+
+
 def test_proofs_and_clashing_columns(spark):
     """A proof leads from the leaf to the root; extra columns do not count."""
     data = rows(40)

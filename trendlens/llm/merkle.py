@@ -33,7 +33,6 @@ from trendlens.llm.common import forget, python_workers, ranked, written
 
 # Children of a node, and levels that one superblock folds.
 FANOUT, HEIGHT = 8, 4
-BLOCK = FANOUT ** HEIGHT
 HEX = 64
 
 NODES = "tree string, size long, place long, hash string"
@@ -56,10 +55,10 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode("ascii")).hexdigest()
 
 
-def levels(size: int) -> int:
+def levels(size: int, height: int = HEIGHT) -> int:
     """Levels that one superblock of a tree of ``size`` nodes folds."""
-    if size > BLOCK:
-        return HEIGHT
+    if size > FANOUT ** height:
+        return height
     n = 0
     while size > 1:
         size, n = -(-size // FANOUT), n + 1
@@ -96,64 +95,80 @@ def fold_proof(leaf: str, proof: str, shape: Sequence[tuple[int, int]]) -> str:
     return node
 
 
-def _block_root(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    size, nodes = int(rows["size"].iloc[0]), rows.sort_values("place")["hash"].tolist()
-    root, _ = reduce_block(nodes, levels(size))
-    return pd.DataFrame({"tree": [key[0]], "size": [-(-size // BLOCK)], "place": [int(key[1])], "hash": [root]})
+def _block_root(height: int):
+    def root(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        size, nodes = int(rows["size"].iloc[0]), rows.sort_values("place")["hash"].tolist()
+        top, _ = reduce_block(nodes, levels(size, height))
+        return pd.DataFrame({"tree": [key[0]], "size": [-(-size // FANOUT ** height)], "place": [int(key[1])],
+                             "hash": [top]})
 
+    return root
 
-def _inner_paths(rows: pd.DataFrame, outer: pd.DataFrame) -> tuple[pd.DataFrame, list[str], pd.Series]:
+
+def _inner_paths(rows: pd.DataFrame, outer: pd.DataFrame, height: int) -> tuple[pd.DataFrame, list[str], pd.Series]:
     """Nodes of a superblock in order, their whole proofs, the outer row."""
     rows, above = rows.sort_values("place"), outer.iloc[0]
-    _, paths = reduce_block(rows["hash"].tolist(), levels(int(rows["size"].iloc[0])))
+    _, paths = reduce_block(rows["hash"].tolist(), levels(int(rows["size"].iloc[0]), height))
     return rows, [p + above["proof"] for p in paths], above
 
 
-def _extend(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    rows, proofs, above = _inner_paths(rows, outer)
-    return pd.DataFrame({"tree": key[0], "block": rows["place"].to_numpy(), "proof": proofs, "root": above["root"],
-                         "subroot": above["subroot"], "tree_place": int(above["tree_place"]),
-                         "trees": int(above["trees"])})
+def _extend(height: int):
+    """Outer rows of the superblocks below, one per node."""
+
+    def extend(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        rows, proofs, above = _inner_paths(rows, outer, height)
+        return pd.DataFrame({"tree": key[0], "block": rows["place"].to_numpy(), "proof": proofs, "root": above["root"],
+                             "subroot": above["subroot"], "tree_place": int(above["tree_place"]),
+                             "trees": int(above["trees"])})
+
+    return extend
 
 
-def _finish(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
-    rows, proofs, above = _inner_paths(rows, outer)
-    tree = (int(above["tree_place"]), int(above["trees"]))
-    size = int(rows["size"].iloc[0])
-    folded = [fold_proof(now, proof, ((place, size), tree))
-              for now, proof, place in zip(rows["claimed"], proofs, rows["place"].tolist())]
-    return pd.DataFrame({"tree": key[0], "id": rows["id"].to_numpy(), "leaf": rows["hash"].to_numpy(),
-                         "place": rows["place"].to_numpy(), "size": size, "tree_place": tree[0], "trees": tree[1],
-                         "subroot": above["subroot"], "root": above["root"], "proof": proofs, "folded_root": folded})
+def _finish(height: int):
+    """Proofs of the leaves, and the roots that they fold to."""
 
+    def finish(key: tuple, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+        rows, proofs, above = _inner_paths(rows, outer, height)
+        tree = (int(above["tree_place"]), int(above["trees"]))
+        size = int(rows["size"].iloc[0])
+        folded = [fold_proof(now, proof, ((place, size), tree))
+                  for now, proof, place in zip(rows["claimed"], proofs, rows["place"].tolist())]
+        return pd.DataFrame({"tree": key[0], "id": rows["id"].to_numpy(), "leaf": rows["hash"].to_numpy(),
+                             "place": rows["place"].to_numpy(), "size": size, "tree_place": tree[0], "trees": tree[1],
+                             "subroot": above["subroot"], "root": above["root"], "proof": proofs,
+                             "folded_root": folded})
 
-def _blocks(nodes: DataFrame):
-    return nodes.withColumn("block", F.expr(f"place div {BLOCK}")).groupBy("tree", "block")
+    return finish
 
 
-def _reduce(nodes: DataFrame, name: str) -> list[DataFrame]:
+def _blocks(nodes: DataFrame, height: int):
+    return nodes.withColumn("block", F.expr(f"place div {FANOUT ** height}")).groupBy("tree", "block")
+
+
+def _reduce(nodes: DataFrame, name: str, height: int) -> list[DataFrame]:
     """Tables of nodes from ``nodes`` (tree, size, place, hash) up to one node
     per tree; all trees take the rounds of the largest, a lone node stays."""
     largest = nodes.agg(F.max("size")).first()[0] or 0
     tables = [nodes]
     while True:
-        tables.append(written(_blocks(tables[-1]).applyInPandas(_block_root, NODES), f"{name}-up"))
-        largest = -(-largest // BLOCK)
+        tables.append(written(_blocks(tables[-1], height).applyInPandas(_block_root(height), NODES), f"{name}-up"))
+        largest = -(-largest // FANOUT ** height)
         if largest <= 1:
             return tables
 
 
-def _descend(tables: list[DataFrame], top: DataFrame, name: str) -> DataFrame:
+def _descend(tables: list[DataFrame], top: DataFrame, name: str, height: int) -> DataFrame:
     """Outer rows of the superblocks of ``tables[0]``, from those of the top."""
     outer = top
     for nodes in reversed(tables[1:-1]):
-        outer = written(_blocks(nodes).cogroup(outer.groupBy("tree", "block")).applyInPandas(_extend, OUTER),
-                        f"{name}-down")
+        outer = written(_blocks(nodes, height).cogroup(outer.groupBy("tree", "block"))
+                        .applyInPandas(_extend(height), OUTER), f"{name}-down")
     return outer
 
 
 def merkle_manifest(docs: DataFrame, columns: Sequence[str] = ("doc_id", "source", "lang", "n_chars", "text"),
-                    group: str = "lang", order: str = "doc_id", claimed: Column | None = None) -> DataFrame:
+                    group: str = "lang", order: str = "doc_id", claimed: Column | None = None,
+                    height: int = HEIGHT) -> DataFrame:
     """One row per row of ``docs``: ``id`` (``order`` as a string), ``leaf``,
     ``place`` and ``size`` of its tree, ``tree_place`` and ``trees`` of the
     manifest, ``subroot``, ``root``, ``proof`` (siblings from the leaf's run to
@@ -161,6 +176,8 @@ def merkle_manifest(docs: DataFrame, columns: Sequence[str] = ("doc_id", "source
     the proof and the leaf of the ``claimed`` row (a leaf digest column; the
     own leaf where it is NULL or not given).
 
+    ``height`` is that of a superblock, whose nodes one task holds.
+
     Leaves of a group ascend by ``order`` (NULL first) and, where that ties, by
     digest; equal rows have equal leaves, each with its own place.  A NULL
     group comes before all others, the empty string included.  NULL columns
@@ -179,20 +196,20 @@ def merkle_manifest(docs: DataFrame, columns: Sequence[str] = ("doc_id", "source
     placed = written(placed.select("tree", "size", "place", "hash", F.col("by").cast("string").alias("id"),
                                    F.coalesce("claimed", "hash").alias("claimed")), "merkle-placed")
     forget(leaves)
-    tables = _reduce(placed, "merkle")
+    tables = _reduce(placed, "merkle", height)
     # The subroots are the leaves of one more tree.
     subroots = ranked(tables[-1].select(F.lit("").alias("tree"), F.col("tree").alias("id"), "hash"), ["tree"], ["id"],
                       "merkle-trees")
     subroots = written(subroots.select("tree", "size", "place", "hash", "id", F.col("hash").alias("claimed")),
                        "merkle-subroots")
-    forest = _reduce(subroots, "merkle-forest")
+    forest = _reduce(subroots, "merkle-forest", height)
     top = forest[-1].select("tree", F.col("place").alias("block"), F.lit("").alias("proof"), F.col("hash").alias("root"),
                             F.lit("").alias("subroot"), F.lit(0).cast("long").alias("tree_place"),
                             F.lit(1).cast("long").alias("trees"))
-    above = _blocks(subroots).cogroup(_descend(forest, top, "merkle-forest").groupBy("tree", "block")).applyInPandas(
-        _finish, PROOFS)
+    above = _blocks(subroots, height).cogroup(
+        _descend(forest, top, "merkle-forest", height).groupBy("tree", "block")).applyInPandas(_finish(height), PROOFS)
     outer = written(above.select(F.col("id").alias("tree"), F.lit(0).cast("long").alias("block"), "proof", "root",
                                  F.col("leaf").alias("subroot"), F.col("place").alias("tree_place"),
                                  F.col("size").alias("trees")), "merkle-outer")
-    inner = _descend(tables, outer, "merkle")
-    return _blocks(placed).cogroup(inner.groupBy("tree", "block")).applyInPandas(_finish, PROOFS)
+    inner = _descend(tables, outer, "merkle", height)
+    return _blocks(placed, height).cogroup(inner.groupBy("tree", "block")).applyInPandas(_finish(height), PROOFS)
