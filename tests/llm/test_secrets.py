@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_MID
 from trendlens.llm import secrets as S
 
 
@@ -56,6 +58,37 @@ def test_forest_separates_held_out_findings(spark):
     assert {r.secret for r in judged if r.is_secret} >= {s for _, _, s in test if s}
 
 
+def test_clear_findings_keep_their_label(spark):
+    """However few they are and whatever a forest says: it judges the rest."""
+    docs = spark.createDataFrame([(1, "x password=b7db7aa4a5fcc78305 y"), (2, "n 4012888888881881 m"),
+                                  (3, "k 9f86d081884c7d659a2f z")], "doc_id long, text string")
+    got = {r.doc_id: r.is_secret for r in S.scan_secrets(docs, ["doc_id"]).collect()}
+    assert got == {1: True, 2: False, 3: False}
+    found = S.with_features(S.candidates(docs, ["doc_id"]), S.dictionary_grams(docs))
+    upside_down = S.with_features(S.candidates(spark.createDataFrame(
+        [(i, t) for i, t, _ in corpus(4)], "doc_id long, text string"), ["doc_id"]), S.dictionary_grams(docs))
+    upside_down = S.label_findings(upside_down).withColumn("label", 1 - F.col("label"))
+    model = S.train_forest(upside_down)
+    judged = {r.doc_id: r.is_secret for r in S.score_findings(found, model).collect()}
+    assert judged[1] is True and judged[2] is False
+    assert S.train_forest(upside_down.limit(S.MIN_TRAINING)) is None
+    assert {r.doc_id: r.is_secret for r in S.score_findings(found, model, clear=False).collect()}[1] is False
+
+
+@pytest.mark.parametrize("folder", [SF_MID, SF_MID.replace("sf0.01", "sf0.1")])
+def test_planted_tokens_and_numbers(spark, folder):
+    """Against truth that is no feature: what the corpus plants as
+    ``token = "<40 hex digits>"`` is found, numbers like those of cards are not."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    planted = {(r.doc_id, t) for r in docs.filter("text LIKE '%token = %'").collect()
+               for t in re.findall(r'token = "([0-9a-f]{40})"', r.text)}
+    got = S.scan_secrets(docs, ["doc_id"]).select("doc_id", "value", "is_secret").collect()
+    found = {(r.doc_id, r.value) for r in got if r.is_secret}
+    numbers = [r for r in got if re.fullmatch(r"[0-9 -]{12,}", r.value)]
+    print(folder, len(planted), len(planted & found), len(numbers), sum(r.is_secret for r in numbers), len(found))
+    assert planted and planted <= found and not any(r.is_secret for r in numbers)
+
+
 def test_scan_finds_the_planted_secrets(spark):
     rows = corpus(3)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").selectExpr(
@@ -164,5 +197,7 @@ def test_empty_table_and_no_training_class(spark):
 
 def test_scan_plan_is_native(spark):
     docs = spark.createDataFrame(corpus(), "doc_id long, text string, secret string")
+    once = S.candidates(docs, ["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert once.count("PRIVATE KEY") == S.CANDIDATE.count("PRIVATE KEY")  # one search of each text
     plan = S.with_features(S.candidates(docs, ["doc_id"]), S.dictionary_grams(docs))
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())

@@ -58,7 +58,9 @@ NEIGHBOURS = 64  # characters of context on either side
 DICTIONARY_COUNT = 5
 DICTIONARY_SHARE = 0.001
 GRAM = 4
+MIN_TRAINING = 20  # labelled findings of each class without which there is no forest
 MAX_TRAINING = 20_000  # labelled findings of each class the forest is fitted on, at most
+BROADCAST_ROWS = 100_000  # spans of texts that are sent to every executor, at most
 TREES, DEPTH, SEED = 20, 5, 7
 THRESHOLD = 0.5
 
@@ -66,24 +68,38 @@ FEATURES = ("f_length", "f_digits", "f_upper", "f_symbols", "f_transitions", "f_
             "f_path", "f_named", "f_hash_word", "f_quoted", "f_vendor", "f_placeholder")
 
 
+# Control characters (separators) around matches.
+MARK, OTHER_MARK = "\x1e", "\x1f"
+
+
+def _gap(text: Column) -> Column:
+    return F.struct(F.length(text).alias("n"), F.substring(text, 1, NEIGHBOURS).alias("head"),
+                    F.right(text, F.lit(NEIGHBOURS)).alias("tail"))
+
+
 def candidates(docs: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
     """One row per candidate: ``keys``, ``row`` (of ``docs``), ``idx`` in the
     text, ``start`` and ``length`` of the value in characters, ``value``,
     ``name`` (the assigned name or login, with its marks, else empty),
     ``before`` (the text before, and the name) and ``after``.
 
-    NULL and empty texts have none.
+    NULL and empty texts have none.  Each text is searched once: the search
+    puts a mark before and after every match, and plain splits at the marks
+    give matches and gaps in turn.  (A mark that stands in a text itself is
+    read as its neighbour, a control character like it.)
     """
-    text = F.col(text_col)
-    rows = docs.filter(text.rlike(CANDIDATE)).select(
-        *keys, F.monotonically_increasing_id().alias("row"),
-        F.regexp_extract_all(text, F.lit(f"({CANDIDATE})"), 1).alias("found"),
-        F.transform(F.split(text, CANDIDATE, -1), lambda p: F.struct(
-            F.length(p).alias("n"), F.substring(p, 1, NEIGHBOURS).alias("head"),
-            F.right(p, F.lit(NEIGHBOURS)).alias("tail"))).alias("gaps"))
-    each = rows.select(*keys, "row", F.posexplode(F.arrays_zip(
+    marked = F.regexp_replace(F.translate(F.col(text_col), MARK, OTHER_MARK), f"({CANDIDATE})", f"{MARK}$1{MARK}")
+    rows = docs.select(*keys, F.monotonically_increasing_id().alias("row"), F.split(marked, MARK, -1).alias("cut"))
+    place = lambda start: F.sequence(F.lit(start), F.size("cut") - 1, F.lit(2))
+    some = F.size("cut") > 1
+    rows = rows.select(
+        *keys, "row", F.when(some, F.transform(place(1), lambda i: F.get("cut", i))).alias("found"),
+        F.when(some, F.transform(place(0), lambda i: _gap(F.get("cut", i)))).alias("gaps"))
+    # explode_outer and a filter: for a plain explode a filter on the array's
+    # size is pushed below the projections, and the search runs twice.
+    each = rows.select(*keys, "row", F.posexplode_outer(F.arrays_zip(
         F.col("found"), F.slice("gaps", 1, F.size("found")).alias("gap"),
-        F.slice("gaps", 2, F.size("found")).alias("next"))).alias("idx", "c"))
+        F.slice("gaps", 2, F.size("found")).alias("next"))).alias("idx", "c")).filter("idx IS NOT NULL")
     # Text up to a candidate: all gaps so far and all candidates before it.
     upto = Window.partitionBy("row").orderBy("idx")
     ends = F.sum(F.col("c.gap.n") + F.length("c.found")).over(upto)
@@ -175,42 +191,53 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
     return out.select(*found.columns, *(F.col(f).cast("double").alias(f) for f in FEATURES))
 
 
-def label_findings(found: DataFrame) -> DataFrame:
-    """The clear cases among featured findings, with ``label`` 1.0 (a vendor's
+def clear_label() -> Column:
+    """1.0 or 0.0 for the clear cases among featured findings: a vendor's
     format, or a named value mixed from digits and letters that is no word
-    and no placeholder) or 0.0 (dictionary words, numbers, paths, named
-    hashes, placeholders)."""
+    and no placeholder; dictionary words, numbers, paths, named hashes,
+    placeholders.  NULL for all others."""
     named = (F.col("f_named") > 0) & (F.col("f_digits") >= 0.1) & (F.col("f_coverage") < 0.3)
     false = ((F.col("f_coverage") >= 0.6) | (F.col("f_digits") == 1) | (F.col("f_hash_word") > 0)
              | ((F.col("f_digits") == 0) & (F.col("f_named") == 0) & (F.col("f_vendor") == 0)) | (F.col("f_path") >= 0.5))
-    label = (F.when(F.col("f_placeholder") > 0, 0.0).when(F.col("f_vendor") > 0, 1.0)
-             .when(named & (F.col("f_hash_word") == 0), 1.0).when(false, 0.0))
-    return found.withColumn("label", label).filter("label IS NOT NULL")
+    return (F.when(F.col("f_placeholder") > 0, 0.0).when(F.col("f_vendor") > 0, 1.0)
+            .when(named & (F.col("f_hash_word") == 0), 1.0).when(false, 0.0))
 
 
-def train_forest(labelled: DataFrame, most: int = MAX_TRAINING) -> RandomForestClassificationModel | None:
+def label_findings(found: DataFrame) -> DataFrame:
+    """The clear cases among featured findings, with their ``label``."""
+    return found.withColumn("label", clear_label()).filter("label IS NOT NULL")
+
+
+def train_forest(labelled: DataFrame, most: int = MAX_TRAINING,
+                 least: int = MIN_TRAINING) -> RandomForestClassificationModel | None:
     """Forest fitted on featured findings with a ``label``; of each class the
-    ``most`` findings with the smallest hashes.  None if a class is absent."""
+    ``most`` findings with the smallest hashes.  None if a class has fewer
+    than ``least``: so few say nothing of the unlabelled ones."""
     parts = [bounded_sample(labelled.filter(F.col("label") == y).select("label", "value", "before", *FEATURES),
                             ["value", "before"], most) for y in (0.0, 1.0)]
     rows = written(reduce(DataFrame.unionAll, parts).select("label", *FEATURES), "secret-training")
-    if rows.select("label").distinct().count() < 2:
+    sizes = rows.agg(*[F.count_if(F.col("label") == y) for y in (0.0, 1.0)]).first()
+    if min(sizes) < least:
         return None
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
     return forest.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows))
 
 
 def score_findings(found: DataFrame, model: RandomForestClassificationModel | None,
-                   threshold: float = THRESHOLD) -> DataFrame:
-    """Featured findings with ``score`` and ``is_secret``.  Without a model
-    the clear cases of :func:`label_findings` count and no other."""
+                   threshold: float = THRESHOLD, clear: bool = True) -> DataFrame:
+    """Featured findings with ``score`` and ``is_secret``.
+
+    With ``clear`` the clear cases (:func:`clear_label`) keep their label
+    whatever the forest says of them, and the forest judges the others;
+    without a model those are no secrets.
+    """
+    label = clear_label() if clear else F.lit(None).cast("double")
     if model is None:
-        clear = label_findings(found).select("row", "idx", F.col("label").alias("score"))
-        scored = found.join(clear, ["row", "idx"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+        scored = found.withColumn("score", F.coalesce(label, F.lit(0.0)))
     else:
         ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
-        scored = model.transform(ready).withColumn("score", F.round(vector_to_array("probability")[1], 6))
-        scored = scored.select(*found.columns, "score")
+        judged = F.round(vector_to_array("probability")[1], 6)
+        scored = model.transform(ready).withColumn("score", F.coalesce(label, judged)).select(*found.columns, "score")
     return scored.withColumn("is_secret", F.col("score") >= threshold)
 
 
@@ -220,7 +247,8 @@ def scan_secrets(docs: DataFrame, keys: list[str], text_col: str = "text",
 
     Rows: ``keys``, ``idx``, ``start``, ``length``, ``value``, ``name``,
     ``score``, ``is_secret``.  ``labelled`` (featured findings with a label)
-    trains the forest; by default the clear cases of ``docs`` do.  NULL and
+    trains the forest, which then judges every candidate; by default the clear
+    cases of ``docs`` train it and it judges the others.  NULL and
     empty texts give no rows; repeated rows and ids are scanned one by one;
     extra columns are ignored; an empty table gives no rows.
     """
@@ -229,27 +257,27 @@ def scan_secrets(docs: DataFrame, keys: list[str], text_col: str = "text",
     found = written(candidates(narrow, [f"k_{k}" for k in keys]), "secret-candidates")
     featured = written(with_features(found, grams), "secret-features")
     model = train_forest(label_findings(featured) if labelled is None else labelled)
-    scored = score_findings(featured, model)
+    scored = score_findings(featured, model, clear=labelled is None)
     return scored.select(*(F.col(f"k_{k}").alias(k) for k in keys), "idx", "start", "length", "value", "name",
                          "score", "is_secret")
 
 
 def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret value in ``text`` replaced by ``mark`` and
-    ``n_chars`` counted anew for the texts that changed.
-
-    No document is dropped.  Verdicts depend on the text alone, so they are
-    kept per distinct text (by SHA-256) and joined back to the rows that have
-    candidates; all other rows pass through untouched.
+    ``n_chars`` (if there) counted anew for the texts that changed.
+
+    No document is dropped; NULL and empty texts, and texts of any length
+    without a secret, pass through untouched; repeated rows and ids are
+    redacted row by row (rows are told apart as :func:`numbered` does); other
+    columns keep their names and values; an empty table gives no rows.  The
+    spans are sent to every executor if there are at most ``BROADCAST_ROWS``
+    texts with secrets, else they are joined by row.
     """
-    key, spans = fresh(docs, "text_sha"), fresh(docs, "spans")
-    has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    suspects = docs.filter(has).withColumn(key, F.sha2("text", 256))
-    secrets = scan_secrets(docs.select("text", F.sha2("text", 256).alias("sha")), ["sha"]).filter("is_secret")
-    # Repeated texts give repeated spans: distinct before they are gathered.
-    found = written(secrets.select("sha", "start", "length").distinct().groupBy("sha").agg(
-        F.sort_array(F.collect_list(F.struct("start", "length"))).alias(spans)).withColumnRenamed("sha", key),
-        "secret-spans")
+    keyed, keys = numbered(docs, "secret-docs")
+    spans = fresh(keyed, "spans")
+    secrets = scan_secrets(keyed, keys).filter("is_secret")
+    found = written(secrets.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("start", "length"))).alias(spans)), "secret-spans")
     text = F.col("text")
 
     def cut(acc: Column, s: Column) -> Column:
@@ -261,7 +289,9 @@ def redact_secrets(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         spans, F.struct(F.array().cast("array<string>").alias("parts"), F.lit(0).alias("at")), cut,
         lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substr(text, acc["at"] + 1)))
     changed = F.col(spans).isNotNull()
-    joined = suspects.join(found, key, "left").withColumn("text", F.when(changed, clean).otherwise(text))
+    few = found.count() <= BROADCAST_ROWS
+    joined = keyed.join(F.broadcast(found) if few else found, keys, "left").withColumn(
+        "text", F.when(changed, clean).otherwise(text))
     columns = [F.when(changed, F.length("text")).otherwise(F.col(c)).cast(docs.schema[c].dataType).alias(c)
                if c == "n_chars" else F.col(c) for c in docs.columns]
-    return docs.filter(~has).unionAll(joined.select(*columns))
+    return joined.select(*columns)
