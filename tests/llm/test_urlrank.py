@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from trendlens.llm import urlrank as U
@@ -50,20 +51,20 @@ def naive(rows, rules):
     nodes = sorted({h for h in marks if h} | {h for e in edges for h in e})
     scores = []
     for seed, forward in ((0, True), (1, False)):
-        seeds = {h for h in nodes if h in marks and marks[h][seed] * 2 > marks[h][2]}
-        start = {h: (h in seeds) / (len(seeds) or 1) for h in nodes}
+        share = {h: marks[h][seed] / marks[h][2] if h in marks else 0.0 for h in nodes}
+        start = {h: share[h] / (sum(share.values()) or 1) for h in nodes}
         rank, total = dict(start), {}
         for (a, b), w in edges.items():
             k = a if forward else b
             total[k] = total.get(k, 0) + w
-        for _ in range(U.ROUNDS):
+        for _ in range(300):
             moved = dict.fromkeys(nodes, 0.0)
             for (a, b), w in edges.items():
                 s, d = (a, b) if forward else (b, a)
                 moved[d] += rank[s] * w / total[s]
             lost = 1 - U.DAMPING * sum(moved.values())
             rank = {h: U.DAMPING * moved[h] + lost * start[h] for h in nodes}
-        scores.append({h: round(x, 9) for h, x in rank.items()})
+        scores.append(rank)
     out = []
     for (i, _, _), (host, path, rule, verdict) in zip(rows, judged):
         trust, distrust = scores[0].get(host, 0.0), scores[1].get(host, 0.0)
@@ -97,7 +98,7 @@ def test_verdicts_match_power_iteration(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn(
         "host", F.lit("clash")).withColumn("rules", F.lit(1)).withColumn("trust", F.lit(0))
     key = lambda r: (r[0] is None, r[0] or 0)
-    got = sorted((tuple(r) for r in U.filter_urls(pages, URL_RULES).collect()), key=key)
+    got = sorted((tuple(r) for r in U.filter_urls(pages, URL_RULES, tolerance=1e-10).collect()), key=key)
     expect = sorted(naive(rows, URL_RULES), key=key)
     assert [r[:5] for r in got] == [r[:5] for r in expect]
     for g, e in zip(got, expect):
@@ -106,6 +107,36 @@ def test_verdicts_match_power_iteration(spark):
     assert by_method == {"allow", "block"}
 
 
+def test_a_chain_of_thirty_hosts_gets_its_rank(spark):
+    """Ranks go on until they settle, however far a host is from the seeds."""
+    names = [f"h{k:02d}" for k in range(31)]
+    hosts = spark.createDataFrame([(n, float(k == 0), 0.0) for k, n in enumerate(names)],
+                                  "host string, trusted double, blocked double")
+    edges = spark.createDataFrame([(a, b, 1.0) for a, b in zip(names, names[1:])], "src string, dst string, weight double")
+    got = {r.host: r.trust for r in U.host_ranks(hosts, edges).collect()}
+    first = (1 - U.DAMPING) / (1 - U.DAMPING ** 31)  # what falls off the end restarts at the seed
+    for k, name in enumerate(names):
+        assert abs(got[name] - first * U.DAMPING ** k) < 2 * U.TOLERANCE and got[name] > 0
+    with pytest.raises(RuntimeError):
+        U.host_ranks(hosts, edges, tolerance=1e-12, most_rounds=3)
+
+
+def test_half_blocked_hosts_and_links_decide(spark):
+    """Distrust in proportion to what rules block, carried by links between
+    hosts to hosts that no rule knows; all by the query's own parameters."""
+    pages = [(k, f"http://bad.net/{'es' if k % 2 else 'it'}/{k}", "") for k in range(6)]    # half of it blocked
+    pages += [(10, "http://good.com/a", "<a href='http://friend.org/'>x</a>")]
+    pages += [(20 + k, f"http://feeder{k}.org/", "<a href='http://bad.net/x'>x</a>") for k in range(2)]
+    pages += [(30, "http://friend.org/", ""), (31, "http://stranger.org/", "")]
+    pages += [(40 + k, f"http://plain{k}.org/", "") for k in range(8)]
+    got = {r.page_id: r for r in U.filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"),
+                                               URL_RULES).collect()}
+    assert [got[k].verdict for k in (0, 1)] == ["block", "block"]  # by the method, and by its rule
+    assert got[0].rule is None and got[1].rule == "net/es/"
+    assert {got[20 + k].verdict for k in range(2)} == {"block"} and got[20].rule is None
+    assert {got[k].verdict for k in (30, 31, *range(40, 48))} == {"allow"} and got[30].trust > 0
+
+
 def test_distrust_runs_against_the_links(spark):
     """What links to a blocked host is distrusted; what it links to is not."""
     hosts = spark.createDataFrame([("in", False, False), ("bad", False, True), ("out", False, False),

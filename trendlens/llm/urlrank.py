@@ -15,10 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import written
+from trendlens.llm.common import forget, written
 
 DAMPING = 0.85
-ROUNDS = 12
+# Ranks are iterated until a round changes them by less than this in total
+# (both add up to 1), and never for more than so many rounds.
+TOLERANCE = 1e-3
+MOST_ROUNDS = 200
 # A host is blocked if its distrust exceeds its trust by this many shares of
 # an even distribution.
 MARGIN = 1.0
@@ -74,49 +77,59 @@ def link_edges(pages: DataFrame) -> DataFrame:
             .filter("src <> '' AND dst <> '' AND src <> dst"))
 
 
-def host_ranks(hosts: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def host_ranks(hosts: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE, damping: float = DAMPING,
+               most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """``(host, trust, distrust)`` for ``hosts(host, trusted, blocked)``
-    (seeds are true) and ``edges(src, dst, weight)``.
-
-    Both rankings restart at their seeds, evenly; what reaches a host without
-    further edges restarts too.  Without seeds a ranking is 0 everywhere.
-    Every round's table is written, so lineage stays short.
+    (seeds: true, or a weight above 0) and ``edges(src, dst, weight)``.
+
+    Both rankings restart at their seeds, in proportion to the weights; what
+    reaches a host without further edges restarts too.  Without seeds a
+    ranking is 0 everywhere.  Rounds go on until the ranks change by less
+    than ``tolerance`` in total; if they have not after ``most_rounds`` (they
+    shrink by ``damping`` each, so they have) it raises.  Every round's table
+    is written, so lineage stays short, and the one before it deleted.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
     into = edges.groupBy("dst").agg(F.sum("weight").alias("in"))
     links = written(edges.join(out, "src").join(into, "dst").select(
         "src", "dst", (F.col("weight") / F.col("out")).alias("forth"), (F.col("weight") / F.col("in")).alias("back")),
         "rank-links")
-    seeds = hosts.agg(F.count_if("trusted").alias("t"), F.count_if("blocked").alias("b")).first()
-    start = written(hosts.select(
-        "host", (F.col("trusted").cast("double") / float(seeds["t"] or 1)).alias("t0"),
-        (F.col("blocked").cast("double") / float(seeds["b"] or 1)).alias("d0")), "rank-start")
-    ranks = start.select("host", "t0", "d0", F.col("t0").alias("trust"), F.col("d0").alias("distrust"))
-    for _ in range(rounds):
+    share = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    seeds = hosts.agg(F.sum(share("trusted")).alias("t"), F.sum(share("blocked")).alias("b")).first()
+    start = written(hosts.select("host", (share("trusted") / float(seeds["t"] or 1)).alias("t0"),
+                                 (share("blocked") / float(seeds["b"] or 1)).alias("d0")), "rank-start")
+    ranks, table = start.select("host", F.col("t0").alias("trust"), F.col("d0").alias("distrust")), None
+    for _ in range(most_rounds):
         told = (links.join(ranks.select(F.col("host").alias("src"), "trust"), "src")
                 .select(F.col("dst").alias("host"), (F.col("trust") * F.col("forth")).alias("t"), F.lit(0.0).alias("d"))
                 .unionAll(links.join(ranks.select(F.col("host").alias("dst"), "distrust"), "dst")
                           .select(F.col("src").alias("host"), F.lit(0.0).alias("t"),
                                   (F.col("distrust") * F.col("back")).alias("d")))
                 .groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
-        moved = written(start.join(told, "host", "left").select(
-            "host", "t0", "d0", F.coalesce("t", F.lit(0.0)).alias("t"), F.coalesce("d", F.lit(0.0)).alias("d")),
-            "rank-round")
+        moved = written(start.join(ranks, "host").join(told, "host", "left").select(
+            "host", "t0", "d0", "trust", "distrust", F.coalesce("t", F.lit(0.0)).alias("t"),
+            F.coalesce("d", F.lit(0.0)).alias("d")), "rank-round")
+        if table is not None:
+            forget(table)
+        table = moved
         sums = moved.agg(F.sum("t").alias("t"), F.sum("d").alias("d")).first()
         # Mass that did not move on restarts at the seeds with the rest.
         lost_t, lost_d = (1.0 - damping * (sums[k] or 0.0) for k in ("t", "d"))
-        ranks = moved.select("host", "t0", "d0", (F.col("t") * damping + F.col("t0") * lost_t).alias("trust"),
-                             (F.col("d") * damping + F.col("d0") * lost_d).alias("distrust"))
-    return ranks.select("host", "trust", "distrust")
+        trust, distrust = (F.col("t") * damping + F.col("t0") * lost_t, F.col("d") * damping + F.col("d0") * lost_d)
+        ranks = moved.select("host", trust.alias("trust"), distrust.alias("distrust"))
+        change = moved.agg(F.sum(F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust")))).first()[0]
+        if (change or 0.0) < tolerance:
+            return ranks
+    raise RuntimeError(f"ranks still change by {change} after {most_rounds} rounds")
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], rounds: int = ROUNDS,
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], tolerance: float = TOLERANCE,
                 margin: float = MARGIN) -> DataFrame:
     """``page_id, host, path, rule, verdict`` and the host's ``trust`` and
     ``distrust``, one row per row of ``pages``.
 
-    Trusted seeds are hosts of which rules allow more than half of the pages,
-    blocked seeds those of which rules block more than half.  Edges are the
+    A host is a seed of trust by the share of its pages that rules allow, and
+    one of distrust by the share that they block.  Edges are the
     links of the pages, weighted by the logarithm of their number, and the
     bonds of hosts with their parent domains.  A NULL url or one without
     ``://`` has an empty host and path, no rule and rank 0, and is allowed;
@@ -140,13 +153,14 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], rounds: int = RO
     named = edges.select(F.col("src").alias("host")).unionAll(edges.select("dst")).unionAll(
         own.filter("host <> ''").select("host")).distinct()
     hosts = written(named.join(by_host, "host", "left").select(
-        "host", F.coalesce(F.col("allowed") * 2 > F.col("n"), F.lit(False)).alias("trusted"),
-        F.coalesce(F.col("blocked") * 2 > F.col("n"), F.lit(False)).alias("blocked")), "url-graph")
+        "host", F.coalesce(F.col("allowed") / F.col("n"), F.lit(0.0)).alias("trusted"),
+        F.coalesce(F.col("blocked") / F.col("n"), F.lit(0.0)).alias("blocked")), "url-graph")
     n = hosts.count()
-    ranks = written(host_ranks(hosts, edges, rounds), "url-ranks")
-    verdicts = written(
-        ranks.select("host", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust"))
-        .withColumn("bad", (F.col("distrust") - F.col("trust")) * n > margin), "url-verdicts")
+    # Ranks in shares of an even distribution, rounded there: sums of doubles
+    # depend on their order in the last digits.
+    excess = F.round((F.col("distrust") - F.col("trust")) * n, 6)
+    verdicts = written(host_ranks(hosts, edges, tolerance).select("host", "trust", "distrust",
+                                                                  (excess > margin).alias("bad")), "url-verdicts")
     judged = own.select("host").join(fitting, "host", "left").join(verdicts, "host", "left")
     lookup = written(judged, "url-lookup")
     out = rows.join(lookup, "host").withColumn("hit", F.get(fits, F.lit(0)))
