@@ -16,7 +16,6 @@ that reads it.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +35,6 @@ MAX_LOST = 0.02
 # Standard deviations below the held-out trusted documents' mean score that
 # are the least score without low labels and with too few trusted documents
 # for a share of MAX_LOST.
-MARGIN = 6.0
 _BINS = 1000  # of scores, per unit
 SYMBOLS = r"[#*$%&|<>]"
 _SCALE = 1 << 20  # weights are fixed-point, so that sums don't depend on the order
@@ -138,28 +136,23 @@ def labelled_rest(labels: DataFrame, trusted: DataFrame) -> DataFrame:
     return each.join(trusted.filter("NOT held"), "doc_id", "left_anti").select("doc_id", "good")
 
 
-def least_score(scored: DataFrame, rest: DataFrame, margin: float = MARGIN) -> float:
+def least_score(scored: DataFrame, rest: DataFrame) -> float:
     """Least score of a kept document, from the rows of ``scored(__id, score)``
     that ``rest(doc_id, good)`` labels.
 
     Of the points that reject ``MAX_LOST`` of the good rows at most, the one
     with the smallest sum of good rows' share rejected and low rows' share
     kept, midway between the rows on either side.  Without low rows it is the
-    ``MAX_LOST`` quantile of the good, or ``margin`` deviations below their
-    mean if they are too few for one.  Rows are counted per bin of scores, so
-    the driver gets a table bounded by the range of scores.
+    largest such point: the ``MAX_LOST`` quantile of the good, which for fewer
+    than ``1 / MAX_LOST`` of them is the least.  Rows are counted per bin of
+    scores, so the driver gets a table bounded by the range of scores.
     """
     rows = scored.join(rest, F.col("__id") == F.col("doc_id")).groupBy(F.floor(F.col("score") * _BINS).alias("bin")).agg(
-        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("low"),
-        F.sum(F.when(F.col("good"), F.col("score"))).alias("s"),
-        F.sum(F.when(F.col("good"), F.col("score") * F.col("score"))).alias("s2"))
+        F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("low"))
     bins = sorted(rows.collect(), key=lambda r: r["bin"])
     good, low = sum(r["good"] for r in bins), sum(r["low"] for r in bins)
     if not good:
         return float("-inf")
-    if not low and good * MAX_LOST < 1:
-        mean = math.fsum(r["s"] or 0.0 for r in bins) / good
-        return mean - margin * math.sqrt(max(math.fsum(r["s2"] or 0.0 for r in bins) / good - mean * mean, 0.0))
     best, least, lost, caught, end = None, float("-inf"), 0, 0, None
     for r in bins:  # points between the bin before, if any, and this one
         if lost > good * MAX_LOST:
@@ -172,8 +165,7 @@ def least_score(scored: DataFrame, rest: DataFrame, margin: float = MARGIN) -> f
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED,
-                    margin: float = MARGIN, row_cols: list[str] | None = None) -> DataFrame:
+                    buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED, row_cols: list[str] | None = None) -> DataFrame:
     """``(id, [rows], n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, score, base_failed, kept)``, one row per row of ``docs``.
 
@@ -200,16 +192,16 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         "__id", "__row", *RULE_COLUMNS, score.alias("score"),
         base_failed(F.col("n_words"), F.col("n_repeat_words")).alias("base_failed")), "quality-scores")
     rest = written(labelled_rest(labels, trusted), "quality-rest")
-    least = least_score(scored.filter(~F.col("base_failed")).select("__id", "score"), rest, margin)
+    least = least_score(scored.filter(~F.col("base_failed")).select("__id", "score"), rest)
     return scored.select(
         F.col("__id").alias(id_col), *(["__row.*"] if row_cols else []), *RULE_COLUMNS, "score",
         "base_failed", (~F.col("base_failed") & (F.col("score") >= F.lit(least))).alias("kept"))
 
 
-def keep_good_documents(docs: DataFrame, labels: DataFrame, margin: float = MARGIN) -> DataFrame:
+def keep_good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that :func:`score_documents` keeps, every column as it
     came; verdicts are joined by row keys (see :func:`numbered`)."""
     keyed, keys = numbered(docs, "quality-docs")
-    verdicts = score_documents(keyed, labels, margin=margin, row_cols=keys)
+    verdicts = score_documents(keyed, labels, row_cols=keys)
     gone = written(verdicts.filter(~F.col("kept")).select(*keys), "quality-gone")
     return keyed.join(gone, keys, "left_anti").select(*docs.columns)
