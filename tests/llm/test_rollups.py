@@ -74,6 +74,39 @@ def test_left_over_stage_is_no_part_of_the_totals(spark, workdir):
             ledger.commit(bad, one)
 
 
+def test_totals_read_a_snapshot_and_what_came_after(spark, workdir):
+    ledger = R.TokenRollup(spark, os.path.join(workdir, "ledger"))
+    one = lambda k: spark.createDataFrame([("s", "en", "words", 1, k), ("s", None, "words", 1, 1)], R.DELTAS)
+    for k in range(6):
+        assert ledger.commit(f"b{k}", one(k))
+        newest, inside, later = ledger._state()
+        assert len(inside) == k + 1 and later == [] and len(ledger._names("snapshot=")) <= 2
+    want = {("s", "en", "words"): (6, 15), ("s", None, "words"): (6, 6)}
+    assert totals(ledger) == want
+    plan = ledger.totals()._jdf.queryExecution().toString()
+    assert "batch=" not in plan and "snapshot=" in plan
+    # a commit whose snapshot is still missing counts; so does one without any
+    fold, R.TokenRollup._fold = R.TokenRollup._fold, lambda self: None
+    try:
+        assert ledger.commit("late", one(10))
+    finally:
+        R.TokenRollup._fold = fold
+    assert ledger._state()[2] == ["batch=late"]
+    assert totals(ledger) == {("s", "en", "words"): (7, 25), ("s", None, "words"): (7, 7)}
+    assert ledger.commit("next", one(0).limit(0)) and ledger._state()[2] == []
+    assert totals(ledger) == {("s", "en", "words"): (7, 25), ("s", None, "words"): (7, 7)}
+
+
+def test_an_id_with_other_rows_raises(spark, workdir):
+    ledger = R.TokenRollup(spark, os.path.join(workdir, "ledger"))
+    rows = spark.createDataFrame([("s", "en", "words", 1, 4), ("t", None, "words", 1, 2)], R.DELTAS)
+    assert ledger.commit("1", rows, strict=True)
+    assert not ledger.commit("1", rows.repartition(3), strict=True)  # the same sums
+    with pytest.raises(ValueError):
+        ledger.commit("1", rows.limit(1), strict=True)
+    assert not ledger.commit("1", rows.limit(1))
+
+
 def test_registered_query(spark):
     """Totals of the query's commits equal a count of the corpus they leave."""
     from conftest import SF_SMALL

@@ -63,7 +63,7 @@ def op6_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.commit("0-insert", rollups.inserts(counted))
     ledger.commit("1-toxic", rollups.deletes(toxic))
     ledger.commit("2-lines", rollups.revisions(low, rollups.count_tokens(revised, versions)))
-    ledger.commit("1-toxic", rollups.deletes(toxic))
+    ledger.commit("1-toxic", rollups.deletes(toxic), strict=True)
     return ledger.totals()
 
 
