@@ -6,8 +6,9 @@ last hash is an inner hash of another one is a snapshot of it and goes, and of
 equal conversations one stays.  What remains is rendered.
 
 Prefix hashes are running XORs of hashes that bind each turn to its place, so
-they are summed in two levels (blocks of turns, then the blocks before) and
-no window holds more than a block of one conversation's turns.
+they are summed in two levels (blocks of turns, then the blocks before): no
+window holds more than a block of one conversation's turns, or one row per
+block of it.
 """
 
 from __future__ import annotations
@@ -15,38 +16,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import written
+from trendlens.llm.common import ranked, written
 
 BLOCK_TURNS = 256
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
-def _position(turns: DataFrame, block: int) -> DataFrame:
+def _position(turns: DataFrame) -> DataFrame:
     """Distinct turns with ``pos``, their 0-based place in the conversation
-    (by turn number, NULL last, then role and text)."""
+    (by turn number, NULL last, then role and text).
+
+    Places come from range partitions, so rows without conversation or turn
+    number, however many, are no group of one task.
+    """
     t = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                      F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = (t.withColumn("h", F.xxhash64("role", "text"))
-             .withColumn("k", F.coalesce(F.floor(F.col("turn") / block), F.lit((1 << 62) // block))))
-    # Repeated rows become one; only keys and hashes are grouped.
-    one = written(keyed.groupBy("conv_id", "k", "turn", "h", "role", "text").agg(F.lit(1).alias("_"))
-                  .drop("_"), "chat-turns")
-    sizes = one.groupBy("conv_id", "k").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("conv_id").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    bases = written(sizes.select("conv_id", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
-                    "chat-bases")
-    inner = F.row_number().over(Window.partitionBy("conv_id", "k")
-                                .orderBy(F.col("turn").asc_nulls_last(), "role", "text"))
-    placed = one.withColumn("r", inner).join(
-        bases.withColumnRenamed("conv_id", "c").withColumnRenamed("k", "b"),
-        F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("k") == F.col("b")))
-    return placed.select("conv_id", "role", "text", (F.col("base") + F.col("r") - 1).alias("pos"))
+    # Repeated rows become one; NULL ids and turn numbers get values that sort.
+    known = t.groupBy("conv_id", "turn", "role", "text").agg(F.lit(1).alias("_")).select(
+        F.col("conv_id").isNull().alias("no_id"), F.coalesce("conv_id", F.lit(0)).alias("id"),
+        F.col("turn").isNull().alias("no_turn"), "turn", "role", "text")
+    one = written(known, "chat-turns")
+    placed = ranked(one, ["no_id", "id"], ["no_turn", "turn", "role", "text"], "chat-order")
+    return placed.select(F.when(~F.col("no_id"), F.col("id")).alias("conv_id"), "role", "text",
+                         F.col("place").alias("pos"))
 
 
 def prefix_hashes(turns: DataFrame, block: int = BLOCK_TURNS) -> DataFrame:
     """``(conv_id, pos, role, text, part, h1, h2)``: per turn the 128-bit hash
     of the conversation up to and including it, and its block ``part``."""
-    placed = written(_position(turns, block).withColumn("part", F.floor(F.col("pos") / block)), "chat-placed")
+    placed = written(_position(turns).withColumn("part", F.floor(F.col("pos") / block)), "chat-placed")
     own = [F.xxhash64("pos", "role", "text"), F.xxhash64(F.lit(1), "text", "role", "pos")]
     blocks = placed.groupBy("conv_id", "part").agg(*(F.bit_xor(h).alias(f"x{i}") for i, h in enumerate(own)))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,18 +63,19 @@ def maximal_conversations(hashes: DataFrame) -> DataFrame:
     """``(conv_id, n_turns)`` of conversations that are no prefix of a longer
     one; of equal ones the smallest conv_id (NULL last).
 
-    Inner hashes are made distinct before the exchange, so a first turn that
-    a third of all conversations share is one row per task.
+    Inner hashes are made distinct, and equal conversations folded to one,
+    before the exchange of the anti-join, so a turn or a whole conversation
+    that a third of all share is one row per task.
     """
     last = written(hashes.groupBy("conv_id").agg(F.max_by(F.struct("pos", "h1", "h2"), "pos").alias("e"))
                    .select("conv_id", "e.*"), "chat-last")
     inner = (hashes.join(last.select(F.col("conv_id").alias("c"), F.col("pos").alias("end")),
                          F.col("conv_id").eqNullSafe(F.col("c")))
              .filter("pos < end").select("pos", "h1", "h2").distinct())
-    top = last.join(inner, ["pos", "h1", "h2"], "left_anti")
-    first = top.groupBy("pos", "h1", "h2").agg(
+    first = last.groupBy("pos", "h1", "h2").agg(
         F.min(F.struct(F.col("conv_id").isNull().alias("no_id"), "conv_id"))["conv_id"].alias("conv_id"))
-    return first.select("conv_id", (F.col("pos") + 1).cast("long").alias("n_turns"))
+    top = first.join(inner, ["pos", "h1", "h2"], "left_anti")
+    return top.select("conv_id", (F.col("pos") + 1).cast("long").alias("n_turns"))
 
 
 def render_turn(role: Column, text: Column) -> Column:
