@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import fresh, python_workers
+from trendlens.llm.common import fresh, numbered, python_workers, written
 
 WINDOW_WORDS = 13
 # Benchmark words searched for in one pass over the documents (about 100 MB of
@@ -128,14 +128,13 @@ def _merged(spans: Column) -> Column:
     return merged(spans)
 
 
-def _passes(benchmark: DataFrame, words_per_pass: int) -> list[list[tuple[str, str | None]]]:
-    """Benchmark items in lists of about ``words_per_pass`` words, the size
-    measured before anything is brought to the driver."""
+def _shards(benchmark: DataFrame, words_per_pass: int) -> tuple[DataFrame, int]:
+    """Distinct items with their pass (``shard``), and the number of passes of
+    about ``words_per_pass`` words, measured without bringing any here."""
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").distinct()
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-total // (2 * words_per_pass)))  # a word has two characters at least, its separator included
-    shard = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[(r.item, r.text) for r in rows.filter(shard == k).orderBy("item", "text").collect()] for k in range(n)]
+    return rows.withColumn("shard", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS,
@@ -144,26 +143,42 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_W
 
     ``spans`` holds the hit word ranges (start, end, start, end, ...), merged;
     ``items`` the ids, as sorted strings, of benchmark items with an occurring
-    window.  Each pass broadcasts a checked number of benchmark words; its
-    results are added to the row, so nothing is shuffled.  NULL and empty
-    texts have no words; an empty benchmark hits nothing; repeated items
-    count once; a NULL item_id counts as the empty string; rows of ``docs``
-    are neither merged nor dropped.
+    window.  A pass over the documents searches a checked number of benchmark
+    words, which is all of it that the driver and a worker ever hold: a
+    benchmark of several passes is brought, sent, searched and dropped one
+    pass after another, hits are written by row, and only they are joined
+    back.  One pass shuffles nothing.
+
+    NULL and empty texts have no words; an empty benchmark hits nothing;
+    repeated items count once; a NULL item_id counts as the empty string; rows
+    of ``docs`` are neither merged nor dropped.
     """
     spark = docs.sparkSession
     python_workers(spark)
     out = fresh(docs, "hits")
-    shards = _passes(benchmark, words_per_pass)
-    passes = []
-    for k, items in enumerate(shards):
-        shared = spark.sparkContext.broadcast(items)
-        passes.append(_spans_udf(shared, f"{shared._jbroadcast.id()}/{window}", window)(F.col("text")))
-    if len(passes) == 1:
-        return docs.withColumn(out, passes[0])
-    found = docs.withColumn(out, F.array(*passes))
-    return found.withColumn(out, F.struct(
-        F.col(out)[0]["n_words"].alias("n_words"), _merged(F.flatten(F.col(out)["spans"])).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.col(out)["items"]))).alias("items")))
+    items, n = _shards(benchmark, words_per_pass)
+
+    def search(k: int):
+        held = [(r.item, r.text) for r in items.filter(F.col("shard") == k).orderBy("item", "text").collect()]
+        shared = spark.sparkContext.broadcast(held)
+        return shared, _spans_udf(shared, f"{shared._jbroadcast.id()}/{window}", window)(F.col("text"))
+
+    if n == 1:
+        return docs.withColumn(out, search(0)[1])
+    keyed, keys = numbered(docs, "bench-docs")
+    parts = None
+    for k in range(n):
+        shared, found = search(k)
+        rows = keyed.select(*keys, found.alias(out)).select(*keys, f"{out}.*")
+        # The first pass counts the words of every document.
+        part = written(rows if k == 0 else rows.filter(F.size("items") > 0), "bench-hits")
+        shared.destroy()
+        parts = part if parts is None else parts.unionAll(part)
+    merged = parts.groupBy(*keys).agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    hits = F.struct("n_words", _merged(F.col("spans")).alias("spans"), "items").alias(out)
+    return keyed.join(merged.select(*keys, hits), keys).select(*docs.columns, out)
 
 
 def n_hit(hits: Column) -> Column:
