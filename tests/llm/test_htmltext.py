@@ -109,6 +109,13 @@ def test_copies_of_an_article_are_no_template(spark):
     assert all(got[60 + i] == f"Story {i}." for i in range(9))
 
 
+def test_formulas_stay():
+    formula = ("<math><semantics><mrow><mi>E</mi><mo>=</mo><mi>m</mi></mrow>"
+               "<annotation encoding='application/x-tex'>E=m</annotation></semantics></math>")
+    got = H.extract_text(f"<article><p>We know {formula} well.</p><svg><text>icon</text></svg></article>")
+    assert "".join(got.split()) == "WeknowE=mwell."
+
+
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(1, None, "<p>a</p>"), (None, "x", None), (2, "http://h/", ""), (2, "http://h/", ""), (3, "", "<p>b")]
     assert extract(spark, rows) == [(1, "a"), (2, ""), (2, ""), (3, "b"), (None, "")]

@@ -31,7 +31,7 @@ SMALL_SHARE = 0.01
 
 # Fixed values of HTML: elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg annotation annotation-xml".split())
 SKIP = RAW | frozenset("head nav footer aside form button select option datalist dialog object audio video canvas "
                        "map applet menu".split())
 BLOCK = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure "
