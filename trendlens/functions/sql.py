@@ -16,13 +16,19 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from trendlens.functions.text import (
+    _DOMAIN_MARK,
+    _EMAIL_MARK,
     _JAVA_ONLY_WORD,
     _NONWORD_STANDIN,
+    _POSSESSIVE,
     _PY_ONLY_SPACE,
     _PY_ONLY_WORD,
+    _TOKEN,
+    _URL_MARK,
     _WORD_STANDIN,
-    CLEANING_PATTERNS,
-    TOKEN_BODY,
+    DOMAIN_PATTERN,
+    EMAIL_PATTERN,
+    URL_PATTERN,
 )
 from trendlens.functions.wordlists import Lexicon
 
@@ -37,18 +43,22 @@ def keywords_sql_body(arg: str = "text", lexicon: Lexicon | None = None, max_key
     lex = lexicon or Lexicon.default()
     seps = "".join(f"\\u{ord(c):04x}" for c in _PY_ONLY_SPACE)
 
-    def cleaned(expr: str, flag: str) -> str:
+    def tokens(expr: str, flag: str) -> str:
         expr = f"translate({expr}, '{seps}', '{' ' * len(_PY_ONLY_SPACE)}')"
-        for pattern in CLEANING_PATTERNS:
-            expr = f"regexp_replace({expr}, r'{flag}{pattern}', ' ')"
-        return expr
-
-    # same class mapping and ASCII branch as text.cleaned_text_col
+        blank = lambda e, pattern: f"regexp_replace({e}, r'{flag}{_POSSESSIVE.get(pattern, pattern)}', ' ')"
+        links = f"CASE WHEN contains({arg}, '{_URL_MARK}') THEN {blank(expr, URL_PATTERN)} ELSE {expr} END"
+        names = blank(links, DOMAIN_PATTERN)
+        mails = f"CASE WHEN contains({arg}, '{_EMAIL_MARK}') THEN {blank(names, EMAIL_PATTERN)} ELSE {names} END"
+        marked = (f"contains({arg}, '{_URL_MARK}') OR contains({arg}, '{_EMAIL_MARK}') "
+                  f"OR {arg} RLIKE r'{_DOMAIN_MARK}'")
+        return f"regexp_extract_all(CASE WHEN {marked} THEN {mails} ELSE {expr} END, r'{flag}{_TOKEN}', 1)"
+
+    # same class mapping and branches as text.tokens_col
     wide = f"regexp_replace(lower({arg}), r'{_JAVA_ONLY_WORD}', '{_NONWORD_STANDIN}')"
     wide = f"regexp_replace({wide}, r'{_PY_ONLY_WORD}', '{_WORD_STANDIN}')"
-    expr = (f"CASE WHEN length({arg}) = octet_length({arg}) THEN {cleaned(f'lower({arg})', '')} "
-            f"ELSE {cleaned(wide, '(?U)')} END")
-    kept = f"filter(regexp_extract_all({expr}, r'{TOKEN_BODY}', 1), t -> NOT {_among('t', lex.stop_words)})"
+    expr = (f"CASE WHEN length({arg}) = octet_length({arg}) THEN {tokens(f'lower({arg})', '')} "
+            f"ELSE {tokens(wide, '(?U)')} END")
+    kept = f"filter({expr}, t -> NOT {_among('t', lex.stop_words)})"
     if max_keywords is not None:
         kept = f"slice({kept}, 1, {int(max_keywords)})"
     return f"coalesce({kept}, CAST(array() AS ARRAY<STRING>))"

@@ -3,7 +3,7 @@
 ``keywords_col`` turns a text column into ``array<string>``:
 
 1. lower-case;
-2. blank out, in this order, URLs, dotted names ("domains"), e-mail-like
+2. leave out, in this order, URLs, dotted names ("domains"), e-mail-like
    fragments and bare top-level-domain words;
 3. pull every run ``#?[a-z][a-z0-9_]{3,}`` (the match is not anchored to a word
    start, so ``1abcde`` yields ``abcde``) and drop the leading ``#``;
@@ -64,8 +64,9 @@ def _col(c: Column | str) -> Column:
 #     Turkish capital I), connector punctuation, joiners  -> U+00A6 (symbol)
 #   word in Python only: numbers such as superscripts    -> U+00AA (letter)
 #   space in Python only: the separators \x1c-\x1f         -> space
-_JAVA_ONLY_WORD = r"(?U)[\w&&[^\p{L}\p{N}_]]"
-_PY_ONLY_WORD = r"(?U)[\p{N}&&[^\w]]"
+# (No ASCII character is among them; asking for non-ASCII first is the cheaper test.)
+_JAVA_ONLY_WORD = r"(?U)[\x80-\x{10FFFF}&&[\w&&[^\p{L}\p{N}_]]]"
+_PY_ONLY_WORD = r"(?U)[\x80-\x{10FFFF}&&[\p{N}&&[^\w]]]"
 _NONWORD_STANDIN, _WORD_STANDIN = "\u00a6", "\u00aa"
 _PY_ONLY_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -82,34 +83,44 @@ def _plain_spaces(text: Column) -> Column:
     return F.translate(text, _PY_ONLY_SPACE, " " * len(_PY_ONLY_SPACE))
 
 
-# A pass whose every match needs a literal is skipped for rows without it
-# (tested on the input column; only ASCII letters lower-case to h, t, p).
-_PASS_NEEDS = {URL_PATTERN: "(?i)http", EMAIL_PATTERN: "@"}
+# The same spans without backtracking: what follows a run is not of its class.
+_POSSESSIVE = {DOMAIN_PATTERN: r"\b[\w-]++\.[\w.-]+\b", EMAIL_PATTERN: r"\b[\w.-]++@[\w.-]+\b"}
+# Literals that every match of a pass needs; a match of the domain pass has a
+# dot before a character of its class (any non-ASCII one may map to such).
+_URL_MARK, _EMAIL_MARK = "://", "@"
+_DOMAIN_MARK = r"\.[\w.\-\x80-\x{10FFFF}]"
 
 
-def cleaned_text_col(text: Column | str) -> Column:
-    """Lower-cased text with URLs, domains, e-mails and bare TLDs blanked.
+# Blanking the bare TLD words takes no pass of its own: a whole word can only
+# be a token if it has the four characters of one, so the extraction leaves
+# out such words where they stand alone.
+_LONG_TLDS = "|".join(w for w in re.findall("[a-z]+", TLD_PATTERN.split("?:")[1]) if len(w) >= 4)
+_TOKEN = rf"#?((?!(?<!\w)(?:{_LONG_TLDS})(?!\w))[a-z][a-z0-9_]{{3,}}+)"
 
-    Pure-ASCII texts (character count == byte count, a cheap test on the
-    input column) take the patterns without ``(?U)`` and skip the class
-    mapping, of which only the separator translation applies to them.
+
+def tokens_col(text: Column | str) -> Column:
+    """``array<string>`` of the tokens that are left beside URLs, domains,
+    e-mails and bare TLDs of the lower-cased text; NULL for NULL.
+
+    A text without any mark of the first three (most have none) is not
+    rewritten at all.  Pure-ASCII texts (character count == byte count, a
+    cheap test on the input column) take the patterns without ``(?U)`` and
+    skip the class mapping, of which only the separator translation applies
+    to them.
     """
     raw = _col(text)
+    marked = raw.contains(_URL_MARK) | raw.contains(_EMAIL_MARK) | raw.rlike(_DOMAIN_MARK)
 
-    def blanked(out: Column, flag: str) -> Column:
-        for pattern in CLEANING_PATTERNS:
-            replaced = F.regexp_replace(out, flag + pattern, " ")
-            need = _PASS_NEEDS.get(pattern)
-            if need is None:
-                out = replaced
-            else:
-                present = raw.rlike(need) if need.startswith("(?i)") else raw.contains(need)
-                out = F.when(present, replaced).otherwise(out)
-        return out
+    def tokens(out: Column, flag: str) -> Column:
+        blank = lambda c, pattern: F.regexp_replace(c, flag + _POSSESSIVE.get(pattern, pattern), " ")
+        links = F.when(raw.contains(_URL_MARK), blank(out, URL_PATTERN)).otherwise(out)
+        names = blank(links, DOMAIN_PATTERN)
+        mails = F.when(raw.contains(_EMAIL_MARK), blank(names, EMAIL_PATTERN)).otherwise(names)
+        return F.regexp_extract_all(F.when(marked, mails).otherwise(out), F.lit(flag + _TOKEN), 1)
 
     ascii_only = F.length(raw) == F.octet_length(raw)
-    return F.when(ascii_only, blanked(_plain_spaces(F.lower(raw)), "")).otherwise(
-        blanked(python_classes_col(raw), "(?U)"))
+    return F.when(ascii_only, tokens(_plain_spaces(F.lower(raw)), "")).otherwise(
+        tokens(python_classes_col(raw), "(?U)"))
 
 
 def keywords_col(text: Column | str, lexicon: Lexicon | None = None, max_keywords: int | None = None) -> Column:
@@ -117,7 +128,7 @@ def keywords_col(text: Column | str, lexicon: Lexicon | None = None, max_keyword
     NULL or empty text gives []."""
     lex = lexicon or Lexicon.default()
     stop = sorted(lex.stop_words)
-    kept = F.regexp_extract_all(cleaned_text_col(text), F.lit(TOKEN_BODY), 1)
+    kept = tokens_col(text)
     if stop:
         kept = F.filter(kept, lambda t: ~t.isin(*stop))
     if max_keywords is not None:
