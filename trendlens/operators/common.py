@@ -74,3 +74,33 @@ def since_filter(tw: DataFrame, since: Column, until: Column | None = None, widt
         if dated:
             cond = cond & (F.col("window_date") <= F.to_date(until))
     return tw.filter(cond)
+
+
+# A double is summed as two longs, its multiple of 2^-20 and what is left in
+# multiples of 2^-50: sums do not depend on the order of the rows, and a row
+# can be taken out of a sum again exactly.  Holds sums below 2^43 (8.8e12)
+# over fewer than 2^33 rows; beyond that Spark's overflow check raises.
+_COARSE, _FINE = float(1 << 20), float(1 << 30)
+
+
+def exact_parts(value: Column | str) -> tuple[Column, Column]:
+    """The two longs that stand for a double in a sum."""
+    scaled = (F.col(value) if isinstance(value, str) else value) * F.lit(_COARSE)
+    coarse = F.floor(scaled)
+    return coarse, F.round((scaled - coarse) * F.lit(_FINE)).cast("long")
+
+
+def exact_value(coarse: Column, fine: Column) -> Column:
+    """The double that summed parts stand for."""
+    return coarse / F.lit(_COARSE) + fine / F.lit(_COARSE * _FINE)
+
+
+def exact_sum(value: Column | str) -> Column:
+    """``sum`` of doubles that is the same for any order of the rows."""
+    coarse, fine = exact_parts(value)
+    return exact_value(F.sum(coarse), F.sum(fine))
+
+
+def exact_avg(value: Column | str) -> Column:
+    """``avg`` of doubles that is the same for any order of the rows."""
+    return exact_sum(value) / F.count(F.col(value) if isinstance(value, str) else value)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col, check_hours, since_filter
+from trendlens.operators.common import as_of_col, check_hours, exact_avg, exact_sum, since_filter
 from trendlens.operators.revisions import dedup_revisions
 
 
@@ -33,7 +33,7 @@ def trend_history(tw: DataFrame, keyword: str, hours: int = 2, as_of=None,
     latest = dedup_revisions(selected)
     out = latest.groupBy(time_bucket_col("window_end", bucket).alias("bucket"), "keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mention_count"),
-        F.avg("avg_sentiment").alias("avg_sentiment"),
-        F.sum("trend_score").alias("trend_score"),
+        exact_avg("avg_sentiment").alias("avg_sentiment"),
+        exact_sum("trend_score").alias("trend_score"),
     )
     return out.orderBy("bucket", "source")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col, check_limit, interval, since_filter
+from trendlens.operators.common import as_of_col, check_limit, exact_avg, exact_sum, interval, since_filter
 from trendlens.operators.revisions import dedup_revisions
 
 LEADERBOARD_COLUMNS = (
@@ -48,8 +48,8 @@ def rollup_recent(recent: DataFrame) -> DataFrame:
     of window sentiment means, and the covered time span."""
     return recent.groupBy("keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mention_count"),
-        F.avg("avg_sentiment").alias("avg_sentiment"),
-        F.sum("trend_score").alias("trend_score"),
+        exact_avg("avg_sentiment").alias("avg_sentiment"),
+        exact_sum("trend_score").alias("trend_score"),
         F.min("window_start").alias("window_start"),
         F.max("window_end").alias("window_end"),
     )
@@ -129,6 +129,6 @@ def recent_top(tw: DataFrame, as_of=None, horizon: str = "10 minutes", limit: in
     recent = since_filter(tw, now - interval(horizon), None if as_of is None else now)
     agg = recent.groupBy("keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mentions"),
-        F.sum("trend_score").alias("score"),
+        exact_sum("trend_score").alias("score"),
     )
     return agg.orderBy(F.col("score").desc(), F.col("mentions").desc(), "keyword", "source").limit(limit)

@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.operators.common import as_of_col
+from trendlens.operators.common import as_of_col, exact_avg
 from trendlens.operators.revisions import dedup_revisions
 from trendlens.schemas import DAILY_SUMMARY_SCHEMA
 from trendlens.session import delete_path, path_exists, scratch_path
@@ -55,7 +55,7 @@ def daily_summary(tw: DataFrame, day=None, created_at=None) -> DataFrame:
     latest = dedup_revisions(tw.drop("window_date") if "window_date" in tw.columns else tw)
     out = latest.groupBy(summary_date.alias("summary_date"), "keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("total_mentions"),
-        F.avg("avg_sentiment").alias("avg_sentiment"),
+        exact_avg("avg_sentiment").alias("avg_sentiment"),
         F.max("trend_score").alias("max_trend_score"),
     )
     return out.withColumn("created_at", as_of_col(created_at)).select(*SUMMARY_COLUMNS)
