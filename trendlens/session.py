@@ -110,6 +110,27 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly under a path, none if it does not exist."""
+    hadoop, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(hadoop) if s.isDirectory()) if fs.exists(hadoop) else []
+
+
+def list_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """The data files under a path (relative names, without marks and files
+    in the making) with their times; none if it does not exist."""
+    hadoop, fs = _hadoop_path(spark, path)
+    if not fs.exists(hadoop):
+        return {}
+    root, out, found = fs.makeQualified(hadoop).toString().rstrip("/") + "/", {}, fs.listFiles(hadoop, True)
+    while found.hasNext():
+        status = found.next()
+        name = status.getPath().toString().removeprefix(root)
+        if not any(p.startswith(("_", ".")) for p in name.split("/")):
+            out[name] = status.getModificationTime()
+    return out
+
+
 def rename_path(spark: SparkSession, source: str, target: str) -> None:
     """Move a path to one that does not exist yet."""
     hadoop, fs = _hadoop_path(spark, source)
