@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from trendlens.session import default_checkpoint
 from trendlens.sources import normalize
 from trendlens.sources.posts import post_value_col
+from trendlens.streaming.seen import dedup_urls_stateful
 
 NORMALIZERS = {
     normalize.BLUESKY: normalize.normalize_bluesky,
@@ -38,11 +39,12 @@ def post_records(posts: DataFrame) -> DataFrame:
 
 
 def normalized_stream(raw: DataFrame, provider: str, as_of=None, url_dedup_delay: str | None = "1 hour",
-                      id_dedup_delay: str | None = None) -> DataFrame:
+                      id_dedup_delay: str | None = None, url_state: bool = False) -> DataFrame:
     """Normalize one provider's raw stream.
 
     GDELT URLs are deduplicated within ``url_dedup_delay`` of arrival time
-    (state bounded by the watermark on it).  ``id_dedup_delay`` optionally
+    (state bounded by the watermark on it; ``url_state``: by keyed state with
+    evictions that are counted, ``streaming.seen``).  ``id_dedup_delay`` optionally
     drops re-polled HackerNews stories (same ``hn_<id>``) within that delay;
     off by default, as re-polls were counted originally.
     """
@@ -50,7 +52,8 @@ def normalized_stream(raw: DataFrame, provider: str, as_of=None, url_dedup_delay
         raise ValueError(f"unknown provider {provider!r}")
     posts = NORMALIZERS[provider](raw, as_of=as_of)
     if provider == normalize.GDELT and url_dedup_delay:
-        posts = normalize.dedup_by_url_stream(posts, url_dedup_delay)
+        dedup = dedup_urls_stateful if url_state else normalize.dedup_by_url_stream
+        posts = dedup(posts, url_dedup_delay)
     if provider == normalize.HACKERNEWS and id_dedup_delay:
         timed = posts.withColumn("_arrived", F.current_timestamp())
         posts = timed.withWatermark("_arrived", id_dedup_delay).dropDuplicatesWithinWatermark(["id"]).drop("_arrived")
@@ -67,12 +70,13 @@ def run_ingest_stream(
     as_of=None,
     available_now: bool = False,
     trigger: str | None = "2 seconds",
+    url_state: bool = False,
 ) -> StreamingQuery:
     """Start the ingest stream.  ``fmt="kafka"``: ``output`` is the bootstrap
     server list and each record goes to its ``topic``; ``fmt="files"``:
     ``output`` is a folder, one sub-folder per topic, one JSON record per
     line (readable by ``file_post_stream``)."""
-    records = post_records(normalized_stream(raw, provider, as_of))
+    records = post_records(normalized_stream(raw, provider, as_of, url_state=url_state))
     ckpt = checkpoint or default_checkpoint(spark, f"ingest-{provider}", fmt, output)
     if fmt == "kafka":
         writer = (records.writeStream.format("kafka").option("kafka.bootstrap.servers", output))
