@@ -34,23 +34,33 @@ def parse_posts(raw: DataFrame, value_col: str = "value", event_time_fallback=No
     )
 
 
-def post_errors(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Records that give no usable post, as ``(topic, value, reason)`` for the
-    ``pipeline-errors`` topic.
-
-    Reasons: ``empty`` (NULL or blank record), ``malformed`` (no JSON object),
-    ``no id`` and ``no text`` (absent or empty field).  Every other record is
-    a post (:func:`parse_posts`).
-    """
+def with_parsed(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Records (``value`` as text, other columns kept) with the fields of the
+    post and ``_corrupt``, the record itself if it is no JSON object."""
     text = F.col(value_col).cast("string")
     schema = T.StructType([*POST_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
-    parsed = raw.select(text.alias("value"), F.inline(F.array(
+    kept = [c for c in raw.columns if c != value_col]
+    return raw.select(*kept, text.alias("value"), F.inline(F.array(
         F.from_json(text, schema, {"columnNameOfCorruptRecord": "_corrupt"}))))
-    reason = (F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty")
-              .when(F.col("_corrupt").isNotNull(), "malformed")
-              .when(F.coalesce("id", F.lit("")) == "", "no id")
-              .when(F.coalesce("text", F.lit("")) == "", "no text"))
-    return (parsed.select(F.lit(ERROR_TOPIC).alias("topic"), "value", reason.alias("reason"))
+
+
+def post_error_col() -> Column:
+    """Why a record of :func:`with_parsed` gives no usable post, or NULL:
+    ``empty`` (NULL or blank record), ``malformed`` (no JSON object), ``no
+    id`` and ``no text`` (absent or empty field)."""
+    return (F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty")
+            .when(F.col("_corrupt").isNotNull(), "malformed")
+            .when(F.coalesce("id", F.lit("")) == "", "no id")
+            .when(F.coalesce("text", F.lit("")) == "", "no text"))
+
+
+def post_errors(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Records that give no usable post (:func:`post_error_col`), as ``(topic,
+    value, reason)`` for the ``pipeline-errors`` topic.  Every other record is
+    a post (:func:`parse_posts`).
+    """
+    parsed = with_parsed(raw.select(value_col), value_col)
+    return (parsed.select(F.lit(ERROR_TOPIC).alias("topic"), "value", post_error_col().alias("reason"))
             .filter(F.col("reason").isNotNull()))
 
 

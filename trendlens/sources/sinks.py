@@ -8,9 +8,12 @@ and handed to each configured sink in order (``TrendBatchWriter``).  Sinks:
   its own partitions, so at-least-once delivery leaves no duplicates.
 * ``JdbcTrendSink``       append to a JDBC table (at-least-once: a replay
   appends again; readers keep the latest revision, see ``dedup_revisions``).
+  ``sources.jdbc.LedgerJdbcTrendSink`` writes every batch exactly once.
+* ``AlertSink``           windows with strong sentiment, as files or to Kafka.
 * ``KafkaTrendSink``      key = keyword, value = JSON of the nine row fields.
 * ``LeaderboardSnapshotSink``  recompute the served leaderboard from the fact
-  table and overwrite a snapshot table (the live push, without a socket).
+  table and overwrite a snapshot table (the live push, without a socket);
+  ``streaming.live.IncrementalLeaderboardSink`` keeps it as state instead.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.functions.timefns import iso_utc_col
+from trendlens.operators.alerts import ALERT_TOPIC, sentiment_alerts
 from trendlens.operators.common import as_of_col, interval_seconds
 from trendlens.operators.trends import flatten_windows
 from trendlens.schemas import TREND_WINDOWS_SCHEMA
@@ -118,6 +122,16 @@ class JdbcTrendSink:
     def __call__(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.jdbc(self.url, self.table, mode="append", properties=self.properties)
 
+    def next_epoch(self, spark) -> int:
+        """Epoch of a run that starts over: one more than the table holds."""
+        from trendlens.sources.jdbc import scalar, table_exists, transaction
+
+        with transaction(spark, self.url, self.properties) as conn:
+            if not table_exists(conn, self.table):
+                return 0
+            last = scalar(conn, f'SELECT MAX("batch_id") FROM {self.table}')
+        return 0 if last is None or last < 0 else (last >> EPOCH_BITS) + 1
+
 
 class KafkaTrendSink:
     def __init__(self, bootstrap: str, topic: str = TREND_TOPIC):
@@ -129,6 +143,33 @@ class KafkaTrendSink:
             .option("kafka.bootstrap.servers", self.bootstrap).option("topic", self.topic).save())
 
 
+class AlertSink:
+    """Sentiment alerts of each micro-batch (``operators.alerts``).
+
+    ``fmt="files"``: parquet under ``output``, one ``batch_id`` folder per
+    batch, which a replay overwrites.  ``fmt="kafka"``: ``output`` is the
+    bootstrap server list; key = keyword, value = JSON of the alert.
+    """
+
+    def __init__(self, output: str, fmt: str = "files", threshold: float = 0.5, min_mentions: int = 2,
+                 topic: str = ALERT_TOPIC):
+        if fmt not in ("files", "kafka"):
+            raise ValueError(f"unknown output format {fmt!r}")
+        self.output, self.fmt, self.topic = output, fmt, topic
+        self.threshold, self.min_mentions = threshold, min_mentions
+        self.target = f"{output} {topic}"
+
+    def __call__(self, rows: DataFrame, batch_id: int) -> None:
+        alerts = sentiment_alerts(rows, self.threshold, self.min_mentions)
+        if self.fmt == "files":
+            (alerts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(self.output))
+            return
+        records = alerts.select(F.col("keyword").alias("key"), _json(*TREND_ROW_FIELDS, "level").alias("value"))
+        (records.write.format("kafka").option("kafka.bootstrap.servers", self.output)
+         .option("topic", self.topic).save())
+
+
 class LeaderboardSnapshotSink:
     """After the fact table is written, rewrite the served leaderboard.
 
@@ -148,6 +189,10 @@ class LeaderboardSnapshotSink:
         self.keep_seconds = interval_seconds(keep_for)
         self.target = snapshot_path
 
+    def next_epoch(self, spark) -> int:
+        known = _versions(spark, self.snapshot_path)
+        return (known[-1][0] >> EPOCH_BITS) + 1 if known else 0
+
     def _maxima(self, spark, tw: DataFrame, rows: DataFrame, batch_id: int) -> DataFrame:
         from trendlens.operators.leaderboard import per_source_max
 
