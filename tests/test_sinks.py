@@ -238,6 +238,9 @@ def test_dedup_formulations_agree(spark):
     tw = simulate_revisions(mentions(enrich(posts_docs(spark, SF_SMALL))))
     a = dedup_revisions(tw, "aggregate")
     b = dedup_revisions(tw, "row_number")
+    c = dedup_revisions(tw.dropDuplicates(["window_start", "window_end", "keyword", "source", "batch_id"]), "by_batch")
+    assert c.columns == tw.columns and c.count() == b.count()
+    assert c.select("keyword", "batch_id").exceptAll(b.select("keyword", "batch_id")).count() == 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     # and the latest revisions are exactly the batch aggregate
     batch = trends_from_posts(posts_docs(spark, SF_SMALL)).select("window_start", "keyword", "source",

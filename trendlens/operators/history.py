@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendlens.operators.common import as_of_col, check_hours, exact_avg, exact_sum, since_filter
-from trendlens.operators.revisions import dedup_revisions
+from trendlens.operators.revisions import dedup_revisions, own_method
 
 
 def time_bucket_col(ts: str, width: str = "10 seconds"):
@@ -30,7 +30,7 @@ def trend_history(tw: DataFrame, keyword: str, hours: int = 2, as_of=None,
     selected = recent.filter(F.col("keyword") == F.lit(keyword))
     if "window_date" in selected.columns:
         selected = selected.drop("window_date")
-    latest = dedup_revisions(selected)
+    latest = dedup_revisions(selected, own_method(tw))
     out = latest.groupBy(time_bucket_col("window_end", bucket).alias("bucket"), "keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("mention_count"),
         exact_avg("avg_sentiment").alias("avg_sentiment"),

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.operators.common import as_of_col, check_limit, exact_avg, exact_sum, interval, since_filter
-from trendlens.operators.revisions import dedup_revisions
+from trendlens.operators.revisions import dedup_revisions, own_method
 
 LEADERBOARD_COLUMNS = (
     "keyword", "source", "mention_count", "avg_sentiment", "trend_score", "window_start", "window_end",
@@ -92,7 +92,7 @@ def latest_trends(tw: DataFrame, limit: int = 20, horizon: str = "30 minutes",
         joined = tw.join(bounds.drop("_until"), "source")
     recent = joined.filter(F.col("window_end") >= F.col("_since")).drop("_since")
     if dedup:
-        recent = dedup_revisions(recent)
+        recent = dedup_revisions(recent, own_method(tw))
     ranked = top_per_source(rollup_recent(recent.select(*LEADERBOARD_COLUMNS)), limit)
     return ranked.select(*LEADERBOARD_COLUMNS).orderBy(*rank_order(), F.col("source").asc())
 
@@ -110,7 +110,7 @@ def latest_trends_global(tw: DataFrame, limit: int = 20, horizon: str = "10 minu
     maxima = per_source if per_source is not None else per_source_max(tw)
     newest = maxima.agg(F.max("max_window_end")).scalar()
     recent = since_filter(tw, F.coalesce(newest, as_of_col(as_of)) - interval(horizon)).drop("window_date")
-    ranked = top_per_source(rollup_recent(dedup_revisions(recent).select(*LEADERBOARD_COLUMNS)), limit)
+    ranked = top_per_source(rollup_recent(dedup_revisions(recent, own_method(tw)).select(*LEADERBOARD_COLUMNS)), limit)
     return ranked.select(*LEADERBOARD_COLUMNS)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.operators.common import as_of_col, exact_avg
-from trendlens.operators.revisions import dedup_revisions
+from trendlens.operators.revisions import dedup_revisions, own_method
 from trendlens.schemas import DAILY_SUMMARY_SCHEMA
 from trendlens.session import delete_path, path_exists, scratch_path
 
@@ -52,7 +52,7 @@ def daily_summary(tw: DataFrame, day=None, created_at=None) -> DataFrame:
         summary_date = start
     else:
         summary_date = F.to_date("window_end")
-    latest = dedup_revisions(tw.drop("window_date") if "window_date" in tw.columns else tw)
+    latest = dedup_revisions(tw.drop("window_date"), own_method(tw))
     out = latest.groupBy(summary_date.alias("summary_date"), "keyword", "source").agg(
         F.sum("mention_count").cast("long").alias("total_mentions"),
         exact_avg("avg_sentiment").alias("avg_sentiment"),

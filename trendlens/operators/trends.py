@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions.text import keywords_col, keywords_pandas_udf, sentiment_col
 from trendlens.functions.wordlists import Lexicon
+from trendlens.operators.common import exact_avg
 
 DEFAULT_WIDTH = "10 seconds"
 DEFAULT_WATERMARK = "1 minute"
@@ -87,7 +88,7 @@ def windowed_trends(
     df = mention_rows.withWatermark(time_col, watermark) if watermark else mention_rows
     agg = df.groupBy(F.window(time_col, width).alias("window"), "keyword", "source").agg(
         F.count(F.lit(1)).alias("mention_count"),
-        F.avg("sentiment").alias("avg_sentiment"),
+        exact_avg("sentiment").alias("avg_sentiment"),
     )
     return agg.withColumn("trend_score", trend_score_col())
 

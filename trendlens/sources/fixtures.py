@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.operators.common import exact_avg
 from trendlens.operators.trends import trend_score_col
 from trendlens.session import scratch_path
 from trendlens.sources.tables import FIXTURE_EPOCH, read_table
@@ -152,9 +153,9 @@ def simulate_revisions(mention_rows: DataFrame, width_seconds: int = 10,
     early = (F.unix_micros(F.col(time_col)) - F.unix_micros(start)) < F.lit(width_us // 2)
     grouped = mention_rows.groupBy(start.alias("window_start"), "keyword", "source").agg(
         F.count(F.lit(1)).alias("n_all"),
-        F.avg("sentiment").alias("s_all"),
+        exact_avg("sentiment").alias("s_all"),
         F.count(F.when(early, F.lit(1))).alias("n_early"),
-        F.avg(F.when(early, F.col("sentiment"))).alias("s_early"),
+        exact_avg(F.when(early, F.col("sentiment"))).alias("s_early"),
     )
     k = F.floor(F.unix_micros("window_start") / F.lit(width_us)).cast("long")
 
