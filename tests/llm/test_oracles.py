@@ -37,7 +37,7 @@ def test_awkward_rows(spark, workdir):
     docs, items = case()
     langs = ["en", None, "de", "en", ""]
     docs = [(d, t, langs[k % 5], "s" if k % 3 else None, k) for k, (d, t) in enumerate(docs)]
-    vectors = [(*r, 0) for r in cases(7, 60) if r[1] is None or max([abs(x or 0) for x in r[1]] + [0]) < 1e30]
+    vectors = [(*r, 0) for r in cases(7, 80) if r[1] is None or max([abs(x or 0) for x in r[1]] + [0]) < 1e30]
     for name, rows, schema in (("conversations", corpus(3), "conv_id long, turn long, role string, text string"),
                                ("pages", pages(), "page_id long, url string, html string"),
                                ("documents", docs, "doc_id long, text string, lang string, source string, n_chars long"),

@@ -134,10 +134,10 @@ SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(
 
 # Every pair compared: the index must find them all.
 EMBEDDINGS = """WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-       AND list_inner_product(e, e) > 0),
-links AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid <> b.rid AND len(a.e) = len(b.e)
-          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+ok AS MATERIALIZED (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid <> b.rid
+          WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.95 ELSE false END),
 reach AS (SELECT rid AS a, rid AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
 SELECT v.vec_id, CAST((SELECT count(*) FROM links WHERE links.a = v.rid) AS BIGINT) AS n_links, c.component_id,
        v.vec_id IS NOT DISTINCT FROM c.component_id AS kept
