@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from trendlens.llm.common import forget, written
 
 DAMPING = 0.85
-# Ranks are iterated until a round changes them by less than this in total
-# (both add up to 1), and never for more than so many rounds.
+# Ranks are iterated until this many rounds add less than this share to them,
+# and never for more than so many rounds.
+STEP_ROUNDS = 4
 TOLERANCE = 1e-3
-MOST_ROUNDS = 200
+MOST_ROUNDS = 400
 # A host is blocked if its distrust exceeds its trust by this many shares of
 # an even distribution.
 MARGIN = 1.0
@@ -83,44 +84,51 @@ def host_ranks(hosts: DataFrame, edges: DataFrame, tolerance: float = TOLERANCE,
     (seeds: true, or a weight above 0) and ``edges(src, dst, weight)``.
 
     Both rankings restart at their seeds, in proportion to the weights; what
-    reaches a host without further edges restarts too.  Without seeds a
-    ranking is 0 everywhere.  Rounds go on until the ranks change by less
-    than ``tolerance`` in total; if they have not after ``most_rounds`` (they
-    shrink by ``damping`` each, so they have) it raises.  Every round's table
-    is written, so lineage stays short, and the one before it deleted.
+    reaches a host without further edges restarts too.  So a ranking is the
+    solution of ``y = seeds + damping * moved(y)``, scaled to the sum 1, and
+    rounds of that equation only add to ``y``.  They go on until they add
+    less than ``tolerance`` of it; what a round adds shrinks by ``damping``,
+    so they end, and if they have not after ``most_rounds`` it raises.
+    Without seeds a ranking is 0 everywhere.
+
+    Trust moves along the edges and distrust against them, as two kinds of
+    rows of one table; every ``STEP_ROUNDS`` rounds it is written, so lineage
+    stays short, and the one before it deleted.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
     into = edges.groupBy("dst").agg(F.sum("weight").alias("in"))
-    links = written(edges.join(out, "src").join(into, "dst").select(
-        "src", "dst", (F.col("weight") / F.col("out")).alias("forth"), (F.col("weight") / F.col("in")).alias("back")),
-        "rank-links")
-    share = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    seeds = hosts.agg(F.sum(share("trusted")).alias("t"), F.sum(share("blocked")).alias("b")).first()
-    start = written(hosts.select("host", (share("trusted") / float(seeds["t"] or 1)).alias("t0"),
-                                 (share("blocked") / float(seeds["b"] or 1)).alias("d0")), "rank-start")
-    ranks, table = start.select("host", F.col("t0").alias("trust"), F.col("d0").alias("distrust")), None
-    for _ in range(most_rounds):
-        told = (links.join(ranks.select(F.col("host").alias("src"), "trust"), "src")
-                .select(F.col("dst").alias("host"), (F.col("trust") * F.col("forth")).alias("t"), F.lit(0.0).alias("d"))
-                .unionAll(links.join(ranks.select(F.col("host").alias("dst"), "distrust"), "dst")
-                          .select(F.col("src").alias("host"), F.lit(0.0).alias("t"),
-                                  (F.col("distrust") * F.col("back")).alias("d")))
-                .groupBy("host").agg(F.sum("t").alias("t"), F.sum("d").alias("d")))
-        moved = written(start.join(ranks, "host").join(told, "host", "left").select(
-            "host", "t0", "d0", "trust", "distrust", F.coalesce("t", F.lit(0.0)).alias("t"),
-            F.coalesce("d", F.lit(0.0)).alias("d")), "rank-round")
-        if table is not None:
-            forget(table)
-        table = moved
-        sums = moved.agg(F.sum("t").alias("t"), F.sum("d").alias("d")).first()
-        # Mass that did not move on restarts at the seeds with the rest.
-        lost_t, lost_d = (1.0 - damping * (sums[k] or 0.0) for k in ("t", "d"))
-        trust, distrust = (F.col("t") * damping + F.col("t0") * lost_t, F.col("d") * damping + F.col("d0") * lost_d)
-        ranks = moved.select("host", trust.alias("trust"), distrust.alias("distrust"))
-        change = moved.agg(F.sum(F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust")))).first()[0]
-        if (change or 0.0) < tolerance:
-            return ranks
-    raise RuntimeError(f"ranks still change by {change} after {most_rounds} rounds")
+    shares = edges.join(out, "src").join(into, "dst")
+    way = lambda kind, a, b, total: shares.select(
+        F.lit(kind).alias("kind"), F.col(a).alias("host"), F.col(b).alias("to"),
+        (F.col("weight") / F.col(total) * damping).alias("share"))
+    moves = written(way(0, "src", "dst", "out").unionAll(way(1, "dst", "src", "in")), "rank-moves")
+    weight = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), weight("trusted").alias("y")),
+                    F.struct(F.lit(1).alias("kind"), weight("blocked").alias("y")))
+    seeds = written(hosts.select("host", F.inline(kinds)).filter("y > 0").select("kind", "host", "y"), "rank-seeds")
+    ranks, sums = seeds, _mass(seeds)
+    for _ in range(0, most_rounds, STEP_ROUNDS):
+        moved = ranks
+        for _ in range(STEP_ROUNDS):
+            told = moved.join(moves, ["kind", "host"]).select("kind", F.col("to").alias("host"),
+                                                              (F.col("y") * F.col("share")).alias("y"))
+            moved = seeds.unionAll(told).groupBy("kind", "host").agg(F.sum("y").alias("y"))
+        after = written(moved, "rank-round")
+        if ranks is not seeds:
+            forget(ranks)
+        ranks, before, sums = after, sums, _mass(after)
+        if all(sums[k] - before.get(k, 0.0) <= tolerance * sums[k] for k in sums):
+            break
+    else:
+        raise RuntimeError(f"ranks still grow from {before} to {sums} after {most_rounds} rounds")
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("y") / float(sums.get(kind) or 1)))
+    known = ranks.groupBy("host").agg(of(0).alias("trust"), of(1).alias("distrust"))
+    return hosts.select("host").join(known, "host", "left").select(
+        "host", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("trust", "distrust")])
+
+
+def _mass(ranks: DataFrame) -> dict[int, float]:
+    return {r["kind"]: r["y"] for r in ranks.groupBy("kind").agg(F.sum("y").alias("y")).collect()}
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], tolerance: float = TOLERANCE,
