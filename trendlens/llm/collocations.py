@@ -41,7 +41,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # Bytes of text of a block (a longer text is a block of its own), and of all
 # blocks that a task has open.
-BLOCK_BYTES, OPEN_BYTES = 4 << 20, 16 << 20
+BLOCK_BYTES, OPEN_BYTES = 2 << 20, 16 << 20
 # Frequent words, and frequent phrases, that every executor is sent at once
 # (about 40 MB); more are met in as many passes as it takes.
 WORDS_PER_PASS, PHRASES_PER_PASS = 1_000_000, 4_000_000
