@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 REVISION_KEY = ("window_start", "window_end", "keyword", "source")
 _ORDER = ("batch_id", "id")
+# The keywords of a window are spread over so many tasks.
+KEYWORD_PARTS = 16
 
 
 def own_method(tw: DataFrame) -> str:
@@ -25,9 +27,11 @@ def dedup_revisions(tw: DataFrame, method: str = "aggregate") -> DataFrame:
     """Keep the latest revision of every window group.
 
     ``aggregate`` (default): ``max`` of a struct led by (batch_id, id), grouped
-    by the revision key.  The aggregation runs partially before the shuffle,
-    so revisions that sit in the same input split are merged map-side and a
-    group never has to be held whole by one task.
+    by the revision key.  A struct has no fixed width, so the aggregation
+    sorts: it does so once, after the shuffle (a partial one before it sorts
+    whole input splits, which spill).  Rows are shuffled by window, source and
+    a part of the keywords, so that rows of one window lie side by side and
+    compress, and a window with many keywords is not one task's.
 
     ``by_batch``: the same for tables in which a batch holds a window group
     once, as the parquet sink leaves them (update mode emits a group once per
@@ -50,7 +54,9 @@ def dedup_revisions(tw: DataFrame, method: str = "aggregate") -> DataFrame:
     if method != "aggregate":
         raise ValueError(f"unknown dedup method {method!r}")
     latest = F.max(F.struct(*_ORDER, *payload)).alias("_latest")
-    out = tw.groupBy(*REVISION_KEY).agg(latest)
+    part = F.pmod(F.hash("keyword"), F.lit(KEYWORD_PARTS))
+    dealt = tw.withColumn("_part", part).repartition("window_start", "window_end", "source", "_part")
+    out = dealt.groupBy(*REVISION_KEY, "_part").agg(latest)
     return out.select(*REVISION_KEY, *[F.col(f"_latest.{c}").alias(c) for c in (*_ORDER, *payload)]).select(
         *tw.columns
     )

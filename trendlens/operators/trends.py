@@ -10,6 +10,9 @@ Scale notes
   Spark aggregates partially before the shuffle, so a keyword that is hot in
   every input partition still sends at most one row per group per task; the
   shuffle carries distinct groups, not mentions.
+* ``by_window`` before ``enrich`` is for tables in which a window says most of
+  its keywords once, so that a partial aggregation merges little and holds a
+  whole split's groups: the posts are shuffled instead of the groups.
 * A tumbling window (width == slide) is a plain projection of the event
   time, not an ``Expand``, so rows are not duplicated.
 """
@@ -66,6 +69,34 @@ def mentions(enriched: DataFrame, keep: tuple[str, ...] = ("id", "source", "even
     return enriched.select(*cols).filter(F.col("keyword").isNotNull())
 
 
+# Text (and a little for every post) that one task of ``by_window`` tokenizes
+# and counts; its distinct keywords stay in memory.
+TASK_BYTES, POST_BYTES = 8 << 20, 10
+
+
+def start_column(width_seconds: int) -> str:
+    """Name of the column in which ``by_window`` keeps a post's window."""
+    return f"_start_{width_seconds}s"
+
+
+def by_window(posts: DataFrame, width_seconds: int = 10) -> DataFrame:
+    """``posts`` in ranges of (tumbling window, source), each in window order,
+    with the window's start as a further column; posts without a time, which
+    lie in no window, are left out.
+
+    Mentions counted by that column need no shuffle of their own: the texts
+    are moved before they fall apart into many wide rows, and every task holds
+    the counts of about ``TASK_BYTES`` of text instead of a whole input
+    split's.  Two scans of the posts find the number and bounds of the ranges.
+    """
+    spark = posts.sparkSession
+    size = posts.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(POST_BYTES)).alias("n")).first().n
+    ranges = max(spark.sparkContext.defaultParallelism, -(-(size or 0) // TASK_BYTES))
+    start = start_column(width_seconds)
+    timed = posts.withColumn(start, F.window("event_time", f"{width_seconds} seconds").start)
+    return timed.repartitionByRange(ranges, start, "source").sortWithinPartitions(start, "source")
+
+
 def trend_score_col(mention_count: Column | str = "mention_count",
                     avg_sentiment: Column | str = "avg_sentiment") -> Column:
     m = F.col(mention_count) if isinstance(mention_count, str) else mention_count

@@ -63,17 +63,12 @@ def _enriched_docs(spark, sf):
     return trends.enrich(tables.posts_docs(spark, sf))
 
 
-def _mentions_docs(spark, sf):
-    return trends.mentions(_enriched_docs(spark, sf))
-
-
 def _facts_docs(spark, sf):
-    return fixtures.stored_revisions(_mentions_docs(spark, sf))
+    return fixtures.stored_revisions(fixtures.window_mentions(tables.posts_docs(spark, sf)))
 
 
 def _revisions_events(spark, sf):
-    m = trends.mentions(trends.enrich(tables.posts_events(spark, sf)))
-    return fixtures.stored_revisions(m)[0]
+    return fixtures.stored_revisions(fixtures.window_mentions(tables.posts_events(spark, sf)))[0]
 
 
 def _leaderboard(spark, sf, dedup=False):

@@ -125,9 +125,7 @@ def q_pipeline_errors(spark, sf):
 
 
 def _final_revisions(spark, sf):
-    from trendlens.operators import trends
-
-    m = trends.mentions(trends.enrich(tables.posts_docs(spark, sf)))
+    m = fixtures.window_mentions(tables.posts_docs(spark, sf))
     return fixtures.simulate_revisions(m, stage="final").withColumn("created_at", F.col("window_end"))
 
 
@@ -144,11 +142,10 @@ def q_trend_payload(spark, sf):
 
 def q_leaderboard_json(spark, sf):
     from trendlens.operators.leaderboard import latest_trends
-    from trendlens.operators.trends import enrich, mentions
     from trendlens.plans.catalog import HORIZON
     from trendlens.sources.sinks import leaderboard_json
 
-    facts, maxima = fixtures.stored_revisions(mentions(enrich(tables.posts_docs(spark, sf))))
+    facts, maxima = fixtures.stored_revisions(fixtures.window_mentions(tables.posts_docs(spark, sf)))
     lb = latest_trends(facts, limit=20, horizon=HORIZON, dedup=True, per_source=maxima)
     lb = lb.withColumn("avg_sentiment", F.round("avg_sentiment", 3)).withColumn(
         "trend_score", F.round("trend_score", 3))
@@ -156,11 +153,11 @@ def q_leaderboard_json(spark, sf):
 
 
 def q_history_json(spark, sf):
-    from trendlens.operators import history, trends
+    from trendlens.operators import history
     from trendlens.plans.catalog import HISTORY_AS_OF, HISTORY_HOURS, HISTORY_KEYWORD
     from trendlens.sources.sinks import history_json
 
-    m = trends.mentions(trends.enrich(tables.posts_events(spark, sf)))
+    m = fixtures.window_mentions(tables.posts_events(spark, sf))
     hist = history.trend_history(fixtures.stored_revisions(m)[0], HISTORY_KEYWORD, hours=HISTORY_HOURS,
                                  as_of=HISTORY_AS_OF)
     hist = hist.withColumn("avg_sentiment", F.round("avg_sentiment", 6)).withColumn(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.operators.common import exact_avg
-from trendlens.operators.trends import trend_score_col
+from trendlens.operators.trends import by_window, enrich, mentions, start_column, trend_score_col
 from trendlens.session import scratch_path
 from trendlens.sources.tables import FIXTURE_EPOCH, read_table
 
@@ -128,6 +128,12 @@ def hn_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(_story_id().alias("story_id"), F.to_json(item).alias("value"))
 
 
+def window_mentions(posts: DataFrame, width_seconds: int = 10) -> DataFrame:
+    """The mentions of posts that are dealt by window first (``by_window``)."""
+    return mentions(enrich(by_window(posts, width_seconds)),
+                    keep=("id", "source", "event_time", start_column(width_seconds)))
+
+
 def simulate_revisions(mention_rows: DataFrame, width_seconds: int = 10,
                        time_col: str = "event_time", stage: str = "all") -> DataFrame:
     """Build a ``trend_windows`` table as an update-mode stream with a trigger
@@ -144,12 +150,14 @@ def simulate_revisions(mention_rows: DataFrame, width_seconds: int = 10,
     stood before any window closed), ``"final"`` only the closing ones.
 
     One aggregation computes both revisions; ``inline`` then emits up to two
-    rows per group, so there is a single shuffle.
+    rows per group, so there is a single shuffle, and none for the mentions of
+    ``window_mentions``.
     """
     if stage not in ("all", "early", "final"):
         raise ValueError(f"unknown stage {stage!r}")
     width_us = width_seconds * 1_000_000
-    start = F.window(time_col, f"{width_seconds} seconds").start
+    known = start_column(width_seconds)
+    start = F.col(known) if known in mention_rows.columns else F.window(time_col, f"{width_seconds} seconds").start
     early = (F.unix_micros(F.col(time_col)) - F.unix_micros(start)) < F.lit(width_us // 2)
     grouped = mention_rows.groupBy(start.alias("window_start"), "keyword", "source").agg(
         F.count(F.lit(1)).alias("n_all"),
