@@ -87,7 +87,8 @@ def exact_parts(value: Column | str) -> tuple[Column, Column]:
     """The two longs that stand for a double in a sum."""
     scaled = (F.col(value) if isinstance(value, str) else value) * F.lit(_COARSE)
     coarse = F.floor(scaled)
-    return coarse, F.round((scaled - coarse) * F.lit(_FINE)).cast("long")
+    # Not F.round, which goes through the decimal text of every double.
+    return coarse, F.floor((scaled - coarse) * F.lit(_FINE) + F.lit(0.5))
 
 
 def exact_value(coarse: Column, fine: Column) -> Column:
